@@ -60,7 +60,7 @@ def measure(text: str | None) -> tuple[list[int], list[int]]:
     fired = [
         n < MIN_WORDS,
         symbols * 10 > n,
-        dup * 10 > 3 * len(lines),
+        dup > 2 and dup * 10 > 3 * len(lines),
         repeat * 10 > 3 * n,
         upper * 3 > n,
         n > 0 and not 2.5 <= letters <= 14,
@@ -70,7 +70,7 @@ def measure(text: str | None) -> tuple[list[int], list[int]]:
         repeat * 2 > n,
         upper * 2 > n,
         bangs * 3 > n,
-        dup * 2 > len(lines),
+        dup > 2 and dup * 2 > len(lines),
         3 <= letters <= 11 and n <= stops * 60 and stops * 3 <= n,
         n >= 4 * MIN_WORDS,
     ]
