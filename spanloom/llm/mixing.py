@@ -23,7 +23,7 @@ from spanloom.llm.common import WS, staged, table
 
 BLOCK, CAP, SEED = 64, 3, 17
 #: Slots of a shard, while there are at most MAX_SHARDS; rows of a bucket, by count.
-SHARD_SLOTS, MAX_SHARDS, BUCKET_ROWS = 4096, 2048, 1000
+SHARD_SLOTS, MAX_SHARDS, BUCKET_ROWS = 4096, 2048, 100
 
 
 def targets(sizes: list[int], weights: list[float], cap: float = CAP) -> list[float]:
@@ -107,12 +107,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> DataF
     blocks = [-(-s // BLOCK) for s in sizes]
     quota = [min(CAP * b, round(t * b / s)) if s else 0 for t, b, s in zip(target, blocks, sizes)]
     dim = spark.createDataFrame(
-        [(i, r[0], sizes[i], float(target[i]), blocks[i]) for i, r in enumerate(per)],
-        "no int, __source string, source_size long, target double, n_blocks long",
+        [(i, r[0], sizes[i], float(target[i]), r[2] // BUCKET_ROWS + 1) for i, r in enumerate(per)],
+        "no int, __source string, source_size long, target double, buckets long",
     )
-    buckets = max(1, max((r[2] for r in per), default=0) // BUCKET_ROWS)
     keyed = rows.join(F.broadcast(dim), rows["source"].eqNullSafe(dim["__source"])).drop("__source")
-    keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.col("buckets"))).drop("buckets")
     sums = keyed.groupBy("no", "bucket").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select(F.col("no").alias("__no"), F.col("bucket").alias("__bucket"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
@@ -134,7 +133,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> DataF
 
     drawn = (
         slots.where("slots > 0")
-        .repartition(F.col("shard"), F.col("no"))
+        .repartition(max(1, min(MAX_SHARDS, sum(quota) // (16 * SHARD_SLOTS))))
         .select("shard", "no", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("slots") - 1)).alias("slot"))
         .mapInPandas(to_blocks, "no int, block long, shard int")
     )
