@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from spanloom.llm import exact, html_text, mixing, near, packing, quality_cnn, quality_rules, toxicity
+from spanloom.llm import exact, html_text, lm, mixing, near, packing, quality_cnn, quality_rules, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op4_exact_dedup": exact.op4_exact_dedup,
     "op5_near_dedup": near.op5_near_dedup,
     "op6_quality_classifier": quality_cnn.op6_quality_classifier,
+    "op7_lm_scoring": lm.op7_lm_scoring,
     "op8_toxicity": toxicity.op8_toxicity,
     "op10_html_extraction": html_text.op10_html_extraction,
     "pipeline": corpus_pipeline.run,

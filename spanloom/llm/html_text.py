@@ -269,8 +269,10 @@ def extract(spark: SparkSession, pages: DataFrame, sample: int = SAMPLE) -> Data
     A null, empty or text-free page gives an empty text; repeated rows get equal texts; an empty table gives no
     rows; other columns are ignored. Learns from at most ``sample`` pages, the first by a hash of page_id.
     """
-    rows = pages.where("html IS NOT NULL AND length(html) < 200000").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).select("html").collect()
-    p = train([r[0] for r in rows])
+    ids = pages.where("page_id IS NOT NULL").select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).distinct().collect()
+    ids = spark.createDataFrame([(r[0],) for r in ids], pages.select(F.col("page_id").alias("__id")).schema)
+    rows = pages.where("length(html) < 200000").join(F.broadcast(ids), F.col("page_id") == F.col("__id")).select("page_id", "html").collect()
+    p = train([r[1] for r in sorted(rows)])
 
     def run(batches):
         for b in batches:
