@@ -1,4 +1,368 @@
-"""Queries and their oracle SQL."""
+"""Queries over the test tables, one or more for each operator, and their oracle SQL.
 
-QUERIES = {}
-ORACLE_SQL = {}
+The tables hold no taxonomy, so names come from benchmark passages (which documents embed) and from
+parts, and the tree is region, nation, customer.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from spanloom.functions import text as tx
+from spanloom.operators import annotate, link, spans, stats, taxonomy
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+# ------------------------------------------------------------------ pieces of oracle SQL
+def _clean(w: str) -> str:
+    b = f"regexp_replace({w}, '[()]', '', 'g')"
+    return f"CASE WHEN length({b}) <> 2 THEN regexp_replace({b}, '[.,]', '', 'g') WHEN regexp_matches({b}, '^\\p{{Lu}}[.]$') THEN {b} ELSE regexp_replace({b}, '[.]', '', 'g') END"
+
+
+_TOK = """tok0 AS (SELECT doc_id, unnest(string_split(text, ' ')) AS w, unnest(range(len(string_split(text, ' ')))) AS pos FROM documents WHERE text IS NOT NULL),
+tok AS (SELECT doc_id, pos, w, coalesce(sum(length(w) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+ lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS next FROM tok0)"""
+_LEX = f"""lexn AS (SELECT DISTINCT lower({_clean('w')}) AS name FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark)),
+lex AS (SELECT name, 'G' || row_number() OVER (ORDER BY name) AS tax_id FROM lexn WHERE length(name) >= 6)"""
+_BIG = f"""bt AS (SELECT item_id, w, lead(w) OVER (PARTITION BY item_id ORDER BY pos) AS nx FROM (SELECT item_id, unnest(string_split(text, ' ')) AS w, unnest(range(len(string_split(text, ' ')))) AS pos FROM benchmark)),
+bn AS (SELECT DISTINCT a || ' ' || b AS name FROM (SELECT lower({_clean('w')}) AS a, lower({_clean('nx')}) AS b FROM bt WHERE nx IS NOT NULL) WHERE length(a) >= 5 AND length(b) >= 3),
+big AS (SELECT name, 'S' || row_number() OVER (ORDER BY name) AS tax_id FROM bn),
+bm AS (SELECT doc_id, pos, start, name, tax_id FROM (SELECT doc_id, pos, start, lower({_clean('w')}) || ' ' || lower({_clean('next')}) AS name FROM tok WHERE next IS NOT NULL) JOIN big USING (name))"""
+
+
+# ------------------------------------------------------------------ text
+@query(f"WITH {_TOK} SELECT doc_id, pos::INT AS pos, w, start, next FROM tok")
+def tokenize_offsets(spark, sf):
+    return annotate.tokens(t(spark, sf, "documents"))
+
+
+@query(f"WITH {_TOK} SELECT DISTINCT w, {_clean('w')} AS cleaned, CASE WHEN w LIKE '%ae' THEN regexp_replace(w, 'ae$', 'a') WHEN w LIKE '%i' THEN regexp_replace(w, 'i$', 'us') WHEN w LIKE '%a' THEN regexp_replace(w, 'a$', 'um') ELSE '' END AS singular FROM tok")
+def clean_token(spark, sf):
+    w = t(spark, sf, "documents").select(F.explode(F.split("text", " ")).alias("w")).distinct()
+    return w.select("w", tx.clean_token(F.col("w")).alias("cleaned"), tx.latin_singular(F.col("w")).alias("singular"))
+
+
+@query("SELECT doc_id, trim(regexp_replace(lower(text), '[\\s!-/:-@\\[-`{-~]+', ' ', 'g')) AS processed FROM documents")
+def text_preprocess(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", tx.text_preprocess(F.col("text")).alias("processed"))
+
+
+@query("SELECT page_id, replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '&apos;', ''''), '&quot;', '\"') AS plain, translate(regexp_replace(html, '<[^>]+>', '', 'g'), '''[]\"', '') AS title FROM pages")
+def strip_markup(spark, sf):
+    return t(spark, sf, "pages").select("page_id", tx.decode_entities(tx.strip_tags(F.col("html"))).alias("plain"), tx.clean_title(F.col("html")).alias("title"))
+
+
+@query("SELECT doc_id, replace(regexp_replace(text, ' {2,}', ' ', 'g'), chr(10), ' ') AS collapsed, replace(replace(replace(text, ' ,', ','), ' .', '.'), '..', '.') AS reference FROM documents")
+def space_newline_normalise(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", tx.collapse_spaces(F.col("text")).alias("collapsed"), tx.clean_reference(F.col("text")).alias("reference"))
+
+
+@query("SELECT page_id, array_to_string(regexp_extract_all(lower(url), '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]+'), ' ') AS words FROM pages")
+def word_punct_tokens(spark, sf):
+    return t(spark, sf, "pages").select("page_id", tx.word_punct(F.col("url")).alias("words"))
+
+
+# ------------------------------------------------------------------ annotator
+@query(f"WITH {_TOK}, {_LEX} SELECT tax_id, name, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, lower({_clean('w')}) AS name FROM tok) JOIN lex USING (name) GROUP BY 1, 2")
+def mention_counts(spark, sf):
+    lex = annotate.unigram_lexicon(t(spark, sf, "benchmark"))
+    toks = t(spark, sf, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("w"), F.lit(0).alias("pos"), F.lit(0).alias("start"))
+    return annotate.unigram_matches(toks, lex).groupBy("tax_id", "name").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("docs"))
+
+
+@query(f"WITH {_TOK}, {_LEX} SELECT doc_id, pos::INT AS pos, start, name, tax_id FROM (SELECT doc_id, pos, start, lower({_clean('w')}) AS name FROM tok) JOIN lex USING (name)")
+def unigram_match(spark, sf):
+    return annotate.unigram_matches(annotate.tokens(t(spark, sf, "documents")), annotate.unigram_lexicon(t(spark, sf, "benchmark")))
+
+
+@query(f"WITH {_TOK}, {_BIG} SELECT doc_id, pos::INT AS pos, start, name, tax_id FROM bm")
+def bigram_match(spark, sf):
+    return annotate.bigram_matches(annotate.tokens(t(spark, sf, "documents")), annotate.bigram_lexicon(t(spark, sf, "benchmark")))
+
+
+@query(f"WITH {_TOK}, {_BIG}, isl AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM bm), nth AS (SELECT *, row_number() OVER (PARTITION BY doc_id, i ORDER BY pos) AS k FROM isl) SELECT doc_id, pos::INT AS pos, start, name, tax_id FROM nth WHERE k % 2 = 1")
+def greedy_skip_mentions(spark, sf):
+    return annotate.greedy_skip(bigram_match(spark, sf))
+
+
+_PN = "pn AS (SELECT p_name AS name, min(p_partkey) AS ord FROM part GROUP BY 1), px AS (SELECT name, ord, upper(substr(name, 1, 1)) AS initial, string_split(name, ' ')[2] AS epithet FROM pn)"
+
+
+def _part_names(spark, sf):
+    return t(spark, sf, "part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("ord"))
+
+
+@query(f"WITH {_PN} SELECT initial, epithet, array_to_string(list(name ORDER BY ord), '|') AS candidates, count(*)::INT AS n FROM px GROUP BY 1, 2")
+def abbrev_candidates(spark, sf):
+    c = annotate.abbreviation_index(_part_names(spark, sf))
+    return c.select("initial", "epithet", F.array_join("candidates", "|").alias("candidates"), F.size("candidates").alias("n"))
+
+
+@query("""WITH m AS (SELECT l_orderkey AS doc_id, l_linenumber AS pos, upper(substr(p_name, 1, 1)) AS initial, string_split(p_name, ' ')[2] AS epithet,
+ CASE WHEN l_linenumber % 2 = 1 THEN p_name END AS name FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT doc_id, pos, initial, epithet, coalesce(name, arg_min(name, pos) FILTER (name IS NOT NULL) OVER (PARTITION BY doc_id, initial, epithet ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS resolved FROM m""")
+def abbrev_resolve_prior(spark, sf):
+    m = t(spark, sf, "lineitem").join(t(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    m = m.select(
+        F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("pos"), F.upper(F.substring("p_name", 1, 1)).alias("initial"),
+        F.split("p_name", " ")[1].alias("epithet"), F.when(F.col("l_linenumber") % 2 == 1, F.col("p_name")).alias("name"),
+    )
+    return annotate.resolve_by_history(m).drop("name")
+
+
+@query("SELECT p_name AS name, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1")
+def ambiguous_names(spark, sf):
+    return t(spark, sf, "part").groupBy(F.col("p_name").alias("name")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+@query("WITH a AS (SELECT p_name AS name, list(p_partkey ORDER BY p_partkey) AS ids FROM part GROUP BY 1) SELECT name, CASE WHEN len(ids) >= 4 THEN ids[1] || ',' || ids[len(ids)] ELSE array_to_string(ids, ',') END AS trimmed, len(ids)::INT AS n FROM a")
+def trim_candidates(spark, sf):
+    a = t(spark, sf, "part").groupBy(F.col("p_name").alias("name")).agg(F.sort_array(F.collect_list("p_partkey")).alias("ids"))
+    return a.select("name", F.array_join(tx.trim_candidates(F.col("ids")).cast("array<string>"), ",").alias("trimmed"), F.size("ids").alias("n"))
+
+
+@query("""WITH m AS (SELECT o_custkey AS d, o_orderkey AS p, o_orderstatus AS a, CASE WHEN o_orderkey % 3 = 0 THEN 'F' END AS b, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS k FROM orders),
+w AS (SELECT *, lag(k) OVER x AS bf, lead(k) OVER x AS af, row_number() OVER x AS rn, count(*) OVER (PARTITION BY d) AS n FROM m WINDOW x AS (PARTITION BY d ORDER BY p)),
+s AS (SELECT *, CASE WHEN rn = 1 AND n > 1 THEN af WHEN rn = n THEN CASE WHEN n > 1 THEN bf END ELSE coalesce(bf, af) END AS nb FROM w)
+SELECT d AS doc_id, p AS pos, CASE WHEN k IS NOT NULL THEN 'first' WHEN a = nb THEN 'first' WHEN b = nb THEN 'second' ELSE 'unresolved' END AS resolved FROM s""")
+def neighbour_disambiguation(spark, sf):
+    first, second = F.struct(F.col("o_orderstatus").alias("type"), F.lit("first").alias("id")), F.struct(F.lit("F").alias("type"), F.lit("second").alias("id"))
+    m = t(spark, sf, "orders").select(
+        F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("pos"), F.when(F.col("o_orderkey") % 3 == 0, F.array(first, second)).otherwise(F.array(first)).alias("candidates")
+    )
+    return annotate.disambiguate_by_neighbour(m).select("doc_id", "pos", "resolved")
+
+
+@query(f"""WITH {_PN}, k AS (SELECT lower(name) AS key, arg_min('P' || ord, ord) AS tax_id FROM pn WHERE ord % 2 = 0 GROUP BY 1)
+SELECT p_partkey, upper(p_name) AS mention, tax_id FROM part LEFT JOIN k ON lower(p_name) = key""")
+def normalise_exact(spark, sf):
+    lex = _part_names(spark, sf).where("ord % 2 = 0").withColumn("tax_id", F.concat(F.lit("P"), F.col("ord").cast("string")))
+    return annotate.normalise_exact(t(spark, sf, "part").select("p_partkey", F.upper("p_name").alias("mention")), lex)
+
+
+# ------------------------------------------------------------------ scans and filters
+@query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def incremental_scan(spark, sf):
+    return t(spark, sf, "documents").select("doc_id", "source").join(t(spark, sf, "labels").select("doc_id"), "doc_id", "left_anti")
+
+
+@query("SELECT conv_id, turn, role FROM conversations WHERE role IN ('User', 'user') OR list_contains(string_split(role, ' '), 'user') OR list_contains(string_split(role, ' '), 'User')")
+def keyword_filter(spark, sf):
+    c = t(spark, sf, "conversations").withColumn("infons", F.create_map(F.lit("section_title_1"), F.col("role")))
+    return c.where(tx.keyword_matches(F.col("infons"), "user")).select("conv_id", "turn", "role")
+
+
+@query("SELECT conv_id, turn FROM conversations WHERE lower(role) IN ('assistant')")
+def section_filter(spark, sf):
+    c = t(spark, sf, "conversations").withColumn("infons", F.create_map(F.lit("iao_name_1"), F.col("role")))
+    return c.where(tx.section_matches(F.col("infons"), ["assistant"])).select("conv_id", "turn")
+
+
+@query("SELECT p_partkey, unnest(string_split(p_name, ' ')) AS id FROM part WHERE p_partkey % 5 <> 0")
+def parse_id_lists(spark, sf):
+    shown = F.concat(F.lit("['"), F.replace(F.col("p_name"), F.lit(" "), F.lit("', '")), F.lit("']"))
+    p = t(spark, sf, "part").select("p_partkey", F.when(F.col("p_partkey") % 5 == 0, F.lit("[a] [b]")).otherwise(shown).alias("s"))
+    return p.select("p_partkey", F.explode(tx.parse_ids(F.col("s"))).alias("id"))
+
+
+# ------------------------------------------------------------------ spans
+_SP = "sp AS (SELECT DISTINCT l_orderkey AS doc_id, l_partkey % 50 AS start, l_quantity::BIGINT AS length FROM lineitem)"
+
+
+def _spans(spark, sf):
+    return t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), (F.col("l_partkey") % 50).alias("start"), F.col("l_quantity").cast("long").alias("length"))
+
+
+@query(f"WITH {_SP} SELECT * FROM sp")
+def dedup_spans(spark, sf):
+    return spans.dedup_spans(_spans(spark, sf))
+
+
+@query(f"WITH {_SP}, m AS (SELECT *, max(start + length) OVER (PARTITION BY doc_id ORDER BY start, length DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM sp) SELECT doc_id, start, length FROM m WHERE e IS NULL OR start + length > e")
+def remove_nested_spans(spark, sf):
+    return spans.remove_nested(spans.dedup_spans(_spans(spark, sf)))
+
+
+@query(f"""WITH {_SP}, m AS (SELECT *, max(start + length) OVER (PARTITION BY doc_id ORDER BY start, length ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM sp),
+g AS (SELECT *, sum(CASE WHEN e IS NULL OR start > e THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY start, length ROWS UNBOUNDED PRECEDING) AS g FROM m)
+SELECT doc_id, min(start) AS start, max(start + length) - min(start) AS length, count(*) AS n FROM g GROUP BY doc_id, g""")
+def merge_spans(spark, sf):
+    return spans.merge_overlapping(spans.dedup_spans(_spans(spark, sf)))
+
+
+@query(f"""WITH {_TOK} SELECT doc_id, CASE WHEN w LIKE '(%' AND w NOT LIKE '%)%' THEN start + 1 ELSE start END AS start, length(x)::INT AS length, x AS text FROM
+(SELECT doc_id, start, w, regexp_replace(CASE WHEN w LIKE '(%' AND w NOT LIKE '%)%' THEN substr(w, 2) ELSE w END, '[., ]+$', '') AS x FROM tok WHERE length(w) > 5 AND substr(w, 2, 2) NOT IN (', ', '.,') AND NOT regexp_matches(w, '[(,)](genu|associate)')) WHERE length(x) > 0""")
+def span_repair(spark, sf):
+    d = t(spark, sf, "documents")
+    s = annotate.tokens(d).where("length(w) > 5 AND NOT w RLIKE '[(,)](genu|associate)'").select("doc_id", "start", F.length("w").alias("length"), F.col("w").alias("passage_word"))
+    # the span alone as its passage, so that no text is copied for every token
+    return spans.repair(s.select("doc_id", F.col("start").alias("at"), F.lit(0).cast("long").alias("start"), "length", F.col("passage_word").alias("passage"))).select(
+        "doc_id", (F.col("at") + F.col("start")).alias("start"), "length", "text"
+    )
+
+
+# ------------------------------------------------------------------ taxonomy
+_TREE = """nd AS (SELECT 'C' || c_custkey AS tax_id, 'species' AS rank FROM customer UNION ALL SELECT 'N' || n_nationkey, 'family' FROM nation UNION ALL SELECT 'R' || r_regionkey, 'superkingdom' FROM region),
+ed AS (SELECT 'C' || c_custkey AS child, 'N' || c_nationkey AS parent FROM customer UNION ALL SELECT 'N' || n_nationkey, 'R' || n_regionkey FROM nation),
+ct AS (SELECT 'C' || o_custkey AS tax_id, count(*) AS n FROM orders GROUP BY 1)"""
+
+
+def _key(prefix: str, col: str):
+    return F.concat(F.lit(prefix), F.col(col).cast("string"))
+
+
+def _tree(spark, sf):
+    c, n, r = (t(spark, sf, x) for x in ("customer", "nation", "region"))
+    nodes = c.select(_key("C", "c_custkey").alias("tax_id"), F.lit("species").alias("rank"))
+    nodes = nodes.unionByName(n.select(_key("N", "n_nationkey").alias("tax_id"), F.lit("family").alias("rank")))
+    nodes = nodes.unionByName(r.select(_key("R", "r_regionkey").alias("tax_id"), F.lit("superkingdom").alias("rank")))
+    edges = c.select(_key("C", "c_custkey").alias("child"), _key("N", "c_nationkey").alias("parent"))
+    return nodes, edges.unionByName(n.select(_key("N", "n_nationkey").alias("child"), _key("R", "n_regionkey").alias("parent")))
+
+
+def _counts(spark, sf, where: str = "true"):
+    return t(spark, sf, "orders").where(where).groupBy(_key("C", "o_custkey").alias("tax_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH RECURSIVE {_TREE}, c AS (SELECT tax_id, tax_id AS ancestor, 0 AS distance FROM nd UNION ALL SELECT tax_id, parent, distance + 1 FROM c JOIN ed ON ancestor = child) SELECT * FROM c")
+def ancestor_closure(spark, sf):
+    nodes, edges = _tree(spark, sf)
+    return taxonomy.ancestors(edges, nodes.select("tax_id"))
+
+
+@query(f"WITH {_TREE} SELECT rank, tax_id, coalesce(n, 0) AS n FROM nd LEFT JOIN ct USING (tax_id)")
+def rank_counts(spark, sf):
+    nodes, _ = _tree(spark, sf)
+    return nodes.join(_counts(spark, sf), "tax_id", "left").select("rank", "tax_id", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query(f"""WITH {_TREE}, k AS (SELECT parent, count(*) AS k FROM ed GROUP BY 1),
+s AS (SELECT tax_id, rank, coalesce(n, 0)::DOUBLE AS a FROM nd LEFT JOIN ct USING (tax_id) WHERE rank = 'species'),
+f AS (SELECT n.tax_id, n.rank, coalesce(sum(a / k), 0) AS a FROM nd n LEFT JOIN ed ON parent = n.tax_id LEFT JOIN s ON s.tax_id = child LEFT JOIN k ON k.parent = n.tax_id WHERE n.rank = 'family' GROUP BY 1, 2),
+r AS (SELECT n.tax_id, n.rank, coalesce(sum(a / k), 0) AS a FROM nd n LEFT JOIN ed ON parent = n.tax_id LEFT JOIN f ON f.tax_id = child LEFT JOIN k ON k.parent = n.tax_id WHERE n.rank = 'superkingdom' GROUP BY 1, 2)
+SELECT tax_id, rank, round(a, 6) AS abundance FROM (SELECT * FROM s UNION ALL SELECT * FROM f UNION ALL SELECT * FROM r)""")
+def rank_rollup(spark, sf):
+    nodes, edges = _tree(spark, sf)
+    with_counts = nodes.join(_counts(spark, sf), "tax_id", "left").select("tax_id", "rank", F.coalesce("n", F.lit(0)).cast("double").alias("abundance"))
+    return taxonomy.roll_up(with_counts, edges, ["species", "family", "superkingdom"]).select("tax_id", "rank", F.round("abundance", 6).alias("abundance"))
+
+
+@query(f"WITH {_TREE} SELECT tax_id, rank, coalesce(parent, 'root') AS parent FROM nd LEFT JOIN ed ON tax_id = child")
+def root_attach(spark, sf):
+    return taxonomy.attach_root(*_tree(spark, sf))
+
+
+_DFS = f"""{_TREE}, c AS (SELECT tax_id, [tax_id] AS path FROM nd WHERE rank = 'superkingdom' UNION ALL SELECT child, list_append(path, child) FROM c JOIN ed ON parent = tax_id),
+o AS (SELECT tax_id, len(path)::INT AS level, row_number() OVER (ORDER BY path) - 1 AS dfs_order FROM c)"""
+
+
+@query(f"WITH RECURSIVE {_DFS} SELECT tax_id, level, dfs_order::INT AS dfs_order FROM o")
+def dfs_order(spark, sf):
+    return taxonomy.depth_first(taxonomy.attach_root(*_tree(spark, sf)), 3)
+
+
+@query(f"WITH RECURSIVE {_DFS}, l AS (SELECT tax_id, row_number() OVER (ORDER BY dfs_order) - 1 AS i, count(*) OVER () AS n FROM o WHERE level = 3) SELECT tax_id, round(i * 2 * pi() / n, 6) AS angle, round(8 * cos(i * 2 * pi() / n), 6) AS x, round(8 * sin(i * 2 * pi() / n), 6) AS y FROM l")
+def leaf_angles(spark, sf):
+    leaves = dfs_order(spark, sf).where("level = 3")
+    n = leaves.count()
+    angle = (F.row_number().over(Window.orderBy("dfs_order")) - 1) * 2 * F.pi() / n
+    return leaves.withColumn("a", angle).select("tax_id", F.round("a", 6).alias("angle"), F.round(8 * F.cos("a"), 6).alias("x"), F.round(8 * F.sin("a"), 6).alias("y"))
+
+
+@query(f"WITH {_TREE}, s AS (SELECT list_sort(list(n)) AS v, count(*) AS k FROM ct) SELECT tax_id, n, CASE WHEN n <= v[1 + floor(k * 0.25)::INT] THEN 1 WHEN n <= v[1 + floor(k * 0.5)::INT] THEN 2 WHEN n <= v[1 + floor(k * 0.75)::INT] THEN 3 ELSE 4 END AS quartile FROM ct, s")
+def abundance_quartiles(spark, sf):
+    return taxonomy.quartile_class(_counts(spark, sf), "n")
+
+
+@query(f"WITH {_TREE}, st AS (SELECT 'C' || o_custkey AS tax_id, count(*) AS m FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1), b AS (SELECT 'C' || o_custkey AS tax_id, count(*) AS n FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY 1) SELECT tax_id, coalesce(m, n) AS abundance, CASE WHEN n IS NULL THEN 'new' WHEN m IS NULL THEN 'base' ELSE 'study' END AS class FROM b FULL JOIN st USING (tax_id)")
+def study_overlay(spark, sf):
+    base, study = _counts(spark, sf, "o_orderpriority <> '1-URGENT'"), _counts(spark, sf, "o_orderpriority = '1-URGENT'").withColumnRenamed("n", "m")
+    kind = F.when(F.col("n").isNull(), "new").when(F.col("m").isNull(), "base").otherwise("study")
+    return base.join(study, "tax_id", "full").select("tax_id", F.coalesce("m", "n").alias("abundance"), kind.alias("class"))
+
+
+# ------------------------------------------------------------------ statistics
+_ENR = """fr AS (SELECT c_mktsegment AS rank, 'C' || o_custkey AS tax_id, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2),
+bk AS (SELECT c_mktsegment AS rank, 'C' || o_custkey AS tax_id, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+ft AS (SELECT rank, sum(n) AS t FROM fr GROUP BY 1), bt AS (SELECT rank, sum(n) AS t FROM bk GROUP BY 1),
+en AS (SELECT fr.rank, fr.tax_id, fr.n AS front_count, coalesce(bk.n, 0) AS background_count, fr.n / ft.t AS ff, coalesce(bk.n, 0) / bt.t AS bf, ft.t AS tot FROM fr LEFT JOIN bk USING (rank, tax_id) JOIN ft USING (rank) JOIN bt USING (rank)),
+pv AS (SELECT rank, tax_id, (('0x' || substr(md5(rank || '|' || tax_id), 1, 8))::BIGINT / 4294967296.0) AS p_value FROM fr),
+ra AS (SELECT *, row_number() OVER (PARTITION BY rank ORDER BY p_value, tax_id) AS rn, count(*) OVER (PARTITION BY rank) AS m, least(1.0, avg(CASE WHEN p_value >= 0.85 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY rank) / (1 - 0.85::DOUBLE)) AS pi0 FROM pv)"""
+
+
+def _front_back(spark, sf):
+    o = t(spark, sf, "orders").join(t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    of = lambda df: df.groupBy(F.col("c_mktsegment").alias("rank"), _key("C", "o_custkey").alias("tax_id")).agg(F.count(F.lit(1)).alias("n"))
+    return of(o.where("o_orderpriority = '1-URGENT'")), of(o)
+
+
+@query(f"WITH {_ENR} SELECT rank, tax_id, front_count, background_count, round(ff, 9) AS front_fraction, round(bf, 9) AS background_fraction, ceil(round(bf * tot, 9))::BIGINT AS expected_count, round(ff / greatest(bf, 1e-10), 6) AS enrichment FROM en")
+def enrichment_stats(spark, sf):
+    e = stats.enrichment(*_front_back(spark, sf))
+    total = F.sum("front_count").over(Window.partitionBy("rank"))
+    return e.select("rank", "tax_id", "front_count", "background_count", F.round("front_fraction", 9).alias("front_fraction"), F.round("background_fraction", 9).alias("background_fraction"),
+                    F.ceil(F.round(F.col("background_fraction") * total, 9)).alias("expected_count"), F.round("enrichment", 6).alias("enrichment"))
+
+
+def _p_values(spark, sf):
+    return _front_back(spark, sf)[0].select("rank", "tax_id", stats.uniform(F.col("rank"), F.col("tax_id")).alias("p_value"))
+
+
+@query(f"WITH {_ENR} SELECT rank, tax_id, round(least(1.0, min(p_value * m / rn) OVER (PARTITION BY rank ORDER BY rn DESC ROWS UNBOUNDED PRECEDING)), 9) AS q_value FROM ra")
+def bh_qvalue(spark, sf):
+    return stats.benjamini_hochberg(_p_values(spark, sf), ["rank"]).select("rank", "tax_id", F.round("q_value", 9).alias("q_value"))
+
+
+@query(f"WITH {_ENR}, q AS (SELECT rank, tax_id, least(1.0, min(p_value * m * pi0 / rn) OVER (PARTITION BY rank ORDER BY rn DESC ROWS UNBOUNDED PRECEDING)) AS q FROM ra) SELECT rank, tax_id, round(q, 9) AS q_value, round(-log10(CASE WHEN q = 0 THEN 1e-5 ELSE q END), 6) AS neg_log, q <= 0.05 AS significant FROM q")
+def storey_qvalue(spark, sf):
+    q = stats.storey(_p_values(spark, sf), ["rank"])
+    return q.select("rank", "tax_id", F.round("q_value", 9).alias("q_value"), F.round(tx.neg_log10_q(F.col("q_value")), 6).alias("neg_log"), (F.col("q_value") <= 0.05).alias("significant"))
+
+
+# ------------------------------------------------------------------ linking, passages
+@query("""WITH nm AS (SELECT p_name AS name, min(p_partkey) AS id FROM part GROUP BY 1), g AS (SELECT id, unnest(list_concat(string_split(name, ''), list_transform(range(1, length(name)), lambda x: substr(name, x, 2)))) AS term FROM nm),
+tf AS (SELECT id, term, count(*) AS tf FROM g GROUP BY 1, 2), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), r AS (SELECT id, term, tf * (ln((1.0 + (SELECT count(*) FROM nm)) / (1 + df)) + 1) AS raw FROM tf JOIN df USING (term))
+SELECT id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)), 9) AS weight FROM r""")
+def char_tfidf(spark, sf):
+    return link.char_tfidf(_part_names(spark, sf).withColumnRenamed("ord", "id")).select("id", "term", F.round("weight", 9).alias("weight"))
+
+
+@query("""WITH s AS (SELECT q.vec_id AS query_id, v.vec_id, list_sum(list_transform(list_zip(q.embedding, v.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, vec_id, round(score, 6) AS score, rank::INT AS rank FROM r WHERE rank <= 5""")
+def hybrid_topk(spark, sf):
+    e = t(spark, sf, "embeddings")
+    return link.top_k(e, e.where("vec_id % 100 = 0"), 5).select("query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
+
+
+@query("SELECT conv_id, turn, coalesce(sum(length(text) + 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS passage_offset FROM conversations")
+def passage_offsets(spark, sf):
+    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    return t(spark, sf, "conversations").select("conv_id", "turn", F.coalesce(F.sum(F.length("text") + 1).over(w), F.lit(0)).alias("passage_offset"))
+
+
+@query("SELECT conv_id, turn, last_value(CASE WHEN turn % 3 = 0 THEN role END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS title FROM conversations")
+def carry_forward_title(spark, sf):
+    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    return t(spark, sf, "conversations").select("conv_id", "turn", F.last(F.when(F.col("turn") % 3 == 0, F.col("role")), ignorenulls=True).over(w).alias("title"))
+
+
+@query("SELECT conv_id, min(turn) AS turn, text FROM conversations GROUP BY conv_id, text")
+def dedup_passages(spark, sf):
+    return t(spark, sf, "conversations").groupBy("conv_id", "text").agg(F.min("turn").alias("turn"))
