@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from spanloom.llm import exact, html_text, lm, mixing, near, packing, quality_cnn, quality_rules, toxicity
+from spanloom.llm import exact, html_text, lm, mixing, near, packing, quality_cnn, quality_rules, repeats, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_quality_classifier": quality_cnn.op6_quality_classifier,
     "op7_lm_scoring": lm.op7_lm_scoring,
     "op8_toxicity": toxicity.op8_toxicity,
+    "op9_repeat_removal": repeats.op9_repeat_removal,
     "op10_html_extraction": html_text.op10_html_extraction,
     "pipeline": corpus_pipeline.run,
 }
