@@ -51,7 +51,7 @@ def staged(spark: SparkSession, df: DataFrame) -> DataFrame:
     files go when the driver ends, as the returned plan may be run at any time.
     """
     path = f"{shared_dir(spark)}/spanloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

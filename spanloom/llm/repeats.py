@@ -1,15 +1,15 @@
 """Removal of byte strings that documents repeat: every 50-byte string that also starts in a document of smaller id.
 
 Which places may repeat is found by anchors: of every 50 bytes the K-byte string with the least hash. Equal
-50-byte strings have equal anchors, and an anchor stands for about sixteen bytes. An anchor's smallest and
-largest document show whether it repeats; the hashes of those that do set bits of a bitmap of fixed
+50-byte strings have equal anchors, and an anchor stands for about sixteen bytes. A document
+counts once for an anchor; the hashes of those that more than one has set bits of a bitmap of fixed
 size, which goes to all tasks (when it fills, more places are looked at, none is missed). Around a
 repeating anchor a document gives its segment: all windows that hold the anchor. Equal segments
 become one, with its smallest document and a count. All segments of an anchor meet in one
 task, where their 50-byte windows are sorted by hash, compared byte by byte, and a window is marked
 that a smaller document has. A copy of a segment that is not the smallest loses all of its windows.
 
-Equal texts are one document from the start: all but the smallest lose everything.
+Texts with very many copies are one document from the start: all but the smallest lose everything.
 
 A run-length compressed Burrows-Wheeler index over the repeating segments is not built: see README.
 """
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import as_bytes, lookup, mix, prefix_hash, range_hash, staged, table
+from spanloom.llm.common import HOT, as_bytes, lookup, mix, prefix_hash, range_hash, staged, table
 
 LENGTH, K, BITS, WORDS = 50, 20, 1 << 27, 1 << 11
 W = LENGTH - K + 1
@@ -52,17 +52,12 @@ def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _anchor_rows(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
-            ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
-            for i in range(0, len(ids), 512):
-                keys, owner = [], []
-                for d, t in zip(ids[i : i + 512], texts[i : i + 512]):
-                    h = np.unique(anchors(np.frombuffer(as_bytes(t), np.uint8))[1])
-                    keys.append(h)
-                    owner.append(np.full(len(h), d, np.int64))
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), pa.array(np.concatenate(owner))], ["anchor", "doc"])
+            texts = b.column("text").to_pylist()
+            for i in range(0, len(texts), 512):
+                keys = [np.unique(anchors(np.frombuffer(as_bytes(t), np.uint8))[1]) for t in texts[i : i + 512]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64))], ["anchor"])
 
-    return docs.mapInArrow(run, "anchor long, doc long")
+    return docs.mapInArrow(run, "anchor long")
 
 
 def _bitmap(spark: SparkSession, repeated: DataFrame) -> np.ndarray:
@@ -171,16 +166,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
     same = staged(spark, rows.where("doc_id IS NOT NULL").groupBy("hash", F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
-    copied = same.where("n > 1").select("hash", "least", "n")
+    # a text with one row in HOT or more (at most HOT texts) is looked at once; other copies go the way of all documents
     total = rows.count()
-    keys = staged(spark, rows.select("doc_id", "hash"))
-    # rows of copied texts that are not the smallest: hash by hash, hot texts by broadcast
-    drop = staged(spark, lookup(keys, copied, ["hash"], "n", total).where("doc_id > least").select("doc_id", "hash").distinct())
-    base = rows.join(drop, ["doc_id", "hash"], "left_anti").where("doc_id IS NOT NULL")
-    base = staged(spark, base.dropDuplicates(["doc_id", "hash"]) if keys.distinct().count() < total else base)
-    repeated = _anchor_rows(base).groupBy("anchor").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("anchor")
+    hot = F.broadcast(same.where(F.col("n") * HOT >= total).where("n > 1").select("hash", "least"))
+    rows = rows.join(hot, "hash", "left").withColumn("whole", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))).drop("least")
+    base = rows.where("NOT whole AND doc_id IS NOT NULL")
+    repeated = _anchor_rows(base.select("doc_id", "text")).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
     shared = spark.sparkContext.broadcast(_bitmap(spark, repeated))
-    segments = staged(spark, _segments(base, shared))
+    segments = staged(spark, _segments(base.select("doc_id", "hash", "text"), shared))
     distinct = segments.groupBy("seg").agg(
         F.min("doc").alias("least"), F.count(F.lit(1)).alias("n"), F.first("anchor").alias("anchor"), F.first("bytes").alias("bytes")
     )
@@ -190,8 +183,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     every = F.expr(f"shiftleft(1L, greatest(size - {LENGTH - 1}, 0)) - 1")
     found = found.select("doc", "hash", "begin", F.when(F.col("doc") > F.col("least"), every).otherwise(F.col("mask")).alias("mask")).where("mask <> 0")
     per = found.groupBy(F.col("doc").alias("doc_id"), "hash").agg(F.collect_list(F.struct("begin", "mask")).alias("marks"))
-    drop = drop.withColumn("whole", F.lit(True))
-    out = rows.join(per, ["doc_id", "hash"], "left").join(drop, ["doc_id", "hash"], "left").select("doc_id", "text", "marks", "whole")
+    out = rows.join(per, ["doc_id", "hash"], "left").select("doc_id", "text", "marks", "whole")
 
     def run(batches):
         for b in batches:
