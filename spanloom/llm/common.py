@@ -21,6 +21,8 @@ WS = "[\\x20\\x09-\\x0D]"
 #: A group with at least one row in so many is "hot": there are at most HOT of them,
 #: whatever the size of the data, so they may be broadcast.
 HOT = 1000
+#: Spark's switch to remove a query's shuffle files when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,10 +50,16 @@ def staged(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back.
 
     A lost executor costs only the tasks it ran; later stages reread the files. The
-    files go when the driver ends, as the returned plan may be run at any time.
+    files go when the driver ends, as the returned plan may be run at any time; the shuffles of
+    the write go at once.
     """
+    before = spark.conf.get(CLEANUP, None)
     path = f"{shared_dir(spark)}/spanloom-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

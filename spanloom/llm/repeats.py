@@ -172,7 +172,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows = rows.join(hot, "hash", "left").withColumn("whole", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))).drop("least")
     base = rows.where("NOT whole AND doc_id IS NOT NULL")
     repeated = _anchor_rows(base.select("doc_id", "text")).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    shared = spark.sparkContext.broadcast(_bitmap(spark, repeated))
+    shared = spark.sparkContext.broadcast(_bitmap(spark, staged(spark, repeated)))
     segments = staged(spark, _segments(base.select("doc_id", "hash", "text"), shared))
     distinct = segments.groupBy("seg").agg(
         F.min("doc").alias("least"), F.count(F.lit(1)).alias("n"), F.first("anchor").alias("anchor"), F.first("bytes").alias("bytes")
