@@ -1,17 +1,23 @@
 """Removal of byte strings that documents repeat: every 50-byte string that also starts in a document of smaller id.
 
-Which places may repeat is found by anchors: of every 50 bytes the K-byte string with the least hash. Equal
-50-byte strings have equal anchors, and an anchor stands for about sixteen bytes. A document
-counts once for an anchor; the hashes of those that more than one has set bits of a bitmap of fixed
-size, which goes to all tasks (when it fills, more places are looked at, none is missed). Around a
-repeating anchor a document gives its segment: all windows that hold the anchor. Equal segments
-become one, with its smallest document and a count. All segments of an anchor meet in one
-task, where their 50-byte windows are sorted by hash, compared byte by byte, and a window is marked
-that a smaller document has. A copy of a segment that is not the smallest loses all of its windows.
+A run-length compressed Burrows-Wheeler index says which 50-byte windows smaller documents have. One index over a whole corpus
+does not fit a task, so places that may repeat are dealt out first. The anchor of a window is the least hash of its K-byte
+strings: equal windows have equal anchors. Neighbouring windows with one anchor form a segment (about sixteen windows). A
+document counts once for an anchor; the anchors that more than one has set bits of a bitmap of fixed size, which goes to all
+tasks (when it fills, more segments are looked at, none is missed). Equal segments become one, with its smallest
+document and a count; a copy that is not in the smallest document loses all its windows.
+
+All segments of an anchor come to one task, which indexes some thousand segments at a time, whole anchors together. An index
+(`RunIndex`) is the Burrows-Wheeler transform of the segments as runs (letter, first rank, shift to the
+next rank), with samples at the ends of each run of ranks whose next 50 bytes agree: the two ranks and the smallest document. The
+segments then stream through it backwards, all in step: a step finds the run of each rank, moves on, and, from the
+fiftieth byte on, reads whether the match with a smaller document reaches 50 bytes (the matching statistic, cut
+at 50). Everything compares bytes by order, none by hash.
+
+An anchor with more than LARGE different segments (a phrase that very many documents continue differently) is
+no group of one task: its windows are aggregated one by one, partly before the shuffle.
 
 Texts with very many copies are one document from the start: all but the smallest lose everything.
-
-A run-length compressed Burrows-Wheeler index over the repeating segments is not built: see README.
 """
 
 from __future__ import annotations
@@ -23,39 +29,69 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import HOT, as_bytes, lookup, mix, prefix_hash, range_hash, staged, table
+from spanloom.llm.common import HOT, _powers, _remove, as_bytes, lookup, mix, prefix_hash, range_hash, staged, table
 
 LENGTH, K, BITS, WORDS = 50, 20, 1 << 27, 1 << 11
 W = LENGTH - K + 1
+#: Segments of one index, and different segments of an anchor that one task takes.
+INDEXED, LARGE = 8_192, 50_000
+#: Bytes of text that are hashed at once.
+BLOCK = 1 << 18
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors, and the prefix hash of the text."""
-    prefix = prefix_hash(raw)
+def window_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of at most W neighbouring windows with one anchor: text number, first window, windows, anchor."""
+    size = np.array([len(t) for t in texts], np.int64)
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    none = np.zeros(0, np.int64)
     if len(raw) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), prefix
-    i = np.arange(len(raw) - K + 1)
-    h = range_hash(prefix, i, i + K)
-    # the least of every W neighbours, the first of equal ones
-    best, at, size = h.copy(), i.copy(), 1
-    while size < W:
-        step = min(size, W - size)
-        a, b = best[:-step], best[step:]
-        take = b < a
-        at = np.where(take, at[step:], at[:-step])
-        best = np.where(take, b, a)
-        size += step
-    at = np.unique(at)
-    return at, h[at], prefix
+        return none, none, none, none.astype(np.uint64)
+    prefix, (_, down) = prefix_hash(raw), _powers(len(raw))
+    best = mix((prefix[K:] - prefix[:-K]) * down[: len(raw) - K + 1])
+    have = 1
+    while have < W:  # the least of W neighbours
+        step = min(have, W - have)
+        best = np.minimum(best[:-step], best[step:])
+        have += step
+    first = np.cumsum(size) - size
+    text = np.repeat(np.arange(len(texts)), size)[: len(best)]
+    inner = np.arange(len(best)) + LENGTH <= (first + size)[text]
+    new = np.ones(len(best), bool)
+    new[1:] = (best[1:] != best[:-1]) | (text[1:] != text[:-1])
+    at = np.flatnonzero(new & inner)
+    end = np.minimum(np.append(np.flatnonzero(new), len(best))[np.searchsorted(np.flatnonzero(new), at, "right")], (first + size)[text[at]] - LENGTH + 1)
+    n = end - at
+    parts = -(-n // W)  # only texts that repeat a few bytes over and over have longer runs
+    if (parts > 1).any():
+        which = np.repeat(np.arange(len(at)), parts)
+        skip = (np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)) * W
+        at, n = at[which] + skip, np.minimum(W, n[which] - skip)
+    return text[at], at - first[text[at]], n, best[at]
+
+
+def _blocks(texts: list):
+    """Slices of about BLOCK bytes."""
+    i, held = 0, 0
+    for j, t in enumerate(texts):
+        held += len(t)
+        if held >= BLOCK:
+            yield i, j + 1
+            i, held = j + 1, 0
+    if i < len(texts):
+        yield i, len(texts)
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for i in range(0, len(texts), 512):
-                keys = [np.unique(anchors(np.frombuffer(as_bytes(t), np.uint8))[1]) for t in texts[i : i + 512]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64))], ["anchor"])
+            texts = [as_bytes(t) for t in b.column("text").to_pylist()]
+            for i, j in _blocks(texts):
+                text, _, _, anchor = window_runs(texts[i:j])
+                order = np.lexsort((anchor, text))
+                text, anchor = text[order], anchor[order]
+                once = np.ones(len(text), bool)
+                once[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[once].astype(np.int64))], ["anchor"])
 
     return docs.mapInArrow(run, "anchor long")
 
@@ -80,72 +116,134 @@ def _bitmap(spark: SparkSession, repeated: DataFrame) -> np.ndarray:
 
 
 def _segments(docs: DataFrame, shared) -> DataFrame:
-    names = ["anchor", "seg", "doc", "hash", "begin", "left", "bytes"]
+    names = ["anchor", "seg", "doc", "hash", "begin", "bytes"]
 
     def run(batches):
         bitmap = shared.value
         for b in batches:
-            ids, hashes, texts = (b.column(c).to_pylist() for c in ("doc_id", "hash", "text"))
-            for i in range(0, len(ids), 256):
-                cols = [[] for _ in range(6)]
-                cut = []
-                for d, hs, t in zip(ids[i : i + 256], hashes[i : i + 256], texts[i : i + 256]):
-                    text = as_bytes(t)
-                    at, h, prefix = anchors(np.frombuffer(text, np.uint8))
-                    bit = h.astype(np.int64) % BITS
-                    hit = (bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
-                    at, h = at[hit], h[hit]
-                    a, e = np.maximum(0, at - (W - 1)), np.minimum(len(text), at + LENGTH)
-                    seg = mix(range_hash(prefix, a, e) + (at - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                    n = len(at)
-                    for col, x in zip(cols, (h.astype(np.int64), seg.astype(np.int64), np.full(n, d), np.full(n, hs), a, at - a)):
-                        col.append(x)
-                    cut += [text[x:y] for x, y in zip(a.tolist(), e.tolist())]
-                if cut:
-                    yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c).astype(np.int64)) for c in cols), pa.array(cut, pa.binary())], names)
-
-    return docs.mapInArrow(run, "anchor long, seg long, doc long, hash long, begin long, left long, bytes binary")
+            ids, hashes = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "hash"))
+            texts = [as_bytes(t) for t in b.column("text").to_pylist()]
+            for i, j in _blocks(texts):
+                some = texts[i:j]
+                text, begin, n, h = window_runs(some)
+                bit = h.astype(np.int64) % BITS
+                hit = (bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+                text, begin, n, h = text[hit], begin[hit], n[hit], h[hit]
+                if not len(text):
+                    continue
+                first = np.cumsum([0] + [len(t) for t in some])
+                joined = b"".join(some)
+                a = first[text] + begin
+                e = a + n + LENGTH - 1
+                seg = mix(range_hash(prefix_hash(np.frombuffer(joined, np.uint8)), a, e) ^ mix(h))
+                cut = [joined[x:y] for x, y in zip(a.tolist(), e.tolist())]
+                cols = (h.astype(np.int64), seg.astype(np.int64), ids[i:j][text], hashes[i:j][text], begin)
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.array(cut, pa.binary())], names)
+
+    return docs.mapInArrow(run, "anchor long, seg long, doc long, hash long, begin long, bytes binary")
+
+
+def _dense(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the keys, and each key's rank among the different ones."""
+    order = np.argsort(key)
+    new = np.zeros(len(key), np.int64)
+    new[1:] = key[order[1:]] != key[order[:-1]]
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(new)
+    return order, rank
+
+
+class RunIndex:
+    """Run-length Burrows-Wheeler transform of segments, each closed by a mark below all letters, and samples at the ends of match runs."""
+
+    def __init__(self, lengths: np.ndarray, text: bytes, doc: np.ndarray):
+        n = int(lengths.sum()) + len(lengths)
+        close = np.cumsum(lengths + 1) - 1
+        letter = np.zeros(n, np.int64)
+        inside = np.ones(n, bool)
+        inside[close] = False
+        letter[inside] = np.frombuffer(text, np.uint8).astype(np.int64) + 1  # UTF-8 has no byte 255
+        owner = np.repeat(np.arange(len(lengths)), lengths + 1)
+        left = close[owner] - np.arange(n)  # letters up to the closing mark
+
+        def ahead(r, m):  # what stands m letters on, 0 beyond the segment
+            out = np.zeros(n, r.dtype)
+            out[:-m] = r[m:]
+            return np.where(left >= m, out, r.dtype.type(0))
+
+        # equal ranks agree on their next `known` letters; the first eight are one number
+        packed = letter.astype(np.uint64)
+        for m in (1, 2, 4):
+            packed = (packed << np.uint64(8 * m)) | ahead(packed, m)
+        rank, known, at32 = _dense(packed)[1] + 1, 8, None
+        while known <= int(lengths.max(initial=0)):
+            rank = _dense(rank * (n + 2) + ahead(rank, known))[1] + 1
+            known *= 2
+            if known == 32:
+                at32 = rank
+        order = np.argsort(rank * n + np.arange(n))  # equal segments' ends in segment order
+        self.lengths, self.doc = lengths, doc
+        bwt = letter[order - 1]
+        self.first = np.flatnonzero(np.concatenate(([True], bwt[1:] != bwt[:-1])))
+        run_letter, run_size = bwt[self.first], np.diff(np.append(self.first, n))
+        by = np.argsort(run_letter, kind="stable")
+        to = np.empty(len(by), np.int64)
+        to[by] = np.cumsum(run_size[by]) - run_size[by]
+        self.shift = to - self.first
+        # ranks in a row whose next LENGTH letters agree
+        whole = left[order] >= LENGTH
+        more = np.minimum(order + LENGTH - 32, n - 1)
+        same = np.zeros(n, bool)
+        if at32 is not None:
+            same[1:] = whole[1:] & whole[:-1] & (at32[order[1:]] == at32[order[:-1]]) & (at32[more[1:]] == at32[more[:-1]])
+        begins = np.flatnonzero(~same)
+        least = np.minimum.reduceat(doc[owner[order]], begins) if n else np.zeros(0, np.int64)
+        ends = np.append(begins[1:], n)
+        keep = ends - begins > 1
+        self.begins, self.ends, self.least = begins[keep], ends[keep], least[keep]
+
+    def stream(self) -> np.ndarray:
+        """Bit s of each segment: its window at s also stands in a segment of a smaller document."""
+        out = np.zeros(len(self.lengths), np.int64)
+        if not len(self.begins):
+            return out
+        live = np.arange(len(self.lengths))
+        rank = live.copy()  # the closing marks have the first ranks
+        for k in range(1, int(self.lengths.max()) + 1):
+            on = self.lengths[live] >= k
+            if not on.all():
+                live, rank = live[on], rank[on]
+            rank = rank + self.shift[np.searchsorted(self.first, rank, "right") - 1]
+            if k >= LENGTH:
+                at = np.maximum(np.searchsorted(self.begins, rank, "right") - 1, 0)
+                hit = (rank >= self.begins[at]) & (rank < self.ends[at]) & (self.least[at] < self.doc[live])
+                out[live[hit]] |= np.int64(1) << (self.lengths[live[hit]] - k)
+        return out
 
 
 def marks(lengths: np.ndarray, text: bytes, doc: np.ndarray) -> np.ndarray:
-    """Bit s of each segment: its window at s also stands in a segment of a smaller document."""
-    raw = np.frombuffer(text, np.uint8)
-    first = np.cumsum(lengths) - lengths
-    n = np.maximum(0, lengths - LENGTH + 1)
-    owner = np.repeat(np.arange(len(lengths)), n)
-    s = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    start = first[owner] + s
-    h = range_hash(prefix_hash(raw), start, start + LENGTH)
-    order = np.lexsort((doc[owner], h))
-    same = np.zeros(len(order), bool)
-    same[1:] = h[order][1:] == h[order][:-1]
-    k = np.flatnonzero(same)
-    for i in range(0, len(k), 100_000):  # byte by byte
-        j = k[i : i + 100_000]
-        x, y = start[order[j]], start[order[j - 1]]
-        same[j] = (raw[x[:, None] + np.arange(LENGTH)] == raw[y[:, None] + np.arange(LENGTH)]).all(1)
-    run = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))  # where the run of equal windows begins
-    least = doc[owner[order[run]]]
-    hit = order[least < doc[owner[order]]]
-    out = np.zeros(len(lengths), np.int64)
-    np.bitwise_or.at(out, owner[hit], np.int64(1) << s[hit])
-    return out
+    return RunIndex(lengths, text, doc).stream()
 
 
 def _marked(distinct: DataFrame) -> DataFrame:
     rows = distinct.repartition("anchor").sortWithinPartitions("anchor")
 
     def emit(cols):
-        anchor, seg, doc, n, cut = cols
-        m = marks(np.array([len(x) for x in cut], np.int64), b"".join(cut), np.array(doc, np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(seg, pa.int64()), pa.array(doc, pa.int64()), pa.array(n, pa.int64()), pa.array(m)], ["seg", "least", "n", "mask"])
+        anchor, doc = np.array(cols[0], np.int64), np.array(cols[2], np.int64)
+        new = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+        several = np.flatnonzero(~new | ~np.append(new[1:], True))  # an anchor's only segment shares windows with no other
+        m = np.zeros(len(doc), np.int64)
+        if len(several):
+            cut = [cols[4][i] for i in several]
+            m[several] = marks(np.array([len(x) for x in cut], np.int64), b"".join(cut), doc[several])
+        return pa.RecordBatch.from_arrays([pa.array(cols[1], pa.int64()), pa.array(doc), pa.array(cols[3], pa.int64()), pa.array(m)], ["seg", "least", "n", "mask"])
 
     def run(batches):
         held = [[], [], [], [], []]
         for b in batches:
-            for i in range(0, b.num_rows, 20_000):
+            for i in range(0, b.num_rows, INDEXED):
                 for h, c in zip(held, ("anchor", "seg", "least", "n", "bytes")):
-                    h += b.column(c).slice(i, 20_000).to_pylist()
+                    h += b.column(c).slice(i, INDEXED).to_pylist()
                 last = held[0][-1]
                 k = next((j for j in range(len(held[0]) - 1, -1, -1) if held[0][j] != last), -1) + 1  # whole anchors only
                 if k:
@@ -157,7 +255,17 @@ def _marked(distinct: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "seg long, least long, n long, mask long")
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def _marked_by_window(spark: SparkSession, distinct: DataFrame) -> DataFrame:
+    """What _marked returns, for anchors with very many segments: the smallest document of each window, aggregated."""
+    each = distinct.select("seg", "least", "n", F.explode(F.expr(f"sequence(0, octet_length(bytes) - {LENGTH})")).alias("s"), "bytes")
+    each = staged(spark, each.select("seg", "least", "n", "s", F.expr(f"substring(bytes, s + 1, {LENGTH})").alias("window")))
+    windows = staged(spark, each.groupBy("window").agg(F.min("least").alias("smallest"), F.count(F.lit(1)).alias("rows")))
+    met = lookup(each, windows, ["window"], "rows", max(1, each.count()))
+    bit = F.when(F.col("smallest") < F.col("least"), F.expr("shiftleft(1L, s)")).otherwise(F.lit(0))
+    return met.groupBy("seg", "least", "n").agg(F.bit_or(bit).alias("mask"))
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, large: int = LARGE) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A null text is empty. Rows that repeat an id do not count as smaller than each other; a null id loses
@@ -165,24 +273,31 @@ def remove_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
-    same = staged(spark, rows.where("doc_id IS NOT NULL").groupBy("hash", F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")))
     # a text with one row in HOT or more (at most HOT texts) is looked at once; other copies go the way of all documents
     total = rows.count()
-    hot = F.broadcast(same.where(F.col("n") * HOT >= total).where("n > 1").select("hash", "least"))
-    rows = rows.join(hot, "hash", "left").withColumn("whole", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))).drop("least")
+    same = rows.where("doc_id IS NOT NULL").groupBy("hash", F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(staged(spark, same.where(F.col("n") * HOT >= total).where("n > 1")).select("hash", "sha", "least"))
+    rows = rows.join(hot.drop("sha"), "hash", "left").withColumn("whole", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))).drop("least")
     base = rows.where("NOT whole AND doc_id IS NOT NULL")
     repeated = _anchor_rows(base.select("doc_id", "text")).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    shared = spark.sparkContext.broadcast(_bitmap(spark, staged(spark, repeated)))
+    shared = spark.sparkContext.broadcast(_bitmap(spark, repeated))
     segments = staged(spark, _segments(base.select("doc_id", "hash", "text"), shared))
-    distinct = segments.groupBy("seg").agg(
-        F.min("doc").alias("least"), F.count(F.lit(1)).alias("n"), F.first("anchor").alias("anchor"), F.first("bytes").alias("bytes")
-    )
-    marked = staged(spark, _marked(distinct))
+    distinct = segments.groupBy("anchor", "seg").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n"), F.first("bytes").alias("bytes"))
+    crowded = staged(spark, segments.select("anchor", "seg").distinct().groupBy("anchor").count().where(F.col("count") > large).select("anchor"))
+    many = crowded.count()
+    if many:
+        side = F.broadcast(crowded) if many <= 1_000_000 else crowded
+        marked = staged(spark, _marked(distinct.join(side, "anchor", "left_anti")).unionByName(_marked_by_window(spark, distinct.join(side, "anchor", "left_semi"))))
+    else:
+        marked = staged(spark, _marked(distinct))
     places = segments.select("seg", "doc", "hash", "begin", F.octet_length("bytes").alias("size"))
     found = lookup(places, marked.where("n > 1 OR mask <> 0"), ["seg"], "n", max(1, segments.count()))
-    every = F.expr(f"shiftleft(1L, greatest(size - {LENGTH - 1}, 0)) - 1")
+    every = F.expr(f"shiftleft(1L, size - {LENGTH - 1}) - 1")
     found = found.select("doc", "hash", "begin", F.when(F.col("doc") > F.col("least"), every).otherwise(F.col("mask")).alias("mask")).where("mask <> 0")
-    per = found.groupBy(F.col("doc").alias("doc_id"), "hash").agg(F.collect_list(F.struct("begin", "mask")).alias("marks"))
+    per = staged(spark, found.groupBy(F.col("doc").alias("doc_id"), "hash").agg(F.collect_list(F.struct("begin", "mask")).alias("marks")))
+    for done in (segments, marked):  # nothing reads these again
+        for path in done.inputFiles():
+            _remove(spark, path)
     out = rows.join(per, ["doc_id", "hash"], "left").select("doc_id", "text", "marks", "whole")
 
     def run(batches):

@@ -155,9 +155,10 @@ def test_prob_min_hash_estimates_probability_jaccard():
     assert abs((held[0] == held[1]).mean() - exact_) < 0.03
 
 
-def test_repeats(spark, docs):
+@pytest.mark.parametrize("large", [repeats.LARGE, 1])
+def test_repeats(spark, docs, large):
     d = docs.where("doc_id IS NOT NULL").select("doc_id", "text").dropDuplicates()
-    got = {r["doc_id"]: r for r in repeats.remove_repeats(spark, d).collect()}
+    got = {r["doc_id"]: r for r in repeats.remove_repeats(spark, d, large).collect()}
     seen = {}
     for i, text in sorted((r[0], (r[1] or "").encode()) for r in d.collect()):
         cut = bytearray(len(text))
@@ -172,6 +173,20 @@ def test_repeats(spark, docs):
     assert got[2]["n_removed"] == got[2]["n_bytes"]
 
 
+def test_run_index():
+    rng = np.random.default_rng(5)
+    base = bytes(rng.integers(97, 100, 400, dtype=np.uint8))
+    cut = [(base if i % 3 else b"ab" * 200)[a : a + int(rng.integers(50, 81))] for i, a in enumerate(rng.integers(0, 300, 300))]
+    doc = rng.integers(0, 40, len(cut))
+    least = {}
+    for c, d in zip(cut, doc):
+        for j in range(len(c) - 49):
+            least[c[j : j + 50]] = min(least.get(c[j : j + 50], d), d)
+    want = [sum((least[c[j : j + 50]] < d) << j for j in range(len(c) - 49)) for c, d in zip(cut, doc)]
+    got = repeats.marks(np.array([len(c) for c in cut]), b"".join(cut), doc)
+    assert got.tolist() == want and any(want)
+
+
 def test_lm_base_score(spark, docs, monkeypatch):
     monkeypatch.setattr(lm, "FREQUENT", 50)  # so that some words go through the join
     got = {r["doc_id"]: r for r in lm.score_documents(spark, docs).collect()}
