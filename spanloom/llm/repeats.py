@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 
 from spanloom.llm.common import HOT, _powers, _remove, as_bytes, lookup, mix, prefix_hash, range_hash, staged, table
 
-LENGTH, K, BITS, WORDS = 50, 20, 1 << 27, 1 << 11
+LENGTH, K, BITS = 50, 20, 1 << 27
+#: Bits of one value of Spark's bitmap functions.
+SLICE = 1 << 15
 W = LENGTH - K + 1
 #: Segments of one index, and different segments of an anchor that one task takes.
 INDEXED, LARGE = 8_192, 50_000
@@ -87,7 +89,7 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
             texts = [as_bytes(t) for t in b.column("text").to_pylist()]
             for i, j in _blocks(texts):
                 text, _, _, anchor = window_runs(texts[i:j])
-                order = np.lexsort((anchor, text))
+                order = np.argsort(anchor, kind="stable")
                 text, anchor = text[order], anchor[order]
                 once = np.ones(len(text), bool)
                 once[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
@@ -96,38 +98,31 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "anchor long")
 
 
-def _bitmap(spark: SparkSession, repeated: DataFrame) -> np.ndarray:
-    """BITS bits, set at the hash of each repeating anchor; built by slices and sent as WORDS slices of fixed size."""
-    bit = F.pmod("anchor", F.lit(BITS))
-    per = BITS // WORDS
-
-    def run(pdf):
-        bits = np.zeros(per, bool)
-        bits[pdf["at"].to_numpy() % per] = True
-        import pandas as pd
-
-        return pd.DataFrame({"slice": [int(pdf["slice"].iloc[0])], "bits": [np.packbits(bits).tobytes()]})
-
-    rows = repeated.select(bit.alias("at")).distinct().withColumn("slice", F.floor(F.col("at") / per))
+def _bitmap(spark: SparkSession, found: DataFrame) -> np.ndarray:
+    """BITS bits, set at the hash of each anchor found; Spark builds them by slices of SLICE bits, so their size is fixed."""
+    at = F.pmod("anchor", F.lit(BITS)) + 1
+    slices = found.groupBy(F.bitmap_bucket_number(at).alias("slice")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
     out = np.zeros(BITS // 8, np.uint8)
-    for r in rows.groupBy("slice").applyInPandas(run, "slice long, bits binary").collect():  # WORDS rows at most
-        out[r[0] * per // 8 : (r[0] + 1) * per // 8] = np.frombuffer(r[1], np.uint8)
+    for r in staged(spark, slices).collect():  # BITS / SLICE rows at most
+        out[(r[0] - 1) * SLICE // 8 : r[0] * SLICE // 8] = np.frombuffer(r[1], np.uint8)
     return out
 
 
-def _segments(docs: DataFrame, shared) -> DataFrame:
-    names = ["anchor", "seg", "doc", "hash", "begin", "bytes"]
+def _segments(docs: DataFrame, shared, bytes_too: bool) -> DataFrame:
+    """Segments whose anchor's bit is set: each place of each, or (bytes_too) each once in a block of documents, with its bytes."""
+    names = ["anchor", "seg", "doc", *(["bytes"] if bytes_too else ["hash", "begin", "size"])]
 
     def run(batches):
         bitmap = shared.value
         for b in batches:
-            ids, hashes = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "hash"))
+            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+            hashes = None if bytes_too else b.column("hash").to_numpy(zero_copy_only=False)
             texts = [as_bytes(t) for t in b.column("text").to_pylist()]
             for i, j in _blocks(texts):
                 some = texts[i:j]
                 text, begin, n, h = window_runs(some)
                 bit = h.astype(np.int64) % BITS
-                hit = (bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+                hit = (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
                 text, begin, n, h = text[hit], begin[hit], n[hit], h[hit]
                 if not len(text):
                     continue
@@ -136,11 +131,17 @@ def _segments(docs: DataFrame, shared) -> DataFrame:
                 a = first[text] + begin
                 e = a + n + LENGTH - 1
                 seg = mix(range_hash(prefix_hash(np.frombuffer(joined, np.uint8)), a, e) ^ mix(h))
-                cut = [joined[x:y] for x, y in zip(a.tolist(), e.tolist())]
-                cols = (h.astype(np.int64), seg.astype(np.int64), ids[i:j][text], hashes[i:j][text], begin)
-                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), pa.array(cut, pa.binary())], names)
+                doc = ids[i:j][text]
+                if bytes_too:
+                    order = np.lexsort((doc, seg))
+                    order = order[np.concatenate(([True], seg[order][1:] != seg[order][:-1]))]
+                    cut = [joined[x:y] for x, y in zip(a[order].tolist(), e[order].tolist())]
+                    cols = [*(pa.array(c[order]) for c in (h.astype(np.int64), seg.astype(np.int64), doc)), pa.array(cut, pa.binary())]
+                else:
+                    cols = [pa.array(c) for c in (h.astype(np.int64), seg.astype(np.int64), doc, hashes[i:j][text], begin, n + LENGTH - 1)]
+                yield pa.RecordBatch.from_arrays(cols, names)
 
-    return docs.mapInArrow(run, "anchor long, seg long, doc long, hash long, begin long, bytes binary")
+    return docs.mapInArrow(run, "anchor long, seg long, doc long, " + ("bytes binary" if bytes_too else "hash long, begin long, size long"))
 
 
 def _dense(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -226,23 +227,20 @@ def marks(lengths: np.ndarray, text: bytes, doc: np.ndarray) -> np.ndarray:
 
 
 def _marked(distinct: DataFrame) -> DataFrame:
+    """anchor, seg, mask of the segments with a marked window."""
     rows = distinct.repartition("anchor").sortWithinPartitions("anchor")
 
     def emit(cols):
-        anchor, doc = np.array(cols[0], np.int64), np.array(cols[2], np.int64)
-        new = np.concatenate(([True], anchor[1:] != anchor[:-1]))
-        several = np.flatnonzero(~new | ~np.append(new[1:], True))  # an anchor's only segment shares windows with no other
-        m = np.zeros(len(doc), np.int64)
-        if len(several):
-            cut = [cols[4][i] for i in several]
-            m[several] = marks(np.array([len(x) for x in cut], np.int64), b"".join(cut), doc[several])
-        return pa.RecordBatch.from_arrays([pa.array(cols[1], pa.int64()), pa.array(doc), pa.array(cols[3], pa.int64()), pa.array(m)], ["seg", "least", "n", "mask"])
+        anchor, seg, doc = (np.array(c, np.int64) for c in cols[:3])
+        m = marks(np.array([len(x) for x in cols[3]], np.int64), b"".join(cols[3]), doc)
+        hit = m != 0
+        return pa.RecordBatch.from_arrays([pa.array(x[hit]) for x in (anchor, seg, m)], ["anchor", "seg", "mask"])
 
     def run(batches):
-        held = [[], [], [], [], []]
+        held = [[], [], [], []]
         for b in batches:
             for i in range(0, b.num_rows, INDEXED):
-                for h, c in zip(held, ("anchor", "seg", "least", "n", "bytes")):
+                for h, c in zip(held, ("anchor", "seg", "least", "bytes")):
                     h += b.column(c).slice(i, INDEXED).to_pylist()
                 last = held[0][-1]
                 k = next((j for j in range(len(held[0]) - 1, -1, -1) if held[0][j] != last), -1) + 1  # whole anchors only
@@ -252,17 +250,16 @@ def _marked(distinct: DataFrame) -> DataFrame:
         if held[0]:
             yield emit(held)
 
-    return rows.mapInArrow(run, "seg long, least long, n long, mask long")
+    return rows.mapInArrow(run, "anchor long, seg long, mask long")
 
 
 def _marked_by_window(spark: SparkSession, distinct: DataFrame) -> DataFrame:
     """What _marked returns, for anchors with very many segments: the smallest document of each window, aggregated."""
-    each = distinct.select("seg", "least", "n", F.explode(F.expr(f"sequence(0, octet_length(bytes) - {LENGTH})")).alias("s"), "bytes")
-    each = staged(spark, each.select("seg", "least", "n", "s", F.expr(f"substring(bytes, s + 1, {LENGTH})").alias("window")))
+    each = distinct.select("anchor", "seg", "least", F.explode(F.expr(f"sequence(0, octet_length(bytes) - {LENGTH})")).alias("s"), "bytes")
+    each = staged(spark, each.select("anchor", "seg", "least", "s", F.expr(f"substring(bytes, s + 1, {LENGTH})").alias("window")))
     windows = staged(spark, each.groupBy("window").agg(F.min("least").alias("smallest"), F.count(F.lit(1)).alias("rows")))
     met = lookup(each, windows, ["window"], "rows", max(1, each.count()))
-    bit = F.when(F.col("smallest") < F.col("least"), F.expr("shiftleft(1L, s)")).otherwise(F.lit(0))
-    return met.groupBy("seg", "least", "n").agg(F.bit_or(bit).alias("mask"))
+    return met.where("smallest < least").groupBy("anchor", "seg").agg(F.bit_or(F.expr("shiftleft(1L, s)")).alias("mask"))
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, large: int = LARGE) -> DataFrame:
@@ -279,23 +276,28 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, large: int = LARGE) ->
     hot = F.broadcast(staged(spark, same.where(F.col("n") * HOT >= total).where("n > 1")).select("hash", "sha", "least"))
     rows = rows.join(hot.drop("sha"), "hash", "left").withColumn("whole", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))).drop("least")
     base = rows.where("NOT whole AND doc_id IS NOT NULL")
-    repeated = _anchor_rows(base.select("doc_id", "text")).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    shared = spark.sparkContext.broadcast(_bitmap(spark, repeated))
-    segments = staged(spark, _segments(base.select("doc_id", "hash", "text"), shared))
-    distinct = segments.groupBy("anchor", "seg").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n"), F.first("bytes").alias("bytes"))
-    crowded = staged(spark, segments.select("anchor", "seg").distinct().groupBy("anchor").count().where(F.col("count") > large).select("anchor"))
+    texts = base.select("doc_id", "hash", "text")
+    repeated = _anchor_rows(texts).groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    places = staged(spark, _segments(texts, spark.sparkContext.broadcast(_bitmap(spark, repeated)), False))
+    groups = staged(spark, places.groupBy("anchor", "seg").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("n")))
+    # only anchors with several different segments need an index, and only their bytes are fetched
+    several = staged(spark, groups.groupBy("anchor").count().where("count > 1"))
+    cut = _segments(texts, spark.sparkContext.broadcast(_bitmap(spark, several.select("anchor"))), True)
+    distinct = cut.groupBy("anchor", "seg").agg(F.min("doc").alias("least"), F.first("bytes").alias("bytes"))
+    crowded = several.where(F.col("count") > large).select("anchor")
     many = crowded.count()
     if many:
         side = F.broadcast(crowded) if many <= 1_000_000 else crowded
-        marked = staged(spark, _marked(distinct.join(side, "anchor", "left_anti")).unionByName(_marked_by_window(spark, distinct.join(side, "anchor", "left_semi"))))
+        masks = staged(spark, _marked(distinct.join(side, "anchor", "left_anti")))
+        masks = masks.unionByName(staged(spark, _marked_by_window(spark, distinct.join(side, "anchor", "left_semi"))))
     else:
-        marked = staged(spark, _marked(distinct))
-    places = segments.select("seg", "doc", "hash", "begin", F.octet_length("bytes").alias("size"))
-    found = lookup(places, marked.where("n > 1 OR mask <> 0"), ["seg"], "n", max(1, segments.count()))
-    every = F.expr(f"shiftleft(1L, size - {LENGTH - 1}) - 1")
+        masks = staged(spark, _marked(distinct))
+    marked = staged(spark, groups.join(masks, ["anchor", "seg"], "left").withColumn("mask", F.coalesce("mask", F.lit(0))).where("n > 1 OR mask <> 0"))
+    found = lookup(places, marked, ["anchor", "seg"], "n", max(1, places.count()))
+    every = F.expr(f"shiftleft(1L, CAST(size - {LENGTH - 1} AS INT)) - 1")
     found = found.select("doc", "hash", "begin", F.when(F.col("doc") > F.col("least"), every).otherwise(F.col("mask")).alias("mask")).where("mask <> 0")
     per = staged(spark, found.groupBy(F.col("doc").alias("doc_id"), "hash").agg(F.collect_list(F.struct("begin", "mask")).alias("marks")))
-    for done in (segments, marked):  # nothing reads these again
+    for done in (places, groups, marked):  # nothing reads these again
         for path in done.inputFiles():
             _remove(spark, path)
     out = rows.join(per, ["doc_id", "hash"], "left").select("doc_id", "text", "marks", "whole")
