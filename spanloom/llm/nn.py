@@ -58,7 +58,9 @@ def matmul(x, y):
         db = a.reshape(-1, a.shape[-1]).T @ g.reshape(-1, g.shape[-1]) if b.ndim == 2 else np.swapaxes(a, -1, -2) @ g
         return g @ np.swapaxes(b, -1, -2), db
 
-    return _op(a @ b, back, x, y)
+    # one product of matrices, not one for each leading index
+    out = (a.reshape(-1, a.shape[-1]) @ b).reshape(*a.shape[:-1], b.shape[-1]) if a.ndim > 2 and b.ndim == 2 else a @ b
+    return _op(out, back, x, y)
 
 
 def tanh(x):
