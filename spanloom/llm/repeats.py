@@ -26,6 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -305,21 +306,27 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, large: int = LARGE) ->
     def run(batches):
         for b in batches:
             cols = [[], [], [], []]
-            begins = b.column("marks").to_pylist()
-            for t, m, whole in zip(b.column("text").to_pylist(), begins, b.column("whole").to_pylist()):
-                raw = np.frombuffer(as_bytes(t), np.uint8)
-                gone = np.zeros(len(raw) + 1, np.int64)
-                if whole and len(raw) >= LENGTH:
-                    gone[:-1] = 1
-                elif m:
-                    at, bits = np.array([x["begin"] for x in m]), np.array([x["mask"] for x in m])
-                    which, s = np.nonzero((bits[:, None] >> np.arange(W)) & 1)
-                    np.add.at(gone, at[which] + s, 1)
-                    np.add.at(gone, np.minimum(at[which] + s + LENGTH, len(raw)), -1)
-                    gone = np.cumsum(gone)
-                cut = gone[: len(raw)] > 0
-                for c, x in zip(cols, (len(raw), int(cut.sum()), int((np.diff(cut.astype(np.int8), prepend=0) == 1).sum()), hashlib.sha256(raw[~cut].tobytes()).hexdigest())):
-                    c.append(x)
+            marks_of = b.column("marks")
+            held = marks_of.flatten()  # without the lists of null rows
+            begin, mask = (held.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            size = pc.fill_null(pc.list_value_length(marks_of), 0).to_numpy(zero_copy_only=False)
+            end = np.cumsum(size)
+            for t, x, y, whole in zip(b.column("text").to_pylist(), (end - size).tolist(), end.tolist(), b.column("whole").to_pylist()):
+                text = as_bytes(t)
+                if whole and len(text) >= LENGTH:
+                    cuts = (len(text), len(text), 1, hashlib.sha256(b"").hexdigest())
+                elif y > x and not whole:
+                    raw = np.frombuffer(text, np.uint8)
+                    which, s = np.nonzero((mask[x:y, None] >> np.arange(W)) & 1)
+                    at = begin[x:y][which] + s
+                    gone = np.bincount(at, minlength=len(raw) + 1) - np.bincount(np.minimum(at + LENGTH, len(raw)), minlength=len(raw) + 1)
+                    cut = np.cumsum(gone)[: len(raw)] > 0
+                    spans = np.count_nonzero(cut[1:] & ~cut[:-1]) + int(cut[0])
+                    cuts = (len(raw), int(cut.sum()), int(spans), hashlib.sha256(raw[~cut].tobytes()).hexdigest())
+                else:
+                    cuts = (len(text), 0, 0, hashlib.sha256(text).hexdigest())
+                for c, v in zip(cols, cuts):
+                    c.append(v)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return out.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
