@@ -89,3 +89,14 @@ def parse_ids(s: Column) -> Column:
 
 def trim_candidates(a: Column) -> Column:
     return F.when(F.size(a) >= 4, F.array(F.element_at(a, 1), F.element_at(a, -1))).otherwise(a)
+
+
+def citation(label: Column, authors: Column, title: Column, source: Column, year: Column, volume: Column) -> Column:
+    """The parts that are there, closed by full stops, and ';volume' after the year."""
+    dated = F.when(volume.isNotNull() & (volume != ""), F.concat(F.coalesce(year, F.lit("")), F.lit(";"), volume)).otherwise(year)
+    return F.concat_ws(" ", *[F.when(c != "", F.concat(c, F.lit("."))) for c in (label, authors, title, source, dated)])
+
+
+def identifier_type(kingdom: Column, rank: Column, modifier: Column) -> Column:
+    """kingdom_rank, the modifier in place of the rank where there is one."""
+    return F.concat_ws("_", kingdom, F.coalesce(modifier, rank, F.lit("no rank")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.functions.text import clean_token
+from spanloom.functions.text import clean_token, latin_singular
 
 
 def tokens(docs: DataFrame, offset: str | None = None) -> DataFrame:
@@ -95,3 +95,36 @@ def normalise_exact(mentions: DataFrame, lexicon: DataFrame) -> DataFrame:
     """Case-insensitive lookup; the first row of a name wins; no match: null."""
     keys = lexicon.groupBy(F.lower("name").alias("key")).agg(F.min_by("tax_id", "ord").alias("tax_id"))
     return mentions.join(keys, F.lower("mention") == F.col("key"), "left").drop("key")
+
+
+#: Words after a genus that name its species in general, or the genus itself.
+SPECIES_WORDS = ["sp", "spp", "sp.", "spp."]
+GENUS_WORDS = ["genus", "gen", "gen."]
+
+
+def rule_matches(toks: DataFrame, unigrams: DataFrame, bigrams: DataFrame) -> DataFrame:
+    """The word rules in their order, one match at most for each token: doc_id, pos, start, name, tax_id, rule.
+
+    A word of the lexicon: the pair with the next word; the pair with the next word in the singular; a species
+    or genus word after it; the word alone. A word that only begins some pair's name: that pair or nothing. Any other: its
+    singular. Every join is by equality with one row per name, so no row multiplies.
+    """
+    word, after = F.lower(clean_token(F.col("w"))), F.lower(clean_token(F.col("next")))
+    t = toks.withColumn("one", word).where("length(one) >= 1").withColumn("two", F.concat(F.col("one"), F.lit(" "), after))
+    t = t.withColumn("two_singular", F.concat(F.col("one"), F.lit(" "), F.nullif(latin_singular(after), F.lit(""))))
+    t = t.withColumn("one_singular", F.nullif(latin_singular(F.col("one")), F.lit("")))
+    uni, bi = first_by_name(unigrams).select("name", "tax_id"), first_by_name(bigrams).select("name", "tax_id")
+    begins = bi.select(F.split("name", " ")[0].alias("one")).distinct().withColumn("begins", F.lit(True))
+    for key, lex in (("one", uni), ("two", bi), ("two_singular", bi), ("one_singular", uni)):
+        t = t.join(lex.select(F.col("name").alias(key), F.col("tax_id").alias(f"id_{key}")), key, "left")
+    t = t.join(begins, "one", "left")
+    known, pair, pair_s, single = (F.col(f"id_{k}").isNotNull() for k in ("one", "two", "two_singular", "one_singular"))
+    low = F.lower("next")
+    rule = (
+        F.when(known & pair, "pair").when(known & pair_s, "pair in the singular")
+        .when(known & low.isin(SPECIES_WORDS), "species word").when(known & low.isin(GENUS_WORDS), "genus word").when(known, "word")
+        .when(F.col("begins") & F.col("next").isNotNull(), F.when(pair, "pair of an unlisted word")).when(single, "word in the singular")
+    )
+    by = lambda a, b, c, d: F.when(F.col("rule").startswith("pair in"), F.col(c)).when(F.col("rule").startswith("pair"), F.col(b)).when(F.col("rule") == "word in the singular", F.col(d)).otherwise(F.col(a))
+    out = t.withColumn("rule", rule).where("rule IS NOT NULL")
+    return out.select("doc_id", "pos", "start", by("one", "two", "two_singular", "one_singular").alias("name"), by("id_one", "id_two", "id_two_singular", "id_one_singular").alias("tax_id"), "rule")

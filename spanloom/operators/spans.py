@@ -45,3 +45,28 @@ def repair(spans: DataFrame) -> DataFrame:
     lead = F.lower("s").startswith("genus ")
     out = out.withColumn("start", F.when(lead, F.col("start") + 6).otherwise(F.col("start"))).withColumn("length", F.when(lead, F.col("length") - 6).otherwise(F.col("length")))
     return out.withColumn("text", cut).drop("s", "passage").where("length > 0")
+
+
+def decode_labels(pieces: DataFrame) -> DataFrame:
+    """doc_id, pos, piece, label (1 begins, 0 ends) -> doc_id, first, stop (exclusive) of each entity.
+
+    An end closes the last begin since the end before it; a begin without an end is lost. Either side grows over the
+    '##' pieces of its word.
+    """
+    by = Window.partitionBy("doc_id").orderBy("pos")
+    before, after = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
+    whole = F.when(~F.col("piece").startswith("##"), F.col("pos"))
+    at = pieces.withColumn("word", F.coalesce(F.last(whole, ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0)), F.min("pos").over(Window.partitionBy("doc_id"))))
+    at = at.withColumn("next_word", F.coalesce(F.first(whole, ignorenulls=True).over(after), F.max("pos").over(Window.partitionBy("doc_id")) + 1))
+    begun = F.last(F.when(F.col("label") == 1, F.struct("pos", "word")), ignorenulls=True).over(before)
+    ended = F.last(F.when(F.col("label") == 0, F.col("pos")), ignorenulls=True).over(before)
+    at = at.withColumn("begun", begun).withColumn("ended", ended)
+    fired = at.where((F.col("label") == 0) & F.col("begun").isNotNull() & (F.col("ended").isNull() | (F.col("begun.pos") > F.col("ended"))))
+    return fired.select("doc_id", F.col("begun.word").alias("first"), F.when(F.col("piece").startswith("##"), F.col("next_word")).otherwise(F.col("pos")).alias("stop"))
+
+
+def piece_windows(pieces: DataFrame, size: int = 512, stride: int = 50) -> DataFrame:
+    """doc_id, n -> doc_id, first, stop: windows of ``size`` pieces, each sharing ``stride`` with the one before."""
+    step = size - stride
+    last = F.greatest(F.lit(0), F.ceil((F.col("n") - size) / step)).cast("long")
+    return pieces.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("k")).select("doc_id", (F.col("k") * step).alias("first"), F.least(F.col("n"), F.col("k") * step + size).alias("stop"))

@@ -40,3 +40,35 @@ def storey(df: DataFrame, by: list[str], p: str = "p_value", at: float = 0.85) -
     over = F.avg((F.col(p) >= at).cast("double")).over(Window.partitionBy(*by)) / (1 - at)
     with_pi0 = df.withColumn("pi0", F.least(F.lit(1.0), over))
     return benjamini_hochberg(with_pi0, by, p, F.col("pi0"))
+
+
+def weighted_sample(df: DataFrame, key: str, weight: str, k: int, seed: int) -> DataFrame:
+    """k rows without replacement, each draw by weight: the k least exponential arrivals; reruns agree."""
+    arrival = -F.log(1 - uniform(F.lit(seed), F.col(key))) / F.col(weight)
+    return df.where(F.col(weight) > 0).withColumn("arrival", arrival).orderBy("arrival", key).limit(k)
+
+
+def resampled_p_values(front: DataFrame, back: DataFrame, samples: int = 1000, block: int = 50, seed: int = 7) -> DataFrame:
+    """rank, tax_id, p_value: share of ``samples`` draws from the background that reach the front's count.
+
+    Each draw deals the rank's front total among its front taxa by their background shares (evenly where all are zero).
+    Blocks of draws are tasks of their own; a task holds the taxa of one rank.
+    """
+    import numpy as np
+    import pandas as pd
+
+    e = enrichment(front, back).select("rank", "tax_id", "front_count", "background_fraction")
+    blocks = e.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(-(-samples // block) - 1))))
+
+    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("tax_id")
+        at = int(pdf["block"].iloc[0])
+        name = int.from_bytes(str(pdf["rank"].iloc[0]).encode(), "little") % (1 << 63)
+        w = pdf["background_fraction"].to_numpy(float)
+        w = w / w.sum() if w.sum() > 0 else np.full(len(w), 1 / len(w))
+        seen = pdf["front_count"].to_numpy()
+        drawn = np.random.default_rng([seed, at, name]).multinomial(int(np.ceil(seen.sum())), w, min(block, samples - at * block))
+        return pd.DataFrame({"rank": pdf["rank"], "tax_id": pdf["tax_id"], "reached": (drawn >= seen).sum(0)})
+
+    reached = blocks.groupBy("rank", "block").applyInPandas(draw, "rank string, tax_id string, reached long")
+    return reached.groupBy("rank", "tax_id").agg(((F.sum("reached") + 1) / F.lit(samples + 1.0)).alias("p_value"))

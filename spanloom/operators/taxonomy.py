@@ -57,3 +57,21 @@ def quartile_class(df: DataFrame, value: str) -> DataFrame:
     cuts = {r["at"]: r[value] for r in df.withColumn("at", order).where(F.col("at").isin(*at)).collect()} if n else {}
     q = [cuts[int(n * x)] for x in (0.25, 0.5, 0.75)] if n else [0, 0, 0]
     return df.withColumn("quartile", F.when(F.col(value) <= q[0], 1).when(F.col(value) <= q[1], 2).when(F.col(value) <= q[2], 3).otherwise(4))
+
+
+def relevant(nodes: DataFrame, edges: DataFrame, counts: DataFrame, depth: int = 30) -> DataFrame:
+    """Taxa with a count, and their ancestors."""
+    return nodes.join(ancestors(edges, counts.where("n > 0").select("tax_id"), depth).select(F.col("ancestor").alias("tax_id")).distinct(), "tax_id", "left_semi")
+
+
+def edge_classes(edges: DataFrame, classed: DataFrame) -> DataFrame:
+    """child, parent, class of the child; no class: 0."""
+    return edges.join(classed.select(F.col("tax_id").alias("child"), F.col("quartile").alias("class")), "child", "left").select("child", "parent", F.coalesce("class", F.lit(0)).alias("class"))
+
+
+def angle_groups(labels: DataFrame, gap: float = 0.4) -> DataFrame:
+    """Labels by angle; a new group wherever the next is ``gap`` or more away, and the place within the group."""
+    by = Window.orderBy("angle", "tax_id")  # the labels of one figure
+    new = F.when(F.col("angle") - F.lag("angle").over(by) < gap, 0).otherwise(1)
+    grouped = labels.withColumn("new", new).withColumn("grp", F.sum("new").over(by)).drop("new")
+    return grouped.withColumn("place", F.row_number().over(Window.partitionBy("grp").orderBy("angle", "tax_id")))

@@ -366,3 +366,123 @@ def carry_forward_title(spark, sf):
 @query("SELECT conv_id, min(turn) AS turn, text FROM conversations GROUP BY conv_id, text")
 def dedup_passages(spark, sf):
     return t(spark, sf, "conversations").groupBy("conv_id", "text").agg(F.min("turn").alias("turn"))
+
+
+# ------------------------------------------------------------------ titles, references, word rules
+@query("""WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN p_size || '.1. ' || p_name WHEN p_partkey % 3 = 1 THEN p_name ELSE p_size || ' ' || p_name END AS t FROM part)
+SELECT p_partkey, CASE WHEN regexp_matches(t, '^\\s*[0-9.,]*[0-9][0-9.,]*[.]\\s+\\S') THEN trim(regexp_replace(regexp_replace(t, '^\\s*[0-9.,]*[0-9][0-9.,]*[.]\\s+', ''), '\\s+', ' ', 'g')) ELSE t END AS title FROM s""")
+def section_numbers(spark, sf):
+    size, name, k = F.col("p_size").cast("string"), F.col("p_name"), F.col("p_partkey") % 3
+    shown = F.when(k == 0, F.concat(size, F.lit(".1. "), name)).when(k == 1, name).otherwise(F.concat_ws(" ", size, name))
+    return t(spark, sf, "part").select("p_partkey", tx.strip_section_number(shown).alias("title"))
+
+
+@query("""SELECT p_partkey, concat_ws(' ', p_brand || '.', p_name || '.', p_type || '.', CASE WHEN p_size % 2 = 0 THEN '2020;' || p_size ELSE '2020' END || '.') AS citation,
+ concat_ws('_', p_type, coalesce(CASE WHEN p_size % 2 = 0 THEN 'species' END, p_brand)) AS kind FROM part""")
+def citations(spark, sf):
+    even = F.col("p_size") % 2 == 0
+    volume = F.when(even, F.col("p_size").cast("string"))
+    return t(spark, sf, "part").select(
+        "p_partkey", tx.citation(F.lit(""), F.col("p_brand"), F.col("p_name"), F.col("p_type"), F.lit("2020"), volume).alias("citation"),
+        tx.identifier_type(F.col("p_type"), F.col("p_brand"), F.when(even, F.lit("species"))).alias("kind"),
+    )
+
+
+def _singular(w: str) -> str:
+    return f"nullif(CASE WHEN {w} LIKE '%ae' THEN regexp_replace({w}, 'ae$', 'a') WHEN {w} LIKE '%i' THEN regexp_replace({w}, 'i$', 'us') WHEN {w} LIKE '%a' THEN regexp_replace({w}, 'a$', 'um') ELSE '' END, '')"
+
+
+@query(f"""WITH {_TOK}, {_LEX}, {_BIG}, a AS (SELECT doc_id, pos, start, next, lower({_clean('w')}) AS one, lower({_clean('next')}) AS nx FROM tok),
+b AS (SELECT *, one || ' ' || nx AS two, one || ' ' || {_singular('nx')} AS two_s, {_singular('one')} AS one_s FROM a WHERE length(one) >= 1),
+g AS (SELECT DISTINCT string_split(name, ' ')[1] AS one FROM big),
+m AS (SELECT b.*, l1.tax_id AS i1, b1.tax_id AS i2, b2.tax_id AS i3, l2.tax_id AS i4, g.one IS NOT NULL AS begins FROM b LEFT JOIN lex l1 ON l1.name = b.one LEFT JOIN big b1 ON b1.name = two LEFT JOIN big b2 ON b2.name = two_s LEFT JOIN lex l2 ON l2.name = one_s LEFT JOIN g ON g.one = b.one),
+r AS (SELECT *, CASE WHEN i1 IS NOT NULL THEN CASE WHEN i2 IS NOT NULL THEN 'pair' WHEN i3 IS NOT NULL THEN 'pair in the singular' WHEN lower(next) IN ('sp', 'spp', 'sp.', 'spp.') THEN 'species word' WHEN lower(next) IN ('genus', 'gen', 'gen.') THEN 'genus word' ELSE 'word' END
+ WHEN begins AND next IS NOT NULL THEN CASE WHEN i2 IS NOT NULL THEN 'pair of an unlisted word' END WHEN i4 IS NOT NULL THEN 'word in the singular' END AS rule FROM m)
+SELECT doc_id, pos::INT AS pos, start, CASE WHEN rule = 'pair in the singular' THEN two_s WHEN rule LIKE 'pair%' THEN two WHEN rule = 'word in the singular' THEN one_s ELSE one END AS name,
+ CASE WHEN rule = 'pair in the singular' THEN i3 WHEN rule LIKE 'pair%' THEN i2 WHEN rule = 'word in the singular' THEN i4 ELSE i1 END AS tax_id, rule FROM r WHERE rule IS NOT NULL""")
+def rule_matches(spark, sf):
+    b = t(spark, sf, "benchmark")
+    return annotate.rule_matches(annotate.tokens(t(spark, sf, "documents")), annotate.unigram_lexicon(b), annotate.bigram_lexicon(b))
+
+
+# ------------------------------------------------------------------ model spans
+@query("""WITH p AS (SELECT l_orderkey AS d, l_linenumber AS pos, l_suppkey % 4 = 0 AS cont, l_partkey % 3 AS label FROM (SELECT l_orderkey, l_linenumber, max(l_suppkey) AS l_suppkey, max(l_partkey) AS l_partkey FROM lineitem GROUP BY 1, 2)),
+w AS (SELECT *, max(CASE WHEN NOT cont THEN pos END) OVER (PARTITION BY d ORDER BY pos) AS w0, min(pos) OVER (PARTITION BY d) AS lo, max(pos) OVER (PARTITION BY d) AS hi,
+ min(CASE WHEN NOT cont THEN pos END) OVER (PARTITION BY d ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nw,
+ max(CASE WHEN label = 1 THEN pos END) OVER (PARTITION BY d ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b,
+ max(CASE WHEN label = 0 THEN pos END) OVER (PARTITION BY d ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM p)
+SELECT w.d AS doc_id, coalesce(s.w0, s.lo) AS first, CASE WHEN w.cont THEN coalesce(w.nw, w.hi + 1) ELSE w.pos END AS stop FROM w JOIN w s ON s.d = w.d AND s.pos = w.b WHERE w.label = 0 AND (w.e IS NULL OR w.b > w.e)""")
+def label_spans(spark, sf):
+    p = t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("pos")).agg(F.max("l_suppkey").alias("s"), F.max("l_partkey").alias("l"))
+    return spans.decode_labels(p.select("doc_id", "pos", F.when(F.col("s") % 4 == 0, "##x").otherwise("x").alias("piece"), (F.col("l") % 3).alias("label")))
+
+
+@query("""WITH n AS (SELECT doc_id, len(string_split(text, ' ')) AS n FROM documents WHERE text IS NOT NULL), k AS (SELECT *, unnest(range(0, greatest(0, ceil((n - 512) / 462.0))::BIGINT + 1)) AS k FROM n)
+SELECT doc_id, k * 462 AS first, least(n, k * 462 + 512) AS stop FROM k""")
+def piece_windows(spark, sf):
+    n = t(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.size(F.split("text", " ")).cast("long").alias("n"))
+    return spans.piece_windows(n)
+
+
+# ------------------------------------------------------------------ sampling and reports
+@query("SELECT o_orderkey FROM orders WHERE o_totalprice > 0 ORDER BY -ln(1 - ('0x' || substr(md5('11|' || o_orderkey), 1, 8))::BIGINT / 4294967296.0) / o_totalprice, o_orderkey LIMIT 50")
+def weighted_sample(spark, sf):
+    return stats.weighted_sample(t(spark, sf, "orders"), "o_orderkey", "o_totalprice", 50, 11).select("o_orderkey")
+
+
+@query()
+def resampled_p_values(spark, sf):
+    return stats.resampled_p_values(*_front_back(spark, sf))
+
+
+@query("""WITH f AS (SELECT 'C' || o_custkey AS tax_id, count(*) AS n FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1), b AS (SELECT 'C' || o_custkey AS tax_id, count(*) AS m FROM orders WHERE o_orderpriority <> '1-URGENT' GROUP BY 1),
+s AS (SELECT f.tax_id, n, coalesce(m, 0) AS m, coalesce(c_name, '') AS name FROM f LEFT JOIN b USING (tax_id) LEFT JOIN customer ON tax_id = 'C' || c_custkey) SELECT *, row_number() OVER (ORDER BY n DESC, tax_id)::INT AS place FROM s ORDER BY place LIMIT 10""")
+def top_report(spark, sf):
+    f, b = _counts(spark, sf, "o_orderpriority = '1-URGENT'"), _counts(spark, sf, "o_orderpriority <> '1-URGENT'").withColumnRenamed("n", "m")
+    named = t(spark, sf, "customer").groupBy(_key("C", "c_custkey").alias("tax_id")).agg(F.min("c_name").alias("name"))
+    top = f.join(b, "tax_id", "left").join(named, "tax_id", "left").select("tax_id", "n", F.coalesce("m", F.lit(0)).alias("m"), F.coalesce("name", F.lit("")).alias("name")).orderBy(F.col("n").desc(), "tax_id").limit(10)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(F.col("n").desc(), "tax_id")))  # ten rows
+
+
+@query("SELECT p_brand AS tax_id, arg_max(p_name, p_partkey) AS last_name, arg_max(p_type, p_retailprice * 1000000 + p_partkey) AS best FROM part GROUP BY 1")
+def last_name_and_best(spark, sf):
+    return t(spark, sf, "part").groupBy(F.col("p_brand").alias("tax_id")).agg(F.max_by("p_name", "p_partkey").alias("last_name"), F.max_by("p_type", F.col("p_retailprice") * 1000000 + F.col("p_partkey")).alias("best"))
+
+
+# ------------------------------------------------------------------ sets, more of the tree
+@query(f"WITH RECURSIVE {_TREE}, c AS (SELECT tax_id FROM ct UNION SELECT parent FROM c JOIN ed ON tax_id = child) SELECT tax_id, rank FROM nd WHERE tax_id IN (SELECT tax_id FROM c)")
+def relevant_taxa(spark, sf):
+    return taxonomy.relevant(*_tree(spark, sf), _counts(spark, sf))
+
+
+@query(f"WITH {_TREE}, s AS (SELECT list_sort(list(n)) AS v, count(*) AS k FROM ct), q AS (SELECT tax_id, CASE WHEN n <= v[1 + floor(k * 0.25)::INT] THEN 1 WHEN n <= v[1 + floor(k * 0.5)::INT] THEN 2 WHEN n <= v[1 + floor(k * 0.75)::INT] THEN 3 ELSE 4 END AS c FROM ct, s) SELECT child, parent, coalesce(c, 0) AS class FROM ed LEFT JOIN q ON tax_id = child")
+def edge_classes(spark, sf):
+    return taxonomy.edge_classes(_tree(spark, sf)[1], abundance_quartiles(spark, sf))
+
+
+@query("WITH a AS (SELECT 'N' || n_nationkey AS tax_id, round((n_nationkey * n_nationkey % 63) / 10.0, 6) AS angle FROM nation), b AS (SELECT *, CASE WHEN angle - lag(angle) OVER (ORDER BY angle, tax_id) < 0.4 THEN 0 ELSE 1 END AS new FROM a), c AS (SELECT *, sum(new) OVER (ORDER BY angle, tax_id ROWS UNBOUNDED PRECEDING)::BIGINT AS grp FROM b) SELECT tax_id, angle, grp, row_number() OVER (PARTITION BY grp ORDER BY angle, tax_id)::INT AS place FROM c")
+def angle_groups(spark, sf):
+    k = F.col("n_nationkey")
+    return taxonomy.angle_groups(t(spark, sf, "nation").select(_key("N", "n_nationkey").alias("tax_id"), F.round((k * k % 63) / 10.0, 6).alias("angle")))
+
+
+_UD = "u AS (SELECT o_custkey AS id FROM orders WHERE o_orderpriority = '1-URGENT'), l AS (SELECT o_custkey AS id FROM orders WHERE o_orderpriority = '5-LOW')"
+
+
+@query(f"WITH {_UD} SELECT 'union' AS kind, id FROM (SELECT id FROM u UNION SELECT id FROM l) UNION ALL SELECT 'difference', id FROM (SELECT id FROM u EXCEPT SELECT id FROM l) UNION ALL SELECT 'both', id FROM (SELECT id FROM u INTERSECT SELECT id FROM l) UNION ALL SELECT 'all', id FROM (SELECT id FROM u UNION ALL SELECT id FROM l)")
+def taxa_sets(spark, sf):
+    of = lambda p: t(spark, sf, "orders").where(F.col("o_orderpriority") == p).select(F.col("o_custkey").alias("id"))
+    u, low = of("1-URGENT"), of("5-LOW")
+    parts = {"union": u.union(low).distinct(), "difference": u.distinct().join(low, "id", "left_anti"), "both": u.distinct().join(low, "id", "left_semi"), "all": u.union(low)}
+    out = None
+    for kind, df in parts.items():
+        df = df.select(F.lit(kind).alias("kind"), "id")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+@query("SELECT l_orderkey AS doc_id, string_agg(p_name, '|' ORDER BY l_linenumber, p_partkey) AS taxa, count(DISTINCT p_name)::INT AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def taxa_per_document(spark, sf):
+    m = t(spark, sf, "lineitem").join(t(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    taxa = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "p_partkey", "p_name"))), lambda s: s["p_name"])
+    return m.groupBy(F.col("l_orderkey").alias("doc_id")).agg(taxa.alias("taxa")).select("doc_id", F.array_join("taxa", "|").alias("taxa"), F.size(F.array_distinct("taxa")).alias("n"))
