@@ -202,6 +202,14 @@ def test_lm_base_score(spark, docs, monkeypatch):
         assert got[i]["score"] < 0
 
 
+def test_lm_rare_pairs_count(spark, docs, monkeypatch):
+    d = docs.unionByName(spark.read.parquet(f"{SF}/documents.parquet").select(*docs.columns).limit(40).withColumn("doc_id", F.col("doc_id") + 1000))
+    want = {r["doc_id"]: r["score"] for r in lm.score_documents(spark, d).collect()}
+    monkeypatch.setattr(lm, "PAIRS", 50)  # so that most pairs go through the join
+    got = {r["doc_id"]: r["score"] for r in lm.score_documents(spark, d).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-6) for i in want)
+
+
 def test_lm_scores_every_id_once_and_sums_to_one():
     for n in (1, 5, 20, 21, 38, 39, 200):
         at, score = lm.windows(n)
