@@ -1,7 +1,7 @@
 """Near-duplicate detection by ProbMinHash, banding and verification.
 
-A text is a weighted set of five-word shingles, the weight being how often it occurs. Every shingle
-is a Poisson process whose rate is its weight: its arrivals, drawn from its hash alone, fall on random
+A text is a set of five-word shingles, each of weight one however often it occurs, as links are defined on
+distinct shingles: registers then agree with the similarity that decides. Every shingle is a Poisson process whose rate is its weight: its arrivals, drawn from its hash alone, fall on random
 registers, and a register keeps its earliest arrival. A shingle stops as soon as its next arrival comes
 after the latest register (early termination). Registers of two texts agree with the probability Jaccard
 similarity of their weighted sets. BANDS bands of ROWS registers propose pairs: in each bucket of equal bands the
@@ -59,17 +59,16 @@ def prob_min_hash(items: np.ndarray, weights: np.ndarray, owner: np.ndarray, n:
 
 def signatures(texts: list[str | None]) -> list[tuple[bytes, np.ndarray] | None]:
     """Digest of the shingle set and the hash of each band; None for a text without words."""
-    got = [np.unique(shingles(as_bytes(t), SIZE), return_counts=True) for t in texts]
-    owner = np.repeat(np.arange(len(got)), [len(x) for x, _ in got])
-    items = np.concatenate([x for x, _ in got]) if got else np.zeros(0, np.uint64)
-    counts = np.concatenate([c for _, c in got]) if got else np.zeros(0)
-    bands = prob_min_hash(items, counts, owner, len(got)).reshape(len(got), BANDS, ROWS)
+    got = [np.unique(shingles(as_bytes(t), SIZE)) for t in texts]
+    owner = np.repeat(np.arange(len(got)), [len(x) for x in got])
+    items = np.concatenate(got) if got else np.zeros(0, np.uint64)
+    bands = prob_min_hash(items, np.ones(len(items)), owner, len(got)).reshape(len(got), BANDS, ROWS)
     keys = np.repeat(np.arange(BANDS, dtype=np.uint64)[None], len(got), 0)
     for i in range(ROWS):
         keys = mix(keys * np.uint64(31) + bands[:, :, i])
     keys = keys.astype(np.int64)
     digest = lambda x: np.array([np.bitwise_xor.reduce(mix(x)), x.sum(dtype=np.uint64)], np.uint64).tobytes()
-    return [(digest(x), keys[i]) if len(x) else None for i, (x, _) in enumerate(got)]
+    return [(digest(x), keys[i]) if len(x) else None for i, x in enumerate(got)]
 
 
 def _signatures(docs: DataFrame) -> DataFrame:

@@ -144,6 +144,15 @@ def test_near(spark, docs):
     assert got[3] == got[2] == got[1] == 1 and got[7] == 6 and got[4] == 4 and got[5] == 5
 
 
+def test_near_finds_a_copy_with_a_repeated_passage(spark):
+    rows = []
+    for k in range(10):
+        words = [f"w{k}x{i}" for i in range(204)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:100] + words[80:100] * 19 + words[100:]))]
+    got = {r["doc_id"]: r["class_id"] for r in near.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows) == {i: i // 2 * 2 for i in range(20)}
+
+
 def test_prob_min_hash_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     x = np.unique(rng.integers(1, 2**63, 60, dtype=np.uint64))
