@@ -10,9 +10,10 @@ members are compared with the smallest id, and exact set similarity (Jaccard >=
 No link between different texts is lost in a bucket: with centre c, threshold t and distance d = 1 -
 Jaccard (a metric), members with d <= 1-t join c's class; those farther than 2(1-t) can't be
 linked to any of these. What did not join is searched on: up to SMALL such members of a bucket at once,
-in one group (equal groups once); more of them fall to narrower buckets, which add one more band each,
-and go another round. Members at
-a distance between the two that end in another class are compared with all that joined, in blocks. Buckets are never collected: a round is a minimum per bucket, and comparisons run in groups of at most CHUNK
+in one group (equal groups once). More of them are joined on the rarest shingles of each set, of which two sets
+with a link share at least one, whatever the size of the bucket; a shingle in more than SMALL sets is
+searched in pairs of blocks. Members at
+a distance between the two that end in another class are compared with all that joined, in blocks. Buckets are never collected: the centre is a minimum per bucket, and comparisons run in groups of at most CHUNK
 members per centre.
 
 Equal shingle sets are one representative from the start, so copies cost one row each.
@@ -25,7 +26,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanloom.llm.common import as_bytes, lookup, mix, shingles, staged, table
@@ -146,22 +147,61 @@ class _Postings:
         return both / (self.size + len(one) - both)
 
 
+def _linked(ids: np.ndarray, own: list[np.ndarray], threshold: float) -> pd.DataFrame:
+    """Links (a, b) that join the classes within one group."""
+    index, root, out = _Postings(own), np.arange(len(ids)), []
+    for x in range(len(ids)):
+        for y in np.flatnonzero(index.similar(own[x]) >= threshold):
+            if root[x] != root[y]:
+                root[root == root[y]] = root[x]
+                out.append((ids[x], ids[y]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 def _within(rest: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) that join the classes within each bucket of at most SMALL members."""
     lists = rest.groupBy("band", "key").agg(F.sort_array(F.collect_set("rep")).alias("reps")).where("size(reps) > 1")
     rows = lists.select("reps").distinct().select(F.xxhash64("reps").alias("group"), F.explode("reps").alias("doc_id")).join(sets, "doc_id")
+    run = lambda pdf: _linked(pdf["doc_id"].to_numpy(), [np.frombuffer(x, np.uint64) for x in pdf["set"]], threshold)
+    return rows.groupBy("group").applyInPandas(run, "a long, b long")
 
-    def run(pdf):
-        ids, own = pdf["doc_id"].to_numpy(), [np.frombuffer(x, np.uint64) for x in pdf["set"]]
-        index, root, out = _Postings(own), np.arange(len(ids)), []
-        for x in range(len(ids)):
-            for y in np.flatnonzero(index.similar(own[x]) >= threshold):
-                if root[x] != root[y]:
-                    root[root == root[y]] = root[x]
-                    out.append((ids[x], ids[y]))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    return rows.groupBy("group").applyInPandas(run, "a long, b long")
+def _items(sets: DataFrame) -> DataFrame:
+    """doc_id, item, size: a row for every element of every set."""
+
+    def run(batches):
+        for b in batches:
+            for d, s in zip(b.column("doc_id").to_pylist(), b.column("set").to_pylist()):
+                own = np.frombuffer(s, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), d, np.int64)), pa.array(own), pa.array(np.full(len(own), len(own), np.int64))], ["doc_id", "item", "size"])
+
+    return sets.mapInArrow(run, "doc_id long, item long, size long")
+
+
+def _by_prefix(spark: SparkSession, reps: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that join all classes among the given reps, by a join on the rarest elements of each set.
+
+    Two sets with a link share threshold * size elements of each, hence one of the size - threshold * size + 1
+    elements of each that come first in any one order of the elements; here the rarest come first.
+    """
+    sets = staged(spark, reps.select(F.col("rep").alias("doc_id")).distinct().join(sets, "doc_id"))
+    items = staged(spark, _items(sets))
+    often = staged(spark, items.groupBy("item").agg(F.count(F.lit(1)).alias("n")))
+    order = F.row_number().over(Window.partitionBy("doc_id").orderBy("n", "item"))
+    ranked = lookup(items, often, ["item"], "n", items.count()).withColumn("at", order)
+    first = ranked.where(F.col("at") <= F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1).where("n > 1").select("item", "doc_id")
+    first = staged(spark, first)
+    sizes = staged(spark, first.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    total = first.count()
+    first = staged(spark, lookup(first, sizes, ["item"], "n", total))
+    links = _within(first.where(F.col("n") <= SMALL).select(F.lit(0).alias("band"), F.col("item").alias("key"), F.col("doc_id").alias("rep")), sets, threshold)
+    # all pairs of blocks of the larger ones
+    blocks = (F.floor(F.col("n") / BLOCK) + 1).cast("int")
+    large = first.where(F.col("n") > SMALL).withColumn("blocks", blocks).withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    large = large.select("item", "doc_id", "i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    large = large.select("item", "doc_id", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).join(sets, "doc_id")
+    run = lambda pdf: _linked(pdf["doc_id"].to_numpy(), [np.frombuffer(x, np.uint64) for x in pdf["set"]], threshold)
+    return links.unionByName(large.groupBy("item", "i", "j").applyInPandas(run, "a long, b long"))
 
 
 def _across(joined: DataFrame, between: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -239,30 +279,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = ids.join(wanted.hint("merge"), F.col("doc_id") == F.col("__rep"), "left_semi")
     sets = staged(spark, _sets(sets if total == 0 or sig.select("doc_id").distinct().count() == total else sets.dropDuplicates(["doc_id"])))
-    links, rounds = [], []
-    while pairs.limit(1).count():
-        sims = staged(spark, _compare(pairs.where("rep <> centre"), sets))
-        links.append(sims.where(F.col("sim") >= threshold).select(F.col("rep").alias("a"), F.col("centre").alias("b")))
-        rounds.append(sims)
-        apart = sims.where(F.col("sim") < threshold).drop("sim")
+    links = []
+    if pairs.limit(1).count():
+        judged = staged(spark, _compare(pairs.where("rep <> centre"), sets))
+        links.append(judged.where(F.col("sim") >= threshold).select(F.col("rep").alias("a"), F.col("centre").alias("b")))
+        apart = judged.where(F.col("sim") < threshold).drop("sim")
         rest = staged(spark, pairs.join(apart, ["rep", "centre"], "left_semi").select("band", "key", "rep"))
         sizes = rest.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         rest = staged(spark, rest.join(sizes, ["band", "key"]))
         links.append(staged(spark, _within(rest.where(F.col("size") <= SMALL), sets, threshold)))
         large = rest.where(F.col("size") > SMALL)
-        if large.limit(1).count() == 0:
-            break
-        narrow = large.select("rep", F.col("band").alias("last"), F.col("key").alias("old")).join(bands, "rep").where("band > last")
-        narrow = staged(spark, narrow.select("rep", "band", F.xxhash64("old", "last", "key").alias("key")))
-        centres = narrow.groupBy("band", "key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-        pairs = staged(spark, narrow.join(centres, ["band", "key"]))
+        if large.limit(1).count():
+            links.append(staged(spark, _by_prefix(spark, large, sets, threshold)))
     rows = sig.select("doc_id", "digest")
     roots = reps.select("rep", F.col("rep").alias("root"))
     if links:
         tree = components(spark, reduce(DataFrame.unionByName, links))
         at = lambda c, out: tree.select(F.col("node").alias(c), F.col("root").alias(out))
-        judged = reduce(DataFrame.unionByName, rounds)
-        between = judged.where((F.col("sim") < threshold) & (F.col("sim") >= 2 * threshold - 1))
+        between = judged.where((F.col("sim") < threshold) & (F.col("sim") >= 2 * threshold - 1 - 1e-9))
         between = between.join(at("rep", "r1"), "rep", "left").join(at("centre", "r2"), "centre", "left")
         between = between.where(F.coalesce("r1", "rep") != F.coalesce("r2", "centre")).select("centre", F.col("rep").alias("b"), F.col("sim").alias("sim_b"))
         between = staged(spark, between.distinct())

@@ -153,6 +153,21 @@ def test_near_finds_a_copy_with_a_repeated_passage(spark):
     assert got == brute_classes(rows) == {i: i // 2 * 2 for i in range(20)}
 
 
+@pytest.mark.parametrize("small,block", [(1, 3), (6, 512)])
+def test_near_large_bucket_is_searched_whole(spark, monkeypatch, small, block):
+    signed = near._signatures
+    one = lambda docs: signed(docs).withColumn("bands", F.expr("if(digest IS NULL, null, array(1L))"))
+    monkeypatch.setattr(near, "_signatures", one)  # one bucket for all
+    monkeypatch.setattr(near, "SMALL", small)
+    monkeypatch.setattr(near, "BLOCK", block)
+    rows = [(0, BASE)]
+    for k in range(12):
+        words = [f"q{k}x{i}" if i < 60 else f"all{i}" for i in range(100)]
+        rows += [(3 * k + 1 + j, " ".join(words[: 70 + 8 * j] + [f"end{k}"] + words[71 + 8 * j :])) for j in range(3)]
+    got = {r["doc_id"]: r["class_id"] for r in near.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows) and len(set(got.values())) == 13
+
+
 def test_prob_min_hash_estimates_probability_jaccard():
     rng = np.random.default_rng(1)
     x = np.unique(rng.integers(1, 2**63, 60, dtype=np.uint64))
