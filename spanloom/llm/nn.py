@@ -83,8 +83,12 @@ def take(x, index):
     a = val(x)
 
     def back(g):
-        out = np.zeros_like(a)
-        np.add.at(out, index.reshape(-1), g.reshape(-1, a.shape[-1]))
+        out, flat = np.zeros_like(a), index.reshape(-1)
+        if len(flat):
+            order = np.argsort(flat, kind="stable")
+            rows = flat[order]
+            new = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
+            out[rows[new]] = np.add.reduceat(g.reshape(-1, a.shape[-1])[order], new, 0)
         return (out,)
 
     return _op(a[index], back, x)

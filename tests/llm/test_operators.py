@@ -211,38 +211,6 @@ def test_run_index():
     assert got.tolist() == want and any(want)
 
 
-def test_lm_base_score(spark, docs, monkeypatch):
-    monkeypatch.setattr(lm, "FREQUENT", 50)  # so that some words go through the join
-    got = {r["doc_id"]: r for r in lm.score_documents(spark, docs).collect()}
-    toks = lambda t: [*(t or "").encode().lower().split(), None]
-    count = Counter()
-    for i, t, *_ in ROWS:
-        if zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2:
-            count.update(toks(t))
-    n, v = sum(count.values()), len(count)
-    for i, t, *_ in ROWS:
-        assert got[i]["n_tokens"] == len(toks(t)) and got[i]["n_known"] == sum(count[w] > 0 for w in toks(t)) and got[i]["train_tokens"] == n
-        assert math.isclose(got[i]["base_score"], sum(math.log10((count[w] + 1) / (n + v + 1)) for w in toks(t)), rel_tol=1e-9)
-        assert got[i]["score"] < 0
-
-
-def test_lm_rare_pairs_count(spark, docs, monkeypatch):
-    d = docs.unionByName(spark.read.parquet(f"{SF}/documents.parquet").select(*docs.columns).limit(40).withColumn("doc_id", F.col("doc_id") + 1000))
-    want = {r["doc_id"]: r["score"] for r in lm.score_documents(spark, d).collect()}
-    monkeypatch.setattr(lm, "PAIRS", 50)  # so that most pairs go through the join
-    got = {r["doc_id"]: r["score"] for r in lm.score_documents(spark, d).collect()}
-    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-6) for i in want)
-
-
-def test_lm_scores_every_id_once_and_sums_to_one():
-    for n in (1, 5, 20, 21, 38, 39, 200):
-        at, score = lm.windows(n)
-        assert sorted(at[score].tolist()) == list(range(n))
-    t = lm.class_table(np.ones(lm.VOCAB), np.arange(lm.VOCAB) % 2, np.array([5 * lm.VOCAB + 7]), np.array([3]))
-    p = 10 ** lm.inside(t, np.full(lm.VOCAB, 5), np.arange(lm.VOCAB))
-    assert np.allclose(np.bincount(t["which"], p, lm.CLASSES), 1)
-
-
 @pytest.mark.parametrize("mod,label", [(quality_cnn, "quality"), (toxicity, "toxic")])
 def test_classifiers(spark, docs, mod, label):
     labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 12)], "doc_id long, quality int, toxic int")
