@@ -14,16 +14,20 @@ documents come from sums per (source, bucket), so no task sees a whole source.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import WS, staged, table
+from spanloom.llm.common import WS, fresh, staged, table
 
 BLOCK, CAP, SEED = 64, 3, 17
 #: Slots of a shard, while there are at most MAX_SHARDS; rows of a bucket, by count.
 SHARD_SLOTS, MAX_SHARDS, BUCKET_ROWS = 4096, 2048, 100
+#: Buckets of a shelf: no task orders more buckets, or shelves of a source, than rows / (100 * SHELF).
+SHELF = 4096
 
 
 def targets(sizes: list[int], weights: list[float], cap: float = CAP) -> list[float]:
@@ -80,14 +84,14 @@ def draw(quota: list[int], seed: int = SEED) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def n_words(text: Column) -> Column:
+    """The number of gaps between words: a run of white space, or the end of the text."""
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{WS}+", "")
+    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(F.regexp_replace(text, f"{WS}+$", ""), f"{WS}+"))).cast("long")
+
+
 def sizes_of(docs: DataFrame) -> DataFrame:
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), f"^{WS}+", "")
-    # the number of gaps between words: a run of white space, or the end of the text
-    return docs.select(
-        "doc_id",
-        "source",
-        F.when(text == "", F.lit(0)).otherwise(F.size(F.split(F.regexp_replace(text, f"{WS}+$", ""), f"{WS}+"))).cast("long").alias("size"),
-    )
+    return docs.select("doc_id", "source", F.xxhash64("text").alias("key"), n_words(F.col("text")).alias("size"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> DataFrame:
@@ -111,12 +115,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> DataF
         "no int, __source string, source_size long, target double, buckets long",
     )
     keyed = rows.join(F.broadcast(dim), rows["source"].eqNullSafe(dim["__source"])).drop("__source")
-    keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.col("buckets"))).drop("buckets")
-    sums = keyed.groupBy("no", "bucket").agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    base = sums.select(F.col("no").alias("__no"), F.col("bucket").alias("__bucket"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("no", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = keyed.withColumn("end", F.sum("size").over(inside)).withColumn("rn", F.row_number().over(Window.partitionBy("no", "bucket").orderBy("doc_id", "size")))
+    keyed = keyed.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "key"), F.col("buckets"))).drop("buckets")
+    # words before a bucket: those of the shelves before its own, and of the buckets before it on its shelf
+    sums = keyed.groupBy("no", "bucket").agg(F.sum("size").alias("words")).withColumn("shelf", F.floor(F.col("bucket") / SHELF))
+    upto = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    shelves = sums.groupBy("no", "shelf").agg(F.sum("words").alias("words"))
+    shelves = shelves.select("no", "shelf", F.coalesce(F.sum("words").over(upto("no", "shelf")), F.lit(0)).alias("below"))
+    base = sums.withColumn("within", F.coalesce(F.sum("words").over(upto("no", "shelf", "bucket")), F.lit(0))).join(shelves, ["no", "shelf"])
+    base = base.select(F.col("no").alias("__no"), F.col("bucket").alias("__bucket"), (F.col("below") + F.col("within")).alias("base"))
+    inside = Window.partitionBy("no", "bucket").orderBy("doc_id", "key", "size")
+    placed = keyed.withColumn("end", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))).withColumn("rn", F.row_number().over(inside)).drop("key")
     placed = placed.join(base, (F.col("no") == F.col("__no")) & (F.col("bucket") == F.col("__bucket"))).drop("__no", "__bucket")
     placed = staged(spark, placed.withColumn("end", F.col("base") + F.col("end")).withColumn("begin", F.col("end") - F.col("size")).drop("base"))
 
@@ -150,20 +158,22 @@ def mix_sources(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> DataF
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mix as documents: each row as often as the mix takes it, in whole documents.
+    """The mix as documents: each row as often as the mix takes it, in whole documents; all columns stay, whatever their names.
 
     taken / size copies; of a broken count the rest is one more copy with that probability, by a
-    hash of the id, so that totals stay on target and reruns agree. Documents without words stay once.
+    hash of id and text, so that totals stay on target and reruns agree. Documents without words stay once. Rows that agree in id,
+    source and size share what is taken of them evenly. An empty table stays empty.
     """
-    mixed = mix_sources(spark, docs, seed).groupBy("doc_id").agg(F.max(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1.0)).alias("__times"))
-    mixed = mixed.withColumnRenamed("doc_id", "__mixed")
-    chance = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(seed)), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    copies = F.floor(F.col("__times") + chance).cast("int")
-    return (
-        docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["__mixed"]))
-        .withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies)))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    key = ["doc_id", "source", "size"]
+    own, other = {c: fresh(c) for c in key}, {c: fresh(c) for c in [*key, "times"]}
+    mixed = mix_sources(spark, docs, seed).groupBy(*key).agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("n"))
+    times = F.when(F.col("size") > 0, F.col("taken") / (F.col("size") * F.col("n"))).otherwise(1.0)
+    mixed = mixed.withColumn("times", times).select(*[F.col(c).alias(n) for c, n in other.items()])
+    told = docs.withColumns({own["doc_id"]: F.col("doc_id"), own["source"]: F.col("source"), own["size"]: n_words(F.col("text"))})
+    same = reduce(lambda x, y: x & y, [F.col(own[c]).eqNullSafe(F.col(other[c])) for c in key])
+    chance = F.pmod(F.xxhash64(F.col(own["doc_id"]), F.col("text"), F.lit(seed)), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    copies = F.floor(F.col(other["times"]) + chance).cast("int")
+    return told.join(mixed, same).withColumn(other["times"], F.explode(F.array_repeat(F.lit(1), copies))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
