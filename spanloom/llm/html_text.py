@@ -14,6 +14,7 @@ sample of real pages whose tags leave no doubt (inside article or main, or insid
 from __future__ import annotations
 
 import html as html_lib
+import pickle
 import re
 import zlib
 
@@ -23,10 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm import nn
-from spanloom.llm.common import table
+from spanloom.llm.common import fresh, table
 
 #: Real pages that the model learns from, at most; pages written for it; passes.
 SAMPLE, WRITTEN, EPOCHS = 150, 400, 8
+#: Blocks of a real page, and words of a block, that are learned from.
+LONGEST = 400
 PATH_SLOTS, WORD_SLOTS, WIDTH, HIDDEN, MEASURES = 2048, 4096, 12, 12, 5
 
 #: Elements that begin and end a block.
@@ -37,13 +40,12 @@ BLOCKS = frozenset(
 )
 #: Elements without an end.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text of the page.
-_RAW = "script|style|noscript|template|iframe|svg|textarea|select|object|canvas|head"
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>|"
-    r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S | re.I,
-)
+#: Elements whose content is no text of the page. Without an end tag, script and style take the rest of the page, others nothing.
+_RAW = frozenset("script style noscript template iframe svg textarea select object canvas title".split())
+_TO_END = frozenset(["script", "style"])
+#: What may stand in a head; anything else ends it.
+_IN_HEAD = frozenset("head title base link meta script style noscript template object".split())
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTR = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 #: An open p ends where one of these begins.
 _ENDS_P = BLOCKS - {"html", "body", "head"}
@@ -73,12 +75,29 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
             if in_link:
                 linked += len(piece)
 
-    for m in _TOKEN.finditer(page):
-        say(page[at : m.start()])
-        at = m.end()
-        if not m[3]:
+    in_head, endless = False, set()
+    while m := _TOKEN.search(page, at):
+        piece, at = page[at : m.start()], m.end()
+        if in_head and piece.strip():
+            in_head = False
+        if not in_head:
+            say(piece)
+        if not m[2]:
+            continue
+        tag, closing = m[2].lower(), bool(m[1])
+        if tag in _RAW and not closing and not m[3].rstrip().endswith("/"):
+            end = None if tag in endless else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            else:  # nor has any later one an end
+                endless.add(tag)
+                if tag in _TO_END:
+                    at = len(page)
+            continue
+        if tag == "head" or tag not in _IN_HEAD:
+            in_head = tag == "head" and not closing
+        if in_head:
             continue
-        tag, closing = m[3].lower(), bool(m[2])
         if tag in BLOCKS:
             flush()
         elif tag == "br":
@@ -92,9 +111,9 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, int]]:
                 k = max(i for i in range(len(stack)) if stack[i][0] == "p")
                 if all(s[0] not in BLOCKS for s in stack[k + 1 :]):
                     del stack[k:]
-            if tag not in VOID and not m[4].rstrip().endswith("/"):
+            if tag not in VOID and not m[3].rstrip().endswith("/"):
                 names = (tag,)
-                for a in _ATTR.finditer(m[4]):
+                for a in _ATTR.finditer(m[3]):
                     names += tuple(f".{w}" for w in re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", a[2]).lower()))
                 stack.append((tag, names))
         in_link = sum(s[0] == "a" for s in stack)
@@ -222,15 +241,24 @@ def plain_labels(found: list) -> np.ndarray | None:
     return y
 
 
-def train(pages: list[str], seed: int = 11) -> dict[str, np.ndarray]:
+def sure(page: str | None) -> tuple | None:
+    """Vectors and labels of a page whose tags leave no doubt; of a long one, LONGEST blocks from a place that its bytes choose,
+    each with at most LONGEST words, evenly spaced."""
+    found = blocks(page)
+    y = plain_labels(found) if found else None
+    if y is None:
+        return None
+    paths, words, nums = vectors(found)
+    at = zlib.crc32(page.encode("utf-8", "surrogatepass")) % max(1, len(found) - LONGEST + 1)
+    few = lambda w: w[np.unique(np.linspace(0, len(w) - 1, LONGEST).astype(int))] if len(w) > LONGEST else w
+    cut = slice(at, at + LONGEST)
+    return (paths[cut], [few(w) for w in words[cut]], nums[cut]), y[cut]
+
+
+def train(real: list[tuple], seed: int = 11) -> dict[str, np.ndarray]:
+    """From specimens and from what ``sure`` makes of real pages."""
     rng = np.random.default_rng(seed)
-    data = specimens(WRITTEN)
-    for page in pages:
-        found = blocks(page)
-        y = plain_labels(found)
-        if y is not None:
-            data.append((found, y))
-    data = [(vectors(f), y) for f, y in data if f]
+    data = [(vectors(f), y) for f, y in specimens(WRITTEN) if f] + real
     wide = 2 * WIDTH + MEASURES
     p = nn.init(
         rng, path=(PATH_SLOTS, WIDTH), word=(WORD_SLOTS, WIDTH), xf=(wide, 4 * HIDDEN), xb=(wide, 4 * HIDDEN), hf=(HIDDEN, 4 * HIDDEN), hb=(HIDDEN, 4 * HIDDEN),
@@ -270,9 +298,16 @@ def extract(spark: SparkSession, pages: DataFrame, sample: int = SAMPLE) -> Data
     rows; other columns are ignored. Learns from at most ``sample`` pages, the first by a hash of page_id.
     """
     ids = pages.where("page_id IS NOT NULL").select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(sample).distinct().collect()
-    ids = spark.createDataFrame([(r[0],) for r in ids], pages.select(F.col("page_id").alias("__id")).schema)
-    rows = pages.where("length(html) < 200000").join(F.broadcast(ids), F.col("page_id") == F.col("__id")).select("page_id", "html").collect()
-    p = train([r[1] for r in sorted(rows)])
+    name = fresh("id")
+    ids = spark.createDataFrame([(r[0],) for r in ids], pages.select(F.col("page_id").alias(name)).schema)
+
+    def learn(batches):
+        for b in batches:
+            got = [pickle.dumps(x) for x in map(sure, b.column("html").to_pylist()) if x]
+            yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary())], ["made"])
+
+    rows = pages.join(F.broadcast(ids), F.col("page_id") == F.col(name)).select("html").mapInArrow(learn, "made binary").collect()
+    p = train([pickle.loads(r[0]) for r in sorted(rows)])
 
     def run(batches):
         for b in batches:
