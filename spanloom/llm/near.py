@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import as_bytes, lookup, mix, shingles, staged, table
+from spanloom.llm.common import as_bytes, fresh, lookup, mix, shingles, staged, table
 
 BANDS, ROWS, CHUNK, SMALL, BLOCK, SIZE, THRESHOLD = 20, 5, 128, 2048, 512, 5, 0.8
 #: Texts are signed in batches of so many.
@@ -317,9 +317,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the rows that near_duplicates drops."""
-    dropped = near_duplicates(spark, docs, threshold).where("NOT kept").select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["__dropped"], "left_anti")
+    """``docs`` without the rows that near_duplicates drops; all columns stay, whatever their names.
+
+    Texts without words and null ids stay. Rows that repeat an id stay or go together. An empty table stays empty.
+    """
+    name = fresh("dropped")
+    dropped = near_duplicates(spark, docs, threshold).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(dropped, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

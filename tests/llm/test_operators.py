@@ -242,6 +242,79 @@ def test_html(spark):
     assert html_text.extract(spark, d.limit(0)).count() == 0
 
 
+def test_html_that_leaves_tags_out():
+    says = lambda page: [b[1] for b in html_text.blocks(page)]
+    assert says("<html><head><title>T</title><meta a><body><p>Hi<p>there") == ["Hi", "there"]
+    assert says("<head><title>T</title>plain<p>x") == ["plain", "x"] and says("<title>T</title>x") == ["x"]
+    assert says("<p>a<select><option>x<p>b<svg><p>c<noscript>d") == ["a", "x", "b", "cd"]
+    assert says("<p>a<script>if (x<y)</p>") == ["a"] and says("<p>a<!-- b<p>c") == ["a"] and says("<header>h</header><p>z") == ["h", "z"]
+    assert says("<p>" + "w " * 200_000) == [("w " * 200_000).strip()]
+    long = "<article>" + "<p>word again and again.</p>" * 20_000 + "</article><nav>off</nav>"
+    (paths, words, nums), y = html_text.sure(long)
+    assert len(paths) == len(words) == len(nums) == len(y) == html_text.LONGEST and html_text.sure("<p>doubt") is None and html_text.sure(None) is None
+
+
+def test_html_label_needs_the_blocks_around_it():
+    p = html_text.train([])
+    words = "one plain line of some words that says little."
+    page = lambda near: f"<html><body><div class='post-body'><h1>Title of it</h1>{'<p>A long paragraph of the story that goes on for a while, as they do.</p>' * 4}</div>{near}</body></html>"
+    inner = [html_text.vectors(html_text.blocks(page(f"<p>{words}</p>")))]
+    alone = [html_text.vectors(html_text.blocks(f"<html><body><p>{words}</p></body></html>"))]
+    with_, without = html_text.forward(p, inner)[-1], html_text.forward(p, alone)[-1]
+    assert abs(with_ - without) > 0.1  # the same block, another context
+
+
+def test_stages_keep_rows_that_only_share_an_id_and_any_column_names(spark):
+    rows = [(1, "a", "s"), (1, "b", "s"), (2, "b", "s"), (5, None, "s"), (5, "", "s"), (None, "c", None), (None, "d", None), (None, "c", "t"), (9, "e f", "u"), (9, "e f", "u")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit("x") for c in ("__rn", "__mixed", "__keep", "times", "digest", "kept", "row", "size", "taken", "__dropped")})
+    kept = exact.drop_copies(spark, d)
+    assert kept.columns == d.columns
+    assert Counter((r[0], r[1] or "") for r in kept.collect()) == Counter([(1, "a"), (2, "b"), (5, ""), (None, "c"), (None, "d"), (9, "e f")])
+    few = exact.drop_copies(spark, d, largest=False)
+    assert Counter((r[0], r[1] or "") for r in few.collect()) == Counter([(1, "a"), (1, "b"), (5, ""), (None, "c"), (None, "d"), (9, "e f")])
+    mixed = mixing.mixed_documents(spark, d)
+    assert mixed.columns == d.columns and Counter((r[0], r[1]) for r in mixed.collect() if not r[1]) == Counter([(5, None), (5, "")])
+    assert near.drop_near(spark, d).columns == quality_rules.keep_good(spark, d).columns == d.columns
+    for stage in (exact.drop_copies, mixing.mixed_documents, near.drop_near, quality_rules.keep_good):
+        assert stage(spark, d.limit(0)).count() == 0
+
+
+def test_exact_merges_sorted_runs(spark, docs):
+    plan = exact.merge_runs(exact.text_digests(docs))._jdf.queryExecution().executedPlan().toString()
+    # each level: an exchange by run and slice, a sort by the text's key, the merge
+    assert plan.count("Window [") >= exact.LEVELS and plan.count("Sort [run") >= exact.LEVELS and "Python" not in plan and "Arrow" not in plan
+
+
+def test_mixing_offsets_do_not_depend_on_shelves(spark, monkeypatch):
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 2)
+    want = {(r["doc_id"], r["taken"]) for r in mixing.mix_sources(spark, d).collect()}
+    monkeypatch.setattr(mixing, "SHELF", 3)
+    got = mixing.mix_sources(spark, d).collect()
+    assert {(r["doc_id"], r["taken"]) for r in got} == want
+    size, total = Counter(), 0
+    for r in d.select("source", "text").collect():
+        size[r[0]] += len((r[1] or "").encode().split())
+    target = dict(zip(sorted(size), mixing.targets([size[s] for s in sorted(size)], [1 + i % 3 for i in range(len(size))])))
+    sizes = {r[0]: len((r[1] or "").encode().split()) for r in d.select("doc_id", "text").collect()}
+    source = {r[0]: r[1] for r in d.select("doc_id", "source").collect()}
+    for r in got:
+        s = source[r["doc_id"]]
+        assert r["size"] == sizes[r["doc_id"]] and r["source_size"] == size[s] and math.isclose(r["target"], target[s])
+
+
+def test_long_texts_and_contradicting_labels_are_learned_from(spark):
+    from spanloom.llm.labelled import CAP, PARTS, sample
+
+    text = "".join(f"{i:07d} " for i in range(20_000))
+    d = spark.createDataFrame([(1, text), (2, "short"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (3, 0), (None, 1)], "doc_id long, quality int")
+    texts, y = sample(spark, d, labels, "quality", 10_000, -1, 10)
+    assert y.tolist() == [1, 1] and texts[1] == "short" and len(texts[0]) == CAP + PARTS - 1
+    parts = texts[0].split(" ")
+    assert parts[0] == "0000000" and text.endswith(texts[0][-1000:])
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
