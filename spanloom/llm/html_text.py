@@ -136,21 +136,7 @@ def vectors(found: list[tuple[tuple[str, ...], str, int]]) -> tuple[list[np.ndar
 
 
 def _bag(tab, slots: list[np.ndarray], mean: bool):
-    """Sum or mean of rows of a table for each list of slots."""
-    n = np.array([len(s) for s in slots])
-    flat, owner = np.concatenate(slots), np.repeat(np.arange(len(slots)), n)
-    scale = (1 / n if mean else np.ones(len(n))).astype(np.float32)
-    a = nn.val(tab)
-    rows = a[flat]
-    starts = np.concatenate(([0], np.cumsum(n)[:-1]))
-    out = np.add.reduceat(rows, starts, 0) * scale[:, None]
-
-    def back(g):
-        d = np.zeros_like(a)
-        np.add.at(d, flat, (g * scale[:, None])[owner])
-        return (d,)
-
-    return nn._op(out, back, tab)
+    return nn.bag(tab, np.concatenate(slots), np.array([len(s) for s in slots]), mean)
 
 
 def forward(p: dict, pages: list[tuple]):

@@ -94,6 +94,23 @@ def take(x, index):
     return _op(a[index], back, x)
 
 
+def bag(table, rows: np.ndarray, n: np.ndarray, mean: bool = False):
+    """Sum or mean of the rows of a table that belong together: n of them (one or more) for each, one after the other."""
+    a, starts = val(table), np.cumsum(n) - n
+    scale = (1 / n if mean else np.ones(len(n))).astype(np.float32)[:, None]
+    out = np.add.reduceat(a[rows], starts, 0) * scale if len(n) else np.zeros((0, a.shape[1]), np.float32)
+
+    def back(g):
+        order = np.argsort(rows, kind="stable")
+        at, d = rows[order], np.zeros_like(a)
+        if len(at):
+            new = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            d[at[new]] = np.add.reduceat(np.repeat(g * scale, n, 0)[order], new, 0)
+        return (d,)
+
+    return _op(out, back, table)
+
+
 def part(x, key):
     a = val(x)
 

@@ -227,6 +227,33 @@ def test_quality_held_out(spark):
     assert np.mean([r["predicted"] == r["quality"] for r in got]) > 0.93
 
 
+def test_toxicity_reads_all_bytes_of_a_word_and_starts_from_no_counts():
+    a, b = "x" * 40 + "good", "x" * 40 + "evil"
+    w = toxicity.Words([f"{a} {b}", "", None])
+    slot, grams, n, at = w.inputs(np.array([[0, 1, -1]]))
+    assert n.tolist() == [44, 44] and w.count.tolist() == [2, 0, 0] and at.tolist()[0][2] == -1
+    assert set(grams[:44]) != set(grams[44:])
+    p = toxicity.train([a, b] * 4, np.array([0, 1] * 4, np.float32))
+    assert p["out"].shape[0] == 2 * toxicity.HIDDEN  # the output sees words through the recurrent states only
+    got = toxicity.scores(p, [a, b, None])
+    assert got[1] > got[0]
+
+
+def test_toxicity_held_out():
+    import pyarrow.parquet as pq
+
+    read = lambda name: pq.read_table(f"/root/testdata/sf0.1/{name}.parquet").to_pydict()
+    docs, labels = read("documents"), read("labels")
+    toxic = dict(zip(labels["doc_id"], labels["toxic"]))
+    rows = [(zlib.crc32(str(i).encode()) % 5 == 0, t, toxic[i]) for i, t in zip(docs["doc_id"], docs["text"]) if toxic.get(i) is not None]
+    learn, held = [r for r in rows if not r[0]], [r for r in rows if r[0]]
+    learn = [r for r in learn if r[2]] + [r for r in learn if not r[2]][:1200]
+    p = toxicity.train([r[1] for r in learn], np.array([r[2] for r in learn], np.float32))
+    held = [r for r in held if r[2]] + [r for r in held if not r[2]][:400]
+    got, y = toxicity.scores(p, [r[1] for r in held]), np.array([r[2] for r in held])
+    assert np.mean(got[y == 1][:, None] > got[y == 0][None]) > 0.85  # the area under the curve
+
+
 def test_toxic_windows_cover_all_words():
     at, owner = toxicity.windows(np.array([0, 1, 32, 33, 200]))
     assert (at[owner == 0] == -1).all()
