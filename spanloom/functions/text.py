@@ -100,3 +100,50 @@ def citation(label: Column, authors: Column, title: Column, source: Column, year
 def identifier_type(kingdom: Column, rank: Column, modifier: Column) -> Column:
     """kingdom_rank, the modifier in place of the rank where there is one."""
     return F.concat_ws("_", kingdom, F.coalesce(modifier, rank, F.lit("no rank")))
+
+
+def capitalised(first: Column, second: Column) -> Column:
+    """The first word with a capital, then the second."""
+    return F.concat(F.upper(F.substring(first, 1, 1)), first.substr(F.lit(2), F.length(first)), F.lit(" "), second)
+
+
+def common_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence: one row of the table for each character of a, as an array over b."""
+    chars = lambda s: F.filter(F.split(s, ""), lambda c: c != "")
+    zero = F.array_repeat(F.lit(0), F.length(b) + 1)
+    nth = lambda xs, i: F.element_at(xs, i + 1)
+
+    def row(above, x):
+        step = lambda line, i: F.concat(line, F.array(F.when(nth(chars(b), i) == x, nth(above, i) + 1).otherwise(F.greatest(nth(above, i + 1), F.element_at(line, -1)))))
+        places = F.when(F.length(b) > 0, F.sequence(F.lit(0), F.length(b) - 1)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(places, F.array(F.lit(0)), step)
+
+    return F.element_at(F.aggregate(chars(a), zero, row), -1)
+
+
+def edit_ratio(a: Column, b: Column) -> Column:
+    """100 * 2 * common / (length of both), rounded; two empty strings are 100."""
+    both = F.length(a) + F.length(b)
+    return F.when(both == 0, F.lit(100)).otherwise(F.round(200.0 * common_length(a, b) / both).cast("int"))
+
+
+def label_place(angle: Column, radius: Column, n: Column) -> tuple[Column, Column]:
+    """Rotation in degrees, turned so that no label stands on its head, and a distance that three neighbours stagger."""
+    degrees = angle * 180 / F.pi()
+    return F.when((degrees > 90) & (degrees < 270), degrees + 180).otherwise(degrees), radius + F.lit(0.3) * (n % 3)
+
+
+def kept_passage(text: Column, least: int = 1) -> Column:
+    """Not empty, not a single space, and of ``least`` characters or more."""
+    return text.isNotNull() & ~text.isin("", " ") & (F.length(text) >= least)
+
+
+def infons(**fields: Column) -> Column:
+    """A map of the fields that are there."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in fields.items()])
+    return F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull() & (p["value"] != "")))
+
+
+def fix_typos(words: Column, known: Column) -> Column:
+    """Each word of an array by the map ``known``, or itself."""
+    return F.transform(words, lambda w: F.coalesce(F.try_element_at(known, w), w))

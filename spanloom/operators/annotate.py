@@ -13,12 +13,21 @@ from spanloom.functions.text import clean_token, latin_singular
 
 
 def tokens(docs: DataFrame, offset: str | None = None) -> DataFrame:
-    """doc_id, pos, w, start, next: split at single spaces, empty tokens kept; start counts code points."""
-    by = Window.partitionBy("doc_id").orderBy("pos")
+    """doc_id, pos, w, start, next: split at single spaces, empty tokens kept; start counts code points.
+
+    All within the row, without a shuffle: a text's n tokens are first dealt to about sqrt(n) blocks with their starts, so that the
+    sums of lengths take n ** 1.5 steps.
+    """
     base = F.coalesce(F.col(offset), F.lit(0)) if offset else F.lit(0)
-    out = docs.select("doc_id", base.alias("base"), F.posexplode(F.split("text", " ")).alias("pos", "w"))
-    before = F.coalesce(F.sum(F.length("w") + 1).over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return out.select("doc_id", "pos", "w", (before + F.col("base")).alias("start"), F.lead("w").over(by).alias("next"))
+    whole = docs.where(F.col("text").isNotNull()).select("doc_id", base.cast("long").alias("base"), F.split("text", " ").alias("ws"))
+    whole = whole.select("doc_id", "base", "ws", F.transform("ws", lambda w: F.length(w) + 1).alias("ls"), F.ceil(F.sqrt(F.size("ws"))).cast("int").alias("b"))
+    add = "(s, x) -> s + x"
+    blocks = whole.selectExpr(
+        "doc_id", "b", f"inline(transform(sequence(0, (size(ws) - 1) div b), k -> struct(cast(k * b AS int) AS at, slice(ws, k * b + 1, b + 1) AS part, base + aggregate(slice(ls, 1, k * b), 0L, {add}) AS below)))"
+    )
+    return blocks.selectExpr(
+        "doc_id", "inline(transform(slice(part, 1, b), (w, i) -> struct(at + i AS pos, w AS w, below + aggregate(slice(part, 1, i), 0L, (s, x) -> s + length(x) + 1) AS start, get(part, i + 1) AS next)))"
+    )
 
 
 def first_by_name(lexicon: DataFrame) -> DataFrame:
@@ -43,6 +52,28 @@ def _numbered(names: DataFrame, prefix: str) -> DataFrame:
     return names.select("name", ord_.alias("ord")).withColumn("tax_id", F.concat(F.lit(prefix), F.col("ord").cast("string")))
 
 
+def mention_counts(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """tax_id, name, n, docs: every different word is cleaned and looked up once, then the words are counted by what they name."""
+    words = docs.select("doc_id", F.explode(F.split("text", " ")).alias("w"))
+    named = words.select("w").distinct().withColumn("name", F.lower(clean_token(F.col("w")))).where("length(name) >= 1").join(first_by_name(lexicon), "name").select("w", "name", "tax_id")
+    return words.join(named, "w").groupBy("tax_id", "name").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("docs"))
+
+
+def identify(matches: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Identifiers of matches (name, modifier) by the rows of the lexicon (name, tax_id, kingdom, rank, ord) with exactly that name.
+
+    identifier, types, ambiguous: one row is itself; of several, a modifier takes the last, and without one all candidates stand, for disambiguate_by_neighbour.
+    """
+    per = lexicon.groupBy("name").agg(F.sort_array(F.collect_list(F.struct("ord", "tax_id", "kingdom", "rank"))).alias("rows"))
+    out = matches.join(per, "name")
+    chosen = F.element_at("rows", F.when(F.col("modifier").isNotNull(), -1).otherwise(1))
+    many = (F.size("rows") > 1) & F.col("modifier").isNull()
+    kind = lambda r: F.concat_ws("_", r["kingdom"], F.coalesce(F.col("modifier"), r["rank"], F.lit("no rank")))
+    ids = F.when(many, F.transform("rows", lambda r: r["tax_id"])).otherwise(F.array(chosen["tax_id"]))
+    types = F.when(many, F.transform("rows", kind)).otherwise(F.array(kind(chosen)))
+    return out.withColumn("identifier", ids).withColumn("types", types).withColumn("ambiguous", many).drop("rows")
+
+
 def unigram_matches(toks: DataFrame, lexicon: DataFrame) -> DataFrame:
     keyed = toks.withColumn("name", F.lower(clean_token(F.col("w")))).where("length(name) >= 1")
     return keyed.join(first_by_name(lexicon), "name").select("doc_id", "pos", "start", "name", "tax_id")
@@ -106,7 +137,7 @@ def rule_matches(toks: DataFrame, unigrams: DataFrame, bigrams: DataFrame) -> Da
     """The word rules in their order, one match at most for each token: doc_id, pos, start, name, tax_id, rule.
 
     A word of the lexicon: the pair with the next word; the pair with the next word in the singular; a species
-    or genus word after it; the word alone. A word that only begins some pair's name: that pair or nothing. Any other: its
+    or genus word after it; the word alone. A word that stands anywhere in some pair's name: that pair or nothing. Any other: its
     singular. Every join is by equality with one row per name, so no row multiplies.
     """
     word, after = F.lower(clean_token(F.col("w"))), F.lower(clean_token(F.col("next")))
@@ -114,7 +145,7 @@ def rule_matches(toks: DataFrame, unigrams: DataFrame, bigrams: DataFrame) -> Da
     t = t.withColumn("two_singular", F.concat(F.col("one"), F.lit(" "), F.nullif(latin_singular(after), F.lit(""))))
     t = t.withColumn("one_singular", F.nullif(latin_singular(F.col("one")), F.lit("")))
     uni, bi = first_by_name(unigrams).select("name", "tax_id"), first_by_name(bigrams).select("name", "tax_id")
-    begins = bi.select(F.split("name", " ")[0].alias("one")).distinct().withColumn("begins", F.lit(True))
+    begins = bi.select(F.explode(F.split("name", " ")).alias("one")).distinct().withColumn("begins", F.lit(True))
     for key, lex in (("one", uni), ("two", bi), ("two_singular", bi), ("one_singular", uni)):
         t = t.join(lex.select(F.col("name").alias(key), F.col("tax_id").alias(f"id_{key}")), key, "left")
     t = t.join(begins, "one", "left")

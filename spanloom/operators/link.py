@@ -7,8 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries that go to the tasks at once.
-QUERY_BLOCK = 4096
+#: Queries, and rows that are searched, of a block: a task compares one block of each.
+QUERY_BLOCK, ROW_BLOCK = 2_048, 50_000
 
 
 def char_tfidf(names: DataFrame) -> DataFrame:
@@ -24,23 +24,43 @@ def char_tfidf(names: DataFrame) -> DataFrame:
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """The k nearest vec_ids by inner product for each query, all rows searched exactly, block by block.
+    """The k nearest vec_ids by inner product for each query, all rows searched exactly; of equal scores the least ids.
 
-    Tasks hold QUERY_BLOCK queries at a time and return their own best k; the best of these are taken by query.
+    Queries and rows are dealt to blocks by a hash; every block of queries meets every block of rows in a task of its own, which returns
+    its best k of each query; the best of these are taken by query. Nothing passes through the driver but the two counts.
     """
-    rows = [(r[0], r[1]) for r in queries.select("vec_id", "embedding").toLocalIterator()]
-    out = None
-    for at in range(0, len(rows), QUERY_BLOCK):
-        ids, mat = np.array([r[0] for r in rows[at : at + QUERY_BLOCK]]), np.array([r[1] for r in rows[at : at + QUERY_BLOCK]], np.float64)
-
-        def run(batches, ids=ids, mat=mat):
-            for pdf in batches:
-                if len(pdf):
-                    sims = mat @ np.stack(pdf["embedding"].to_numpy()).astype(np.float64).T
-                    best = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-                    yield pd.DataFrame({"query_id": np.repeat(ids, best.shape[1]), "vec_id": pdf["vec_id"].to_numpy()[best.reshape(-1)], "score": np.take_along_axis(sims, best, 1).reshape(-1)})
-
-        part = vectors.select("vec_id", "embedding").mapInPandas(run, "query_id long, vec_id long, score double")
-        out = part if out is None else out.unionByName(part)
+    qs, vs = queries.select("vec_id", "embedding"), vectors.select("vec_id", "embedding")
+    nq, nv = (max(1, -(-df.count() // size)) for df, size in ((qs, QUERY_BLOCK), (vs, ROW_BLOCK)))
+    block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    qs = qs.select("*", block(nq).alias("qb"), every(nv).alias("vb"))
+    vs = vs.select("*", block(nv).alias("vb"), every(nq).alias("qb"))
+
+    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(a) and len(b):
+            b = b.sort_values("vec_id")
+            rows, ids = np.stack(b["embedding"].to_numpy()).astype(np.float64), b["vec_id"].to_numpy()
+            for i in range(0, len(a), 256):
+                some = a.iloc[i : i + 256]
+                sims = np.stack(some["embedding"].to_numpy()).astype(np.float64) @ rows.T
+                at = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+                out.append(pd.DataFrame({"query_id": np.repeat(some["vec_id"].to_numpy(), at.shape[1]), "vec_id": ids[at.reshape(-1)], "score": np.take_along_axis(sims, at, 1).reshape(-1)}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": float})
+
+    met = qs.groupBy("qb", "vb").cogroup(vs.groupBy("qb", "vb")).applyInPandas(best, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return out.withColumn("rank", rank).where(F.col("rank") <= k)
+    return met.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def hybrid(sparse: DataFrame, dense: DataFrame, k: int, weight: float = 1.0) -> DataFrame:
+    """query_id, id, score, rank: the best k by the sum of sparse score and weight * dense score; a pair that one side lacks has 0 there."""
+    both = sparse.withColumnRenamed("score", "s").join(dense.withColumnRenamed("score", "d"), ["query_id", "id"], "full")
+    scored = both.select("query_id", "id", (F.coalesce("s", F.lit(0.0)) + F.lit(weight) * F.coalesce("d", F.lit(0.0))).alias("score"))
+    return scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.round(F.col("score"), 9).desc(), "id"))).where(F.col("rank") <= k)
+
+
+def sparse_scores(left: DataFrame, right: DataFrame) -> DataFrame:
+    """query_id, id, score: inner products of rows (id, term, weight) that share a term."""
+    q = left.select(F.col("id").alias("query_id"), "term", F.col("weight").alias("w"))
+    return q.join(right.select("id", "term", "weight"), "term").groupBy("query_id", "id").agg(F.sum(F.col("w") * F.col("weight")).alias("score"))

@@ -35,11 +35,59 @@ def benjamini_hochberg(df: DataFrame, by: list[str], p: str = "p_value", pi0: Co
     return raw.withColumn("q_value", F.least(F.lit(1.0), F.min("raw").over(up))).drop("rn", "raw")
 
 
-def storey(df: DataFrame, by: list[str], p: str = "p_value", at: float = 0.85) -> DataFrame:
-    """Storey's q-values; the smoother through all knots, read at the last, is the last knot's estimate."""
-    over = F.avg((F.col(p) >= at).cast("double")).over(Window.partitionBy(*by)) / (1 - at)
-    with_pi0 = df.withColumn("pi0", F.least(F.lit(1.0), over))
-    return benjamini_hochberg(with_pi0, by, p, F.col("pi0"))
+LAMBDAS = tuple(round(0.05 * i, 2) for i in range(18))
+
+
+def storey(df: DataFrame, by: list[str], p: str = "p_value", lambdas: tuple[float, ...] = LAMBDAS, method: str = "smoother", draws: int = 100, seed: int = 5) -> DataFrame:
+    """Storey's q-values, with the share of true nulls ``pi0`` of each group.
+
+    smoother: the spline through all knots, read at the last, is the last knot's estimate. bootstrap: the knot whose estimates over ``draws``
+    resamples of the group are nearest to the least estimate; a resample takes each value a Poisson number of times (from a hash, so reruns agree).
+    """
+    if method not in ("smoother", "bootstrap"):
+        raise ValueError("method must be smoother or bootstrap")
+    group = Window.partitionBy(*by)
+    if method == "smoother":
+        over = F.avg((F.col(p) >= lambdas[-1]).cast("double")).over(group) / (1 - lambdas[-1])
+        return benjamini_hochberg(df.withColumn("pi0", F.least(F.lit(1.0), over)), by, p, F.col("pi0"))
+    at = df.groupBy(*by).agg(*[F.avg((F.col(p) >= x).cast("double")).alias(f"_{i}") for i, x in enumerate(lambdas)])
+    at = at.select(*by, F.array(*[F.col(f"_{i}") / (1 - x) for i, x in enumerate(lambdas)]).alias("whole"))
+    u = uniform(F.lit(seed), F.col("draw"), *[F.col(c) for c in by], F.col("tax_id"))
+    cumulative, term = 0.0, 2.718281828459045**-1
+    times = F.lit(0)
+    for n in range(1, 9):  # a Poisson number with mean one
+        cumulative += term
+        term /= n
+        times = times + (u >= cumulative).cast("int")
+    drawn = df.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("times", times)
+    total = F.greatest(F.lit(1), F.sum("times"))
+    each = drawn.groupBy(*by, "draw").agg(*[(F.sum(F.when(F.col(p) >= x, F.col("times")).otherwise(0)) / total / (1 - x)).alias(f"_{i}") for i, x in enumerate(lambdas)])
+    each = each.join(at, by)
+    errors = each.groupBy(*by).agg(*[F.avg((F.col(f"_{i}") - F.array_min("whole")) ** 2).alias(f"_{i}") for i in range(len(lambdas))])
+    errors = errors.select(*by, F.array(*[F.col(f"_{i}") for i in range(len(lambdas))]).alias("errors"))
+    pi0 = at.join(errors, by).select(*by, F.least(F.lit(1.0), F.element_at("whole", F.array_position("errors", F.array_min("errors")).cast("int"))).alias("pi0"))
+    return benjamini_hochberg(df.join(pi0, by), by, p, F.col("pi0"))
+
+
+def sample_with_replacement(df: DataFrame, key: str, weight: str, k: int, seed: int) -> DataFrame:
+    """draw (1 to k) and a row each, by weight: each draw's number falls into one row's stretch of the running total.
+
+    Rows are bucketed by a hash; a draw picks its bucket by the buckets' totals and then a row in it, so no task orders all rows.
+    """
+    buckets = 64
+    rows = df.where(F.col(weight) > 0).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    upto = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, 0)
+    inner = rows.withColumn("high", F.sum(weight).over(upto("bucket", key))).withColumn("low", F.col("high") - F.col(weight))
+    totals = {r[0]: r[1] for r in rows.groupBy("bucket").agg(F.sum(weight)).collect()}  # 64 at most
+    ends, at = [], 0.0
+    for b in sorted(totals):
+        ends.append((b, at, at + float(totals[b])))
+        at += float(totals[b])
+    spark = df.sparkSession
+    dims = spark.createDataFrame(ends or [(0, 0.0, 0.0)], "bucket int, first double, stop double")
+    draws = spark.range(1, k + 1).select(F.col("id").alias("draw"), (uniform(F.lit(seed), F.col("id")) * F.lit(at)).alias("u"))
+    placed = draws.join(F.broadcast(dims), (F.col("u") >= F.col("first")) & (F.col("u") < F.col("stop"))).select("draw", "bucket", (F.col("u") - F.col("first")).alias("u"))
+    return placed.join(inner, "bucket").where((F.col("u") >= F.col("low")) & (F.col("u") < F.col("high"))).drop("bucket", "u", "low", "high")
 
 
 def weighted_sample(df: DataFrame, key: str, weight: str, k: int, seed: int) -> DataFrame:

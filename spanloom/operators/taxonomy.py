@@ -5,63 +5,132 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def ancestors(edges: DataFrame, ids: DataFrame, depth: int = 30) -> DataFrame:
-    """tax_id, ancestor, distance for every id; self-parents are no edges. One join for each level, until none is left."""
-    edges = edges.where("child <> parent").select("child", "parent")
-    level = ids.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("distance"))
-    out = level
-    for d in range(1, depth + 1):
-        level = level.join(edges, F.col("ancestor") == F.col("child")).select("tax_id", F.col("parent").alias("ancestor"), F.lit(d).alias("distance"))
-        out = out.unionByName(level)
-        if d >= 3 and not level.limit(1).count():
-            break
-    return out
+from spanloom.operators.lineage import cut
+
+#: The depth of each rank, and the ranks that have none of their own.
+RANKS = {
+    "superkingdom": 0.5, "kingdom": 1.0, "subkingdom": 1.5, "phylum": 2.0, "subphylum": 2.5, "class": 3.0, "subclass": 3.5, "order": 4.0, "suborder": 4.5,
+    "superfamily": 4.75, "family": 5.0, "subfamily": 5.5, "genus": 6.0, "subgenus": 6.5, "section": 6.7, "species group": 6.8, "species": 7.0, "subspecies": 7.5, "strain": 8.0,
+}
+ANCHOR_RANKS = ("tribe", "forma", "clade", "no rank")
+
+
+def closure(edges: DataFrame) -> DataFrame:
+    """child, parent, weight -> tax_id, ancestor, distance (1 and more), weight (the product along the way), for any depth.
+
+    Each round doubles the distance that is known, so a lineage of n levels takes log2(n) rounds, each one join of what is known with itself.
+    A lineage that comes back to itself is an error.
+    """
+    known = cut(edges.select(F.col("child").alias("tax_id"), F.col("parent").alias("ancestor"), F.lit(1).alias("distance"), "weight"))
+    reach = 1
+    while True:
+        far = known.where(F.col("distance") == reach).select("tax_id", F.col("ancestor").alias("via"), F.col("weight").alias("w"))
+        more = known.select(F.col("tax_id").alias("via"), "ancestor", (F.col("distance") + reach).alias("distance"), "weight")
+        found = cut(far.join(more, "via").select("tax_id", "ancestor", "distance", (F.col("w") * F.col("weight")).alias("weight")))
+        if not found.limit(1).count():
+            return known
+        if found.where("tax_id = ancestor").limit(1).count():
+            raise ValueError("a lineage comes back to itself")
+        known, reach = known.unionByName(found), 2 * reach
+
+
+def ancestors(edges: DataFrame, ids: DataFrame) -> DataFrame:
+    """tax_id, ancestor, distance for every id, itself first; self-parents are no edges."""
+    far = closure(edges.where("child <> parent").select("child", "parent", F.lit(1.0).alias("weight"))).select("tax_id", "ancestor", "distance")
+    ids = ids.select("tax_id")
+    return ids.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("distance")).unionByName(far.join(ids.distinct(), "tax_id", "left_semi"))
 
 
 def roll_up(nodes: DataFrame, edges: DataFrame, levels: list[str]) -> DataFrame:
-    """Deepest rank first, every taxon adds abundance / number of the parent's children to its parent."""
+    """Deepest rank first, every taxon adds abundance / number of the parent's children to its parent, whatever ranks lie between.
+
+    The top rank adds to nothing. A parent of an equal or deeper rank takes its share and passes nothing on of it; one whose rank is not in levels
+    takes none. So a taxon's share of an ancestor is a product along the way, and the whole is one aggregation.
+    """
+    place = F.create_map(*[x for i, r in enumerate(levels) for x in (F.lit(r), F.lit(i))])  # 0: the deepest
+    known = nodes.select("tax_id", place[F.col("rank")].alias("level")).where("level IS NOT NULL")
     kids = edges.groupBy("parent").agg(F.count(F.lit(1)).alias("kids"))
-    up = edges.join(kids, "parent")
-    done, now = None, None
-    for rank in levels:
-        here = nodes.where(F.col("rank") == rank)
-        if now is not None:
-            here = here.join(now, "tax_id", "left").select("tax_id", "rank", (F.col("abundance") + F.coalesce("more", F.lit(0.0))).alias("abundance"))
-        done = here if done is None else done.unionByName(here)
-        now = here.join(up, F.col("tax_id") == F.col("child")).groupBy(F.col("parent").alias("tax_id")).agg(F.sum(F.col("abundance") / F.col("kids")).alias("more"))
-    return done
+    steps = edges.where("child <> parent").join(kids, "parent").join(known.select(F.col("tax_id").alias("child"), F.col("level").alias("low")), "child")
+    steps = steps.join(known.select(F.col("tax_id").alias("parent"), F.col("level").alias("high")), "parent").where(F.col("low") < len(levels) - 1)
+    steps = steps.select("child", "parent", (1.0 / F.col("kids")).alias("weight"), (F.col("high") > F.col("low")).alias("up"))
+    way = closure(steps.where("up")).select("tax_id", "ancestor", "weight")
+    start = known.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(1.0).alias("weight"))
+    last = start.unionByName(way).join(steps.where("NOT up").select(F.col("child").alias("ancestor"), "parent", F.col("weight").alias("w")), "ancestor")
+    way = way.unionByName(last.select("tax_id", F.col("parent").alias("ancestor"), (F.col("weight") * F.col("w")).alias("weight")))
+    more = way.join(nodes.select("tax_id", "abundance"), "tax_id").groupBy(F.col("ancestor").alias("tax_id")).agg(F.sum(F.col("weight") * F.col("abundance")).alias("more"))
+    return nodes.where(F.col("rank").isin(*levels)).join(more, "tax_id", "left").select("tax_id", "rank", (F.col("abundance") + F.coalesce("more", F.lit(0.0))).alias("abundance"))
 
 
 def attach_root(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Every node's parent; those without a known one hang from 'root'."""
+    """Every node's parent; those without a known one, and those that are their own, hang from 'root'."""
     known = nodes.select(F.col("tax_id").alias("parent"), F.lit(True).alias("known"))
     joined = nodes.join(edges, F.col("tax_id") == F.col("child"), "left").join(known, "parent", "left")
-    return joined.select("tax_id", "rank", F.when(F.col("known"), F.col("parent")).otherwise(F.lit("root")).alias("parent"))
+    return joined.select("tax_id", "rank", F.when(F.col("known") & (F.col("parent") != F.col("tax_id")), F.col("parent")).otherwise(F.lit("root")).alias("parent"))
+
+
+def depth_first(rooted: DataFrame) -> DataFrame:
+    """level from 1 and dfs_order from 0: nodes sorted by the path of names from their top, for any depth."""
+    far = closure(rooted.where("parent <> 'root'").select(F.col("tax_id").alias("child"), "parent", F.lit(1.0).alias("weight")))
+    way = far.select("tax_id", "ancestor", "distance").unionByName(rooted.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("distance")))
+    paths = way.groupBy("tax_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("distance", "ancestor")), asc=False), lambda s: s["ancestor"]).alias("path"))
+    return paths.select("tax_id", F.size("path").alias("level"), (F.row_number().over(Window.orderBy("path")) - 1).alias("dfs_order"))  # one figure's nodes
+
+
+def with_missing(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """tax_id, rank: the nodes, and as 'no rank' every end of an edge that is none of them."""
+    ends = edges.select(F.col("child").alias("tax_id")).union(edges.select("parent")).distinct()
+    return nodes.select("tax_id", "rank").unionByName(ends.join(nodes, "tax_id", "left_anti").select("tax_id", F.lit("no rank").alias("rank")))
+
+
+def rank_values(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """tax_id, rank, rank_value: a rank's depth over the deepest one's; an anchor's is the mean of the nearest ranked ancestor's (else 0)
+    and the nearest ranked descendant's (else 1; of equally near ones the least id's); any other rank has none."""
+    depth = F.create_map(*[x for r, v in RANKS.items() for x in (F.lit(r), F.lit(v / max(RANKS.values())))])
+    valued = nodes.select("tax_id", F.lower("rank").alias("rank")).withColumn("own", depth[F.col("rank")])
+    anchors = valued.where(F.col("rank").isin(*ANCHOR_RANKS)).select("tax_id")
+    ranked = valued.where("own IS NOT NULL").select(F.col("tax_id").alias("other"), "own")
+    far = cut(closure(edges.where("child <> parent").select("child", "parent", F.lit(1.0).alias("weight"))))
+    nearest = lambda own, other, out: (
+        far.select(F.col(own).alias("tax_id"), F.col(other).alias("other"), "distance").join(anchors, "tax_id", "left_semi").join(ranked, "other")
+        .groupBy("tax_id").agg(F.min_by("own", F.struct("distance", "other")).alias(out))
+    )
+    out = valued.join(nearest("tax_id", "ancestor", "above"), "tax_id", "left").join(nearest("ancestor", "tax_id", "below"), "tax_id", "left")
+    anchor = (F.coalesce("above", F.lit(0.0)) + F.coalesce("below", F.lit(1.0))) / 2
+    return out.select("tax_id", "rank", F.when(F.col("own").isNotNull(), F.col("own")).when(F.col("rank").isin(*ANCHOR_RANKS), anchor).alias("rank_value"))
+
+
+def nearest_parent(orphans: DataFrame, nodes: DataFrame) -> DataFrame:
+    """tax_id, parent: the node of smaller radius with the least (difference of radius + difference of angle * radius), angles across 0 as well.
+
+    The nodes of one figure; they go to all tasks only where the optimiser finds them small.
+    """
+    o, n = orphans.select("tax_id", "radius", "angle"), nodes.select(F.col("tax_id").alias("parent"), F.col("radius").alias("r"), F.col("angle").alias("a"))
+    turn = F.abs(F.col("angle") - F.col("a"))
+    apart = (F.col("radius") - F.col("r")) + F.least(turn, 2 * F.pi() - turn) * F.col("radius")
+    return o.join(n, F.col("r") < F.col("radius")).groupBy("tax_id").agg(F.min_by("parent", F.struct(F.round(apart, 9), "parent")).alias("parent"))
 
 
-def depth_first(rooted: DataFrame, depth: int = 6) -> DataFrame:
-    """dfs_order from 0: nodes sorted by the path of names from their top."""
-    paths = rooted.where("parent = 'root'").select("tax_id", F.array("tax_id").alias("path"))
-    out = paths
-    for _ in range(depth):
-        paths = rooted.select(F.col("tax_id").alias("child"), F.col("parent").alias("p")).join(paths, F.col("p") == F.col("tax_id")).select(F.col("child").alias("tax_id"), F.concat("path", F.array("child")).alias("path"))
-        out = out.unionByName(paths)
-    return out.select("tax_id", F.size("path").alias("level"), (F.row_number().over(Window.orderBy("path")) - 1).alias("dfs_order"))
+def legend(ranks: DataFrame) -> DataFrame:
+    """rank, place: ranks from the top, then anchors, then others, by name."""
+    depth = F.create_map(*[x for r, v in RANKS.items() for x in (F.lit(r), F.lit(v))])
+    kind = F.when(depth[F.col("rank")].isNotNull(), 0).when(F.col("rank").isin(*ANCHOR_RANKS), 1).otherwise(2)
+    order = Window.orderBy(kind, F.coalesce(depth[F.col("rank")], F.lit(0.0)), "rank")  # a handful of ranks
+    return ranks.select("rank").distinct().withColumn("place", F.row_number().over(order))
 
 
 def quartile_class(df: DataFrame, value: str) -> DataFrame:
-    """Class 1 to 4 by nearest-rank quartiles: sorted[int(n * q)]."""
-    order, n = F.row_number().over(Window.orderBy(value)) - 1, df.count()
-    at = {int(n * q) for q in (0.25, 0.5, 0.75)}
-    cuts = {r["at"]: r[value] for r in df.withColumn("at", order).where(F.col("at").isin(*at)).collect()} if n else {}
-    q = [cuts[int(n * x)] for x in (0.25, 0.5, 0.75)] if n else [0, 0, 0]
+    """Class 1 to 4 by nearest-rank quartiles: sorted[int(n * q)]. The quartiles are one aggregation over all rows; no task orders them."""
+    n = df.count()
+    if not n:
+        return df.withColumn("quartile", F.lit(4))
+    at = [F.expr(f"percentile_disc({(int(n * q) + 0.5) / n!r}) WITHIN GROUP (ORDER BY {value})") for q in (0.25, 0.5, 0.75)]
+    q = df.agg(*at).first()
     return df.withColumn("quartile", F.when(F.col(value) <= q[0], 1).when(F.col(value) <= q[1], 2).when(F.col(value) <= q[2], 3).otherwise(4))
 
 
-def relevant(nodes: DataFrame, edges: DataFrame, counts: DataFrame, depth: int = 30) -> DataFrame:
+def relevant(nodes: DataFrame, edges: DataFrame, counts: DataFrame) -> DataFrame:
     """Taxa with a count, and their ancestors."""
-    return nodes.join(ancestors(edges, counts.where("n > 0").select("tax_id"), depth).select(F.col("ancestor").alias("tax_id")).distinct(), "tax_id", "left_semi")
+    return nodes.join(ancestors(edges, counts.where("n > 0").select("tax_id")).select(F.col("ancestor").alias("tax_id")).distinct(), "tax_id", "left_semi")
 
 
 def edge_classes(edges: DataFrame, classed: DataFrame) -> DataFrame:

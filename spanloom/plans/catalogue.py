@@ -82,9 +82,7 @@ def word_punct_tokens(spark, sf):
 # ------------------------------------------------------------------ annotator
 @query(f"WITH {_TOK}, {_LEX} SELECT tax_id, name, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, lower({_clean('w')}) AS name FROM tok) JOIN lex USING (name) GROUP BY 1, 2")
 def mention_counts(spark, sf):
-    lex = annotate.unigram_lexicon(t(spark, sf, "benchmark"))
-    toks = t(spark, sf, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("w"), F.lit(0).alias("pos"), F.lit(0).alias("start"))
-    return annotate.unigram_matches(toks, lex).groupBy("tax_id", "name").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("docs"))
+    return annotate.mention_counts(t(spark, sf, "documents"), annotate.unigram_lexicon(t(spark, sf, "benchmark")))
 
 
 @query(f"WITH {_TOK}, {_LEX} SELECT doc_id, pos::INT AS pos, start, name, tax_id FROM (SELECT doc_id, pos, start, lower({_clean('w')}) AS name FROM tok) JOIN lex USING (name)")
@@ -253,20 +251,56 @@ def rank_counts(spark, sf):
     return nodes.join(_counts(spark, sf), "tax_id", "left").select("rank", "tax_id", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query(f"""WITH {_TREE}, k AS (SELECT parent, count(*) AS k FROM ed GROUP BY 1),
-s AS (SELECT tax_id, rank, coalesce(n, 0)::DOUBLE AS a FROM nd LEFT JOIN ct USING (tax_id) WHERE rank = 'species'),
-f AS (SELECT n.tax_id, n.rank, coalesce(sum(a / k), 0) AS a FROM nd n LEFT JOIN ed ON parent = n.tax_id LEFT JOIN s ON s.tax_id = child LEFT JOIN k ON k.parent = n.tax_id WHERE n.rank = 'family' GROUP BY 1, 2),
-r AS (SELECT n.tax_id, n.rank, coalesce(sum(a / k), 0) AS a FROM nd n LEFT JOIN ed ON parent = n.tax_id LEFT JOIN f ON f.tax_id = child LEFT JOIN k ON k.parent = n.tax_id WHERE n.rank = 'superkingdom' GROUP BY 1, 2)
-SELECT tax_id, rank, round(a, 6) AS abundance FROM (SELECT * FROM s UNION ALL SELECT * FROM f UNION ALL SELECT * FROM r)""")
+# a third of the species hang from their superkingdom, so ranks are skipped
+@query(f"""WITH {_TREE}, e2 AS (SELECT child, CASE WHEN child LIKE 'C%' AND substr(child, 2)::BIGINT % 3 = 0 THEN 'R' || (SELECT n_regionkey FROM nation WHERE 'N' || n_nationkey = parent) ELSE parent END AS parent FROM ed),
+k AS (SELECT parent, count(*) AS k FROM e2 GROUP BY 1), s AS (SELECT tax_id, rank, coalesce(n, 0)::DOUBLE AS a FROM nd LEFT JOIN ct USING (tax_id) WHERE rank = 'species'),
+f AS (SELECT n.tax_id, n.rank, coalesce(sum(a / k), 0) AS a FROM nd n LEFT JOIN e2 ON parent = n.tax_id LEFT JOIN s ON s.tax_id = child LEFT JOIN k ON k.parent = n.tax_id WHERE n.rank = 'family' GROUP BY 1, 2),
+b AS (SELECT * FROM s UNION ALL SELECT * FROM f),
+r AS (SELECT n.tax_id, n.rank, coalesce(sum(a / k), 0) AS a FROM nd n LEFT JOIN e2 ON parent = n.tax_id LEFT JOIN b ON b.tax_id = child LEFT JOIN k ON k.parent = n.tax_id WHERE n.rank = 'superkingdom' GROUP BY 1, 2)
+SELECT tax_id, rank, round(a, 6) AS abundance FROM (SELECT * FROM b UNION ALL SELECT * FROM r)""")
 def rank_rollup(spark, sf):
     nodes, edges = _tree(spark, sf)
+    far = t(spark, sf, "nation").select(_key("N", "n_nationkey").alias("parent"), _key("R", "n_regionkey").alias("top"))
+    skips = F.col("child").startswith("C") & (F.try_to_number(F.substring("child", 2, 12), F.lit("999999999999")) % 3 == 0)
+    edges = edges.join(far, "parent", "left").select("child", F.when(skips, F.col("top")).otherwise(F.col("parent")).alias("parent"))
     with_counts = nodes.join(_counts(spark, sf), "tax_id", "left").select("tax_id", "rank", F.coalesce("n", F.lit(0)).cast("double").alias("abundance"))
-    return taxonomy.roll_up(with_counts, edges, ["species", "family", "superkingdom"]).select("tax_id", "rank", F.round("abundance", 6).alias("abundance"))
+    return taxonomy.roll_up(with_counts, edges, ["species", "genus", "family", "order", "superkingdom"]).select("tax_id", "rank", F.round("abundance", 6).alias("abundance"))
 
 
+# every top is its own parent, as in the usual taxonomy dumps
 @query(f"WITH {_TREE} SELECT tax_id, rank, coalesce(parent, 'root') AS parent FROM nd LEFT JOIN ed ON tax_id = child")
 def root_attach(spark, sf):
-    return taxonomy.attach_root(*_tree(spark, sf))
+    nodes, edges = _tree(spark, sf)
+    own = nodes.where("rank = 'superkingdom'").select(F.col("tax_id").alias("child"), F.col("tax_id").alias("parent"))
+    return taxonomy.attach_root(nodes, edges.unionByName(own))
+
+
+@query(f"WITH {_TREE} SELECT tax_id, CASE WHEN tax_id LIKE 'N%' THEN 'no rank' ELSE rank END AS rank FROM nd WHERE tax_id NOT LIKE 'C%' OR tax_id IN (SELECT child FROM ed)")
+def missing_ancestors(spark, sf):
+    nodes, edges = _tree(spark, sf)
+    return taxonomy.with_missing(nodes.where("rank <> 'family'"), edges)
+
+
+@query(f"WITH {_TREE} SELECT tax_id, CASE WHEN rank = 'family' THEN 'clade' ELSE rank END AS rank, round(CASE rank WHEN 'species' THEN 7 / 8.0 WHEN 'superkingdom' THEN 0.5 / 8 ELSE (0.5 / 8 + CASE WHEN tax_id IN (SELECT parent FROM ed) THEN 7 / 8.0 ELSE 1 END) / 2 END, 9) AS rank_value FROM nd")
+def anchor_ranks(spark, sf):
+    nodes, edges = _tree(spark, sf)
+    nodes = nodes.select("tax_id", F.when(F.col("rank") == "family", "clade").otherwise(F.col("rank")).alias("rank"))
+    return taxonomy.rank_values(nodes, edges).select("tax_id", "rank", F.round("rank_value", 9).alias("rank_value"))
+
+
+_ND = "n AS (SELECT 'N' || n_nationkey AS tax_id, (1 + n_nationkey % 4)::DOUBLE AS radius, ((n_nationkey * n_nationkey) % 63) / 10.0::DOUBLE AS angle FROM nation)"
+
+
+@query(f"WITH {_ND}, d AS (SELECT a.tax_id, b.tax_id AS parent, round((a.radius - b.radius) + least(abs(a.angle - b.angle), 2 * pi() - abs(a.angle - b.angle)) * a.radius, 9) AS d FROM n a JOIN n b ON b.radius < a.radius) SELECT tax_id, parent FROM (SELECT *, row_number() OVER (PARTITION BY tax_id ORDER BY d, parent) AS k FROM d) WHERE k = 1")
+def nearest_parents(spark, sf):
+    k = F.col("n_nationkey")
+    n = t(spark, sf, "nation").select(_key("N", "n_nationkey").alias("tax_id"), (1 + k % 4).cast("double").alias("radius"), (k * k % 63 / 10.0).cast("double").alias("angle"))
+    return taxonomy.nearest_parent(n, n)
+
+
+@query("SELECT * FROM (VALUES ('superkingdom', 1), ('family', 2), ('species', 3), ('clade', 4), ('no rank', 5), ('other', 6)) v(rank, place)")
+def legend_order(spark, sf):
+    return taxonomy.legend(spark.createDataFrame([(r,) for r in ("no rank", "other", "species", "family", "clade", "superkingdom", "species")], "rank string"))
 
 
 _DFS = f"""{_TREE}, c AS (SELECT tax_id, [tax_id] AS path FROM nd WHERE rank = 'superkingdom' UNION ALL SELECT child, list_append(path, child) FROM c JOIN ed ON parent = tax_id),
@@ -275,7 +309,7 @@ o AS (SELECT tax_id, len(path)::INT AS level, row_number() OVER (ORDER BY path)
 
 @query(f"WITH RECURSIVE {_DFS} SELECT tax_id, level, dfs_order::INT AS dfs_order FROM o")
 def dfs_order(spark, sf):
-    return taxonomy.depth_first(taxonomy.attach_root(*_tree(spark, sf)), 3)
+    return taxonomy.depth_first(taxonomy.attach_root(*_tree(spark, sf)))
 
 
 @query(f"WITH RECURSIVE {_DFS}, l AS (SELECT tax_id, row_number() OVER (ORDER BY dfs_order) - 1 AS i, count(*) OVER () AS n FROM o WHERE level = 3) SELECT tax_id, round(i * 2 * pi() / n, 6) AS angle, round(8 * cos(i * 2 * pi() / n), 6) AS x, round(8 * sin(i * 2 * pi() / n), 6) AS y FROM l")
@@ -316,9 +350,8 @@ def _front_back(spark, sf):
 @query(f"WITH {_ENR} SELECT rank, tax_id, front_count, background_count, round(ff, 9) AS front_fraction, round(bf, 9) AS background_fraction, ceil(round(bf * tot, 9))::BIGINT AS expected_count, round(ff / greatest(bf, 1e-10), 6) AS enrichment FROM en")
 def enrichment_stats(spark, sf):
     e = stats.enrichment(*_front_back(spark, sf))
-    total = F.sum("front_count").over(Window.partitionBy("rank"))
     return e.select("rank", "tax_id", "front_count", "background_count", F.round("front_fraction", 9).alias("front_fraction"), F.round("background_fraction", 9).alias("background_fraction"),
-                    F.ceil(F.round(F.col("background_fraction") * total, 9)).alias("expected_count"), F.round("enrichment", 6).alias("enrichment"))
+                    "expected_count", F.round("enrichment", 6).alias("enrichment"))
 
 
 def _p_values(spark, sf):
@@ -394,7 +427,7 @@ def _singular(w: str) -> str:
 
 @query(f"""WITH {_TOK}, {_LEX}, {_BIG}, a AS (SELECT doc_id, pos, start, next, lower({_clean('w')}) AS one, lower({_clean('next')}) AS nx FROM tok),
 b AS (SELECT *, one || ' ' || nx AS two, one || ' ' || {_singular('nx')} AS two_s, {_singular('one')} AS one_s FROM a WHERE length(one) >= 1),
-g AS (SELECT DISTINCT string_split(name, ' ')[1] AS one FROM big),
+g AS (SELECT DISTINCT unnest(string_split(name, ' ')) AS one FROM big),
 m AS (SELECT b.*, l1.tax_id AS i1, b1.tax_id AS i2, b2.tax_id AS i3, l2.tax_id AS i4, g.one IS NOT NULL AS begins FROM b LEFT JOIN lex l1 ON l1.name = b.one LEFT JOIN big b1 ON b1.name = two LEFT JOIN big b2 ON b2.name = two_s LEFT JOIN lex l2 ON l2.name = one_s LEFT JOIN g ON g.one = b.one),
 r AS (SELECT *, CASE WHEN i1 IS NOT NULL THEN CASE WHEN i2 IS NOT NULL THEN 'pair' WHEN i3 IS NOT NULL THEN 'pair in the singular' WHEN lower(next) IN ('sp', 'spp', 'sp.', 'spp.') THEN 'species word' WHEN lower(next) IN ('genus', 'gen', 'gen.') THEN 'genus word' ELSE 'word' END
  WHEN begins AND next IS NOT NULL THEN CASE WHEN i2 IS NOT NULL THEN 'pair of an unlisted word' END WHEN i4 IS NOT NULL THEN 'word in the singular' END AS rule FROM m)
@@ -486,3 +519,45 @@ def taxa_per_document(spark, sf):
     m = t(spark, sf, "lineitem").join(t(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
     taxa = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "p_partkey", "p_name"))), lambda s: s["p_name"])
     return m.groupBy(F.col("l_orderkey").alias("doc_id")).agg(taxa.alias("taxa")).select("doc_id", F.array_join("taxa", "|").alias("taxa"), F.size(F.array_distinct("taxa")).alias("n"))
+
+
+# ------------------------------------------------------------------ ambiguous names, hybrid scores, small functions
+@query("""WITH l AS (SELECT p_name AS name, list(p_partkey ORDER BY p_partkey) AS ids, list(p_type || '_' || p_brand ORDER BY p_partkey) AS kinds, list(p_type ORDER BY p_partkey) AS tops FROM part GROUP BY 1),
+m AS (SELECT DISTINCT p_name AS name, CASE WHEN length(p_name) % 3 = 0 THEN 'species' END AS modifier FROM part)
+SELECT name, modifier, CASE WHEN len(ids) > 1 AND modifier IS NULL THEN array_to_string(ids, ',') WHEN modifier IS NULL THEN ids[1]::VARCHAR ELSE ids[len(ids)]::VARCHAR END AS identifier,
+ CASE WHEN modifier IS NULL THEN array_to_string(kinds, ',') ELSE tops[len(tops)] || '_species' END AS types, len(ids) > 1 AND modifier IS NULL AS ambiguous FROM l JOIN m USING (name)""")
+def ambiguous_identifiers(spark, sf):
+    p = t(spark, sf, "part")
+    lexicon = p.select(F.col("p_name").alias("name"), F.col("p_partkey").alias("tax_id"), F.col("p_type").alias("kingdom"), F.col("p_brand").alias("rank"), F.col("p_partkey").alias("ord"))
+    matches = p.select(F.col("p_name").alias("name"), F.when(F.length("p_name") % 3 == 0, "species").alias("modifier")).distinct()
+    out = annotate.identify(matches, lexicon)
+    return out.select("name", "modifier", F.array_join(F.col("identifier").cast("array<string>"), ",").alias("identifier"), F.array_join("types", ",").alias("types"), "ambiguous")
+
+
+@query("""WITH nm AS (SELECT p_name AS name, min(p_partkey) AS id, min(p_size) AS size FROM part GROUP BY 1), g AS (SELECT id, unnest(list_concat(string_split(name, ''), list_transform(range(1, length(name)), lambda x: substr(name, x, 2)))) AS term FROM nm),
+tf AS (SELECT id, term, count(*) AS tf FROM g GROUP BY 1, 2), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), r AS (SELECT id, term, tf * (ln((1.0 + (SELECT count(*) FROM nm)) / (1 + df)) + 1) AS raw FROM tf JOIN df USING (term)),
+w AS (SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS weight FROM r),
+s AS (SELECT a.id AS query_id, b.id, sum(a.weight * b.weight) AS s FROM w a JOIN w b USING (term) WHERE a.id % 100 = 0 GROUP BY 1, 2),
+d AS (SELECT a.id AS query_id, b.id, 1.0 / (1 + a.size) AS d FROM nm a JOIN nm b USING (size) WHERE a.id % 100 = 0),
+h AS (SELECT query_id, id, coalesce(s, 0) + 0.5 * coalesce(d, 0) AS score FROM s FULL JOIN d USING (query_id, id))
+SELECT query_id, id, round(score, 6) AS score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM h) WHERE rank <= 5""")
+def sparse_dense_topk(spark, sf):
+    names = t(spark, sf, "part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("id"), F.min("p_size").alias("size"))
+    weights = link.char_tfidf(names.select("id", "name"))
+    sparse = link.sparse_scores(weights.where("id % 100 = 0"), weights)
+    few, all_ = names.where("id % 100 = 0").select(F.col("id").alias("query_id"), "size"), names.select("id", "size")
+    dense = few.join(all_, "size").select("query_id", "id", (1.0 / (1 + F.col("size"))).alias("score"))
+    return link.hybrid(sparse, dense, 5, 0.5).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
+@query("""SELECT conv_id, turn, length(text) >= 6 AND text NOT IN ('', ' ') AS kept, upper(substr(role, 1, 1)) || substr(role, 2) || ' turn' AS title,
+ CASE WHEN turn % 2 = 0 THEN 'role=' || role || ';turn=' || turn ELSE 'role=' || role END AS infons, round(CASE WHEN d > 90 AND d < 270 THEN d + 180 ELSE d END, 6) AS rotation, 8 + 0.3 * (turn % 3) AS distance
+ FROM (SELECT *, (turn * 37 % 360)::DOUBLE AS d FROM conversations) WHERE text IS NOT NULL AND role IS NOT NULL""")
+def passage_helpers(spark, sf):
+    c = t(spark, sf, "conversations").where("text IS NOT NULL AND role IS NOT NULL")
+    rotation, distance = tx.label_place(F.col("turn") * 37 % 360 * F.pi() / 180, F.lit(8.0), F.col("turn"))
+    shown = tx.infons(role=F.col("role"), turn=F.when(F.col("turn") % 2 == 0, F.col("turn")))
+    return c.select(
+        "conv_id", "turn", tx.kept_passage(F.col("text"), 6).alias("kept"), tx.capitalised(F.col("role"), F.lit("turn")).alias("title"),
+        F.array_join(F.transform(F.map_entries(shown), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("infons"), F.round(rotation, 6).alias("rotation"), distance.alias("distance"),
+    )

@@ -2,8 +2,14 @@
 
 import json
 import math
+import random
 
-from spanloom.operators import stats
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from spanloom.functions import text as tx
+from spanloom.operators import annotate, link, model, stats, taxonomy
 from spanloom.sources import files
 from spanloom.streaming.incremental import annotate_new_files
 
@@ -60,3 +66,105 @@ def test_stream_sees_each_file_once(spark, tmp_path):
         annotate_new_files(spark, str(src), str(out), str(ck), lambda p: p.select("doc_id", "passage_no")).awaitTermination(60)
     rows = [tuple(r) for r in spark.read.parquet(str(out)).select("doc_id", "passage_no").collect()]
     assert sorted(rows) == [("D1", 0), ("D1", 1), ("D2", 0), ("D2", 1)]
+
+
+def test_lineages_of_any_depth_and_of_none(spark):
+    deep = spark.createDataFrame([(f"n{i:02d}", f"n{i + 1:02d}") for i in range(60)] + [("n60", "n60")], "child string, parent string")
+    got = taxonomy.ancestors(deep, spark.createDataFrame([("n00",), ("n59",), ("alone",)], "tax_id string")).collect()
+    assert sorted(r["distance"] for r in got if r["tax_id"] == "n00") == list(range(61)) and sum(r["tax_id"] == "alone" for r in got) == 1
+    order = taxonomy.depth_first(taxonomy.attach_root(spark.createDataFrame([(f"n{i:02d}", "x") for i in range(61)], "tax_id string, rank string"), deep)).collect()
+    assert {r["tax_id"]: r["dfs_order"] for r in order} == {f"n{60 - i:02d}": i for i in range(61)}
+    with pytest.raises(ValueError):
+        taxonomy.ancestors(spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], deep.schema), spark.createDataFrame([("a",)], "tax_id string"))
+
+
+def test_roll_up_passes_over_ranks_that_are_not_there(spark):
+    nodes = spark.createDataFrame([("s1", "species", 8.0), ("s2", "species", 4.0), ("g", "genus", 1.0), ("f", "family", 0.0), ("x", "clade", 5.0), ("k", "superkingdom", 0.0)], "tax_id string, rank string, abundance double")
+    edges = spark.createDataFrame([("s1", "g"), ("g", "f"), ("s2", "f"), ("f", "k"), ("x", "k"), ("k", "k")], "child string, parent string")
+    got = {r[0]: r[2] for r in taxonomy.roll_up(nodes, edges, ["species", "genus", "family", "superkingdom"]).collect()}
+    assert got == {"s1": 8, "s2": 4, "g": 9, "f": 9 / 2 + 4 / 2, "k": pytest.approx((9 / 2 + 2) / 3)}
+
+
+def test_quartiles_equal_the_sorted_list(spark):
+    for values in ([5], [3, 1], [1, 1, 1, 9], [random.Random(4).randint(0, 30) for _ in range(101)]):
+        order = sorted(values)
+        q = [order[int(len(order) * x)] for x in (0.25, 0.5, 0.75)]
+        got = taxonomy.quartile_class(spark.createDataFrame([(v,) for v in values], "v int"), "v").collect()
+        assert all(r["quartile"] == next((i + 1 for i in range(3) if r["v"] <= q[i]), 4) for r in got)
+
+
+def test_tokens_equal_a_plain_loop_without_a_shuffle(spark):
+    texts = ["", "a", " a", "a  b ", "x\ty z", "é 中 \U0001f600 end", None, " ".join("w" * (i % 7) for i in range(3000))]
+    d = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, at int")
+    toks = annotate.tokens(d, "at")
+    assert "Exchange" not in toks._jdf.queryExecution().executedPlan().toString()
+    want = []
+    for i, text in enumerate(texts):
+        at, words = i, [] if text is None else text.split(" ")
+        for k, w in enumerate(words):
+            want.append((i, k, w, at, words[k + 1] if k + 1 < len(words) else None))
+            at += len(w) + 1
+    assert sorted(tuple(r) for r in toks.select("doc_id", "pos", "w", "start", "next").collect()) == sorted(want)
+
+
+def test_top_k_over_many_blocks_and_ties(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(120)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(link, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(link, "ROW_BLOCK", 30)
+    got = {}
+    for r in link.top_k(e, e.where("vec_id % 10 = 0"), 4).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    for q in range(0, 120, 10):
+        best = sorted(rows, key=lambda r: (-sum(a * b for a, b in zip(r[1], rows[q][1])), r[0]))[:4]
+        assert [got[q][k] for k in range(1, 5)] == [r[0] for r in best]
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[-1]))
+        row = new
+    return row[-1]
+
+
+def test_edit_ratio_and_headings(spark):
+    pairs = [("", ""), ("a", ""), ("methods", "method"), ("kitten", "sitting"), ("abcbdab", "bdcaba"), ("é中x", "xé中")]
+    got = spark.createDataFrame(pairs, "a string, b string").select("a", "b", tx.edit_ratio(F.col("a"), F.col("b")).alias("r")).collect()
+    assert all(r["r"] == (100 if not r["a"] + r["b"] else round(200 * lcs(r["a"], r["b"]) / len(r["a"] + r["b"]))) for r in got)
+    terms = spark.createDataFrame([("methods section", "materials", 1), ("methods section", "methods", 2), ("results section", "results", 3)], "term string, name string, ord int")
+    heads = spark.createDataFrame([("Materials and Methods",), ("2. Result",), ("Thoughts",), ("Results & Methods",)], "heading string")
+    found = sorted(tuple(r) for r in model.match_headings(heads, terms).collect())
+    assert found == [("2. Result", "results section"), ("Materials and Methods", "methods section"), ("Results & Methods", "methods section"), ("Results & Methods", "results section"), ("Thoughts", "document part")]
+
+
+def test_model_spans_over_windows(spark):
+    text = " ".join(f"w{i}" for i in range(40)) + " Big Name tail"
+    d = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "Big Name end")], "doc_id long, text string")
+    predict = lambda windows: [[1 if w == "Big" else 0 if w == "tail" or w == "end" else 2 for w in ws] for ws in windows]
+    lexicon = spark.createDataFrame([("big name", "T1", 1)], "name string, tax_id string, ord int")
+    got = {r["doc_id"]: r for r in model.recognise(d, predict, lexicon, size=10, stride=3).collect()}
+    assert set(got) == {1, 4} and got[1]["mention"] == "Big Name" and got[1]["tax_id"] == "T1" and text[got[1]["start"] :][: got[1]["length"]] == "Big Name"
+    with pytest.raises(TypeError):
+        model.recognise(d, "none")
+
+
+def test_draws_with_replacement_follow_the_weights(spark):
+    df = spark.createDataFrame([("a", 6.0), ("b", 3.0), ("c", 1.0), ("d", 0.0)], "key string, w double")
+    rows = stats.sample_with_replacement(df, "key", "w", 2000, 3).collect()
+    share = {k: sum(r["key"] == k for r in rows) / 2000 for k in "abcd"}
+    assert sorted(r["draw"] for r in rows) == list(range(1, 2001)) and share["d"] == 0
+    assert abs(share["a"] - 0.6) < 0.04 and abs(share["b"] - 0.3) < 0.04
+
+
+def test_storey_bootstrap(spark):
+    rng = np.random.default_rng(0)
+    p = np.concatenate([rng.random(300), rng.random(100) * 0.01])
+    df = spark.createDataFrame([("g", f"t{i}", float(x)) for i, x in enumerate(p)], "rank string, tax_id string, p_value double")
+    got = stats.storey(df, ["rank"], method="bootstrap").collect()
+    assert 0.6 < got[0]["pi0"] <= 1 and all(r["q_value"] <= 1 for r in got)
+    with pytest.raises(ValueError):
+        stats.storey(df, ["rank"], method="other")
