@@ -238,11 +238,11 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     smallest of smaller ones, until nothing changes; each round is a minimum and a join by node.
     """
     edges = staged(spark, links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
-    mark = None
+    mark, total = None, 2 * max(1, edges.count())
     while True:
         both = edges.select(F.col("hi").alias("n"), F.col("lo").alias("x")).unionByName(edges.select(F.col("lo").alias("n"), F.col("hi").alias("x")))
-        low = both.groupBy("n").agg(F.least(F.min("x"), F.col("n")).alias("m"))
-        large = both.where("x > n").join(low, "n").select(F.col("x").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct()
+        low = both.groupBy("n").agg(F.least(F.min("x"), F.col("n")).alias("m"), F.count(F.lit(1)).alias("c"))
+        large = lookup(both.where("x > n"), low, ["n"], "c", total).select(F.col("x").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").distinct()
         low2 = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = (
             large.join(low2, "hi")
@@ -253,7 +253,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         )
         new = staged(spark, small)
         now = new.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        edges, changed, mark = new, now != mark, now
+        edges, changed, mark, total = new, now != mark, now, 2 * max(1, now[0])
         if not changed:
             return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
 
@@ -273,8 +273,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
         sig.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")),
     )
     bands = reps.select("rep", F.posexplode("bands").alias("band", "key"))
-    centres = bands.groupBy("band", "key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1").drop("size")
-    pairs = staged(spark, bands.join(centres, ["band", "key"]))
+    centres = bands.groupBy("band", "key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    pairs = staged(spark, lookup(bands, staged(spark, centres), ["band", "key"], "size", max(1, BANDS * reps.count())).select("band", "key", "rep", "centre"))
     wanted = pairs.select(F.col("rep").alias("__rep")).distinct()
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = ids.join(wanted.hint("merge"), F.col("doc_id") == F.col("__rep"), "left_semi")
