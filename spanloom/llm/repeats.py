@@ -12,7 +12,7 @@ All segments of an anchor come to one task, which indexes some thousand segments
 next rank), with samples at the ends of each run of ranks whose next 50 bytes agree: the two ranks and the smallest document. The
 segments then stream through it backwards, all in step: a step finds the run of each rank, moves on, and, from the
 fiftieth byte on, reads whether the match with a smaller document reaches 50 bytes (the matching statistic, cut
-at 50). Everything compares bytes by order, none by hash.
+at 50). Within an index bytes are compared by their order; that two segments are equal is told by their anchor and a second 64-bit hash.
 
 An anchor with more than LARGE different segments (a phrase that very many documents continue differently) is
 no group of one task: its windows are aggregated one by one, partly before the shuffle.
