@@ -24,6 +24,8 @@ SAMPLE, EPOCHS, RATE, RARE = 1500, 8, 0.01, 0.3
 WINDOW, STEP = 32, 24
 SLOTS, GRAMS, WORD, CHAR, HIDDEN, ASK = 1 << 16, 1 << 13, 12, 12, 16, 8
 FOLDS, HELD = 5, 0
+#: Words that are hashed at once.
+HASHED = 1 << 16
 _PLAIN = bytes.maketrans((string.ascii_uppercase + string.punctuation).encode(), (string.ascii_lowercase + " " * len(string.punctuation)).encode())
 
 
@@ -36,7 +38,11 @@ class Words:
         raw = np.frombuffer(b" " + b" ".join(raws) + b" ", np.uint8)
         start, end = word_bounds(raw)
         self.count = np.diff(np.searchsorted(start, np.cumsum([0] + [len(r) + 1 for r in raws])[1:]), prepend=0)
-        key, first, self.which = np.unique(range_hash(prefix_hash(raw), start, end), return_index=True, return_inverse=True)
+        hashes = [np.zeros(0, np.uint64)]
+        for i in range(0, len(start), HASHED):
+            a, b = start[i : i + HASHED], end[i : i + HASHED]
+            hashes.append(range_hash(prefix_hash(raw[a[0] : b[-1]]), a - a[0], b - a[0]))
+        key, first, self.which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
         self.slot = (key % np.uint64(SLOTS)).astype(np.int64)
         start, self.n = start[first], (end - start)[first]
         at = np.repeat(start - (np.cumsum(self.n) - self.n), self.n) + np.arange(self.n.sum())
