@@ -67,6 +67,25 @@ def test_quality_rules(spark, docs):
     assert got[1]["kept"] and not got[8]["kept"]
 
 
+def test_rules_recover_simulated_accuracies():
+    """Votes of either side, as the model has them: the accuracies within the bounds and the share come back."""
+    rng = np.random.default_rng(0)
+    n, k = 40_000, len(quality_rules.RULES)
+    kind = np.array([0] * (k - quality_rules.GOOD - quality_rules.SEVERE) + [1] * quality_rules.SEVERE + [2] * quality_rules.GOOD)
+    right = np.where(kind == 0, rng.uniform(0.65, 0.95, k), np.where(kind == 1, 0.97, 0.55))
+    good = rng.random(n) < 0.75
+    side = np.where(good, 1, -1)[:, None] * np.where(rng.random((n, k)) < right, 1, -1)
+    votes = side * (rng.random((n, k)) < 0.4)
+    model = quality_rules.fit(Counter(quality_rules.pattern_of(list(v)) for v in votes))
+    assert np.abs(model["accuracy"] - right).max() < 0.03 and abs(model["share"] - 0.75) < 0.02
+    assert ((quality_rules.posterior(model, votes) >= 0.5) == good).mean() > 0.95
+
+
+def test_symbols_of_the_contract():
+    text = "#a *b $c %d &e |f <g> plain - = + @"
+    assert quality_rules.measure(text)[0][2] == 8 and quality_rules.measure(None)[0] == [0, 0, 0, 0, 0]
+
+
 def test_packing_round_trip(spark, docs):
     rows = packing.pack(docs).collect()
     encode = packing.encoder()
