@@ -147,3 +147,22 @@ def infons(**fields: Column) -> Column:
 def fix_typos(words: Column, known: Column) -> Column:
     """Each word of an array by the map ``known``, or itself."""
     return F.transform(words, lambda w: F.coalesce(F.try_element_at(known, w), w))
+
+
+def unescape(s: Column) -> Column:
+    """Written escapes (backslash, u, four hex digits) as their characters, two surrogates as one; a lone surrogate stays as it is written."""
+    pair, one = "\\\\u[dD][89abAB][0-9a-fA-F]{2}\\\\u[dD][c-fC-F][0-9a-fA-F]{2}", "\\\\u(?![dD][89a-fA-F])[0-9a-fA-F]{4}"
+    parts = F.regexp_extract_all(s, F.lit(f"{pair}|{one}|[^\\\\]+|\\\\"), F.lit(0))
+    read = lambda p: F.when(p.startswith("\\u"), F.decode(F.unhex(F.replace(p, F.lit("\\u"), F.lit(""))), "UTF-16BE")).otherwise(p)
+    return F.when(s.contains("\\u"), F.array_join(F.transform(parts, read), "")).otherwise(s)
+
+
+def fix_mojibake(s: Column) -> Column:
+    """UTF-8 that was read as Latin-1 is read again; where that fails, the UTF-8 bytes are read as Latin-1.
+
+    The second step never fails, so no other is needed; it turns sound text outside ASCII into the very thing that the first one mends.
+    Use it on columns that are known to be damaged.
+    """
+    again = F.try_validate_utf8(F.encode(s, "ISO-8859-1").cast("string"))
+    other = F.decode(F.encode(s, "UTF-8"), "ISO-8859-1")
+    return F.when(s.rlike("^[\\x00-\\xff]*$"), F.coalesce(again, other)).otherwise(other)

@@ -133,8 +133,8 @@ SPECIES_WORDS = ["sp", "spp", "sp.", "spp."]
 GENUS_WORDS = ["genus", "gen", "gen."]
 
 
-def rule_matches(toks: DataFrame, unigrams: DataFrame, bigrams: DataFrame) -> DataFrame:
-    """The word rules in their order, one match at most for each token: doc_id, pos, start, name, tax_id, rule.
+def rule_matches(toks: DataFrame, unigrams: DataFrame, bigrams: DataFrame, words: bool = False) -> DataFrame:
+    """The word rules in their order, one match at most for each token: doc_id, pos, start, name, tax_id, rule, and with ``words`` w and next.
 
     A word of the lexicon: the pair with the next word; the pair with the next word in the singular; a species
     or genus word after it; the word alone. A word that stands anywhere in some pair's name: that pair or nothing. Any other: its
@@ -158,4 +158,4 @@ def rule_matches(toks: DataFrame, unigrams: DataFrame, bigrams: DataFrame) -> Da
     )
     by = lambda a, b, c, d: F.when(F.col("rule").startswith("pair in"), F.col(c)).when(F.col("rule").startswith("pair"), F.col(b)).when(F.col("rule") == "word in the singular", F.col(d)).otherwise(F.col(a))
     out = t.withColumn("rule", rule).where("rule IS NOT NULL")
-    return out.select("doc_id", "pos", "start", by("one", "two", "two_singular", "one_singular").alias("name"), by("id_one", "id_two", "id_two_singular", "id_one_singular").alias("tax_id"), "rule")
+    return out.select("doc_id", "pos", "start", by("one", "two", "two_singular", "one_singular").alias("name"), by("id_one", "id_two", "id_two_singular", "id_one_singular").alias("tax_id"), "rule", *(["w", "next"] if words else []))

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Fixed value: the one name whose span is known to end a letter early.
+SPLIT_NAME = "Escherichia. col"
+
+
 def _end() -> Column:
     return F.col("start") + F.col("length")
 
@@ -31,20 +35,33 @@ def merge_overlapping(spans: DataFrame) -> DataFrame:
 
 def repair(spans: DataFrame) -> DataFrame:
     """Repairs of a span against its ``passage``: an open parenthesis before it, initials, what trails it,
-    ' genus' after it and 'sp.' words that follow. Adds text; rows of author initials go."""
+    ' genus' after it and 'sp.' words that follow. Sets text; rows of author initials go.
+
+    With a column text (the mention as it was matched), spans that read like their text only take the last two repairs, and one that lost two
+    parentheses inside it grows by them.
+    """
     cut: Column = F.expr("substring(passage, start + 1, length)")
     out = spans.withColumn("s", cut)
+    out = out.withColumn("differs", (F.col("text") != F.col("s")) if "text" in spans.columns else F.lit(True))
+    plus = lambda when, n, col: F.when(F.col("differs") & when, F.col(col) + n).otherwise(F.col(col))
+    short = lambda pattern: F.when(F.col("differs"), F.length(F.regexp_replace("s", pattern, ""))).otherwise(F.col("length"))
     open_ = F.col("s").startswith("(") & ~F.col("s").contains(")")
-    out = out.withColumn("start", F.when(open_, F.col("start") + 1).otherwise(F.col("start"))).withColumn("length", F.when(open_, F.col("length") - 1).otherwise(F.col("length")))
-    out = out.where(~F.substring("s", 2, 2).isin(", ", ".,")).withColumn("s", cut)
-    out = out.withColumn("length", F.length(F.regexp_replace("s", "[ (,)]+(genu|associate).*$", ""))).withColumn("s", cut)
-    out = out.withColumn("length", F.length(F.regexp_replace("s", "[., ]+$", ""))).withColumn("s", cut)
+    if "text" in spans.columns:
+        wide = F.expr("substring(passage, start + 1, length + 2)")
+        lost = F.col("s").contains("(") & F.col("s").contains(")") & (F.translate(wide, "()", "") == F.col("text"))
+        twice = lost & wide.startswith("(") & (F.length(F.translate(wide, "(", "")) < F.length(wide) - 1)
+        out = out.withColumn("lost", lost).withColumn("twice", twice).withColumn("length", plus(F.col("lost"), 2, "length")).withColumn("start", plus(F.col("twice"), 1, "start")).drop("lost", "twice")
+    out = out.withColumn("start", plus(open_, 1, "start")).withColumn("length", plus(open_, -1, "length"))
+    out = out.where(~(F.col("differs") & F.substring("s", 2, 2).isin(", ", ".,"))).withColumn("s", cut)
+    out = out.withColumn("length", short("[ (,)]+(genu|associate).*$")).withColumn("s", cut)
+    out = out.withColumn("length", short("[., ]+$")).withColumn("s", cut)
+    out = out.withColumn("length", plus(F.col("s") == SPLIT_NAME, 1, "length"))
     follows = F.regexp_extract(F.expr("substring(passage, start + length + 1, 6)"), "^( (spp|sp)[.]?)( |$)", 1)
     out = out.withColumn("length", F.col("length") + F.length(follows)).withColumn("s", cut)
     out = out.withColumn("length", F.length(F.regexp_replace("s", "(?i) genus$", ""))).withColumn("s", cut)
     lead = F.lower("s").startswith("genus ")
     out = out.withColumn("start", F.when(lead, F.col("start") + 6).otherwise(F.col("start"))).withColumn("length", F.when(lead, F.col("length") - 6).otherwise(F.col("length")))
-    return out.withColumn("text", cut).drop("s", "passage").where("length > 0")
+    return out.withColumn("text", cut).drop("s", "passage", "differs").where("length > 0")
 
 
 def decode_labels(pieces: DataFrame) -> DataFrame:

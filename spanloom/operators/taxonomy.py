@@ -110,6 +110,44 @@ def nearest_parent(orphans: DataFrame, nodes: DataFrame) -> DataFrame:
     return o.join(n, F.col("r") < F.col("radius")).groupBy("tax_id").agg(F.min_by("parent", F.struct(F.round(apart, 9), "parent")).alias("parent"))
 
 
+def layout(rooted: DataFrame, radii: DataFrame) -> DataFrame:
+    """tax_id, angle, radius, x, y of a tree (tax_id, parent) with radii (tax_id, radius): leaves stand around the circle in depth-first order,
+    any other node midway between its outermost children, across angle 0 where these are more than half a turn apart.
+
+    One aggregation a level, from the deepest up.
+    """
+    order = cut(depth_first(rooted).join(rooted.select("tax_id", "parent"), "tax_id"))
+    leaves = order.join(order.select(F.col("parent").alias("tax_id")).distinct(), "tax_id", "left_anti")
+    n, deepest = leaves.count(), order.agg(F.max("level")).first()[0] or 0
+    at = (F.row_number().over(Window.orderBy("dfs_order")) - 1) * 2 * F.pi() / n  # the leaves of one figure
+    done = cut(leaves.select("tax_id", "parent", "level", at.alias("angle")))
+    a = F.col("angle")
+    turned = F.when(a > F.pi(), a - 2 * F.pi()).otherwise(a)
+    for level in range(deepest, 1, -1):
+        ends = done.where(F.col("level") == level).groupBy(F.col("parent").alias("tax_id")).agg(F.min(a).alias("lo"), F.max(a).alias("hi"), F.min(turned).alias("tlo"), F.max(turned).alias("thi"))
+        across = F.col("hi") - F.col("lo") > F.pi()
+        mid = F.when(across, (F.col("tlo") + F.col("thi")) / 2).otherwise((F.col("lo") + F.col("hi")) / 2)
+        inner = ends.select("tax_id", F.when(mid < 0, mid + 2 * F.pi()).otherwise(mid).alias("angle")).join(order.select("tax_id", "parent", "level"), "tax_id")
+        done = cut(done.unionByName(inner))
+    return _placed(done.select("tax_id", "angle").join(radii.select("tax_id", "radius"), "tax_id"))
+
+
+def reuse_layout(nodes: DataFrame, edges: DataFrame, master: DataFrame) -> DataFrame:
+    """tax_id, angle, radius, x, y of nodes (tax_id, radius): as in ``master``; others stand 0.1 beyond their parent's angle for every step to the
+    nearest placed ancestor, at their own radius or, if that is null, 0.1 a step beyond that ancestor's. A node without a placed ancestor has no row."""
+    had = nodes.select("tax_id").join(master.select("tax_id", "angle", "radius"), "tax_id")
+    new = nodes.select("tax_id", "radius").join(master, "tax_id", "left_anti")
+    way = ancestors(edges, new).where("distance > 0")
+    near = way.join(master.select(F.col("tax_id").alias("ancestor"), "angle", F.col("radius").alias("r")), "ancestor").groupBy("tax_id").agg(F.min_by(F.struct("distance", "angle", "r"), F.struct("distance", "ancestor")).alias("p"))
+    step = F.col("p.distance") * 0.1
+    put = new.join(near, "tax_id").select("tax_id", (F.col("p.angle") + step).alias("angle"), F.coalesce("radius", F.col("p.r") + step).alias("radius"))
+    return _placed(had.unionByName(put))
+
+
+def _placed(polar: DataFrame) -> DataFrame:
+    return polar.select("tax_id", "angle", "radius", (F.col("radius") * F.cos("angle")).alias("x"), (F.col("radius") * F.sin("angle")).alias("y"))
+
+
 def legend(ranks: DataFrame) -> DataFrame:
     """rank, place: ranks from the top, then anchors, then others, by name."""
     depth = F.create_map(*[x for r, v in RANKS.items() for x in (F.lit(r), F.lit(v))])

@@ -320,6 +320,22 @@ def leaf_angles(spark, sf):
     return leaves.withColumn("a", angle).select("tax_id", F.round("a", 6).alias("angle"), F.round(8 * F.cos("a"), 6).alias("x"), F.round(8 * F.sin("a"), 6).alias("y"))
 
 
+@query(f"""WITH RECURSIVE {_DFS}, l0 AS (SELECT tax_id, level FROM o WHERE tax_id NOT IN (SELECT parent FROM ed)), l AS (SELECT tax_id, row_number() OVER (ORDER BY dfs_order) - 1 AS i, count(*) OVER () AS n FROM o WHERE tax_id IN (SELECT tax_id FROM l0)),
+la AS (SELECT tax_id, i * 2 * pi() / n AS a FROM l), f0 AS (SELECT parent AS tax_id, a FROM la JOIN ed ON tax_id = child WHERE child LIKE 'C%'),
+f1 AS (SELECT tax_id, min(a) AS lo, max(a) AS hi, min(CASE WHEN a > pi() THEN a - 2 * pi() ELSE a END) AS tlo, max(CASE WHEN a > pi() THEN a - 2 * pi() ELSE a END) AS thi FROM f0 GROUP BY 1),
+f AS (SELECT tax_id, CASE WHEN hi - lo > pi() THEN (tlo + thi) / 2 + CASE WHEN tlo + thi < 0 THEN 2 * pi() ELSE 0 END ELSE (lo + hi) / 2 END AS a FROM f1),
+g0 AS (SELECT parent AS tax_id, a FROM (SELECT * FROM f UNION ALL SELECT * FROM la WHERE tax_id LIKE 'N%') x JOIN ed ON x.tax_id = child),
+g1 AS (SELECT tax_id, min(a) AS lo, max(a) AS hi, min(CASE WHEN a > pi() THEN a - 2 * pi() ELSE a END) AS tlo, max(CASE WHEN a > pi() THEN a - 2 * pi() ELSE a END) AS thi FROM g0 GROUP BY 1),
+g AS (SELECT tax_id, CASE WHEN hi - lo > pi() THEN (tlo + thi) / 2 + CASE WHEN tlo + thi < 0 THEN 2 * pi() ELSE 0 END ELSE (lo + hi) / 2 END AS a FROM g1),
+p AS (SELECT tax_id, a, level::DOUBLE AS radius FROM (SELECT * FROM la UNION ALL SELECT * FROM f UNION ALL SELECT * FROM g) JOIN o USING (tax_id))
+SELECT tax_id, round(a, 6) AS angle, radius, round(radius * cos(a), 6) AS x, round(radius * sin(a), 6) AS y FROM p""")
+def node_layout(spark, sf):
+    rooted = taxonomy.attach_root(*_tree(spark, sf))
+    level = F.when(F.col("rank") == "species", 3.0).when(F.col("rank") == "family", 2.0).otherwise(1.0)
+    at = taxonomy.layout(rooted, rooted.select("tax_id", level.alias("radius")))
+    return at.select("tax_id", F.round("angle", 6).alias("angle"), "radius", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
+
+
 @query(f"WITH {_TREE}, s AS (SELECT list_sort(list(n)) AS v, count(*) AS k FROM ct) SELECT tax_id, n, CASE WHEN n <= v[1 + floor(k * 0.25)::INT] THEN 1 WHEN n <= v[1 + floor(k * 0.5)::INT] THEN 2 WHEN n <= v[1 + floor(k * 0.75)::INT] THEN 3 ELSE 4 END AS quartile FROM ct, s")
 def abundance_quartiles(spark, sf):
     return taxonomy.quartile_class(_counts(spark, sf), "n")
@@ -561,3 +577,11 @@ def passage_helpers(spark, sf):
         "conv_id", "turn", tx.kept_passage(F.col("text"), 6).alias("kept"), tx.capitalised(F.col("role"), F.lit("turn")).alias("title"),
         F.array_join(F.transform(F.map_entries(shown), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("infons"), F.round(rotation, 6).alias("rotation"), distance.alias("distance"),
     )
+
+
+@query("SELECT doc_id, text AS unescaped, text AS repaired FROM documents")
+def text_repair(spark, sf):
+    """Texts that were escaped, and texts that were read in the wrong encoding, come back whole."""
+    d = t(spark, sf, "documents")
+    damaged = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    return d.select("doc_id", tx.unescape(F.replace("text", F.lit("e"), F.lit("\\u0065"))).alias("unescaped"), tx.fix_mojibake(damaged).alias("repaired"))
