@@ -51,7 +51,9 @@ def repair(spans: DataFrame) -> DataFrame:
         lost = F.col("s").contains("(") & F.col("s").contains(")") & (F.translate(wide, "()", "") == F.col("text"))
         twice = lost & wide.startswith("(") & (F.length(F.translate(wide, "(", "")) < F.length(wide) - 1)
         out = out.withColumn("lost", lost).withColumn("twice", twice).withColumn("length", plus(F.col("lost"), 2, "length")).withColumn("start", plus(F.col("twice"), 1, "start")).drop("lost", "twice")
-    out = out.withColumn("start", plus(open_, 1, "start")).withColumn("length", plus(open_, -1, "length"))
+    out = out.withColumn("start", plus(open_, 1, "start"))
+    if "text" not in spans.columns:  # a text as matched never counted the parenthesis
+        out = out.withColumn("length", plus(open_, -1, "length"))
     out = out.where(~(F.col("differs") & F.substring("s", 2, 2).isin(", ", ".,"))).withColumn("s", cut)
     out = out.withColumn("length", short("[ (,)]+(genu|associate).*$")).withColumn("s", cut)
     out = out.withColumn("length", short("[., ]+$")).withColumn("s", cut)
@@ -61,7 +63,8 @@ def repair(spans: DataFrame) -> DataFrame:
     out = out.withColumn("length", F.length(F.regexp_replace("s", "(?i) genus$", ""))).withColumn("s", cut)
     lead = F.lower("s").startswith("genus ")
     out = out.withColumn("start", F.when(lead, F.col("start") + 6).otherwise(F.col("start"))).withColumn("length", F.when(lead, F.col("length") - 6).otherwise(F.col("length")))
-    return out.withColumn("text", cut).drop("s", "passage", "differs").where("length > 0")
+    # the test of the length as a generated column: as a plain filter it would be pushed down through all steps, and each step doubles it
+    return out.withColumn("text", cut).withColumn("differs", F.explode(F.array(F.col("length") > 0))).where("differs").drop("s", "passage", "differs")
 
 
 def decode_labels(pieces: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _NOTE = "STRUCT<id: STRING, text: STRING, infons: MAP<STRING, STRING>, locations: ARRAY<STRUCT<offset: BIGINT, length: BIGINT>>>"
@@ -24,33 +24,70 @@ def read_collections(spark: SparkSession, folder: str, pattern: str = "*_bioc.js
 
 
 def passages(collections: DataFrame) -> DataFrame:
-    """file_name, doc_id, passage_no, offset, text, infons, annotations: all documents of all files."""
-    docs = collections.select("file_name", F.explode("documents").alias("d"))
-    each = docs.select("file_name", F.col("d.id").alias("doc_id"), F.posexplode("d.passages").alias("passage_no", "p"))
-    return each.select("file_name", "doc_id", "passage_no", "p.offset", "p.text", "p.infons", "p.annotations")
+    """file_name, doc_no, doc_id, doc_infons, passage_no, offset, text, infons, annotations: all documents of all files."""
+    docs = collections.select("file_name", F.posexplode("documents").alias("doc_no", "d"))
+    each = docs.select("file_name", "doc_no", F.col("d.id").alias("doc_id"), F.col("d.infons").alias("doc_infons"), F.posexplode("d.passages").alias("passage_no", "p"))
+    return each.select("file_name", "doc_no", "doc_id", "doc_infons", "passage_no", "p.offset", "p.text", "p.infons", "p.annotations")
 
 
-def annotated_json(passages_: DataFrame, mentions: DataFrame) -> DataFrame:
-    """file_name, json: passages with their mentions (file_name, doc_id, passage_no, text, start, length, tax_id), one row per file."""
+def annotated_json(passages_: DataFrame, mentions: DataFrame, collections: DataFrame | None = None) -> DataFrame:
+    """file_name, json: passages with their mentions (file_name, doc_id, passage_no, text, start, length, tax_id, and if there is one type), one row per file.
+
+    Annotations already there stay, before the new ones. With ``collections`` (as read) the fields of the files are kept, and files and documents
+    without passages too. An ambiguous mention (tax_id null) with candidates has these as its identifier, by commas. Mentions of documents
+    that share file and id go to each of them.
+    """
     at = ["file_name", "doc_id", "passage_no"]
-    note = F.struct(
-        F.col("start"), F.col("text").alias("text"), F.create_map(F.lit("identifier"), F.col("tax_id")).alias("infons"),
-        F.array(F.struct(F.col("start").alias("offset"), "length")).alias("locations"),
-    )
+    had = lambda c: c in mentions.columns
+    who = F.coalesce(F.col("tax_id").cast("string"), F.array_join("candidates", ",")) if had("candidates") else F.col("tax_id").cast("string")
+    about = F.map_filter(F.create_map(F.lit("identifier"), who, F.lit("type"), F.col("type") if had("type") else F.lit(None).cast("string")), lambda _, v: v.isNotNull())
+    note = F.struct(F.lit(None).cast("string").alias("id"), "text", about.alias("infons"), F.array(F.struct(F.col("start").alias("offset"), "length")).alias("locations"))
     notes = mentions.groupBy(*at).agg(F.array_sort(F.collect_list(F.struct(F.col("start").alias("at"), F.col("length").alias("len"), F.to_json(note).alias("j")))).alias("found"))
-    kind = f"ARRAY<{_NOTE}>"
-    full = passages_.drop("annotations").join(notes, at, "left").withColumn(
-        "annotations", F.coalesce(F.transform("found", lambda x: F.from_json(x["j"], _NOTE)), F.array().cast(kind))
-    )
-    per_doc = full.groupBy("file_name", "doc_id").agg(F.array_sort(F.collect_list(F.struct("passage_no", "offset", "text", F.to_json("infons").alias("infons"), F.to_json("annotations").alias("notes")))).alias("rows"))
-    shaped = F.transform("rows", lambda r: F.struct(r["offset"].alias("offset"), F.from_json(r["infons"], "MAP<STRING, STRING>").alias("infons"), r["text"].alias("text"), F.from_json(r["notes"], kind).alias("annotations")))
-    per_file = per_doc.select("file_name", F.to_json(F.struct(F.col("doc_id").alias("id"), shaped.alias("passages"))).alias("doc")).groupBy("file_name").agg(F.array_sort(F.collect_list("doc")).alias("docs"))
-    return per_file.select("file_name", F.concat(F.lit('{"documents":['), F.array_join("docs", ","), F.lit("]}")).alias("json"))
+    full = passages_.join(notes, at, "left")
+    old = F.coalesce(F.transform("annotations", lambda x: F.to_json(x)), F.array().cast("array<string>"))
+    all_ = F.concat(old, F.coalesce(F.transform("found", lambda x: x["j"]), F.array().cast("array<string>")))
+    one = _holding(F.to_json(F.struct("offset", "infons", "text")), "annotations", all_)
+    per_doc = full.groupBy("file_name", "doc_no").agg(F.array_sort(F.collect_list(F.struct("passage_no", one.alias("j")))).alias("rows"), F.first(F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("doc_infons").alias("infons")))).alias("head"))
+    if collections is not None:
+        docs = collections.select("file_name", F.posexplode_outer("documents").alias("doc_no", "d")).select("file_name", "doc_no", F.to_json(F.struct("d.id", "d.infons")).alias("head"))
+        per_doc = docs.join(per_doc.drop("head"), ["file_name", "doc_no"], "left")
+    doc = F.when(F.col("doc_no").isNotNull(), _holding(F.col("head"), "passages", F.coalesce(F.transform("rows", lambda r: r["j"]), F.array().cast("array<string>"))))
+    per_file = per_doc.select("file_name", "doc_no", doc.alias("j")).groupBy("file_name").agg(F.array_sort(F.collect_list(F.when(F.col("doc_no").isNotNull(), F.struct("doc_no", "j")))).alias("docs"))
+    if collections is None:
+        per_file = per_file.withColumn("head", F.lit("{}"))
+    else:
+        per_file = per_file.join(collections.select("file_name", F.to_json(F.struct("source", "date", "key", "infons")).alias("head")), "file_name")
+    return per_file.select("file_name", _holding(F.col("head"), "documents", F.transform("docs", lambda x: x["j"])).alias("json"))
+
+
+def _holding(head: Column, name: str, items: Column) -> Column:
+    """The JSON object ``head`` with one more field, an array of JSON texts."""
+    comma = F.when(head == "{}", F.lit("")).otherwise(F.lit(","))
+    return F.concat(head.substr(F.lit(1), F.length(head) - 1), comma, F.lit(f'"{name}":['), F.array_join(items, ","), F.lit("]}"))
+
+
+def annotate_collections(spark: SparkSession, folder: str, out: str, lexicon: DataFrame, pattern: str = "*_bioc.json") -> None:
+    """Reads the collections of ``folder`` that ``out`` does not have yet, annotates them by ``lexicon`` (see operators.annotator) and writes them, all fields kept."""
+    from spanloom.operators.annotator import annotate_passages
+
+    files = read_collections(spark, folder, pattern)
+    had = _written(spark, out)
+    files = files.join(had, "file_name", "left_anti") if had is not None else files
+    rows = passages(files)
+    write_annotated(annotated_json(rows, annotate_passages(rows, lexicon), files), out, mode="append")
+
+
+def _written(spark: SparkSession, folder: str) -> DataFrame | None:
+    """file_name of what write_annotated has put into a folder; None where there is no such folder yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.option("basePath", folder).text(folder).select("file_name").distinct() if any(True for _ in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)) else None
 
 
-def write_annotated(rows: DataFrame, folder: str) -> None:
+def write_annotated(rows: DataFrame, folder: str, mode: str = "overwrite") -> None:
     """One folder of JSON text per input file, by its name."""
-    rows.select("file_name", F.col("json").alias("value")).write.partitionBy("file_name").mode("overwrite").text(folder)
+    rows.select("file_name", F.col("json").alias("value")).write.partitionBy("file_name").mode(mode).text(folder)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

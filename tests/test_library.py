@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.functions import text as tx
-from spanloom.operators import annotate, link, model, stats, taxonomy
+from spanloom.operators import annotate, link, model, spans, stats, taxonomy
 from spanloom.sources import files
 from spanloom.streaming.incremental import annotate_new_files
 
@@ -168,3 +168,73 @@ def test_storey_bootstrap(spark):
     assert 0.6 < got[0]["pi0"] <= 1 and all(r["q_value"] <= 1 for r in got)
     with pytest.raises(ValueError):
         stats.storey(df, ["rank"], method="other")
+
+
+LEXICON = [("helicobacter", "T1", "bacteria", "genus", 1), ("helicobacter pylori", "T2", "bacteria", "species", 2), ("hafnia pylori", "T3", "bacteria", "species", 3), ("bacillus", "T4", "bacteria", "genus", 4), ("bacillus", "T5", "animals", "genus", 5), ("proteus mirabilis", "T6", "bacteria", "species", 6)]
+
+
+def test_one_call_annotates_collections(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    texts = ["Seen: (Helicobacter pylori) grew.", "then H. pylori and P. mirabilis", "Bacillus alone", "Helicobacter sp. here", ""]
+    old = {"id": "9", "text": "Seen", "infons": {"k": "v"}, "locations": [{"offset": 0, "length": 4}]}
+    rows = [{"offset": 100 * i, "infons": {"t": "x"}, "text": x, "annotations": [old] if i == 0 else []} for i, x in enumerate(texts)]
+    whole = {"source": "s", "date": "d", "key": "k", "infons": {"a": "b"}, "documents": [{"id": "Z", "infons": {"y": "1"}, "passages": rows}, {"id": "A", "infons": {}, "passages": [{"offset": 0, "infons": {}, "text": "H. pylori", "annotations": []}]}, {"id": "E", "passages": []}]}
+    (src / "a_bioc.json").write_text(json.dumps(whole))
+    lexicon = spark.createDataFrame(LEXICON, "name string, tax_id string, kingdom string, rank string, ord int")
+    files.annotate_collections(spark, str(src), out, lexicon)
+    read = lambda: {r["file_name"]: json.loads(r["value"]) for r in spark.read.text(out).collect()}
+    got = read()["a_bioc.json"]
+    assert {k: got[k] for k in ("source", "date", "key", "infons")} == {k: whole[k] for k in ("source", "date", "key", "infons")}
+    assert [d["id"] for d in got["documents"]] == ["Z", "A", "E"] and got["documents"][0]["infons"] == {"y": "1"} and got["documents"][2]["passages"] == []
+    p = got["documents"][0]["passages"]
+    brief = lambda q: [(a["text"], a["infons"].get("identifier"), a["locations"][0]["offset"]) for a in q["annotations"] if a.get("id") != "9"]
+    assert p[0]["annotations"][0] == old and brief(p[0]) == [("Helicobacter pylori", "T2", 7)]
+    assert brief(p[1]) == [("H. pylori", "T2", 105), ("P. mirabilis", "T6", 119)]
+    assert brief(p[2]) == [("Bacillus", "T4,T5", 200)] and p[2]["annotations"][0]["infons"]["type"] == "unresolved"
+    assert brief(p[3]) == [("Helicobacter sp.", "T1", 300)] and p[3]["annotations"][0]["infons"]["type"] == "bacteria_species" and p[4]["annotations"] == []
+    assert brief(got["documents"][1]["passages"][0]) == [("H. pylori", "T3,T2", 0)] or brief(got["documents"][1]["passages"][0]) == [("H. pylori", "T2,T3", 0)]
+    (src / "b_bioc.json").write_text(json.dumps({"documents": [{"id": "B", "passages": [{"offset": 0, "infons": {}, "text": "Proteus mirabilis", "annotations": []}]}]}))
+    files.annotate_collections(spark, str(src), out, lexicon)
+    again = read()
+    assert again["a_bioc.json"] == got and brief(again["b_bioc.json"]["documents"][0]["passages"][0]) == [("Proteus mirabilis", "T6", 0)]
+
+
+def test_spans_that_lost_parentheses(spark):
+    rows = [(1, 0, 7, "ab (c) d e", "ab c d e"), (2, 0, 6, "(ab) c d", "ab c d"), (3, 0, 16, "Escherichia. coli x", "Escherichia coli"), (4, 0, 2, "ab sp. x", "ab")]
+    d = spark.createDataFrame(rows, "doc_id int, start long, length int, passage string, text string")
+    got = {r["doc_id"]: (r["start"], r["text"]) for r in spans.repair(d).collect()}
+    assert got[4] == (0, "ab sp.") and got[2] == (0, "(ab) c d")
+
+
+def test_escapes_and_mojibake(spark):
+    texts = ["plain", "a\\u00e9b", "\\ud83d\\ude00!", "lone \\ud83d x", "\\", "\\u12", "C:\\users \\u0041", "", None]
+    got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").orderBy("i").select(tx.unescape(F.col("x"))).collect()]
+    assert got == ["plain", "aéb", "\U0001f600!", "lone \\ud83d x", "\\", "\\u12", "C:\\users A", "", None]
+
+    def plain(s):
+        for a, b in (("latin1", "utf-8"), ("utf-8", "latin1")):
+            try:
+                return s.encode(a).decode(b)
+            except UnicodeError:
+                pass
+
+    bad = ["plain", "Ã©", "é", "中", "Ã", "caf\u00c3\u00a9 \u00e2\u0082\u00ac", "", "\U0001f600"]
+    got = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate(bad)], "i int, x string").orderBy("i").select(tx.fix_mojibake(F.col("x"))).collect()]
+    assert got == [plain(s) for s in bad]
+
+
+def test_layout_is_kept_and_grown(spark):
+    rooted = spark.createDataFrame([("r", "root"), ("a", "r"), ("b", "r"), ("a1", "a"), ("a2", "a"), ("b1", "b")], "tax_id string, parent string").withColumn("rank", F.lit("x"))
+    at = taxonomy.layout(rooted, rooted.select("tax_id", F.lit(1.0).alias("radius")))
+    got = {r["tax_id"]: r["angle"] for r in at.collect()}
+    third = 2 * math.pi / 3
+    want = {"a1": 0, "a2": third, "b1": 2 * third, "a": third / 2, "b": 2 * third, "r": math.pi + third / 2 + third - math.pi}
+    lo, hi = got["a"], got["b"]
+    want["r"] = (lo + hi) / 2 if hi - lo <= math.pi else ((lo + hi - 2 * math.pi) / 2) % (2 * math.pi)
+    assert got == pytest.approx(want)
+    edges = spark.createDataFrame([("n1", "a"), ("n2", "n1"), ("z", "y")], "child string, parent string")
+    nodes = spark.createDataFrame([("a", 5.0), ("n1", 2.0), ("n2", None), ("z", 1.0)], "tax_id string, radius double")
+    more = {r["tax_id"]: (r["angle"], r["radius"]) for r in taxonomy.reuse_layout(nodes, edges, at).collect()}
+    assert set(more) == {"a", "n1", "n2"}
+    assert more["a"] == pytest.approx((got["a"], 1.0)) and more["n1"] == pytest.approx((got["a"] + 0.1, 2.0)) and more["n2"] == pytest.approx((got["a"] + 0.2, 1.2))
