@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import text as tx
 from spanloom.operators import annotate, link, model, spans, stats, taxonomy
-from spanloom.sources import files
+from spanloom.operators.annotator import annotate_passages
+from spanloom.sources import articles, files
 from spanloom.streaming.incremental import annotate_new_files
 
 
@@ -238,3 +239,31 @@ def test_layout_is_kept_and_grown(spark):
     more = {r["tax_id"]: (r["angle"], r["radius"]) for r in taxonomy.reuse_layout(nodes, edges, at).collect()}
     assert set(more) == {"a", "n1", "n2"}
     assert more["a"] == pytest.approx((got["a"], 1.0)) and more["n1"] == pytest.approx((got["a"] + 0.1, 2.0)) and more["n2"] == pytest.approx((got["a"] + 0.2, 1.2))
+
+
+ARTICLE = """<article article-type="research-article"><front><journal-meta><journal-title-group><journal-title>J</journal-title></journal-title-group></journal-meta><article-meta>
+<article-id pub-id-type="pmc">PMC1</article-id><article-id pub-id-type="doi">10/x</article-id><title-group><article-title>On <italic>H. pylori</italic></article-title></title-group>
+<pub-date><year>2020</year></pub-date><abstract><sec><title>Aims</title><p>We  ask.</p></sec></abstract>
+<kwd-group><title>Keywords</title><kwd>gut</kwd><kwd>liver</kwd></kwd-group><kwd-group xml:lang="fr"><kwd>foie</kwd></kwd-group><kwd-group><title>Abbreviations</title><kwd>HP</kwd></kwd-group></article-meta></front>
+<body><p>Loose.</p><sec><title>1. Methods</title><p>Cut <table-wrap><p>hidden</p></table-wrap>here.</p><p>Loose.</p><sec><title>Strains</title><p>Helicobacter pylori grew.</p><p> </p></sec></sec><sec><title>Odd</title><notes><p>gone</p></notes><p>Last.</p></sec></body>
+<back><ref-list><ref><label>1</label><element-citation><name><surname>Li</surname><given-names>A</given-names></name><article-title>T</article-title><source>S</source><year>2001</year><volume>7</volume><pub-id pub-id-type="pmid">99</pub-id></element-citation></ref></ref-list></back></article>"""
+
+
+def test_articles_become_passages_and_are_annotated(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(ARTICLE)
+    (tmp_path / "b.xml").write_text("<article><front>")
+    parts = articles.read_articles(spark, str(tmp_path))
+    assert [r["file_name"] for r in parts.where("kind = 'error'").collect()] == ["b.xml"]
+    terms = spark.createDataFrame([("methods section", "methods", 1), ("abstract", "abstract", 2)], "term string, name string, ord int")
+    got = sorted(articles.article_passages(parts, terms).collect(), key=lambda r: r["passage_no"])
+    texts = ["On H. pylori", "gut; liver", "We ask.", "Loose.", "Cut here.", "Helicobacter pylori grew.", "Last.", "1. Li A. T. S. 2001;7."]
+    assert [r["text"] for r in got] == texts and [r["passage_no"] for r in got] == list(range(8))
+    assert [r["offset"] for r in got] == [sum(len(x) + 1 for x in texts[:i]) for i in range(8)]
+    assert got[0]["doc_id"] == "PMC1" and got[0]["doc_infons"] == {"pmcid": "PMC1", "doi": "10/x", "journal": "J", "pub_type": "research-article", "year": "2020"}
+    assert got[5]["infons"] == {"section_title_1": "Methods", "section_title_2": "Strains", "term_1": "methods section"}
+    assert got[2]["infons"] == {"section_title_1": "Abstract", "section_title_2": "Aims", "term_1": "abstract"}
+    assert got[6]["infons"] == {"section_title_1": "Odd", "term_1": "document part"}
+    assert got[7]["infons"] == {"section_title_1": "References", "term_1": "references section", "journal": "S", "year": "2001", "volume": "7", "pmid": "99"}
+    lexicon = spark.createDataFrame(LEXICON, "name string, tax_id string, kingdom string, rank string, ord int")
+    m = annotate_passages(articles.article_passages(parts), lexicon).where("passage_no = 5").collect()
+    assert [(r["text"], r["tax_id"], r["start"]) for r in m] == [("Helicobacter pylori", "T2", got[5]["offset"])]
