@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from spanloom.llm import exact, html_text, lm, mixing, near, packing, quality_cnn, quality_rules, repeats, toxicity
+from spanloom.llm import contamination, conversations, exact, html_text, lm, merkle, mixing, near, packing, quality_cnn, quality_rules, repeats, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -16,7 +16,12 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_repeat_removal": repeats.op9_repeat_removal,
     "op10_html_extraction": html_text.op10_html_extraction,
+    "op11_decontamination": contamination.op11_decontamination,
+    "op12_conversation_repair": conversations.op12_conversation_repair,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL = {"op4_exact_dedup": exact.OP4_SQL}
+ORACLE_SQL = {
+    "op4_exact_dedup": exact.OP4_SQL, "op11_decontamination": contamination.OP11_SQL, "op12_conversation_repair": conversations.OP12_SQL, "op13_merkle_manifest": merkle.OP13_SQL,
+}
