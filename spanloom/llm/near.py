@@ -1,7 +1,8 @@
 """Near-duplicate detection by ProbMinHash, banding and verification.
 
-A text is a set of five-word shingles, each of weight one however often it occurs, as links are defined on
-distinct shingles: registers then agree with the similarity that decides. Every shingle is a Poisson process whose rate is its weight: its arrivals, drawn from its hash alone, fall on random
+A text is a set of distinct five-word shingles, as links are defined on these; a shingle's weight follows from its own words
+alone (1 to 1.5, by their length), so that longer, rarer ones count for more and registers agree about as often as the
+similarity that decides says. Every shingle is a Poisson process whose rate is its weight: its arrivals, drawn from its hash alone, fall on random
 registers, and a register keeps its earliest arrival. A shingle stops as soon as its next arrival comes
 after the latest register (early termination). Registers of two texts agree with the probability Jaccard
 similarity of their weighted sets. BANDS bands of ROWS registers propose pairs: in each bucket of equal bands the
@@ -16,7 +17,8 @@ searched in pairs of blocks. Members at
 a distance between the two that end in another class are compared with all that joined, in blocks. Buckets are never collected: the centre is a minimum per bucket, and comparisons run in groups of at most CHUNK
 members per centre.
 
-Equal shingle sets are one representative from the start, so copies cost one row each.
+Equal shingle sets are one representative from the start, so copies cost one row each. A representative is known by the number of
+its row, not by its doc_id, as rows may repeat an id with other texts.
 """
 
 from __future__ import annotations
@@ -29,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import as_bytes, fresh, lookup, mix, shingles, staged, table
+from spanloom.llm.common import as_bytes, fresh, lookup, mix, shingles, staged, table, word_bounds
 
-BANDS, ROWS, CHUNK, SMALL, BLOCK, SIZE, THRESHOLD = 20, 5, 128, 2048, 512, 5, 0.8
+BANDS, ROWS, CHUNK, SMALL, BLOCK, SIZE, THRESHOLD = 24, 5, 128, 2048, 512, 5, 0.8
 #: Texts are signed in batches of so many.
 BATCH = 128
 _SALTS = mix(np.arange(1, 4097, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -58,40 +60,55 @@ def prob_min_hash(items: np.ndarray, weights: np.ndarray, owner: np.ndarray, n:
     return held.reshape(n, m)
 
 
+def weighted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of a text, and their weights: 1 and a 128th of the bytes of their words, 64 at most."""
+    items, first = np.unique(shingles(text, SIZE), return_index=True)
+    start, end = word_bounds(np.frombuffer(text, np.uint8))
+    bytes_ = np.concatenate(([0], np.cumsum(end - start)))
+    return items, 1 + np.minimum(bytes_[np.minimum(first + SIZE, len(start))] - bytes_[first], 64) / 128
+
+
+def _digest(items: np.ndarray) -> bytes:
+    return np.array([np.bitwise_xor.reduce(mix(items)), items.sum(dtype=np.uint64)], np.uint64).tobytes()
+
+
 def signatures(texts: list[str | None]) -> list[tuple[bytes, np.ndarray] | None]:
     """Digest of the shingle set and the hash of each band; None for a text without words."""
-    got = [np.unique(shingles(as_bytes(t), SIZE)) for t in texts]
-    owner = np.repeat(np.arange(len(got)), [len(x) for x in got])
-    items = np.concatenate(got) if got else np.zeros(0, np.uint64)
-    bands = prob_min_hash(items, np.ones(len(items)), owner, len(got)).reshape(len(got), BANDS, ROWS)
+    got = [weighted(as_bytes(t)) for t in texts]
+    owner = np.repeat(np.arange(len(got)), [len(x) for x, _ in got])
+    items, weights = (np.concatenate([x[i] for x in got]) if got else np.zeros(0, t) for i, t in enumerate((np.uint64, float)))
+    bands = prob_min_hash(items, weights, owner, len(got)).reshape(len(got), BANDS, ROWS)
     keys = np.repeat(np.arange(BANDS, dtype=np.uint64)[None], len(got), 0)
     for i in range(ROWS):
         keys = mix(keys * np.uint64(31) + bands[:, :, i])
     keys = keys.astype(np.int64)
-    digest = lambda x: np.array([np.bitwise_xor.reduce(mix(x)), x.sum(dtype=np.uint64)], np.uint64).tobytes()
-    return [(digest(x), keys[i]) if len(x) else None for i, x in enumerate(got)]
+    return [(_digest(x), keys[i]) if len(x) else None for i, (x, _) in enumerate(got)]
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
+    """Of each row: a number of its own, doc_id, a hash of the text, and what ``signatures`` gives."""
+
     def run(batches):
         for b in batches:
             texts = b.column("text").to_pylist()
             got = [x for i in range(0, len(texts), BATCH) for x in signatures(texts[i : i + BATCH])]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([g and g[0] for g in got], pa.binary()), pa.array([g[1] if g else None for g in got], pa.list_(pa.int64()))],
-                ["doc_id", "digest", "bands"],
+                [*(b.column(c) for c in ("row", "doc_id", "said")), pa.array([g and g[0] for g in got], pa.binary()), pa.array([g[1] if g else None for g in got], pa.list_(pa.int64()))],
+                ["row", "doc_id", "said", "digest", "bands"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("said"), "text")
+    return rows.mapInArrow(run, "row long, doc_id long, said long, digest binary, bands array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id and the sorted distinct shingle hashes, as bytes."""
+    """doc_id (here the representative's number, rep) and the sorted distinct shingle hashes, as bytes, of texts with that digest."""
 
     def run(batches):
         for b in batches:
-            sets = [np.unique(shingles(as_bytes(t), SIZE)).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "set"])
+            sets = [np.unique(shingles(as_bytes(t), SIZE)) for t in b.column("text").to_pylist()]
+            same = [i for i, (x, d) in enumerate(zip(sets, b.column("digest").to_pylist(), strict=True)) if len(x) and _digest(x) == d]
+            yield pa.RecordBatch.from_arrays([b.column("rep").take(pa.array(same, pa.int64())), pa.array([sets[i].tobytes() for i in same], pa.binary())], ["doc_id", "set"])
 
     return docs.mapInArrow(run, "doc_id long, set binary")
 
@@ -258,27 +275,19 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, class_id (the class's smallest doc_id), class_size, kept (one row a class).
-
-    Classes are the connected components of similarity >= threshold over five-word shingle sets. A text
-    of fewer than five words is one shingle; texts without words (null, empty) are alone. Rows that
-    repeat a doc_id belong together. Null ids, ties and an empty table are handled; extra
-    columns are ignored.
-    """
+def _classified(spark: SparkSession, docs: DataFrame, threshold: float) -> DataFrame:
+    """What near_duplicates gives, and said: a hash of the row's text."""
     sig = staged(spark, _signatures(docs))
     total = sig.count()
-    reps = staged(
-        spark,
-        sig.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")),
-    )
+    least = sig.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min(F.struct("doc_id", "row", "said")).alias("least"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands"))
+    reps = staged(spark, least.select("digest", F.col("least.row").alias("rep"), F.col("least.doc_id").alias("low"), F.col("least.said").alias("said"), "n", "bands"))
     bands = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     centres = bands.groupBy("band", "key").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
     pairs = staged(spark, lookup(bands, staged(spark, centres), ["band", "key"], "size", max(1, BANDS * reps.count())).select("band", "key", "rep", "centre"))
-    wanted = pairs.select(F.col("rep").alias("__rep")).distinct()
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = ids.join(wanted.hint("merge"), F.col("doc_id") == F.col("__rep"), "left_semi")
-    sets = staged(spark, _sets(sets if total == 0 or sig.select("doc_id").distinct().count() == total else sets.dropDuplicates(["doc_id"])))
+    wanted = reps.join(pairs.select("rep").distinct(), "rep", "left_semi").select("rep", F.col("low").alias("__low"), F.col("said").alias("__said"), "digest")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("said"), "text")
+    sets = _sets(ids.join(wanted.hint("merge"), (F.col("doc_id") == F.col("__low")) & (F.col("said") == F.col("__said"))))
+    sets = staged(spark, sets if total == 0 or sig.select("doc_id", "said").distinct().count() == total else sets.dropDuplicates(["doc_id"]))
     links = []
     if pairs.limit(1).count():
         judged = staged(spark, _compare(pairs.where("rep <> centre"), sets))
@@ -291,7 +300,6 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
         large = rest.where(F.col("size") > SMALL)
         if large.limit(1).count():
             links.append(staged(spark, _by_prefix(spark, large, sets, threshold)))
-    rows = sig.select("doc_id", "digest")
     roots = reps.select("rep", F.col("rep").alias("root"))
     if links:
         tree = components(spark, reduce(DataFrame.unionByName, links))
@@ -306,24 +314,36 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
             if more.limit(1).count():
                 tree = components(spark, tree.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
         roots = reps.select("rep").join(tree, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("root", "rep").alias("root"))
-    groups = staged(spark, reps.select("digest", "rep", "n").join(roots, "rep").select("digest", F.col("root").alias("class_id"), "n"))
-    sizes = groups.groupBy("class_id").agg(F.sum("n").alias("class_size"))
-    groups = staged(spark, groups.join(sizes, "class_id"))
-    out = lookup(rows.where("digest IS NOT NULL AND doc_id IS NOT NULL"), groups, ["digest"], "n", total).select(
-        "doc_id", "class_id", "class_size", (F.col("doc_id") == F.col("class_id")).alias("kept")
-    )
-    alone = rows.where("digest IS NULL OR doc_id IS NULL")
-    return out.unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")))
+    groups = staged(spark, reps.select("digest", "rep", "low", "n").join(roots, "rep").select("digest", "root", "low", "rep", "n"))
+    classes = groups.groupBy("root").agg(F.sum("n").alias("class_size"), F.min(F.struct("low", "digest", "rep")).alias("head"))
+    groups = staged(spark, groups.join(classes, "root").select("digest", F.col("head.low").alias("class_id"), "class_size", F.col("head.rep").alias("head"), "n"))
+    rows = sig.select("row", "doc_id", "said", "digest")
+    known = F.col("digest").isNotNull() & F.col("doc_id").isNotNull()
+    out = lookup(rows.where(known), groups, ["digest"], "n", total).select("doc_id", "class_id", "class_size", (F.col("row") == F.col("head")).alias("kept"), "said")
+    return out.unionByName(rows.where(~known).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept"), "said"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Per row: doc_id, class_id (the class's smallest doc_id), class_size (its rows), kept (one row a class).
+
+    Classes are the connected components of similarity >= threshold over five-word shingle sets. A text
+    of fewer than five words is one shingle; texts without words (null, empty) are alone, as are rows without id.
+    Texts of any length are read whole. Every row is judged by its own text: rows that repeat an id with texts that are not alike are in
+    different classes of that id; of those that are alike the one with the least digest is kept, of repeated rows one. An
+    empty table gives no rows; extra columns are ignored, whatever their names.
+    """
+    return _classified(spark, docs, threshold).drop("said")
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows that near_duplicates drops; all columns stay, whatever their names.
 
-    Texts without words and null ids stay. Rows that repeat an id stay or go together. An empty table stays empty.
+    Texts without words and null ids stay. Rows that repeat both id and text are one document: they stay or go together. An empty table stays empty.
     """
-    name = fresh("dropped")
-    dropped = near_duplicates(spark, docs, threshold).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col(name), "left_anti")
+    name, said = fresh("dropped"), fresh("said")
+    told = _classified(spark, docs, threshold).where("doc_id IS NOT NULL").groupBy("doc_id", "said").agg(F.max("kept").alias("any"))
+    dropped = told.where("NOT any").select(F.col("doc_id").alias(name), F.col("said").alias(said))
+    return docs.join(dropped, (F.col("doc_id") == F.col(name)) & (F.xxhash64("text") == F.col(said)), "left_anti")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

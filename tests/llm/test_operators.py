@@ -198,6 +198,20 @@ def test_prob_min_hash_estimates_probability_jaccard():
     assert abs((held[0] == held[1]).mean() - exact_) < 0.03
 
 
+def test_near_ids_with_two_texts(spark):
+    """Rows are judged by their own texts: no row more, no link lost, one kept in each class."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    a2, b2 = a + " more", "more " + b
+    rows = [(1, a), (1, b), (2, a2), (3, b2), (2, "alone here, but for its id, with more than five words"), (3, b2), (None, a), (None, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near.near_duplicates(spark, d).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+    assert Counter((r["doc_id"], r["class_id"], r["class_size"], r["kept"]) for r in got) == Counter(
+        [(1, 1, 2, True), (2, 1, 2, False), (1, 1, 3, True), (3, 1, 3, False), (3, 1, 3, False), (2, 2, 1, True), (None, None, 1, True), (None, None, 1, True)]
+    )
+    assert Counter(map(tuple, near.drop_near(spark, d).collect())) == Counter([r for r in rows if r not in [(2, a2), (3, b2)]])
+
+
 @pytest.mark.parametrize("large", [repeats.LARGE, 1])
 def test_repeats(spark, docs, large):
     d = docs.where("doc_id IS NOT NULL").select("doc_id", "text").dropDuplicates()
