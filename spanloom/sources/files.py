@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.sources.sink import finished, write_collections
+
 _NOTE = "STRUCT<id: STRING, text: STRING, infons: MAP<STRING, STRING>, locations: ARRAY<STRUCT<offset: BIGINT, length: BIGINT>>>"
 #: A collection: one file, its documents, their passages, the passages' annotations.
 COLLECTION = (
@@ -35,13 +37,17 @@ def annotated_json(passages_: DataFrame, mentions: DataFrame, collections: DataF
 
     Annotations already there stay, before the new ones. With ``collections`` (as read) the fields of the files are kept, and files and documents
     without passages too. An ambiguous mention (tax_id null) with candidates has these as its identifier, by commas. Mentions of documents
-    that share file and id go to each of them.
+    that share file and id go to each of them, unless mentions have doc_no in place of doc_id. Columns id and infons of mentions, if there,
+    are the annotations' own.
     """
-    at = ["file_name", "doc_id", "passage_no"]
     had = lambda c: c in mentions.columns
-    who = F.coalesce(F.col("tax_id").cast("string"), F.array_join("candidates", ",")) if had("candidates") else F.col("tax_id").cast("string")
-    about = F.map_filter(F.create_map(F.lit("identifier"), who, F.lit("type"), F.col("type") if had("type") else F.lit(None).cast("string")), lambda _, v: v.isNotNull())
-    note = F.struct(F.lit(None).cast("string").alias("id"), "text", about.alias("infons"), F.array(F.struct(F.col("start").alias("offset"), "length")).alias("locations"))
+    at = ["file_name", "doc_no" if had("doc_no") else "doc_id", "passage_no"]
+    if had("infons"):
+        about = F.col("infons")
+    else:
+        who = F.coalesce(F.col("tax_id").cast("string"), F.array_join("candidates", ",")) if had("candidates") else F.col("tax_id").cast("string")
+        about = F.map_filter(F.create_map(F.lit("identifier"), who, F.lit("type"), F.col("type") if had("type") else F.lit(None).cast("string")), lambda _, v: v.isNotNull())
+    note = F.struct((F.col("id") if had("id") else F.lit(None).cast("string")).alias("id"), "text", about.alias("infons"), F.array(F.struct(F.col("start").alias("offset"), "length")).alias("locations"))
     notes = mentions.groupBy(*at).agg(F.array_sort(F.collect_list(F.struct(F.col("start").alias("at"), F.col("length").alias("len"), F.to_json(note).alias("j")))).alias("found"))
     full = passages_.join(notes, at, "left")
     old = F.coalesce(F.transform("annotations", lambda x: F.to_json(x)), F.array().cast("array<string>"))
@@ -67,22 +73,13 @@ def _holding(head: Column, name: str, items: Column) -> Column:
 
 
 def annotate_collections(spark: SparkSession, folder: str, out: str, lexicon: DataFrame, pattern: str = "*_bioc.json") -> None:
-    """Reads the collections of ``folder`` that ``out`` does not have yet, annotates them by ``lexicon`` (see operators.annotator) and writes them, all fields kept."""
+    """Reads the collections of ``folder`` that ``out`` does not have yet, annotates them by ``lexicon`` (see operators.annotator) and writes each to a
+    file of its name, all fields kept."""
     from spanloom.operators.annotator import annotate_passages
 
-    files = read_collections(spark, folder, pattern)
-    had = _written(spark, out)
-    files = files.join(had, "file_name", "left_anti") if had is not None else files
+    files = read_collections(spark, folder, pattern).join(finished(spark, out, pattern), "file_name", "left_anti")
     rows = passages(files)
-    write_annotated(annotated_json(rows, annotate_passages(rows, lexicon), files), out, mode="append")
-
-
-def _written(spark: SparkSession, folder: str) -> DataFrame | None:
-    """file_name of what write_annotated has put into a folder; None where there is no such folder yet."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.option("basePath", folder).text(folder).select("file_name").distinct() if any(True for _ in path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)) else None
+    write_collections(annotated_json(rows, annotate_passages(rows, lexicon), files), out)
 
 
 def write_annotated(rows: DataFrame, folder: str, mode: str = "overwrite") -> None:
