@@ -36,6 +36,12 @@ def words(s: Column) -> Column:
     return F.filter(F.split(s, f"{_SPACE}+"), lambda w: w != "")
 
 
+def first_words(s: Column, n: Column | int) -> Column:
+    """The first ``n`` words; what follows is not split."""
+    n = F.lit(n) if isinstance(n, int) else n
+    return F.filter(F.slice(F.split(F.regexp_replace(s, f"^{_SPACE}+", ""), f"{_SPACE}+", n + 1), F.lit(1), n), lambda w: w != "")
+
+
 def _mention(text: Column, start: Column, length: Column) -> Column:
     return F.struct(text.alias("text"), start.cast("long").alias("start"), length.cast("long").alias("length"))
 
@@ -83,7 +89,7 @@ def full_abbreviations(passage: Column, m: Column) -> Column:
             .otherwise(m)
         )
 
-    return F.when(F.length(m["text"]).isin(1, 2), let(words(_from(passage, m["start"])), told)).otherwise(m)
+    return F.when(F.length(m["text"]).isin(1, 2), let(first_words(_from(passage, m["start"]), 2), told)).otherwise(m)
 
 
 def cut_long(passage: Column, m: Column, repair_offsets: bool = False) -> Column:
@@ -122,7 +128,7 @@ def with_species_word(passage: Column, m: Column) -> Column:
         holds = (n > 0) & F.get(here, n).isin(SPECIES_WORDS) & ((n == 1) | (F.get(here, n - 1) == F.element_at(own, -1)))
         return F.when(holds, _mention(whole, m["start"], F.length(whole))).otherwise(m)
 
-    return let(F.struct(words(m["text"]).alias("own"), words(_from(passage, m["start"])).alias("here")), told)
+    return let(words(m["text"]), lambda own: let(F.struct(own.alias("own"), first_words(_from(passage, m["start"]), F.size(own) + 1).alias("here")), told))
 
 
 def settled(passage: Column, text: Column, start: Column, length: Column, repair_offsets: bool = False) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions import text as tx
-from spanloom.operators import annotate, link, spans, stats, taxonomy
+from spanloom.operators import annotate, boundaries, link, spans, stats, taxonomy
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -100,6 +100,51 @@ def greedy_skip_mentions(spark, sf):
     return annotate.greedy_skip(bigram_match(spark, sf))
 
 
+def _settle_sql() -> str:
+    """The steps after a span model, one common table expression each, over s0 (doc_id, p, o, n, e)."""
+    ws = "[\\t-\\r\\x1c-\\x1f \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+    sp, split = "('sp', 'spp', 'sp.', 'spp.')", lambda x: f"list_filter(string_split_regex({x}, '{ws}+'), lambda w: w <> '')"
+    pair, rest = "w[1] || ' ' || w[2]", "array_to_string(w[2:], ' ')"
+    rules = [
+        ("regexp_matches(w[1], '^\\p{L}[.]')", (pair, "length(e1)", "n")), ("regexp_matches(w[2], '^\\p{L}[.]')", (rest, "o + length(w[1]) + 1", "length(e1)")),
+        ("regexp_matches(w[1], '^\\p{L}(.*)[.]$')", (pair, "o", "length(e1)")), ("regexp_matches(w[2], '^\\p{L}(.*)[.]$')", (rest, "o + length(w[1]) + 1", "length(e1)")), (f"w[2] IN {sp}", (pair, "o", "length(e1)")),
+        ("regexp_matches(w[1], '^\\p{Lu}') AND regexp_matches(w[2], '^\\p{Ll}')", (pair, "o", "length(e1)")), ("regexp_matches(w[1], '^\\p{Ll}') AND regexp_matches(w[2], '^\\p{Lu}')", (rest, "o + length(w[1]) + 1", "length(e1)")),
+    ]
+    steps = [
+        f"s1 AS (SELECT *, o + length(regexp_extract(substr(p, o + 1), '^{ws}*')) AS a, o + n - length(regexp_extract(substr(p, 1, o + n), '{ws}*$')) AS b FROM s0)",
+        "s2 AS (SELECT doc_id, p, o, n, e, CASE WHEN b >= length(p) OR a > b THEN a ELSE a - length(regexp_extract(substr(p, 1, a), '\\p{L}*$')) END AS a, CASE WHEN b >= length(p) OR a > b THEN b ELSE b + length(regexp_extract(substr(p, b + 1), '^\\p{L}*')) END AS b FROM s1)",
+        "s3 AS (SELECT doc_id, p, CASE WHEN a = o AND b = o + n THEN e ELSE substr(p, a + 1, b - a) END AS e, a AS o, b - a AS n FROM s2)",
+        f"s4 AS (SELECT *, CASE WHEN length(e) IN (1, 2) THEN {split('substr(p, o + 1)')} END AS h FROM s3)",
+        "s5 AS (SELECT doc_id, p, o, CASE WHEN regexp_matches(h[1], '^\\p{L}[.]$') AND len(h) > 1 THEN h[1] || ' ' || substr(h[2], 1, length(regexp_replace(h[2], '\\P{L}', '', 'g'))) ELSE e END AS e, n AS n0, e AS e0 FROM s4 WHERE h IS NULL OR length(h[1]) = 2)",
+        f"c0 AS (SELECT doc_id, p, o, CASE WHEN e = e0 THEN n0 ELSE length(e) END AS n, e, {split('e')} AS w FROM s5)",
+    ]
+    for i, (holds, (e, o, n)) in enumerate(rules):
+        on = f"len(w) > 2 AND w[3] NOT IN {sp} AND {holds}"
+        steps.append(f"c{i + 1} AS (SELECT doc_id, p, CASE WHEN {on} THEN {o} ELSE o END AS o, CASE WHEN {on} THEN {n} ELSE n END AS n, CASE WHEN {on} THEN e1 ELSE e END AS e, w FROM (SELECT *, {e} AS e1 FROM c{i}))")
+    return ", ".join([
+        *steps, f"d0 AS (SELECT doc_id, p, o, n, e, {split('e')} AS w, {split('substr(p, o + 1)')} AS h FROM c7)",
+        f"d1 AS (SELECT doc_id, p, o, n, e, CASE WHEN len(w) > 0 AND h[len(w) + 1] IN {sp} AND (len(w) = 1 OR h[len(w)] = w[-1]) THEN array_to_string(h[:len(w) + 1], ' ') END AS grown FROM d0)",
+        "d2 AS (SELECT doc_id, o, n, min(e) AS e, any_value(p) AS p FROM (SELECT doc_id, p, o, coalesce(length(grown), n) AS n, coalesce(grown, e) AS e FROM d1) WHERE e <> '' AND n > 0 GROUP BY 1, 2, 3)",
+        "n0 AS (SELECT *, max(o + n) OVER (PARTITION BY doc_id ORDER BY o, n DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS most FROM d2)",
+        "n1 AS (SELECT *, max(o + n) OVER (PARTITION BY doc_id ORDER BY o, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM n0 WHERE most IS NULL OR o + n > most)",
+        "n2 AS (SELECT *, sum(CASE WHEN before IS NULL OR o > before THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY o, n) AS run FROM n1)",
+        f"n3 AS (SELECT doc_id, min(o) AS start, max(o + n) - min(o) AS length, count(*) AS k, min(e) AS e, any_value(p) AS p FROM n2 GROUP BY doc_id, run)",
+        f"settled AS (SELECT doc_id, start, length, CASE WHEN k > 1 THEN regexp_replace(substr(p, start + 1, length), '^{ws}+|{ws}+$', '', 'g') ELSE e END AS text FROM n3)",
+    ])
+
+
+@query(f"""WITH {_TOK}, {_BIG}, s0 AS (SELECT DISTINCT doc_id, p, o, n, substr(p, o + 1, n) AS e FROM (SELECT m.doc_id, d.text AS p, m.start + 1 AS o, length(a.w) + length(a.next) + length(c.w) AS n
+ FROM bm m JOIN tok a ON a.doc_id = m.doc_id AND a.pos = m.pos JOIN tok c ON c.doc_id = m.doc_id AND c.pos = m.pos + 2 JOIN documents d ON d.doc_id = m.doc_id)), {_settle_sql()} SELECT * FROM settled""")
+def settled_spans(spark, sf):
+    """Mentions of a pair and the word after it, a letter short at either end, through the steps after a span model."""
+    docs = t(spark, sf, "documents")
+    toks = annotate.tokens(docs)
+    pairs = annotate.bigram_matches(toks, annotate.bigram_lexicon(t(spark, sf, "benchmark"))).select("doc_id", "pos", "start")
+    third = toks.select("doc_id", (F.col("pos") - 2).alias("pos"), F.length("w").alias("third"))
+    met = pairs.join(toks.select("doc_id", "pos", F.length("w").alias("one"), F.length("next").alias("two")), ["doc_id", "pos"]).join(third, ["doc_id", "pos"])
+    return boundaries.settle(met.select("doc_id", (F.col("start") + 1).alias("start"), (F.col("one") + F.col("two") + F.col("third")).cast("long").alias("length")), docs)
+
+
 _PN = "pn AS (SELECT p_name AS name, min(p_partkey) AS ord FROM part GROUP BY 1), px AS (SELECT name, ord, upper(substr(name, 1, 1)) AS initial, string_split(name, ' ')[2] AS epithet FROM pn)"
 
 
