@@ -6,28 +6,47 @@ document. Lexicon sides are left to the optimiser, which broadcasts them by thei
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from spanloom.functions.text import clean_token, latin_singular
 
 
+#: Texts whose tokens make one Arrow batch.
+TOKEN_BATCH = 128
+
+
+def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One pass over each text, by Arrow's own functions: split, lengths in code points, running sums."""
+    for whole in batches:
+        for b in (whole.slice(i, TOKEN_BATCH) for i in range(0, whole.num_rows, TOKEN_BATCH)):
+            lists = pc.split_pattern(b.column("text"), " ")
+            words, owner = lists.flatten(), pc.list_parent_indices(lists)
+            doc, n = owner.to_numpy(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+            first = np.cumsum(n) - n
+            ends = np.cumsum(pc.utf8_length(words).to_numpy().astype(np.int64) + 1)
+            before = np.concatenate(([0], ends))
+            start = before[:-1] - before[first][doc] + b.column("base").to_numpy()[doc]
+            last = np.zeros(len(words), bool)
+            last[first + n - 1] = True
+            after = pc.if_else(pa.array(last), pa.scalar(None, words.type), pa.concat_arrays([words[1:], words[:1]]))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(owner), pa.array((np.arange(len(words)) - first[doc]).astype(np.int32)), words, pa.array(start), after], ["doc_id", "pos", "w", "start", "next"])
+
+
 def tokens(docs: DataFrame, offset: str | None = None) -> DataFrame:
-    """doc_id, pos, w, start, next: split at single spaces, empty tokens kept; start counts code points.
+    """doc_id, pos, w, start, next: split at single spaces, empty tokens kept; start counts code points from the offset (null: 0).
 
-    All within the row, without a shuffle: a text's n tokens are first dealt to about sqrt(n) blocks with their starts, so that the
-    sums of lengths take n ** 1.5 steps.
+    No shuffle, and linear in the text. A null text has no tokens.
     """
     base = F.coalesce(F.col(offset), F.lit(0)) if offset else F.lit(0)
-    whole = docs.where(F.col("text").isNotNull()).select("doc_id", base.cast("long").alias("base"), F.split("text", " ").alias("ws"))
-    whole = whole.select("doc_id", "base", "ws", F.transform("ws", lambda w: F.length(w) + 1).alias("ls"), F.ceil(F.sqrt(F.size("ws"))).cast("int").alias("b"))
-    add = "(s, x) -> s + x"
-    blocks = whole.selectExpr(
-        "doc_id", "b", f"inline(transform(sequence(0, (size(ws) - 1) div b), k -> struct(cast(k * b AS int) AS at, slice(ws, k * b + 1, b + 1) AS part, base + aggregate(slice(ls, 1, k * b), 0L, {add}) AS below)))"
-    )
-    return blocks.selectExpr(
-        "doc_id", "inline(transform(slice(part, 1, b), (w, i) -> struct(at + i AS pos, w AS w, below + aggregate(slice(part, 1, i), 0L, (s, x) -> s + length(x) + 1) AS start, get(part, i + 1) AS next)))"
-    )
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text", base.cast("long").alias("base"))
+    return rows.mapInArrow(_token_batches, StructType([rows.schema["doc_id"], *StructType.fromDDL("pos int, w string, start long, next string")]))
 
 
 def first_by_name(lexicon: DataFrame) -> DataFrame:
@@ -53,10 +72,12 @@ def _numbered(names: DataFrame, prefix: str) -> DataFrame:
 
 
 def mention_counts(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """tax_id, name, n, docs: every different word is cleaned and looked up once, then the words are counted by what they name."""
-    words = docs.select("doc_id", F.explode(F.split("text", " ")).alias("w"))
+    """tax_id, name, n, docs: words are counted by document first (doc_id is a document's own), so that only counts are shuffled and every
+    different word is cleaned and looked up once for each count."""
+    words = docs.select("doc_id", F.explode(F.split("text", " ")).alias("w")).groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("n"))
     named = words.select("w").distinct().withColumn("name", F.lower(clean_token(F.col("w")))).where("length(name) >= 1").join(first_by_name(lexicon), "name").select("w", "name", "tax_id")
-    return words.join(named, "w").groupBy("tax_id", "name").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("docs"))
+    by_doc = words.join(named, "w").groupBy("tax_id", "name", "doc_id").agg(F.sum("n").alias("n"))
+    return by_doc.groupBy("tax_id", "name").agg(F.sum("n").alias("n"), F.count("doc_id").alias("docs"))
 
 
 def identify(matches: DataFrame, lexicon: DataFrame) -> DataFrame:
