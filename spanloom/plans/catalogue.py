@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions import text as tx
-from spanloom.operators import annotate, boundaries, link, spans, stats, taxonomy
+from spanloom.operators import annotate, boundaries, candidates, link, spans, stats, taxonomy
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -595,20 +595,21 @@ def ambiguous_identifiers(spark, sf):
     return out.select("name", "modifier", F.array_join(F.col("identifier").cast("array<string>"), ",").alias("identifier"), F.array_join("types", ",").alias("types"), "ambiguous")
 
 
-@query("""WITH nm AS (SELECT p_name AS name, min(p_partkey) AS id, min(p_size) AS size FROM part GROUP BY 1), g AS (SELECT id, unnest(list_concat(string_split(name, ''), list_transform(range(1, length(name)), lambda x: substr(name, x, 2)))) AS term FROM nm),
-tf AS (SELECT id, term, count(*) AS tf FROM g GROUP BY 1, 2), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), r AS (SELECT id, term, tf * (ln((1.0 + (SELECT count(*) FROM nm)) / (1 + df)) + 1) AS raw FROM tf JOIN df USING (term)),
-w AS (SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS weight FROM r),
-s AS (SELECT a.id AS query_id, b.id, sum(a.weight * b.weight) AS s FROM w a JOIN w b USING (term) WHERE a.id % 100 = 0 GROUP BY 1, 2),
-d AS (SELECT a.id AS query_id, b.id, 1.0 / (1 + a.size) AS d FROM nm a JOIN nm b USING (size) WHERE a.id % 100 = 0),
-h AS (SELECT query_id, id, coalesce(s, 0) + 0.5 * coalesce(d, 0) AS score FROM s FULL JOIN d USING (query_id, id))
-SELECT query_id, id, round(score, 6) AS score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM h) WHERE rank <= 5""")
+@query("""WITH v AS (SELECT vec_id AS id, p_name AS name, embedding FROM embeddings JOIN part ON p_partkey = vec_id),
+g AS (SELECT id, unnest(list_concat(string_split(name, ''), list_transform(range(1, length(name)), lambda x: substr(name, x, 2)))) AS term FROM v),
+tf AS (SELECT id, term, count(*) AS tf FROM g GROUP BY 1, 2), df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1), r AS (SELECT id, term, tf * (ln((1.0 + (SELECT count(*) FROM v)) / (1 + df)) + 1) AS raw FROM tf JOIN df USING (term)),
+w AS (SELECT id, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY id)) AS w FROM r),
+s AS (SELECT a.id AS query_id, b.id, sum(a.w * b.w) AS s FROM w a JOIN w b USING (term) WHERE a.id % 100 = 0 GROUP BY 1, 2),
+d AS (SELECT q.id AS query_id, v.id, list_sum(list_transform(list_zip(q.embedding, v.embedding), lambda z: z[1]::DOUBLE * z[2]::DOUBLE)) AS d FROM v q, v WHERE q.id % 100 = 0),
+h AS (SELECT query_id, id, 0.5 * coalesce(s, 0) + d AS score FROM d LEFT JOIN s USING (query_id, id))
+SELECT query_id, id, name, round(score, 6) AS score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM h) JOIN v USING (id) WHERE rank <= 5""")
 def sparse_dense_topk(spark, sf):
-    names = t(spark, sf, "part").groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("id"), F.min("p_size").alias("size"))
-    weights = link.char_tfidf(names.select("id", "name"))
-    sparse = link.sparse_scores(weights.where("id % 100 = 0"), weights)
-    few, all_ = names.where("id % 100 = 0").select(F.col("id").alias("query_id"), "size"), names.select("id", "size")
-    dense = few.join(all_, "size").select("query_id", "id", (1.0 / (1 + F.col("size"))).alias("score"))
-    return link.hybrid(sparse, dense, 5, 0.5).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+    """Part names with the given vectors; every row whose id 100 divides asks for its candidates among all."""
+    rows = t(spark, sf, "embeddings").join(t(spark, sf, "part"), F.col("p_partkey") == F.col("vec_id")).select(F.col("vec_id").alias("id"), F.col("p_name").alias("name"), F.col("embedding").alias("dense"))
+    encoder = candidates.fit(rows)
+    known = candidates.encode(rows, encoder)
+    found = candidates.top_candidates(spark, known, known.where("id % 100 = 0").withColumnRenamed("id", "query_id"), 5, 0.5)
+    return found.select("query_id", "id", "name", F.round("score", 6).alias("score"), "rank")
 
 
 @query("""SELECT conv_id, turn, length(text) >= 6 AND text NOT IN ('', ' ') AS kept, upper(substr(role, 1, 1)) || substr(role, 2) || ' turn' AS title,
