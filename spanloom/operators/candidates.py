@@ -10,6 +10,10 @@ cell's rows, so no task holds more than a block of either.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.text import text_preprocess
 from spanloom.operators.lineage import cut
+from spanloom.sources.store import refresh
 
 PIVOTS, CELL_ROWS, CELL_BLOCK, QUERY_BLOCK = 64, 2048, 512, 1024
 #: Scores closer than this count as equal, so that rounding leaves nothing out.
@@ -50,6 +55,33 @@ def encode(rows: DataFrame, encoder: DataFrame, key: str = "id") -> DataFrame:
     return rows.join(vector, key, "left").select(*rows.columns, none("terms", "array<string>"), none("weights", "array<double>"))
 
 
+#: Names that a model gets at once.
+EMBED_BATCH = 1024
+_LOADED: dict[str, Any] = {}
+
+
+def embedded(names: DataFrame, load: Callable[[], Any]) -> DataFrame:
+    """name, dense: the vectors that a model (``embed``, a list of names to a matrix) gives; it is loaded once in a worker."""
+    token = uuid.uuid4().hex
+
+    def run(batches):
+        if token not in _LOADED:
+            _LOADED.clear()
+            _LOADED[token] = load()
+        for pdf in batches:
+            for i in range(0, len(pdf), EMBED_BATCH):
+                part = pdf.iloc[i : i + EMBED_BATCH]
+                yield pd.DataFrame({"name": part["name"], "dense": [[float(x) for x in v] for v in _LOADED[token].embed(part["name"].tolist())]})
+
+    return names.select("name").mapInPandas(run, "name string, dense array<double>")
+
+
+def stored_vocabulary(spark: SparkSession, folder: str, names: DataFrame, load: Callable[[], Any], version: str) -> DataFrame:
+    """id, name, dense of a vocabulary (id, name), vectors from the folder where it has them: only names that are new to it are embedded, and
+    all of them after a change of ``version`` (the model's)."""
+    return refresh(spark, folder, names.select("id", "name"), ["name"], lambda new: embedded(new, load), version)
+
+
 # ------------------------------------------------------------------ cells
 def _dense(rows: pd.Series, width: int) -> np.ndarray:
     return np.stack([np.asarray(x, float) for x in rows]) if width else np.zeros((len(rows), 0))
@@ -195,3 +227,9 @@ def candidates_json(found: DataFrame) -> DataFrame:
     """mention, candidates (a JSON list of {id: name}, best first) of link_names."""
     per = found.groupBy("mention").agg(F.array_sort(F.collect_list(F.struct("rank", F.col("id").cast("string").alias("id"), "name"))).alias("c"))
     return per.select("mention", F.to_json(F.transform("c", lambda x: F.create_map(x["id"], x["name"]))).alias("candidates"))
+
+
+def save_candidates(found: DataFrame, folder: str) -> None:
+    """A JSON line {mention, candidates: [{id: name}, ...]} for each mention, in a new folder."""
+    rows = candidates_json(found)
+    rows.select(F.concat(F.lit('{"mention":'), F.to_json(F.array("mention")).substr(F.lit(2), F.length(F.to_json(F.array("mention"))) - 2), F.lit(',"candidates":'), "candidates", F.lit("}")).alias("value")).write.text(folder)

@@ -52,7 +52,7 @@ def test_top_candidates_are_all_pairs(spark, monkeypatch, weight, spread):
         assert np.mean([x["compared"] for x in got if x["query_id"] not in (98, 99)]) < 0.35 * len(rows)
 
 
-def test_names_to_candidates(spark):
+def test_names_to_candidates(spark, tmp_path):
     vocabulary = spark.createDataFrame([("T1", "helicobacter pylori"), ("T2", "bacillus cereus"), ("T3", "proteus mirabilis")], "id string, name string").withColumn("dense", F.array().cast("array<double>"))
     encoder = candidates.fit(vocabulary)
     names = spark.createDataFrame([("Helicobacter-Pylori",), ("B. cereus",), ("B. cereus",), (None,)], "mention string")
@@ -60,4 +60,7 @@ def test_names_to_candidates(spark):
     got = {r["mention"]: [list(x.items())[0] for x in json.loads(r["candidates"])] for r in candidates.candidates_json(found).collect()}
     assert set(got) == {"Helicobacter-Pylori", "B. cereus"} and all(len(x) == 2 for x in got.values())
     assert got["Helicobacter-Pylori"][0] == ("T1", "helicobacter pylori") and got["B. cereus"][0] == ("T2", "bacillus cereus")
+    candidates.save_candidates(found, str(tmp_path / "kept"))
+    lines = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "kept")).collect()]
+    assert {x["mention"]: [list(c.items())[0] for c in x["candidates"]] for x in lines} == got
     assert candidates.link_names(spark, names.limit(0), candidates.encode(vocabulary, encoder), encoder).count() == 0
