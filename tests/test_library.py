@@ -261,10 +261,10 @@ def test_articles_become_passages_and_are_annotated(spark, tmp_path):
     assert [r["text"] for r in got] == texts and [r["passage_no"] for r in got] == list(range(8))
     assert [r["offset"] for r in got] == [sum(len(x) + 1 for x in texts[:i]) for i in range(8)]
     assert got[0]["doc_id"] == "PMC1" and got[0]["doc_infons"] == {"pmcid": "PMC1", "doi": "10/x", "journal": "J", "pub_type": "research-article", "year": "2020"}
-    assert got[5]["infons"] == {"section_title_1": "Methods", "section_title_2": "Strains", "term_1": "methods section"}
-    assert got[2]["infons"] == {"section_title_1": "Abstract", "section_title_2": "Aims", "term_1": "abstract"}
-    assert got[6]["infons"] == {"section_title_1": "Odd", "term_1": "document part"}
-    assert got[7]["infons"] == {"section_title_1": "References", "term_1": "references section", "journal": "S", "year": "2001", "volume": "7", "pmid": "99"}
+    assert got[5]["infons"] == {"section_title_1": "Methods", "section_title_2": "Strains", "term_1": "methods section", "term_id_1": "IAO:0000317"}
+    assert got[2]["infons"] == {"section_title_1": "Abstract", "section_title_2": "Aims", "term_1": "abstract", "term_id_1": ""}
+    assert got[6]["infons"] == {"section_title_1": "Odd", "term_1": "document part", "term_id_1": "IAO:0000314"}
+    assert got[7]["infons"] == {"section_title_1": "References", "term_1": "references section", "term_id_1": "IAO:0000320", "journal": "S", "year": "2001", "volume": "7", "pmid": "99"}
     lexicon = spark.createDataFrame(LEXICON, "name string, tax_id string, kingdom string, rank string, ord int")
     m = annotate_passages(articles.article_passages(parts), lexicon).where("passage_no = 5").collect()
     assert [(r["text"], r["tax_id"], r["start"]) for r in m] == [("Helicobacter pylori", "T2", got[5]["offset"])]
