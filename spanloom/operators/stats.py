@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators.lineage import cut
+
 
 def uniform(*parts: Column) -> Column:
     """A number in [0, 1) from the md5 of the parts: the same on every engine and rerun."""
@@ -12,13 +18,17 @@ def uniform(*parts: Column) -> Column:
 
 
 def enrichment(front: DataFrame, back: DataFrame) -> DataFrame:
-    """Counts and shares within each rank, expected count and enrichment: rank, tax_id, n on either side."""
-    total = lambda df, n: df.withColumn(n, F.sum("n").over(Window.partitionBy("rank")))
-    f, b = total(front, "front_total"), total(back.withColumnRenamed("n", "n"), "back_total")
-    ranks = b.groupBy("rank").agg(F.max("back_total").alias("back_total"))
-    joined = f.join(b.select("rank", "tax_id", F.col("n").alias("background_count")), ["rank", "tax_id"], "left").join(ranks, "rank")
-    out = joined.withColumn("background_count", F.coalesce("background_count", F.lit(0)))
-    out = out.withColumn("front_fraction", F.col("n") / F.col("front_total")).withColumn("background_fraction", F.col("background_count") / F.col("back_total"))
+    """Counts and shares within each rank, expected count and enrichment: rank, tax_id, n on either side.
+
+    Ranks that the background has. A background share is one of the front's taxa alone, whatever other taxa the background counts; where it
+    counts none of them, their shares are even. Totals are one aggregation by rank, joined back.
+    """
+    known = front.join(back.select("rank").distinct(), "rank", "left_semi")
+    joined = known.join(back.select("rank", "tax_id", F.col("n").alias("background_count")), ["rank", "tax_id"], "left")
+    joined = joined.withColumn("background_count", F.coalesce("background_count", F.lit(0)))
+    totals = joined.groupBy("rank").agg(F.sum("n").alias("front_total"), F.sum("background_count").alias("back_total"), F.count(F.lit(1)).alias("taxa"))
+    out = joined.join(totals, "rank").withColumn("front_fraction", F.when(F.col("front_total") == 0, 0.0).otherwise(F.try_divide("n", "front_total")))
+    out = out.withColumn("background_fraction", F.when(F.col("back_total") == 0, 1 / F.col("taxa")).otherwise(F.try_divide("background_count", "back_total")))
     return out.select(
         "rank", "tax_id", F.col("n").alias("front_count"), "background_count", "front_fraction", "background_fraction",
         F.ceil(F.col("background_fraction") * F.col("front_total")).alias("expected_count"),
@@ -96,27 +106,56 @@ def weighted_sample(df: DataFrame, key: str, weight: str, k: int, seed: int) ->
     return df.where(F.col(weight) > 0).withColumn("arrival", arrival).orderBy("arrival", key).limit(k)
 
 
-def resampled_p_values(front: DataFrame, back: DataFrame, samples: int = 1000, block: int = 50, seed: int = 7) -> DataFrame:
-    """rank, tax_id, p_value: share of ``samples`` draws from the background that reach the front's count.
+#: Taxa that a task of resampling holds, about; and resamples that it draws.
+BLOCK_TAXA, BLOCK_DRAWS = 4096, 50
+
 
-    Each draw deals the rank's front total among its front taxa by their background shares (evenly where all are zero).
-    Blocks of draws are tasks of their own; a task holds the taxa of one rank.
+def _drawn(seed: int, rank: str, start: int, n: int, total: int, path: list[tuple[int, int]], node: int, weights: np.ndarray) -> np.ndarray:
+    """Counts of the taxa of one leaf in resamples start to start + n, of ``total`` each.
+
+    path: for every split from the top, the weight of the node and of its left half. A split's binomials come from a generator of its own, so
+    that every task below draws the same ones; node: the leaf's number, whose bits are the way.
     """
-    import numpy as np
-    import pandas as pd
+    name = int.from_bytes(hashlib.sha256(rank.encode()).digest()[:8], "little")
+    counts = np.full(n, total, np.int64)
+    for level, (whole, left) in enumerate(path):
+        at = (1 << level) + (node >> (len(path) - level))  # the split's number, the top one's is 1
+        went_left = np.random.default_rng([seed, name, start, at]).binomial(counts, left / whole if whole else 0.5)
+        counts = counts - went_left if (node >> (len(path) - level - 1)) & 1 else went_left
+    share = weights / weights.sum() if weights.sum() else np.full(len(weights), 1 / len(weights))
+    return np.random.default_rng([seed, name, start, 0, node]).multinomial(counts, share)
+
+
+def resampled_p_values(front: DataFrame, back: DataFrame, samples: int = 1000, seed: int = 7) -> DataFrame:
+    """rank, tax_id, p_value: share of ``samples`` draws from the background that reach the front's count.
 
-    e = enrichment(front, back).select("rank", "tax_id", "front_count", "background_fraction")
-    blocks = e.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(-(-samples // block) - 1))))
+    Each draw deals the rank's front total among its front taxa by their background counts, evenly where all are zero or each equals the
+    front's. A rank's taxa are dealt to leaves of at most about BLOCK_TAXA; a resample is split down the binary tree over the leaves, left against right
+    by binomials, and within a leaf by a multinomial, which together is one multinomial. A task holds one leaf and BLOCK_DRAWS
+    resamples; all that tasks share are the sums of weights, whole numbers. Reruns agree.
+    """
+    e = enrichment(front, back).select("rank", "tax_id", "front_count", "background_count")
+    about = e.groupBy("rank").agg(F.count(F.lit(1)).alias("taxa"), F.sum("front_count").alias("total"), (F.sum("background_count") == 0).alias("none"), F.min((F.col("front_count") == F.col("background_count")).cast("int")).alias("same"))
+    splits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("taxa") / F.lit(float(BLOCK_TAXA)))).cast("int"))
+    about = about.select("rank", F.ceil("total").cast("long").alias("total"), (F.col("none") | (F.col("same") == 1)).alias("even"), splits.alias("splits"))
+    rows = e.join(about, "rank").withColumn("weight", F.when(F.col("even"), 1).otherwise(F.col("background_count")).cast("long"))
+    rows = cut(rows.withColumn("leaf", F.pmod(F.xxhash64("tax_id"), F.pow(F.lit(2), F.col("splits")).cast("long"))))
+    # sums of the nodes above each leaf, by level and number; a leaf's path has its node's and its left half's at every level
+    leaves = rows.groupBy("rank", "splits", "leaf").agg(F.sum("weight").alias("weight"))
+    up = leaves.select("*", F.explode(F.sequence(F.lit(0), F.col("splits"))).alias("level")).withColumn("node", F.expr("shiftright(leaf, splits - level)"))
+    sums = up.groupBy("rank", "level", "node").agg(F.sum("weight").alias("whole"))
+    lefts = sums.where("node % 2 = 0 AND level > 0").select("rank", (F.col("level") - 1).alias("level"), F.expr("shiftright(node, 1)").alias("node"), F.col("whole").alias("left"))
+    steps = up.where("level < splits").select("rank", "leaf", "level", "node").join(sums, ["rank", "level", "node"]).join(lefts, ["rank", "level", "node"], "left")
+    paths = steps.groupBy("rank", "leaf").agg(F.array_sort(F.collect_list(F.struct("level", "whole", F.coalesce("left", F.lit(0)).alias("left")))).alias("path"))
+    blocks = rows.join(paths, ["rank", "leaf"], "left").withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(samples - 1), F.lit(BLOCK_DRAWS))))
 
     def draw(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("tax_id")
-        at = int(pdf["block"].iloc[0])
-        name = int.from_bytes(str(pdf["rank"].iloc[0]).encode(), "little") % (1 << 63)
-        w = pdf["background_fraction"].to_numpy(float)
-        w = w / w.sum() if w.sum() > 0 else np.full(len(w), 1 / len(w))
-        seen = pdf["front_count"].to_numpy()
-        drawn = np.random.default_rng([seed, at, name]).multinomial(int(np.ceil(seen.sum())), w, min(block, samples - at * block))
-        return pd.DataFrame({"rank": pdf["rank"], "tax_id": pdf["tax_id"], "reached": (drawn >= seen).sum(0)})
-
-    reached = blocks.groupBy("rank", "block").applyInPandas(draw, "rank string, tax_id string, reached long")
+        one = pdf.iloc[0]
+        n = min(BLOCK_DRAWS, samples - int(one["start"]))
+        path = [(int(x["whole"]), int(x["left"])) for x in one["path"]] if one["path"] is not None else []
+        drawn = _drawn(seed, str(one["rank"]), int(one["start"]), n, int(one["total"]), path, int(one["leaf"]), pdf["weight"].to_numpy())
+        return pd.DataFrame({"rank": pdf["rank"], "tax_id": pdf["tax_id"], "reached": (drawn >= pdf["front_count"].to_numpy()).sum(0)})
+
+    reached = blocks.groupBy("rank", "leaf", "start").applyInPandas(draw, "rank string, tax_id string, reached long")
     return reached.groupBy("rank", "tax_id").agg(((F.sum("reached") + 1) / F.lit(samples + 1.0)).alias("p_value"))

@@ -69,11 +69,21 @@ def attach_root(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def depth_first(rooted: DataFrame) -> DataFrame:
-    """level from 1 and dfs_order from 0: nodes sorted by the path of names from their top, for any depth."""
-    far = closure(rooted.where("parent <> 'root'").select(F.col("tax_id").alias("child"), "parent", F.lit(1.0).alias("weight")))
-    way = far.select("tax_id", "ancestor", "distance").unionByName(rooted.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("distance")))
-    paths = way.groupBy("tax_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("distance", "ancestor")), asc=False), lambda s: s["ancestor"]).alias("path"))
-    return paths.select("tax_id", F.size("path").alias("level"), (F.row_number().over(Window.orderBy("path")) - 1).alias("dfs_order"))  # one figure's nodes
+    """tax_id, level from 1, dfs_order from 0, and leaf_order from 0 (null for inner nodes): each node before its children, siblings by name.
+
+    A node's number is its parent's, one, and the sizes of the subtrees of earlier siblings: sizes are counts over the lineages, what a node
+    adds is a running sum among its siblings, and a number is the sum of that along a lineage. No task orders all nodes.
+    """
+    far = cut(closure(rooted.where("parent <> 'root'").select(F.col("tax_id").alias("child"), "parent", F.lit(1.0).alias("weight"))).select("tax_id", "ancestor"))
+    inner = rooted.select(F.col("parent").alias("tax_id")).distinct().withColumn("inner", F.lit(True))
+    told = rooted.select("tax_id", "parent").join(inner, "tax_id", "left").withColumn("leaf", F.col("inner").isNull().cast("long")).drop("inner")
+    way = far.unionByName(rooted.select("tax_id", F.col("tax_id").alias("ancestor")))
+    sizes = way.join(told.select("tax_id", "leaf"), "tax_id").groupBy(F.col("ancestor").alias("tax_id")).agg(F.count(F.lit(1)).alias("size"), F.sum("leaf").alias("leaves"))
+    siblings = Window.partitionBy("parent").orderBy("tax_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(siblings), F.lit(0))
+    added = told.join(sizes, "tax_id").select(F.col("tax_id").alias("ancestor"), (before("size") + 1).alias("nodes"), before("leaves").alias("leaves"))
+    sums = way.join(added, "ancestor").groupBy("tax_id").agg(F.count(F.lit(1)).cast("int").alias("level"), (F.sum("nodes") - 1).alias("dfs_order"), F.sum("leaves").alias("before"))
+    return sums.join(told.select("tax_id", "leaf"), "tax_id").select("tax_id", "level", "dfs_order", F.when(F.col("leaf") == 1, F.col("before")).alias("leaf_order"))
 
 
 def with_missing(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -117,9 +127,9 @@ def layout(rooted: DataFrame, radii: DataFrame) -> DataFrame:
     One aggregation a level, from the deepest up.
     """
     order = cut(depth_first(rooted).join(rooted.select("tax_id", "parent"), "tax_id"))
-    leaves = order.join(order.select(F.col("parent").alias("tax_id")).distinct(), "tax_id", "left_anti")
+    leaves = order.where("leaf_order IS NOT NULL")
     n, deepest = leaves.count(), order.agg(F.max("level")).first()[0] or 0
-    at = (F.row_number().over(Window.orderBy("dfs_order")) - 1) * 2 * F.pi() / n  # the leaves of one figure
+    at = F.col("leaf_order") * 2 * F.pi() / n
     done = cut(leaves.select("tax_id", "parent", "level", at.alias("angle")))
     a = F.col("angle")
     turned = F.when(a > F.pi(), a - 2 * F.pi()).otherwise(a)
@@ -177,8 +187,17 @@ def edge_classes(edges: DataFrame, classed: DataFrame) -> DataFrame:
 
 
 def angle_groups(labels: DataFrame, gap: float = 0.4) -> DataFrame:
-    """Labels by angle; a new group wherever the next is ``gap`` or more away, and the place within the group."""
-    by = Window.orderBy("angle", "tax_id")  # the labels of one figure
-    new = F.when(F.col("angle") - F.lag("angle").over(by) < gap, 0).otherwise(1)
-    grouped = labels.withColumn("new", new).withColumn("grp", F.sum("new").over(by)).drop("new")
-    return grouped.withColumn("place", F.row_number().over(Window.partitionBy("grp").orderBy("angle", "tax_id")))
+    """Labels by angle; a new group wherever the next is ``gap`` or more away, and the place within the group.
+
+    Within a cell of half a gap there is no such step, so groups follow from the least and greatest angle of each cell: a row for
+    every cell that has labels, at most 4 pi / gap of them.
+    """
+    cell = F.floor(F.col("angle") / (gap / 2)).cast("long")
+    celled = labels.withColumn("_cell", cell)
+    cells = celled.groupBy("_cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count(F.lit(1)).alias("n"))
+    by = Window.orderBy("_cell")  # cells, not labels
+    cells = cells.withColumn("new", F.when(F.col("low") - F.lag("high").over(by) < gap, 0).otherwise(1)).withColumn("grp", F.sum("new").over(by))
+    earlier = Window.partitionBy("grp").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select("_cell", "grp", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
+    within = F.row_number().over(Window.partitionBy("_cell").orderBy("angle", "tax_id"))
+    return celled.join(cells, "_cell").withColumn("place", (F.col("earlier") + within).cast("int")).drop("_cell", "earlier")

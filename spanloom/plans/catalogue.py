@@ -343,9 +343,18 @@ def nearest_parents(spark, sf):
     return taxonomy.nearest_parent(n, n)
 
 
-@query("SELECT * FROM (VALUES ('superkingdom', 1), ('family', 2), ('species', 3), ('clade', 4), ('no rank', 5), ('other', 6)) v(rank, place)")
+_DEPTHS = ", ".join(f"('{r}', {v})" for r, v in taxonomy.RANKS.items())
+
+
+@query(f"WITH {_TREE}, d(rank, depth) AS (VALUES {_DEPTHS}), e AS (SELECT DISTINCT lower(event_type) AS rank FROM events UNION SELECT rank FROM nd UNION SELECT CASE WHEN p_size % 2 = 0 THEN 'no rank' ELSE 'clade' END FROM part UNION SELECT CASE WHEN p_size > 25 THEN 'genus' ELSE 'strain' END FROM part) SELECT rank, row_number() OVER (ORDER BY CASE WHEN depth IS NOT NULL THEN 0 WHEN rank IN ('tribe', 'forma', 'clade', 'no rank') THEN 1 ELSE 2 END, coalesce(depth, 0), rank)::INT AS place FROM e LEFT JOIN d USING (rank)")
 def legend_order(spark, sf):
-    return taxonomy.legend(spark.createDataFrame([(r,) for r in ("no rank", "other", "species", "family", "clade", "superkingdom", "species")], "rank string"))
+    """Ranks of the tree, with other kinds that the tables name."""
+    size, part = F.col("p_size"), t(spark, sf, "part")
+    kinds = [F.when(size % 2 == 0, "no rank").otherwise("clade"), F.when(size > 25, "genus").otherwise("strain")]
+    ranks = _tree(spark, sf)[0].select("rank").union(t(spark, sf, "events").select(F.lower("event_type")))
+    for kind in kinds:
+        ranks = ranks.union(part.select(kind))
+    return taxonomy.legend(ranks)
 
 
 _DFS = f"""{_TREE}, c AS (SELECT tax_id, [tax_id] AS path FROM nd WHERE rank = 'superkingdom' UNION ALL SELECT child, list_append(path, child) FROM c JOIN ed ON parent = tax_id),
@@ -354,15 +363,15 @@ o AS (SELECT tax_id, len(path)::INT AS level, row_number() OVER (ORDER BY path)
 
 @query(f"WITH RECURSIVE {_DFS} SELECT tax_id, level, dfs_order::INT AS dfs_order FROM o")
 def dfs_order(spark, sf):
-    return taxonomy.depth_first(taxonomy.attach_root(*_tree(spark, sf)))
+    return taxonomy.depth_first(taxonomy.attach_root(*_tree(spark, sf))).select("tax_id", "level", F.col("dfs_order").cast("int").alias("dfs_order"))
 
 
 @query(f"WITH RECURSIVE {_DFS}, l AS (SELECT tax_id, row_number() OVER (ORDER BY dfs_order) - 1 AS i, count(*) OVER () AS n FROM o WHERE level = 3) SELECT tax_id, round(i * 2 * pi() / n, 6) AS angle, round(8 * cos(i * 2 * pi() / n), 6) AS x, round(8 * sin(i * 2 * pi() / n), 6) AS y FROM l")
 def leaf_angles(spark, sf):
-    leaves = dfs_order(spark, sf).where("level = 3")
-    n = leaves.count()
-    angle = (F.row_number().over(Window.orderBy("dfs_order")) - 1) * 2 * F.pi() / n
-    return leaves.withColumn("a", angle).select("tax_id", F.round("a", 6).alias("angle"), F.round(8 * F.cos("a"), 6).alias("x"), F.round(8 * F.sin("a"), 6).alias("y"))
+    leaves = taxonomy.depth_first(taxonomy.attach_root(*_tree(spark, sf))).where("leaf_order IS NOT NULL AND level = 3")
+    every = t(spark, sf, "customer").count()
+    leaves = leaves.withColumn("a", F.col("leaf_order") * 2 * F.pi() / every)
+    return leaves.select("tax_id", F.round("a", 6).alias("angle"), F.round(8 * F.cos("a"), 6).alias("x"), F.round(8 * F.sin("a"), 6).alias("y"))
 
 
 @query(f"""WITH RECURSIVE {_DFS}, l0 AS (SELECT tax_id, level FROM o WHERE tax_id NOT IN (SELECT parent FROM ed)), l AS (SELECT tax_id, row_number() OVER (ORDER BY dfs_order) - 1 AS i, count(*) OVER () AS n FROM o WHERE tax_id IN (SELECT tax_id FROM l0)),
@@ -396,7 +405,7 @@ def study_overlay(spark, sf):
 # ------------------------------------------------------------------ statistics
 _ENR = """fr AS (SELECT c_mktsegment AS rank, 'C' || o_custkey AS tax_id, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2),
 bk AS (SELECT c_mktsegment AS rank, 'C' || o_custkey AS tax_id, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
-ft AS (SELECT rank, sum(n) AS t FROM fr GROUP BY 1), bt AS (SELECT rank, sum(n) AS t FROM bk GROUP BY 1),
+ft AS (SELECT rank, sum(n) AS t FROM fr GROUP BY 1), bt AS (SELECT rank, sum(bk.n) AS t FROM fr JOIN bk USING (rank, tax_id) GROUP BY 1),
 en AS (SELECT fr.rank, fr.tax_id, fr.n AS front_count, coalesce(bk.n, 0) AS background_count, fr.n / ft.t AS ff, coalesce(bk.n, 0) / bt.t AS bf, ft.t AS tot FROM fr LEFT JOIN bk USING (rank, tax_id) JOIN ft USING (rank) JOIN bt USING (rank)),
 pv AS (SELECT rank, tax_id, (('0x' || substr(md5(rank || '|' || tax_id), 1, 8))::BIGINT / 4294967296.0) AS p_value FROM fr),
 ra AS (SELECT *, row_number() OVER (PARTITION BY rank ORDER BY p_value, tax_id) AS rn, count(*) OVER (PARTITION BY rank) AS m, least(1.0, avg(CASE WHEN p_value >= 0.85 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY rank) / (1 - 0.85::DOUBLE)) AS pi0 FROM pv)"""

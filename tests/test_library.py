@@ -27,6 +27,31 @@ def test_resampling_matches_the_binomial_tail(spark):
     assert got == {(r[0], r[1]): r[2] for r in stats.resampled_p_values(front, back, 2000).collect()}
 
 
+def test_resampling_of_a_split_rank(spark, monkeypatch):
+    """Leaves of a few taxa: each resample's counts add up to the total, whatever leaf they fall in; the tail is the binomial's."""
+    monkeypatch.setattr(stats, "BLOCK_TAXA", 3)
+    rng = random.Random(3)
+    front = [("hot", f"t{i:02d}", rng.randrange(0, 9)) for i in range(40)]
+    back = [("hot", f"t{i:02d}", rng.randrange(0, 50)) for i in range(44)]
+    make = lambda rows: spark.createDataFrame(rows, "rank string, tax_id string, n long")
+    got = {r["tax_id"]: r["p_value"] for r in stats.resampled_p_values(make(front), make(back), 3000).collect()}
+    weights = {t: n for _, t, n in back}
+    whole, total = sum(weights[t] for _, t, _ in front), sum(n for *_, n in front)
+    for _, tax, seen in front:
+        w = weights[tax] / whole
+        tail = sum(math.comb(total, i) * w**i * (1 - w) ** (total - i) for i in range(seen, total + 1))
+        assert abs(got[tax] - tail) < 0.05
+    # a rank whose counts are the background's is drawn evenly
+    same = {r["tax_id"]: r["p_value"] for r in stats.resampled_p_values(make([("s", "a", 9), ("s", "b", 1)]), make([("s", "a", 9), ("s", "b", 1)]), 3000).collect()}
+    tail = lambda seen: sum(math.comb(10, i) * 0.5**10 for i in range(seen, 11))
+    assert abs(same["a"] - tail(9)) < 0.02 and abs(same["b"] - tail(1)) < 0.02
+    w = np.arange(1, 9)
+    sums = [w[i : i + 2].sum() for i in (0, 2, 4, 6)]
+    paths = {0: [(36, sums[0] + sums[1]), (sums[0] + sums[1], sums[0])], 1: [(36, sums[0] + sums[1]), (sums[0] + sums[1], sums[0])], 2: [(36, sums[0] + sums[1]), (sums[2] + sums[3], sums[2])], 3: [(36, sums[0] + sums[1]), (sums[2] + sums[3], sums[2])]}
+    drawn = np.hstack([stats._drawn(1, "r", 0, 500, 70, paths[i], i, w[2 * i : 2 * i + 2]) for i in range(4)])
+    assert (drawn.sum(1) == 70).all() and np.abs(drawn.mean(0) - 70 * w / 36).max() < 0.6
+
+
 def _collection(i):
     return {"source": "s", "documents": [{"id": f"D{i}", "passages": [{"offset": 0, "infons": {"section_title_1": "t"}, "text": f"Helicobacter pylori {i}"}, {"offset": 30, "infons": {}, "text": "none"}]}]}
 
