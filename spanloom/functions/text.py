@@ -26,9 +26,15 @@ def latin_singular(w: Column) -> Column:
     )
 
 
-def text_preprocess(s: Column, lowercase: bool = True, remove_punctuation: bool = True) -> Column:
+#: Fixed value: what counts as punctuation.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def text_preprocess(s: Column, lowercase: bool = True, remove_punctuation: bool = True, ignore: str = "") -> Column:
+    """Lower-cased, runs of white space and punctuation (but for ``ignore``) to one space, trimmed."""
     out = F.lower(s) if lowercase else s
-    return F.trim(F.regexp_replace(out, "[\\s!-/:-@\\[-`{-~]+", " ")) if remove_punctuation else F.trim(out)
+    marks = "".join(f"\\{c}" for c in PUNCTUATION if c not in ignore)
+    return F.trim(F.regexp_replace(out, f"[\\s{marks}]+", " ")) if remove_punctuation else F.trim(out)
 
 
 def collapse_spaces(s: Column) -> Column:
@@ -144,11 +150,6 @@ def infons(**fields: Column) -> Column:
     return F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull() & (p["value"] != "")))
 
 
-def fix_typos(words: Column, known: Column) -> Column:
-    """Each word of an array by the map ``known``, or itself."""
-    return F.transform(words, lambda w: F.coalesce(F.try_element_at(known, w), w))
-
-
 def unescape(s: Column) -> Column:
     """Written escapes (backslash, u, four hex digits) as their characters, two surrogates as one; a lone surrogate stays as it is written."""
     pair, one = "\\\\u[dD][89abAB][0-9a-fA-F]{2}\\\\u[dD][c-fC-F][0-9a-fA-F]{2}", "\\\\u(?![dD][89a-fA-F])[0-9a-fA-F]{4}"

@@ -41,12 +41,8 @@ def ancestors(edges: DataFrame, ids: DataFrame) -> DataFrame:
     return ids.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("distance")).unionByName(far.join(ids.distinct(), "tax_id", "left_semi"))
 
 
-def roll_up(nodes: DataFrame, edges: DataFrame, levels: list[str]) -> DataFrame:
-    """Deepest rank first, every taxon adds abundance / number of the parent's children to its parent, whatever ranks lie between.
-
-    The top rank adds to nothing. A parent of an equal or deeper rank takes its share and passes nothing on of it; one whose rank is not in levels
-    takes none. So a taxon's share of an ancestor is a product along the way, and the whole is one aggregation.
-    """
+def shares(nodes: DataFrame, edges: DataFrame, levels: list[str]) -> DataFrame:
+    """tax_id, ancestor, weight: what of a taxon's count its ancestors take (see roll_up), as a product along the way."""
     place = F.create_map(*[x for i, r in enumerate(levels) for x in (F.lit(r), F.lit(i))])  # 0: the deepest
     known = nodes.select("tax_id", place[F.col("rank")].alias("level")).where("level IS NOT NULL")
     kids = edges.groupBy("parent").agg(F.count(F.lit(1)).alias("kids"))
@@ -56,7 +52,16 @@ def roll_up(nodes: DataFrame, edges: DataFrame, levels: list[str]) -> DataFrame:
     way = closure(steps.where("up")).select("tax_id", "ancestor", "weight")
     start = known.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(1.0).alias("weight"))
     last = start.unionByName(way).join(steps.where("NOT up").select(F.col("child").alias("ancestor"), "parent", F.col("weight").alias("w")), "ancestor")
-    way = way.unionByName(last.select("tax_id", F.col("parent").alias("ancestor"), (F.col("weight") * F.col("w")).alias("weight")))
+    return way.unionByName(last.select("tax_id", F.col("parent").alias("ancestor"), (F.col("weight") * F.col("w")).alias("weight")))
+
+
+def roll_up(nodes: DataFrame, edges: DataFrame, levels: list[str]) -> DataFrame:
+    """Deepest rank first, every taxon adds abundance / number of the parent's children to its parent, whatever ranks lie between.
+
+    The top rank adds to nothing. A parent of an equal or deeper rank takes its share and passes nothing on of it; one whose rank is not in levels
+    takes none. So a taxon's share of an ancestor is a product along the way, and the whole is one aggregation.
+    """
+    way = shares(nodes, edges, levels)
     more = way.join(nodes.select("tax_id", "abundance"), "tax_id").groupBy(F.col("ancestor").alias("tax_id")).agg(F.sum(F.col("weight") * F.col("abundance")).alias("more"))
     return nodes.where(F.col("rank").isin(*levels)).join(more, "tax_id", "left").select("tax_id", "rank", (F.col("abundance") + F.coalesce("more", F.lit(0.0))).alias("abundance"))
 

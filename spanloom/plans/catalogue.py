@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions import text as tx
-from spanloom.operators import annotate, boundaries, candidates, link, spans, stats, taxonomy
+from spanloom.operators import annotate, boundaries, candidates, corpora, link, rewiring, spans, stats, taxonomy, typos
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -640,3 +640,70 @@ def text_repair(spark, sf):
     d = t(spark, sf, "documents")
     damaged = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
     return d.select("doc_id", tx.unescape(F.replace("text", F.lit("e"), F.lit("\\u0065"))).alias("unescaped"), tx.fix_mojibake(damaged).alias("repaired"))
+
+
+# ------------------------------------------------------------------ typos
+@query("""WITH ty AS (SELECT DISTINCT w AS typo, CASE WHEN length(w) % 5 = 0 THEN '' ELSE substr(w, 1, 3) END AS correction FROM (SELECT unnest(string_split(lower(text), ' ')) AS w FROM benchmark) WHERE length(w) >= 6),
+w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\\t-\\r\\x1c-\\x1f \\x{85}\\x{a0}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+'), lambda x: x <> '') AS ws FROM documents)),
+c AS (SELECT doc_id, string_agg(coalesce(correction, w), ' ' ORDER BY pos) AS name FROM w LEFT JOIN ty ON typo = w GROUP BY 1)
+SELECT d.doc_id, trim(regexp_replace(coalesce(c.name, lower(d.text)), '[\\s!-,/:-@\\[-`{-~.]+', ' ', 'g')) AS name FROM documents d LEFT JOIN c ON c.doc_id = d.doc_id""")
+def typo_correction(spark, sf):
+    """Long words of the benchmark as typos of their beginnings, in all documents; hyphens stay."""
+    w = t(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("typo")).where("length(typo) >= 6").distinct()
+    known = w.select("typo", F.when(F.length("typo") % 5 == 0, "").otherwise(F.substring("typo", 1, 3)).alias("correction"))
+    return typos.preprocess(t(spark, sf, "documents").select("doc_id", F.col("text").alias("name")), "name", known, ignore="-")
+
+
+# ------------------------------------------------------------------ anchors, corpora
+@query(f"""WITH s AS (SELECT DISTINCT 'S' || c_nationkey || c_mktsegment AS tax_id, c_nationkey AS n, c_mktsegment AS m FROM customer),
+so AS (SELECT tax_id, n, row_number() OVER (ORDER BY n, m) AS ord FROM s), sc AS (SELECT 'S' || c_nationkey || c_mktsegment AS seg, 'C' || min(c_custkey) AS first FROM customer GROUP BY 1),
+nf AS (SELECT 'N' || n AS tax_id, arg_min(first, ord) AS first FROM so JOIN sc ON seg = tax_id GROUP BY 1),
+v AS (SELECT 'C' || c_custkey AS tax_id, 7.0 / 8 AS rank_value, 'S' || c_nationkey || c_mktsegment AS p0 FROM customer UNION ALL SELECT tax_id, (0.5 / 8 + 7.0 / 8) / 2, 'R' || n_regionkey FROM so JOIN nation ON n_nationkey = n
+ UNION ALL SELECT 'N' || n_nationkey, (0.5 / 8 + CASE WHEN 'N' || n_nationkey IN (SELECT tax_id FROM nf) THEN 7.0 / 8 ELSE 1 END) / 2, 'R' || n_regionkey FROM nation UNION ALL SELECT 'R' || r_regionkey, 0.5 / 8, NULL FROM region)
+SELECT v.tax_id, round(rank_value, 9) AS rank_value, coalesce(nf.tax_id, p0) AS parent FROM v LEFT JOIN nf ON nf.first = v.tax_id""")
+def anchor_rewiring(spark, sf):
+    """Regions, nations (clades), their market segments (no rank), customers; segments are taken first, then nations."""
+    c, seg = t(spark, sf, "customer"), F.concat(F.lit("S"), F.col("c_nationkey").cast("string"), F.col("c_mktsegment"))
+    segments = c.select(seg.alias("tax_id"), "c_nationkey", "c_mktsegment").distinct()
+    at = F.row_number().over(Window.orderBy("c_nationkey", "c_mktsegment"))  # five a nation
+    n, r = t(spark, sf, "nation"), t(spark, sf, "region")
+    big = lambda i, key: (F.lit(i * 10**10) + F.col(key)).cast("long")
+    nodes = (
+        segments.select("tax_id", F.lit("no rank").alias("rank"), at.cast("long").alias("ord")).union(n.select(_key("N", "n_nationkey"), F.lit("clade"), big(1, "n_nationkey")))
+        .union(c.select(_key("C", "c_custkey"), F.lit("species"), big(2, "c_custkey"))).union(r.select(_key("R", "r_regionkey"), F.lit("superkingdom"), big(3, "r_regionkey")))
+    )
+    edges = c.select(_key("C", "c_custkey").alias("child"), seg.alias("parent")).union(segments.select("tax_id", _key("N", "c_nationkey"))).union(n.select(_key("N", "n_nationkey"), _key("R", "n_regionkey")))
+    values, after = rewiring.rewire(nodes, edges)
+    return values.join(after.select(F.col("child").alias("tax_id"), "parent"), "tax_id", "left").select("tax_id", F.round("rank_value", 9).alias("rank_value"), "parent")
+
+
+_CORPORA = f"""{_DFS}, m AS (SELECT o_orderpriority AS corpus, 'C' || o_custkey AS tax_id FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')),
+c1 AS (SELECT corpus, tax_id, count(*) AS n FROM m GROUP BY 1, 2), k AS (SELECT parent, count(*) AS kids FROM ed GROUP BY 1),
+c2 AS (SELECT corpus, e.parent AS tax_id, sum(n * (1.0::DOUBLE / kids)) AS a FROM c1 JOIN ed e ON child = tax_id JOIN k ON k.parent = e.parent GROUP BY 1, 2),
+c3 AS (SELECT corpus, e.parent AS tax_id, sum(a * (1.0::DOUBLE / kids)) AS a FROM c2 JOIN ed e ON child = tax_id JOIN k ON k.parent = e.parent GROUP BY 1, 2),
+al AS (SELECT corpus, tax_id, 'species' AS rank, n, n::DOUBLE AS abundance FROM c1 UNION ALL SELECT corpus, tax_id, 'family', 0, a FROM c2 UNION ALL SELECT corpus, tax_id, 'superkingdom', 0, a FROM c3),
+rd AS (SELECT corpus, tax_id, rank, n, round(abundance, 9) AS abundance FROM al), st AS (SELECT corpus, list_sort(list(abundance)) AS v, count(*) AS z FROM rd GROUP BY 1),
+qu AS (SELECT rd.*, CASE WHEN abundance <= v[1 + floor(z * 0.25)::INT] THEN 1 WHEN abundance <= v[1 + floor(z * 0.5)::INT] THEN 2 WHEN abundance <= v[1 + floor(z * 0.75)::INT] THEN 3 ELSE 4 END AS quartile FROM rd JOIN st USING (corpus))"""
+
+
+def _corpora(spark, sf):
+    o = t(spark, sf, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"))
+    nodes, edges = _tree(spark, sf)
+    loaded = corpora.load_corpora(nodes, edges, o.select(F.col("o_orderpriority").alias("corpus"), _key("C", "o_custkey").alias("tax_id")), ["species", "family", "superkingdom"])
+    return corpora.quartiles(loaded.withColumn("abundance", F.round("abundance", 9))), nodes, edges
+
+
+@query(f"WITH RECURSIVE {_CORPORA}, lv AS (SELECT tax_id, row_number() OVER (ORDER BY dfs_order) - 1 AS i, count(*) OVER () AS z FROM o WHERE tax_id NOT IN (SELECT parent FROM ed)) SELECT corpus, tax_id, rank, n, abundance, quartile, round(i * 2 * pi() / z, 6) AS angle, CASE WHEN i IS NULL THEN NULL ELSE 3.0 END AS radius FROM qu LEFT JOIN lv USING (tax_id) WHERE rank = 'species'")
+def corpora_on_one_layout(spark, sf):
+    """Orders of three priorities as corpora, on the layout of the whole tree; the leaves' places."""
+    loaded, nodes, edges = _corpora(spark, sf)
+    rooted = taxonomy.attach_root(nodes, edges)
+    level = F.when(F.col("rank") == "species", 3.0).when(F.col("rank") == "family", 2.0).otherwise(1.0)
+    radii = rooted.select("tax_id", level.alias("radius"))
+    out = corpora.placed(loaded, edges, taxonomy.layout(rooted, radii), radii).where("rank = 'species'")
+    return out.select("corpus", "tax_id", "rank", "n", "abundance", "quartile", F.round("angle", 6).alias("angle"), "radius")
+
+
+@query(f"WITH RECURSIVE {_CORPORA}, hi AS (SELECT *, v[1 + floor(z * 0.75)::INT] AS third FROM rd JOIN st USING (corpus)), pl AS (SELECT corpus, tax_id, abundance, row_number() OVER (PARTITION BY corpus ORDER BY abundance DESC, tax_id)::INT AS place FROM hi WHERE abundance >= third) SELECT * FROM pl WHERE place <= 10")
+def corpora_labels(spark, sf):
+    return corpora.labels(_corpora(spark, sf)[0]).select("corpus", "tax_id", "abundance", "place")
