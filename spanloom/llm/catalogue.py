@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
+from pyspark.sql import DataFrame, SparkSession
+
 from spanloom.llm import contamination, conversations, exact, html_text, lm, merkle, mixing, near, packing, quality_cnn, quality_rules, repeats, toxicity
 
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over documents; that file is needed for this query alone."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_packing": packing.op2_packing,
@@ -19,7 +28,7 @@ QUERIES = {
     "op11_decontamination": contamination.op11_decontamination,
     "op12_conversation_repair": conversations.op12_conversation_repair,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL = {

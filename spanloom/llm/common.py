@@ -37,9 +37,11 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir; in local mode one of our own where it is unset, an error on a cluster."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = f"file://{tempfile.mkdtemp(prefix='spanloom-')}"
         spark.conf.set("spark.checkpoint.dir", at)
         atexit.register(_remove, spark, at)

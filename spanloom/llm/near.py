@@ -295,7 +295,7 @@ def _classified(spark: SparkSession, docs: DataFrame, threshold: float) -> DataF
         apart = judged.where(F.col("sim") < threshold).drop("sim")
         rest = staged(spark, pairs.join(apart, ["rep", "centre"], "left_semi").select("band", "key", "rep"))
         sizes = rest.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        rest = staged(spark, rest.join(sizes, ["band", "key"]))
+        rest = staged(spark, lookup(rest, staged(spark, sizes), ["band", "key"], "size", max(1, rest.count())))
         links.append(staged(spark, _within(rest.where(F.col("size") <= SMALL), sets, threshold)))
         large = rest.where(F.col("size") > SMALL)
         if large.limit(1).count():
