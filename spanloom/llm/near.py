@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from spanloom.llm.common import as_bytes, fresh, lookup, mix, shingles, staged, table, word_bounds
 
 BANDS, ROWS, CHUNK, SMALL, BLOCK, SIZE, THRESHOLD = 24, 5, 128, 2048, 512, 5, 0.8
-#: Texts are signed in batches of so many.
-BATCH = 128
+#: Texts are signed in batches of so many, and handed on in slices of SLICE rows, so that a worker holds the words of few texts at once.
+BATCH, SLICE = 128, 512
 _SALTS = mix(np.arange(1, 4097, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
@@ -85,11 +85,18 @@ def signatures(texts: list[str | None]) -> list[tuple[bytes, np.ndarray] | None]
     return [(_digest(x), keys[i]) if len(x) else None for i, (x, _) in enumerate(got)]
 
 
+def _slices(batches):
+    """The batches in slices of SLICE rows; when they end, what the worker has freed goes back to the system."""
+    for b in batches:
+        yield from (b.slice(i, SLICE) for i in range(0, b.num_rows, SLICE))
+    pa.default_memory_pool().release_unused()
+
+
 def _signatures(docs: DataFrame) -> DataFrame:
     """Of each row: a number of its own, doc_id, a hash of the text, and what ``signatures`` gives."""
 
     def run(batches):
-        for b in batches:
+        for b in _slices(batches):
             texts = b.column("text").to_pylist()
             got = [x for i in range(0, len(texts), BATCH) for x in signatures(texts[i : i + BATCH])]
             yield pa.RecordBatch.from_arrays(
@@ -105,10 +112,14 @@ def _sets(docs: DataFrame) -> DataFrame:
     """doc_id (here the representative's number, rep) and the sorted distinct shingle hashes, as bytes, of texts with that digest."""
 
     def run(batches):
-        for b in batches:
-            sets = [np.unique(shingles(as_bytes(t), SIZE)) for t in b.column("text").to_pylist()]
-            same = [i for i, (x, d) in enumerate(zip(sets, b.column("digest").to_pylist(), strict=True)) if len(x) and _digest(x) == d]
-            yield pa.RecordBatch.from_arrays([b.column("rep").take(pa.array(same, pa.int64())), pa.array([sets[i].tobytes() for i in same], pa.binary())], ["doc_id", "set"])
+        for b in _slices(batches):
+            reps, sets = [], []
+            for rep, digest, text in zip(*(b.column(c).to_pylist() for c in ("rep", "digest", "text")), strict=True):
+                items = np.unique(shingles(as_bytes(text), SIZE))
+                if len(items) and _digest(items) == digest:
+                    reps.append(rep)
+                    sets.append(items.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "set"])
 
     return docs.mapInArrow(run, "doc_id long, set binary")
 
