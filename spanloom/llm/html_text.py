@@ -4,7 +4,8 @@ A page is cut into its blocks, the runs of text between block-level tags. A bloc
 learned vectors of its hashed tag path (tags, classes, ids and roles of the elements around it), the
 mean of learned vectors of its hashed words, and a few measures. A bidirectional LSTM reads
 the whole page's sequence, so every block is labelled in the context of the document, and the blocks
-labelled main are the text.
+labelled main are the text. The label is read from the LSTM's states alone. While it learns, the paths of
+some blocks, and of whole pages, are hidden at random, so that neighbours, words and measures must tell.
 
 The pages carry no labels. The model learns from pages that ``specimens`` writes, with many wordings of
 page furniture around and between the paragraphs, whose labels are known, and from a bounded
@@ -30,6 +31,8 @@ from spanloom.llm.common import fresh, table
 SAMPLE, WRITTEN, EPOCHS = 150, 400, 8
 #: Blocks of a real page, and words of a block, that are learned from.
 LONGEST = 400
+#: Share of blocks whose words are hidden while it learns, so that no single word outweighs what is around it.
+WORDS_HIDDEN = 0.8
 PATH_SLOTS, WORD_SLOTS, WIDTH, HIDDEN, MEASURES = 2048, 4096, 12, 12, 5
 
 #: Elements that begin and end a block.
@@ -157,7 +160,13 @@ def forward(p: dict, pages: list[tuple]):
         z = nn.reshape(nn.take(z, back_at), steps, b, 4 * HIDDEN)
         both.append(nn.reshape(nn.lstm(z, p["h" + d], HIDDEN, mask, d == "b"), steps * b, HIDDEN))
     h = nn.take(nn.concat(both), at)
-    return nn.reshape(nn.add(nn.matmul(nn.concat([h, x]), p["out"]), p["bias"]), len(at))
+    return nn.reshape(nn.add(nn.matmul(h, p["out"]), p["bias"]), len(at))
+
+
+def hide(rng: np.random.Generator, page: tuple, paths: float, words: float = 0.0) -> tuple:
+    """The page with the paths of about that share of its blocks hidden, and the words of about that share."""
+    gone = lambda of, share: [np.zeros(1, int) if g else s for s, g in zip(of, rng.random(len(of)) < share)]
+    return gone(page[0], paths), gone(page[1], words), page[2]
 
 
 #: Words of page furniture, for the pages written to learn from.
@@ -248,7 +257,7 @@ def train(real: list[tuple], seed: int = 11) -> dict[str, np.ndarray]:
     wide = 2 * WIDTH + MEASURES
     p = nn.init(
         rng, path=(PATH_SLOTS, WIDTH), word=(WORD_SLOTS, WIDTH), xf=(wide, 4 * HIDDEN), xb=(wide, 4 * HIDDEN), hf=(HIDDEN, 4 * HIDDEN), hb=(HIDDEN, 4 * HIDDEN),
-        bf=(4 * HIDDEN,), bb=(4 * HIDDEN,), out=(2 * HIDDEN + wide, 1), bias=(1,),
+        bf=(4 * HIDDEN,), bb=(4 * HIDDEN,), out=(2 * HIDDEN, 1), bias=(1,),
     )
     p["word"] *= 0.1
     adam = nn.Adam(p, 0.01)
@@ -258,7 +267,8 @@ def train(real: list[tuple], seed: int = 11) -> dict[str, np.ndarray]:
         for i in range(0, len(order), 24):
             batch = [data[k] for k in order[i : i + 24]]
             y = np.concatenate([b[1] for b in batch])
-            adam.step(lambda live: nn.bce(forward(live, [b[0] for b in batch]), y, np.ones(len(y))))
+            seen = [hide(rng, b[0], max(0.0, 2 * rng.random() - 1), WORDS_HIDDEN) for b in batch]  # the paths of half of the pages are whole
+            adam.step(lambda live: nn.bce(forward(live, seen), y, np.ones(len(y))))
     return adam.p
 
 

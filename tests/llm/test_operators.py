@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,8 +274,6 @@ def test_toxicity_reads_all_bytes_of_a_word_and_starts_from_no_counts():
 
 
 def test_toxicity_held_out():
-    import pyarrow.parquet as pq
-
     read = lambda name: pq.read_table(f"/root/testdata/sf0.1/{name}.parquet").to_pydict()
     docs, labels = read("documents"), read("labels")
     toxic = dict(zip(labels["doc_id"], labels["toxic"]))
@@ -324,6 +323,22 @@ def test_html_label_needs_the_blocks_around_it():
     assert abs(with_ - without) > 0.1  # the same block, another context
 
 
+def test_html_labels_of_held_out_pages_come_through_the_recurrence():
+    pages = [r["html"] for r in pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).to_pylist()]
+    p = html_text.train([x for x in map(html_text.sure, pages[:150]) if x])
+    found = [html_text.blocks(h) for h in pages[150:]]
+    y = np.concatenate([html_text.plain_labels(f) for f in found]) > 0
+    whole = [html_text.vectors(f) for f in found]
+    right = lambda p, seen: np.mean((html_text.forward(p, seen) > 0) == y)
+    assert right(p, whole) == 1 and html_text.texts(p, pages[150:])[0].count("\n") > 0
+    # half of the blocks without their paths: neighbours tell, if they can be seen
+    rng = np.random.default_rng(3)
+    seen = [html_text.hide(rng, v, 0.5) for v in whole]
+    still = {**p, "hf": 0 * p["hf"], "hb": 0 * p["hb"]}
+    apart = [([a], [b], c[None]) for v in seen for a, b, c in zip(*v)]
+    assert right(p, seen) > 0.98 and right(still, seen) < right(p, seen) - 0.015 and right(p, apart) < 0.93
+
+
 def test_stages_keep_rows_that_only_share_an_id_and_any_column_names(spark):
     rows = [(1, "a", "s"), (1, "b", "s"), (2, "b", "s"), (5, None, "s"), (5, "", "s"), (None, "c", None), (None, "d", None), (None, "c", "t"), (9, "e f", "u"), (9, "e f", "u")]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit("x") for c in ("__rn", "__mixed", "__keep", "times", "digest", "kept", "row", "size", "taken", "__dropped")})
