@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -54,15 +54,20 @@ def first_by_name(lexicon: DataFrame) -> DataFrame:
     return lexicon.groupBy("name").agg(F.min_by("tax_id", "ord").alias("tax_id"), F.min("ord").alias("ord"))
 
 
-def unigram_lexicon(passages: DataFrame, least: int = 6) -> DataFrame:
+def _as_compared(c: Column, case_sensitive: bool) -> Column:
+    """Words and names as they are compared: as written, or in lower case."""
+    return c if case_sensitive else F.lower(c)
+
+
+def unigram_lexicon(passages: DataFrame, least: int = 6, case_sensitive: bool = False) -> DataFrame:
     """Names of one word, with ids by their order."""
-    words = passages.select(F.explode(F.split("text", " ")).alias("w")).select(F.lower(clean_token(F.col("w"))).alias("name"))
+    words = passages.select(F.explode(F.split("text", " ")).alias("w")).select(_as_compared(clean_token(F.col("w")), case_sensitive).alias("name"))
     return _numbered(words.where(F.length("name") >= least).distinct(), "G")
 
 
-def bigram_lexicon(passages: DataFrame) -> DataFrame:
+def bigram_lexicon(passages: DataFrame, case_sensitive: bool = False) -> DataFrame:
     t = tokens(passages.select(F.col("item_id").alias("doc_id"), "text")).where("next IS NOT NULL")
-    a, b = (F.lower(clean_token(F.col(c))) for c in ("w", "next"))
+    a, b = (_as_compared(clean_token(F.col(c)), case_sensitive) for c in ("w", "next"))
     return _numbered(t.where((F.length(a) >= 5) & (F.length(b) >= 3)).select(F.concat_ws(" ", a, b).alias("name")).distinct(), "S")
 
 
@@ -113,10 +118,11 @@ def greedy_skip(candidates: DataFrame) -> DataFrame:
     return run.withColumn("nth", nth).where("nth % 2 = 1").drop("nth", "island")
 
 
-def abbreviation_index(names: DataFrame) -> DataFrame:
-    """Candidates of 'X. epithet', in lexicon order: initial, epithet, candidates."""
+def abbreviation_index(names: DataFrame, case_sensitive: bool = False) -> DataFrame:
+    """Candidates of 'X. epithet', in lexicon order: initial, epithet, candidates. Case-sensitive, only names with a capital initial have one."""
     part = F.split("name", " ")
-    keyed = names.select("name", "ord", F.upper(F.substring(part[0], 1, 1)).alias("initial"), part[1].alias("epithet"))
+    first = F.substring(part[0], 1, 1)
+    keyed = names.select("name", "ord", (first if case_sensitive else F.upper(first)).alias("initial"), part[1].alias("epithet"))
     return keyed.groupBy("initial", "epithet").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "name"))), lambda s: s["name"]).alias("candidates"))
 
 
@@ -154,14 +160,17 @@ SPECIES_WORDS = ["sp", "spp", "sp.", "spp."]
 GENUS_WORDS = ["genus", "gen", "gen."]
 
 
-def rule_matches(toks: DataFrame, unigrams: DataFrame, bigrams: DataFrame, words: bool = False) -> DataFrame:
+def rule_matches(toks: DataFrame, unigrams: DataFrame, bigrams: DataFrame, words: bool = False, case_sensitive: bool = False) -> DataFrame:
     """The word rules in their order, one match at most for each token: doc_id, pos, start, name, tax_id, rule, and with ``words`` w and next.
 
     A word of the lexicon: the pair with the next word; the pair with the next word in the singular; a species
     or genus word after it; the word alone. A word that stands anywhere in some pair's name: that pair or nothing. Any other: its
     singular. Every join is by equality with one row per name, so no row multiplies.
+
+    Names are in lower case, as the words are compared; case_sensitive, both are compared as written, and a species or genus word may carry
+    punctuation.
     """
-    word, after = F.lower(clean_token(F.col("w"))), F.lower(clean_token(F.col("next")))
+    word, after = (_as_compared(clean_token(F.col(c)), case_sensitive) for c in ("w", "next"))
     t = toks.withColumn("one", word).where("length(one) >= 1").withColumn("two", F.concat(F.col("one"), F.lit(" "), after))
     t = t.withColumn("two_singular", F.concat(F.col("one"), F.lit(" "), F.nullif(latin_singular(after), F.lit(""))))
     t = t.withColumn("one_singular", F.nullif(latin_singular(F.col("one")), F.lit("")))
@@ -171,7 +180,7 @@ def rule_matches(toks: DataFrame, unigrams: DataFrame, bigrams: DataFrame, words
         t = t.join(lex.select(F.col("name").alias(key), F.col("tax_id").alias(f"id_{key}")), key, "left")
     t = t.join(begins, "one", "left")
     known, pair, pair_s, single = (F.col(f"id_{k}").isNotNull() for k in ("one", "two", "two_singular", "one_singular"))
-    low = F.lower("next")
+    low = after if case_sensitive else F.lower("next")
     rule = (
         F.when(known & pair, "pair").when(known & pair_s, "pair in the singular")
         .when(known & low.isin(SPECIES_WORDS), "species word").when(known & low.isin(GENUS_WORDS), "genus word").when(known, "word")

@@ -12,17 +12,19 @@ from spanloom.operators.lineage import cut
 _AT = ["file_name", "doc_id", "passage_no"]
 
 
-def abbreviations(toks: DataFrame, full: DataFrame, pairs: DataFrame) -> DataFrame:
+def abbreviations(toks: DataFrame, full: DataFrame, pairs: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """doc_id, pos, start, w, next, names: each 'X. epithet' with the names it may stand for.
 
     toks and full have doc_id as a struct with file_name, doc_id and passage_no; full (doc_id, pos, name) are the matches of whole pairs, pairs
     (name, ord) the pairs of the lexicon. Of several names the one that the document used first, before this place, is it; else all stand.
     """
-    index = annotate.abbreviation_index(pairs.where(F.size(F.split("name", " ")) == 2))
-    short = toks.where(F.col("w").rlike("^\\(?\\p{Lu}[.]$")).withColumn("initial", F.regexp_extract("w", "\\p{Lu}", 0)).withColumn("epithet", F.lower(clean_token(F.col("next"))))
+    index = annotate.abbreviation_index(pairs.where(F.size(F.split("name", " ")) == 2), case_sensitive)
+    epithet = clean_token(F.col("next"))
+    short = toks.where(F.col("w").rlike("^\\(?\\p{Lu}[.]$")).withColumn("initial", F.regexp_extract("w", "\\p{Lu}", 0)).withColumn("epithet", epithet if case_sensitive else F.lower(epithet))
     met = short.join(index, ["initial", "epithet"])
     part = F.split("name", " ")
-    before = full.where(F.size(part) == 2).select("doc_id", "pos", F.upper(F.substring(part[0], 1, 1)).alias("initial"), part[1].alias("epithet"), "name")
+    initial = F.substring(part[0], 1, 1) if case_sensitive else F.upper(F.substring(part[0], 1, 1))
+    before = full.where(F.size(part) == 2).select("doc_id", "pos", initial.alias("initial"), part[1].alias("epithet"), "name")
     # one order over the whole document: resolve_by_history sees (passage, position) as a position
     whole = lambda df, name: df.select(F.struct("doc_id.file_name", "doc_id.doc_id").alias("doc_id"), F.struct("doc_id.passage_no", "pos").alias("pos"), "initial", "epithet", name.alias("name"))
     history = annotate.resolve_by_history(whole(before, F.col("name")).unionByName(whole(met, F.lit(None).cast("string")))).where("name IS NULL")
@@ -31,23 +33,26 @@ def abbreviations(toks: DataFrame, full: DataFrame, pairs: DataFrame) -> DataFra
     return met.join(known, ["doc_id", "pos"], "left").select("doc_id", "pos", "start", "w", "next", chosen.alias("names"))
 
 
-def annotate_passages(passages: DataFrame, lexicon: DataFrame) -> DataFrame:
+def annotate_passages(passages: DataFrame, lexicon: DataFrame, case_sensitive: bool = False) -> DataFrame:
     """file_name, doc_id, passage_no, start, length, text, tax_id, type, candidates: the mentions of passages (as sources.files.passages gives them).
 
     lexicon: name, tax_id, kingdom, rank, ord; names of one word and of two are looked up, several rows of a name are candidates. In this order: the
     word rules and abbreviations, a token in one match only; identifiers; the neighbours' type for what is ambiguous; repair of the spans. start
     counts from the passage's offset. What stays ambiguous has type 'unresolved' and tax_id null, and of four or more candidates the first and
     the last. Null and empty texts have no mentions; a null offset is 0. Matching runs at once (a checkpoint before the repair).
+
+    Names match in any case. case_sensitive, words and names are compared as written: 'Bacillus' is no 'bacillus', an abbreviation takes the epithet
+    as written, and names that differ only in case are different names with candidates of their own.
     """
-    lex = lexicon.select(F.lower("name").alias("name"), "tax_id", "kingdom", "rank", "ord")
+    lex = lexicon.select((F.col("name") if case_sensitive else F.lower("name")).alias("name"), "tax_id", "kingdom", "rank", "ord")
     size = F.size(F.split("name", " "))
     keyed = passages.select(F.struct(*_AT).alias("doc_id"), "text")
     toks = annotate.tokens(keyed)
-    words = annotate.rule_matches(toks, lex.where(size == 1), lex.where(size == 2), words=True)
+    words = annotate.rule_matches(toks, lex.where(size == 1), lex.where(size == 2), words=True, case_sensitive=case_sensitive)
     modifier = F.when(F.col("rule") == "species word", "species").when(F.col("rule") == "genus word", "genus")
     words = words.select("doc_id", "pos", "start", "w", "next", F.array("name").alias("names"), modifier.alias("modifier"), F.col("rule").startswith("pair").alias("two"))
     full = words.where("two").select("doc_id", "pos", F.col("names")[0].alias("name"))
-    short = abbreviations(toks, full, lex.where(size == 2).groupBy("name").agg(F.min("ord").alias("ord")))
+    short = abbreviations(toks, full, lex.where(size == 2).groupBy("name").agg(F.min("ord").alias("ord")), case_sensitive)
     both = words.unionByName(short.withColumn("modifier", F.lit(None).cast("string")).withColumn("two", F.lit(True)))
 
     # a match of two tokens takes the next one: of a run of such, every second counts

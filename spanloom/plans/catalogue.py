@@ -495,19 +495,32 @@ def _singular(w: str) -> str:
     return f"nullif(CASE WHEN {w} LIKE '%ae' THEN regexp_replace({w}, 'ae$', 'a') WHEN {w} LIKE '%i' THEN regexp_replace({w}, 'i$', 'us') WHEN {w} LIKE '%a' THEN regexp_replace({w}, 'a$', 'um') ELSE '' END, '')"
 
 
-@query(f"""WITH {_TOK}, {_LEX}, {_BIG}, a AS (SELECT doc_id, pos, start, next, lower({_clean('w')}) AS one, lower({_clean('next')}) AS nx FROM tok),
+def _word_rules(case_sensitive: bool) -> str:
+    low, word = ("", "nx") if case_sensitive else ("lower", "lower(next)")
+    lex, big = (x.replace("lower(", f"{low}(") for x in (_LEX, _BIG))
+    return f"""WITH {_TOK}, {lex}, {big}, a AS (SELECT doc_id, pos, start, next, {low}({_clean('w')}) AS one, {low}({_clean('next')}) AS nx FROM tok),
 b AS (SELECT *, one || ' ' || nx AS two, one || ' ' || {_singular('nx')} AS two_s, {_singular('one')} AS one_s FROM a WHERE length(one) >= 1),
 g AS (SELECT DISTINCT unnest(string_split(name, ' ')) AS one FROM big),
 m AS (SELECT b.*, l1.tax_id AS i1, b1.tax_id AS i2, b2.tax_id AS i3, l2.tax_id AS i4, g.one IS NOT NULL AS begins FROM b LEFT JOIN lex l1 ON l1.name = b.one LEFT JOIN big b1 ON b1.name = two LEFT JOIN big b2 ON b2.name = two_s LEFT JOIN lex l2 ON l2.name = one_s LEFT JOIN g ON g.one = b.one),
-r AS (SELECT *, CASE WHEN i1 IS NOT NULL THEN CASE WHEN i2 IS NOT NULL THEN 'pair' WHEN i3 IS NOT NULL THEN 'pair in the singular' WHEN lower(next) IN ('sp', 'spp', 'sp.', 'spp.') THEN 'species word' WHEN lower(next) IN ('genus', 'gen', 'gen.') THEN 'genus word' ELSE 'word' END
+r AS (SELECT *, CASE WHEN i1 IS NOT NULL THEN CASE WHEN i2 IS NOT NULL THEN 'pair' WHEN i3 IS NOT NULL THEN 'pair in the singular' WHEN {word} IN ('sp', 'spp', 'sp.', 'spp.') THEN 'species word' WHEN {word} IN ('genus', 'gen', 'gen.') THEN 'genus word' ELSE 'word' END
  WHEN begins AND next IS NOT NULL THEN CASE WHEN i2 IS NOT NULL THEN 'pair of an unlisted word' END WHEN i4 IS NOT NULL THEN 'word in the singular' END AS rule FROM m)
 SELECT doc_id, pos::INT AS pos, start, CASE WHEN rule = 'pair in the singular' THEN two_s WHEN rule LIKE 'pair%' THEN two WHEN rule = 'word in the singular' THEN one_s ELSE one END AS name,
- CASE WHEN rule = 'pair in the singular' THEN i3 WHEN rule LIKE 'pair%' THEN i2 WHEN rule = 'word in the singular' THEN i4 ELSE i1 END AS tax_id, rule FROM r WHERE rule IS NOT NULL""")
+ CASE WHEN rule = 'pair in the singular' THEN i3 WHEN rule LIKE 'pair%' THEN i2 WHEN rule = 'word in the singular' THEN i4 ELSE i1 END AS tax_id, rule FROM r WHERE rule IS NOT NULL"""
+
+
+@query(_word_rules(False))
 def rule_matches(spark, sf):
     b = t(spark, sf, "benchmark")
     return annotate.rule_matches(annotate.tokens(t(spark, sf, "documents")), annotate.unigram_lexicon(b), annotate.bigram_lexicon(b))
 
 
+@query(_word_rules(True))
+def rule_matches_case_sensitive(spark, sf):
+    b = t(spark, sf, "benchmark")
+    uni, bi = annotate.unigram_lexicon(b, case_sensitive=True), annotate.bigram_lexicon(b, case_sensitive=True)
+    return annotate.rule_matches(annotate.tokens(t(spark, sf, "documents")), uni, bi, case_sensitive=True)
+
+
 # ------------------------------------------------------------------ model spans
 @query("""WITH p AS (SELECT l_orderkey AS d, l_linenumber AS pos, l_suppkey % 4 = 0 AS cont, l_partkey % 3 AS label FROM (SELECT l_orderkey, l_linenumber, max(l_suppkey) AS l_suppkey, max(l_partkey) AS l_partkey FROM lineitem GROUP BY 1, 2)),
 w AS (SELECT *, max(CASE WHEN NOT cont THEN pos END) OVER (PARTITION BY d ORDER BY pos) AS w0, min(pos) OVER (PARTITION BY d) AS lo, max(pos) OVER (PARTITION BY d) AS hi,

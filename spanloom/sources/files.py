@@ -72,14 +72,14 @@ def _holding(head: Column, name: str, items: Column) -> Column:
     return F.concat(head.substr(F.lit(1), F.length(head) - 1), comma, F.lit(f'"{name}":['), F.array_join(items, ","), F.lit("]}"))
 
 
-def annotate_collections(spark: SparkSession, folder: str, out: str, lexicon: DataFrame, pattern: str = "*_bioc.json") -> None:
-    """Reads the collections of ``folder`` that ``out`` does not have yet, annotates them by ``lexicon`` (see operators.annotator) and writes each to a
-    file of its name, all fields kept."""
+def annotate_collections(spark: SparkSession, folder: str, out: str, lexicon: DataFrame, pattern: str = "*_bioc.json", case_sensitive: bool = False) -> None:
+    """Reads the collections of ``folder`` that ``out`` does not have yet, annotates them by ``lexicon`` (see operators.annotator, also for
+    ``case_sensitive``) and writes each to a file of its name, all fields kept."""
     from spanloom.operators.annotator import annotate_passages
 
     files = read_collections(spark, folder, pattern).join(finished(spark, out, pattern), "file_name", "left_anti")
     rows = passages(files)
-    write_collections(annotated_json(rows, annotate_passages(rows, lexicon), files), out)
+    write_collections(annotated_json(rows, annotate_passages(rows, lexicon, case_sensitive), files), out)
 
 
 def write_annotated(rows: DataFrame, folder: str, mode: str = "overwrite") -> None:

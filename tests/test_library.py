@@ -200,6 +200,25 @@ def test_storey_bootstrap(spark):
 LEXICON = [("helicobacter", "T1", "bacteria", "genus", 1), ("helicobacter pylori", "T2", "bacteria", "species", 2), ("hafnia pylori", "T3", "bacteria", "species", 3), ("bacillus", "T4", "bacteria", "genus", 4), ("bacillus", "T5", "animals", "genus", 5), ("proteus mirabilis", "T6", "bacteria", "species", 6)]
 
 
+def test_annotator_compares_names_as_written(spark):
+    names = [("Helicobacter", "T1", "bacteria", "genus", 1), ("Helicobacter pylori", "T2", "bacteria", "species", 2), ("hafnia pylori", "T3", "bacteria", "species", 3),
+             ("Bacillus", "T4", "bacteria", "genus", 4), ("bacillus", "T5", "animals", "genus", 5), ("Proteus Mirabilis", "T6", "bacteria", "species", 6)]
+    lexicon = spark.createDataFrame(names, "name string, tax_id string, kingdom string, rank string, ord int")
+    texts = ["Helicobacter pylori and helicobacter pylori", "H. pylori or P. mirabilis or P. Mirabilis", "Bacillus", "a bacillus", "Helicobacter sp. here", "Helicobacter Sp here", "Helicobacter gen., here", None, ""]
+    d = spark.createDataFrame([("f", "d", i, 0, x) for i, x in enumerate(texts)], "file_name string, doc_id string, passage_no int, offset int, text string")
+    found = lambda cased: sorted((r["passage_no"], r["start"], r["text"], r["tax_id"], r["type"]) for r in annotate_passages(d, lexicon, cased).collect())
+    # of names in lower case, the pair 'hafnia pylori' stands for no 'H.'; both rows named bacillus are names of their own
+    assert [x[:4] for x in found(True)] == [
+        (0, 0, "Helicobacter pylori", "T2"), (1, 0, "H. pylori", "T2"), (1, 29, "P. Mirabilis", "T6"), (2, 0, "Bacillus", "T4"), (3, 2, "bacillus", "T5"),
+        (4, 0, "Helicobacter sp.", "T1"), (5, 0, "Helicobacter", "T1"), (6, 0, "Helicobacter", "T1"),
+    ]
+    kinds = {x[0]: x[4] for x in found(True)}
+    assert [kinds[i] for i in (2, 3, 4, 5, 6)] == ["bacteria_genus", "animals_genus", "bacteria_species", "bacteria_genus", "bacteria_genus"]
+    loose = found(False)
+    assert [x[2] for x in loose if x[0] == 0] == ["Helicobacter pylori", "helicobacter pylori"] and len([x for x in loose if x[0] == 1]) == 3
+    assert annotate_passages(d.limit(0), lexicon, True).count() == 0
+
+
 def test_one_call_annotates_collections(spark, tmp_path):
     src, out = tmp_path / "in", str(tmp_path / "out")
     src.mkdir()
