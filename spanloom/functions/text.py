@@ -7,23 +7,31 @@ from pyspark.sql import functions as F
 
 
 def clean_token(w: Column) -> Column:
-    """Drop parentheses; then dots and commas, but keep an initial such as 'X.' whole."""
-    bare = F.regexp_replace(w, "[()]", "")
+    """Drop parentheses; then dots and commas, but keep an initial such as 'X.' whole.
+
+    Most words have none of these and are taken as they are; of the others characters are dropped without a pattern.
+    """
+    bare = F.translate(w, "()", "")
+    marked = w.contains("(") | w.contains(")") | w.contains(".") | w.contains(",")
     return (
-        F.when(F.length(bare) != 2, F.regexp_replace(bare, "[.,]", ""))
+        F.when(~marked, w)
+        .when(F.length(bare) != 2, F.translate(bare, ".,", ""))
         .when(bare.rlike("^\\p{Lu}[.]$"), bare)
-        .otherwise(F.regexp_replace(bare, "[.]", ""))
+        .otherwise(F.translate(bare, ".", ""))
     )
 
 
 def latin_singular(w: Column) -> Column:
     """ae to a, else i to us, else a to um, else nothing."""
-    return (
-        F.when(w.endswith("ae"), F.regexp_replace(w, "ae$", "a"))
-        .when(w.endswith("i"), F.regexp_replace(w, "i$", "us"))
-        .when(w.endswith("a"), F.regexp_replace(w, "a$", "um"))
-        .otherwise("")
-    )
+    but = lambda n: w.substr(F.lit(1), F.length(w) - n)
+    return F.when(w.endswith("ae"), but(1)).when(w.endswith("i"), F.concat(but(1), F.lit("us"))).when(w.endswith("a"), F.concat(but(1), F.lit("um"))).otherwise("")
+
+
+def latin_plurals(name: Column) -> Column:
+    """All words whose ``latin_singular`` is the name, as an array."""
+    but = lambda n: name.substr(F.lit(1), F.length(name) - n)
+    forms = F.array(F.when(name.endswith("a"), F.concat(name, F.lit("e"))), F.when(name.endswith("us"), F.concat(but(2), F.lit("i"))), F.when(name.endswith("um"), F.concat(but(2), F.lit("a"))))
+    return F.filter(forms, lambda x: x.isNotNull())
 
 
 #: Fixed value: what counts as punctuation.

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from spanloom.functions.text import clean_token, latin_singular
+from spanloom.functions.text import clean_token, latin_plurals, latin_singular
 
 
 #: Texts whose tokens make one Arrow batch.
@@ -171,16 +171,21 @@ def rule_matches(toks: DataFrame, unigrams: DataFrame, bigrams: DataFrame, words
     punctuation.
     """
     word, after = (_as_compared(clean_token(F.col(c)), case_sensitive) for c in ("w", "next"))
-    t = toks.withColumn("one", word).where("length(one) >= 1").withColumn("two", F.concat(F.col("one"), F.lit(" "), after))
-    t = t.withColumn("two_singular", F.concat(F.col("one"), F.lit(" "), F.nullif(latin_singular(after), F.lit(""))))
-    t = t.withColumn("one_singular", F.nullif(latin_singular(F.col("one")), F.lit("")))
     uni, bi = first_by_name(unigrams).select("name", "tax_id"), first_by_name(bigrams).select("name", "tax_id")
-    begins = bi.select(F.explode(F.split("name", " ")).alias("one")).distinct().withColumn("begins", F.lit(True))
-    for key, lex in (("one", uni), ("two", bi), ("two_singular", bi), ("one_singular", uni)):
-        t = t.join(lex.select(F.col("name").alias(key), F.col("tax_id").alias(f"id_{key}")), key, "left")
-    t = t.join(begins, "one", "left")
+    # all words that a rule may begin with, in one table; only their tokens are looked at further
+    ids = lambda one, **own: (one.alias("one"), *[own.get(c, F.lit(None).cast(d)).alias(c) for c, d in (("id_one", bi.schema["tax_id"].dataType), ("one_singular", "string"), ("id_one_singular", bi.schema["tax_id"].dataType), ("begins", "boolean"))])
+    forms = uni.select(*ids(F.col("name"), id_one=F.col("tax_id")))
+    forms = forms.unionByName(uni.select("name", "tax_id", F.explode(latin_plurals(F.col("name"))).alias("plural")).select(*ids(F.col("plural"), one_singular=F.col("name"), id_one_singular=F.col("tax_id"))))
+    forms = forms.unionByName(bi.select(F.explode(F.split("name", " ")).alias("part")).select(*ids(F.col("part"), begins=F.lit(True))))
+    forms = forms.where("length(one) >= 1").groupBy("one").agg(*[F.max(c).alias(c) for c in ("id_one", "one_singular", "id_one_singular", "begins")])
+    # as generated columns: what is joined on is made once for each token
+    t = toks.withColumn("one", F.explode(F.array(word))).join(forms, "one")
+    t = t.withColumn("after", F.explode(F.array(after))).withColumn("two", F.concat(F.col("one"), F.lit(" "), F.col("after")))
+    t = t.withColumn("two_singular", F.concat(F.col("one"), F.lit(" "), F.nullif(latin_singular(F.col("after")), F.lit(""))))
+    for key in ("two", "two_singular"):
+        t = t.join(bi.select(F.col("name").alias(key), F.col("tax_id").alias(f"id_{key}")), key, "left")
     known, pair, pair_s, single = (F.col(f"id_{k}").isNotNull() for k in ("one", "two", "two_singular", "one_singular"))
-    low = after if case_sensitive else F.lower("next")
+    low = F.col("after") if case_sensitive else F.lower("next")
     rule = (
         F.when(known & pair, "pair").when(known & pair_s, "pair in the singular")
         .when(known & low.isin(SPECIES_WORDS), "species word").when(known & low.isin(GENUS_WORDS), "genus word").when(known, "word")
