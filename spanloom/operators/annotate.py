@@ -101,7 +101,7 @@ def identify(matches: DataFrame, lexicon: DataFrame) -> DataFrame:
 
 
 def unigram_matches(toks: DataFrame, lexicon: DataFrame) -> DataFrame:
-    keyed = toks.withColumn("name", F.lower(clean_token(F.col("w")))).where("length(name) >= 1")
+    keyed = toks.withColumn("name", F.explode(F.array(F.lower(clean_token(F.col("w")))))).where("length(name) >= 1")
     return keyed.join(first_by_name(lexicon), "name").select("doc_id", "pos", "start", "name", "tax_id")
 
 

@@ -27,3 +27,7 @@ def test_plurals_are_all_words_of_a_singular(spark):
     assert len(rows) == 9 and all(r["w"] in r["back"] for r in rows)
     back = spark.createDataFrame([(w,) for w in words], "n string").select("n", F.explode(tx.latin_plurals(F.col("n"))).alias("p")).select("n", tx.latin_singular(F.col("p")).alias("s")).collect()
     assert back and all(r["n"] == r["s"] for r in back)
+
+
+def test_words_are_cleaned_without_patterns(spark):
+    assert "regexp_replace" not in plan(QUERIES["unigram_match"](spark, SF))
