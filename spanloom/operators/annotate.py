@@ -77,11 +77,9 @@ def _numbered(names: DataFrame, prefix: str) -> DataFrame:
 
 
 def mention_counts(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """tax_id, name, n, docs: words are counted by document first (doc_id is a document's own), so that only counts are shuffled and every
-    different word is cleaned and looked up once for each count."""
-    words = docs.select("doc_id", F.explode(F.split("text", " ")).alias("w")).groupBy("doc_id", "w").agg(F.count(F.lit(1)).alias("n"))
-    named = words.select("w").distinct().withColumn("name", F.lower(clean_token(F.col("w")))).where("length(name) >= 1").join(first_by_name(lexicon), "name").select("w", "name", "tax_id")
-    by_doc = words.join(named, "w").groupBy("tax_id", "name", "doc_id").agg(F.sum("n").alias("n"))
+    """tax_id, name, n, docs: a word leaves its row only if the lexicon has it, and is counted by document first (doc_id is a document's own)."""
+    words = docs.select("doc_id", F.explode(F.split("text", " ")).alias("w")).select("doc_id", F.explode(F.array(F.lower(clean_token(F.col("w"))))).alias("name"))
+    by_doc = words.where("length(name) >= 1").join(first_by_name(lexicon), "name").groupBy("tax_id", "name", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     return by_doc.groupBy("tax_id", "name").agg(F.sum("n").alias("n"), F.count("doc_id").alias("docs"))
 
 

@@ -31,3 +31,7 @@ def test_plurals_are_all_words_of_a_singular(spark):
 
 def test_words_are_cleaned_without_patterns(spark):
     assert "regexp_replace" not in plan(QUERIES["unigram_match"](spark, SF))
+
+
+def test_only_words_of_the_lexicon_are_shuffled(spark):
+    assert "hashpartitioning(doc_id" not in plan(QUERIES["mention_counts"](spark, SF))
