@@ -22,7 +22,7 @@ from spanloom.functions.text import clean_token, latin_plurals, latin_singular
 TOKEN_BATCH = 128
 
 
-def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _token_batches(batches: Iterator[pa.RecordBatch], third: bool = False) -> Iterator[pa.RecordBatch]:
     """One pass over each text, by Arrow's own functions: split, lengths in code points, running sums."""
     for whole in batches:
         for b in (whole.slice(i, TOKEN_BATCH) for i in range(0, whole.num_rows, TOKEN_BATCH)):
@@ -36,17 +36,21 @@ def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             last = np.zeros(len(words), bool)
             last[first + n - 1] = True
             after = pc.if_else(pa.array(last), pa.scalar(None, words.type), pa.concat_arrays([words[1:], words[:1]]))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(owner), pa.array((np.arange(len(words)) - first[doc]).astype(np.int32)), words, pa.array(start), after], ["doc_id", "pos", "w", "start", "next"])
+            columns = [b.column("doc_id").take(owner), pa.array((np.arange(len(words)) - first[doc]).astype(np.int32)), words, pa.array(start), after]
+            if third:  # the next one's next
+                columns.append(pc.if_else(pa.array(last), pa.scalar(None, words.type), pa.concat_arrays([after[1:], after[:1]])))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "pos", "w", "start", "next", "third"][: len(columns)])
 
 
-def tokens(docs: DataFrame, offset: str | None = None) -> DataFrame:
+def tokens(docs: DataFrame, offset: str | None = None, third: bool = False) -> DataFrame:
     """doc_id, pos, w, start, next: split at single spaces, empty tokens kept; start counts code points from the offset (null: 0).
 
-    No shuffle, and linear in the text. A null text has no tokens.
+    ``third``: also the token after the next, so that no tokens need be joined with each other. No shuffle, and linear in the text. A null text has no tokens.
     """
     base = F.coalesce(F.col(offset), F.lit(0)) if offset else F.lit(0)
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text", base.cast("long").alias("base"))
-    return rows.mapInArrow(_token_batches, StructType([rows.schema["doc_id"], *StructType.fromDDL("pos int, w string, start long, next string")]))
+    made = StructType.fromDDL("pos int, w string, start long, next string" + ", third string" * third)
+    return rows.mapInArrow(lambda batches: _token_batches(batches, third), StructType([rows.schema["doc_id"], *made]))
 
 
 def first_by_name(lexicon: DataFrame) -> DataFrame:
@@ -103,9 +107,13 @@ def unigram_matches(toks: DataFrame, lexicon: DataFrame) -> DataFrame:
     return keyed.join(first_by_name(lexicon), "name").select("doc_id", "pos", "start", "name", "tax_id")
 
 
-def bigram_matches(toks: DataFrame, lexicon: DataFrame) -> DataFrame:
-    name = F.concat_ws(" ", F.lower(clean_token(F.col("w"))), F.lower(clean_token(F.col("next"))))
-    return toks.where("next IS NOT NULL").withColumn("name", name).join(first_by_name(lexicon), "name").select("doc_id", "pos", "start", "name", "tax_id")
+def bigram_matches(toks: DataFrame, lexicon: DataFrame, *more: str) -> DataFrame:
+    """doc_id, pos, start, name, tax_id, and ``more`` columns of the tokens."""
+    first, second = (F.lower(clean_token(F.col(c))) for c in ("w", "next"))
+    names = first_by_name(lexicon)
+    begins = names.select(F.substring_index("name", " ", 1).alias("one")).distinct()  # most tokens go before their next one is cleaned
+    begun = toks.where("next IS NOT NULL").withColumn("one", F.explode(F.array(first))).join(begins, "one", "left_semi")
+    return begun.withColumn("name", F.explode(F.array(F.concat_ws(" ", "one", second)))).join(names, "name").select("doc_id", "pos", "start", "name", "tax_id", *more)
 
 
 def greedy_skip(candidates: DataFrame) -> DataFrame:

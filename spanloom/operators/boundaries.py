@@ -37,9 +37,11 @@ def words(s: Column) -> Column:
 
 
 def first_words(s: Column, n: Column | int) -> Column:
-    """The first ``n`` words; what follows is not split."""
+    """The first ``n`` words; what follows is not split, and not read where a stretch of some spaces more has them all."""
     n = F.lit(n) if isinstance(n, int) else n
-    return F.filter(F.slice(F.split(F.regexp_replace(s, f"^{_SPACE}+", ""), f"{_SPACE}+", n + 1), F.lit(1), n), lambda w: w != "")
+    some = lambda x: F.filter(F.slice(F.split(F.regexp_replace(x, f"^{_SPACE}+", ""), f"{_SPACE}+", n + 1), F.lit(1), n), lambda w: w != "")
+    near = F.call_function("substring_index", s, F.lit(" "), 2 * n + 4)
+    return let(near, lambda x: let(some(x), lambda ws: F.when((F.size(ws) >= n) | (F.octet_length(x) == F.octet_length(s)), ws).otherwise(some(s))))
 
 
 def _mention(text: Column, start: Column, length: Column) -> Column:
@@ -58,13 +60,15 @@ def _run(pattern: str, s: Column) -> Column:
 def at_words(passage: Column, m: Column) -> Column:
     """Without white space at the ends, then grown over the letters on either side; at the passage's end it doesn't grow."""
     end = m["start"] + m["length"]
-    start_ = m["start"] + _run(f"^{_SPACE}*", _from(passage, m["start"]))
-    end_ = end - _run(f"{_SPACE}*$", _from(passage, F.lit(0), end))
+    # most mentions begin and end with no white space, and letters end at a space: no pattern is then run over the passage
+    begins, ends = (_from(passage, at, F.lit(1)).rlike(_SPACE) for at in (m["start"], end - 1))
+    start_ = m["start"] + F.when(begins, _run(f"^{_SPACE}*", _from(passage, m["start"]))).otherwise(0)
+    end_ = end - F.when(ends | (end > F.length(passage)), _run(f"{_SPACE}*$", _from(passage, F.lit(0), end))).otherwise(0)
 
     def grown(b: Column) -> Column:
         fixed = (b["end"] >= F.length(passage)) | (b["start"] > b["end"])
-        left = F.when(fixed, 0).otherwise(_run("\\p{L}*$", _from(passage, F.lit(0), b["start"])))
-        right = F.when(fixed, 0).otherwise(_run("^\\p{L}*", _from(passage, b["end"])))
+        left = F.when(fixed, 0).otherwise(_run("\\p{L}*$", F.substring_index(_from(passage, F.lit(0), b["start"]), " ", -1)))
+        right = F.when(fixed, 0).otherwise(_run("^\\p{L}*", F.substring_index(_from(passage, b["end"]), " ", 1)))
         return F.struct((b["start"] - left).alias("start"), (b["end"] + right).alias("end"))
 
     def kept(b: Column) -> Column:
@@ -149,18 +153,23 @@ def settle(mentions: DataFrame, docs: DataFrame, repair_offsets: bool = False) -
     own = F.col("passage").substr((F.col("start") + 1).cast("int"), F.col("length").cast("int"))
     # the steps as a generated column: a filter on their outcome would otherwise be pushed down, and they would run twice
     made = met.withColumn("m", F.explode(F.array(settled(F.col("passage"), own, F.col("start"), F.col("length"), repair_offsets))))
-    made = made.where("m.text <> '' AND m.length > 0").select("doc_id", "passage", "m.*")
-    one = made.groupBy("doc_id", "start", "length").agg(F.min("text").alias("text"), F.first("passage").alias("passage"))
-    return merge_in_text(spans.remove_nested(one))
+    made = made.where("m.text <> '' AND m.length > 0").select("doc_id", "m.*")
+    one = made.groupBy("doc_id", "start", "length").agg(F.min("text").alias("text"))
+    return merge_in_text(spans.remove_nested(one), docs)
 
 
-def merge_in_text(mentions: DataFrame) -> DataFrame:
-    """doc_id, start, length, text: mentions (with their passage) that overlap or touch become one, whose text is the passage's, trimmed."""
+def merge_in_text(mentions: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id, start, length, text: mentions that overlap or touch become one, whose text is that of the texts (doc_id, text), trimmed.
+
+    A text meets only the mentions made of several; no row carries it before.
+    """
     by = Window.partitionBy("doc_id").orderBy("start", "length")
     end = F.col("start") + F.col("length")
     most = F.max(end).over(by.rowsBetween(Window.unboundedPreceding, -1))
     runs = mentions.withColumn("new", F.when(most.isNull() | (F.col("start") > most), 1).otherwise(0))
     runs = runs.withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    one = runs.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max(end).alias("end"), F.count(F.lit(1)).alias("n"), F.first("text").alias("text"), F.first("passage").alias("passage"))
-    whole = F.regexp_replace(_from(F.col("passage"), F.col("start"), F.col("end") - F.col("start")), f"^{_SPACE}+|{_SPACE}+$", "")
-    return one.select("doc_id", "start", (F.col("end") - F.col("start")).alias("length"), F.when(F.col("n") > 1, whole).otherwise(F.col("text")).alias("text"))
+    one = runs.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max(end).alias("end"), F.count(F.lit(1)).alias("n"), F.min("text").alias("text"))
+    one = one.select("doc_id", "start", (F.col("end") - F.col("start")).alias("length"), "n", "text")
+    several = one.where("n > 1").join(docs.select("doc_id", F.col("text").alias("passage")), "doc_id")
+    whole = F.regexp_replace(_from(F.col("passage"), F.col("start"), F.col("length")), f"^{_SPACE}+|{_SPACE}+$", "")
+    return one.where("n = 1").select("doc_id", "start", "length", "text").unionByName(several.select("doc_id", "start", "length", whole.alias("text")).dropDuplicates(["doc_id", "start"]))

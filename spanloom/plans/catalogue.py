@@ -138,11 +138,8 @@ def _settle_sql() -> str:
 def settled_spans(spark, sf):
     """Mentions of a pair and the word after it, a letter short at either end, through the steps after a span model."""
     docs = t(spark, sf, "documents")
-    toks = annotate.tokens(docs)
-    pairs = annotate.bigram_matches(toks, annotate.bigram_lexicon(t(spark, sf, "benchmark"))).select("doc_id", "pos", "start")
-    third = toks.select("doc_id", (F.col("pos") - 2).alias("pos"), F.length("w").alias("third"))
-    met = pairs.join(toks.select("doc_id", "pos", F.length("w").alias("one"), F.length("next").alias("two")), ["doc_id", "pos"]).join(third, ["doc_id", "pos"])
-    return boundaries.settle(met.select("doc_id", (F.col("start") + 1).alias("start"), (F.col("one") + F.col("two") + F.col("third")).cast("long").alias("length")), docs)
+    met = annotate.bigram_matches(annotate.tokens(docs, third=True), annotate.bigram_lexicon(t(spark, sf, "benchmark")), "w", "next", "third").where("third IS NOT NULL")
+    return boundaries.settle(met.select("doc_id", (F.col("start") + 1).alias("start"), (F.length("w") + F.length("next") + F.length("third")).cast("long").alias("length")), docs)
 
 
 _PN = "pn AS (SELECT p_name AS name, min(p_partkey) AS ord FROM part GROUP BY 1), px AS (SELECT name, ord, upper(substr(name, 1, 1)) AS initial, string_split(name, ' ')[2] AS epithet FROM pn)"

@@ -35,3 +35,8 @@ def test_words_are_cleaned_without_patterns(spark):
 
 def test_only_words_of_the_lexicon_are_shuffled(spark):
     assert "hashpartitioning(doc_id" not in plan(QUERIES["mention_counts"](spark, SF))
+
+
+def test_no_mention_carries_its_text_through_sorts(spark):
+    p = plan(QUERIES["settled_spans"](spark, SF))
+    assert "first(passage" not in p
