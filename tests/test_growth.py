@@ -40,3 +40,13 @@ def test_only_words_of_the_lexicon_are_shuffled(spark):
 def test_no_mention_carries_its_text_through_sorts(spark):
     p = plan(QUERIES["settled_spans"](spark, SF))
     assert "first(passage" not in p
+
+
+def test_few_typos_need_no_shuffle_and_many_agree(spark, monkeypatch):
+    assert "hashpartitioning" not in plan(QUERIES["typo_correction"](spark, SF))
+    d = spark.createDataFrame([(i, t) for i, t in enumerate([None, "", " ", "teh", "a teh  b\u00a0teh", "teh teh", "x drop y", "drop", "a b c", "a teh  b\u00a0teh"])], "i int, text string")
+    known = spark.createDataFrame([("teh", "the"), ("drop", ""), ("c", None)], "typo string, correction string")
+    few = sorted(typos.correct(d, known).collect())
+    assert [r[1] for r in few] == [None, "", "", "the", "a the b the", "the the", "x  y", "", "a b c", "a the b the"]
+    monkeypatch.setattr(typos, "FEW", 0)
+    assert sorted(typos.correct(d, known).collect()) == few
