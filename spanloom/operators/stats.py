@@ -131,8 +131,8 @@ def resampled_p_values(front: DataFrame, back: DataFrame, samples: int = 1000, s
 
     Each draw deals the rank's front total among its front taxa by their background counts, evenly where all are zero or each equals the
     front's. A rank's taxa are dealt to leaves of at most about BLOCK_TAXA; a resample is split down the binary tree over the leaves, left against right
-    by binomials, and within a leaf by a multinomial, which together is one multinomial. A task holds one leaf and BLOCK_DRAWS
-    resamples; all that tasks share are the sums of weights, whole numbers. Reruns agree.
+    by binomials, and within a leaf by a multinomial, which together is one multinomial. A task holds one leaf, whose taxa it reads
+    once with one path, and BLOCK_DRAWS resamples at a time; all that tasks share are the sums of weights, whole numbers. Reruns agree.
     """
     e = enrichment(front, back).select("rank", "tax_id", "front_count", "background_count")
     about = e.groupBy("rank").agg(F.count(F.lit(1)).alias("taxa"), F.sum("front_count").alias("total"), (F.sum("background_count") == 0).alias("none"), F.min((F.col("front_count") == F.col("background_count")).cast("int")).alias("same"))
@@ -147,15 +147,17 @@ def resampled_p_values(front: DataFrame, back: DataFrame, samples: int = 1000, s
     lefts = sums.where("node % 2 = 0 AND level > 0").select("rank", (F.col("level") - 1).alias("level"), F.expr("shiftright(node, 1)").alias("node"), F.col("whole").alias("left"))
     steps = up.where("level < splits").select("rank", "leaf", "level", "node").join(sums, ["rank", "level", "node"]).join(lefts, ["rank", "level", "node"], "left")
     paths = steps.groupBy("rank", "leaf").agg(F.array_sort(F.collect_list(F.struct("level", "whole", F.coalesce("left", F.lit(0)).alias("left")))).alias("path"))
-    blocks = rows.join(paths, ["rank", "leaf"], "left").withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(samples - 1), F.lit(BLOCK_DRAWS))))
+    ways = paths.select(F.col("rank").alias("of_rank"), F.col("leaf").alias("of_leaf"), "path")
 
-    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
+    def draw(pdf: pd.DataFrame, way: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("tax_id")
-        one = pdf.iloc[0]
-        n = min(BLOCK_DRAWS, samples - int(one["start"]))
-        path = [(int(x["whole"]), int(x["left"])) for x in one["path"]] if one["path"] is not None else []
-        drawn = _drawn(seed, str(one["rank"]), int(one["start"]), n, int(one["total"]), path, int(one["leaf"]), pdf["weight"].to_numpy())
-        return pd.DataFrame({"rank": pdf["rank"], "tax_id": pdf["tax_id"], "reached": (drawn >= pdf["front_count"].to_numpy()).sum(0)})
-
-    reached = blocks.groupBy("rank", "leaf", "start").applyInPandas(draw, "rank string, tax_id string, reached long")
+        one, weights, least = pdf.iloc[0], pdf["weight"].to_numpy(), pdf["front_count"].to_numpy()
+        path = [(int(x["whole"]), int(x["left"])) for x in way["path"].iloc[0]] if len(way) else []
+        reached = np.zeros(len(pdf), np.int64)
+        for start in range(0, samples, BLOCK_DRAWS):
+            n = min(BLOCK_DRAWS, samples - start)
+            reached += (_drawn(seed, str(one["rank"]), start, n, int(one["total"]), path, int(one["leaf"]), weights) >= least).sum(0)
+        return pd.DataFrame({"rank": pdf["rank"], "tax_id": pdf["tax_id"], "reached": reached})
+
+    reached = rows.groupBy("rank", "leaf").cogroup(ways.groupBy("of_rank", "of_leaf")).applyInPandas(draw, "rank string, tax_id string, reached long")
     return reached.groupBy("rank", "tax_id").agg(((F.sum("reached") + 1) / F.lit(samples + 1.0)).alias("p_value"))

@@ -50,3 +50,8 @@ def test_few_typos_need_no_shuffle_and_many_agree(spark, monkeypatch):
     assert [r[1] for r in few] == [None, "", "", "the", "a the b the", "the the", "x  y", "", "a b c", "a the b the"]
     monkeypatch.setattr(typos, "FEW", 0)
     assert sorted(typos.correct(d, known).collect()) == few
+
+
+def test_resampling_reads_a_taxon_once(spark):
+    p = plan(QUERIES["resampled_p_values"](spark, SF))
+    assert "CoGroup" in p and "sequence(0, 999" not in p
