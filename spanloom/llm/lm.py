@@ -8,9 +8,10 @@ windows is scored with one mask. An id's probability is that of its class times
 hidden state; ids beyond the CLASSES * MEMBERS most frequent ones share a class by their frequency and are told apart in it
 by their share of all ids.
 
-Frequencies are counted over all training documents. The weights are learned by gradient descent, on the driver,
-from BLOCKS places drawn over all training texts: every GRAIN-th byte of every text has the same chance, wherever
-it stands and however long its text is.
+Frequencies are counted over all training documents. The weights are learned by gradient descent from every id of every training
+document: texts are dealt by their hash to parts of about PART bytes, each part goes once over all its ids from the same start, and the parts'
+weights are averaged by their numbers of ids. The start comes from BLOCKS places drawn over all training texts, on the driver: every
+GRAIN-th byte of every text has the same chance, wherever it stands and however long its text is.
 
 The base score needs the count of every word. Counts are summed over all training documents by a hash of
 the word (64 bits). Words with one in FREQUENT of all tokens or more - at most FREQUENT words, whatever the
@@ -43,6 +44,8 @@ TAILS = (CLASSES * MEMBERS, 2 * CLASSES * MEMBERS, 4 * CLASSES * MEMBERS, 12 * C
 #: Places that the weights are learned from (on average), the bytes between two that may be drawn, and windows of each.
 BLOCKS, GRAIN, BLOCK_STEPS = 16_384, 64, 5
 STEPS, BATCH, RATE, TOP = 600, 64, 0.05, 6.0
+#: Bytes of a part of the training texts; blocks of a step, their rate, and blocks that are mixed at once, where all ids are learned from.
+PART, ALL_BATCH, ALL_RATE, MIXED = 16_000_000, 128, 0.003, 1280
 FREQUENT = 4_000_000
 _END_WORD = np.uint64(0)
 _WORDS, _IDS, _PLACES = 0, 1, 2
@@ -228,6 +231,18 @@ def _clip(y):
     return nn._op(np.clip(a, 0, TOP), lambda g: (g * ((a > 0) & (a < TOP)),), y)
 
 
+def _rows(y, index: np.ndarray):
+    """Rows of a table, each at most once."""
+    a = nn.val(y)
+
+    def back(g):
+        out = np.zeros_like(a)
+        out[index] = g
+        return (out,)
+
+    return nn._op(a[index], back, y)
+
+
 def hidden(p: dict, row: np.ndarray, row_two: np.ndarray, first: np.ndarray):
     """(places, HIDDEN), for learning."""
     n = len(row)
@@ -276,13 +291,13 @@ def loss(p: dict, t: dict, before, two, target, first):
     y = target.reshape(-1)
     live = np.flatnonzero(y >= 0)
     y = y[live]
-    h = nn.take(hidden(p, t["row"][before], t["row"][two], first), live)
+    h = _rows(hidden(p, t["row"][before], t["row"][two], first), live)
     which = t["class"][y].astype(np.int64)
     own = np.flatnonzero(which < CLASSES)
     apart = nn.cross_entropy(nn.add(nn.matmul(h, p["out"]), p["obias"]), which)
     if not len(own):
         return apart
-    inside = member_loss(nn.take(h, own), p["member"], p["mbias_in"], which[own], t["member"][y[own]].astype(np.int64))
+    inside = member_loss(_rows(h, own), p["member"], p["mbias_in"], which[own], t["member"][y[own]].astype(np.int64))
     return nn.add(apart, nn.mul(inside, np.float64(len(own) / len(y))))
 
 
@@ -299,6 +314,38 @@ def train(blocks: list[np.ndarray], t: dict, seed: int = 23) -> dict[str, np.nda
     return adam.p
 
 
+def blocks_of(doc: np.ndarray) -> list[np.ndarray]:
+    """A document's ids in blocks, each id in one, after the id before the block (an end at first)."""
+    most = BLOCK_STEPS * STEP
+    whole = np.concatenate([np.array([END], doc.dtype), doc])
+    return [whole[i : i + most + 1] for i in range(0, len(doc), most)]
+
+
+def learn_all(p: dict, t: dict, docs, seed: int, batch: int = ALL_BATCH, rate: float = ALL_RATE) -> tuple[dict[str, np.ndarray], int]:
+    """Weights after one pass over all ids of an iterable of documents, and their number."""
+    rng, adam, waiting, seen, step = np.random.default_rng(seed), nn.Adam({k: v.copy() for k, v in p.items()}, rate), [], 0, 0
+
+    def go(blocks):
+        nonlocal step
+        order = rng.permutation(len(blocks))
+        for i in range(0, len(blocks), batch):
+            adam.rate = rate * min(1, (step + 1) / 20)
+            some = steps_of([blocks[j] for j in order[i : i + batch]], False)
+            adam.step(lambda q: loss(q, t, *some))  # noqa: B023
+            step += 1
+
+    for doc in docs:
+        seen += len(doc)
+        for block in blocks_of(doc):
+            waiting.append(block)
+            if len(waiting) == MIXED:
+                go(waiting)
+                waiting = []
+    if waiting:
+        go(waiting)
+    return adam.p, seen
+
+
 def ready(p: dict) -> dict[str, np.ndarray]:
     """Tables by input row of all that does not depend on other ids, for scoring."""
     x = p["ids"]
@@ -377,15 +424,55 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, keys[at] == wanted
 
 
+def learned_by_all(spark: SparkSession, learn: DataFrame, p: dict, t: dict, size: int, tokenizer: str) -> dict[str, np.ndarray]:
+    """The weights after every training id was learned from once: parts learn side by side, their weights are averaged by their ids."""
+    names, shapes = list(p), {k: p[k].shape for k in p}
+    flat = lambda q: np.concatenate([np.asarray(q[k], np.float64).ravel() for k in names])
+    shared, batch, rate = spark.sparkContext.broadcast((p, t)), ALL_BATCH, ALL_RATE
+
+    def rows(total, n):
+        return pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([n], pa.int64())], ["total", "n"])
+
+    def part(batches):
+        def docs():
+            for b in batches:
+                for i in range(0, b.num_rows, SOME):
+                    yield from ids_of(_lower(b.column("text").slice(i, SOME)), tokenizer)
+
+        q, n = learn_all(*shared.value, docs(), 29, batch, rate)
+        if n:
+            yield rows(flat(q) * n, n)
+
+    def added(batches):
+        total, n = 0, 0
+        for b in batches:
+            for x, m in zip(b.column("total"), b.column("n").to_pylist()):
+                total, n = total + np.frombuffer(x.as_buffer(), np.float64), n + m
+        if n:
+            yield rows(total, n)
+
+    # by the text's hash, in its order: the same parts in the same order whatever the files are
+    key = F.xxhash64(F.coalesce("text", F.lit("")))
+    dealt = learn.select("text", key.alias("key")).repartition(max(1, -(-size // PART)), "key").sortWithinPartitions("key")
+    weights = staged(spark, dealt.select("text").mapInArrow(part, "total binary, n long"))
+    sums = weights.repartition(16).mapInArrow(added, "total binary, n long").collect()  # 16 rows of weights
+    if not sums:
+        return p
+    mean = sum(np.frombuffer(r[0], np.float64) for r in sorted(sums)) / sum(r[1] for r in sums)
+    cuts = np.cumsum([int(np.prod(shapes[k])) for k in names])[:-1]
+    return {k: x.reshape(shapes[k]).astype(p[k].dtype) for k, x in zip(names, np.split(mean, cuts))}
+
+
 def fit(spark: SparkSession, learn: DataFrame, counts: DataFrame, tokenizer: str) -> tuple[dict, dict]:
-    """Weights and tables, from the staged counts and places drawn over all training texts."""
+    """Weights and tables, from the staged counts and all training texts."""
     ids = counts.where(F.col("kind") == _IDS).select("key", "n").toPandas()  # at most VOCAB rows
     id_counts = np.zeros(VOCAB)
     id_counts[ids["key"].to_numpy(np.int64)] = ids["n"]
     places = counts.where(F.col("kind") == _PLACES).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     t = tables(id_counts)
     blocks = drawn(learn, BLOCKS / max(1, places), tokenizer).collect()  # about BLOCKS rows of at most BLOCK_STEPS * STEP + 1 ids
-    return train([np.frombuffer(r[1], "<u2") for r in sorted(blocks)], t), t
+    start_ = train([np.frombuffer(r[1], "<u2") for r in sorted(blocks)], t)
+    return learned_by_all(spark, learn, start_, t, places * GRAIN, tokenizer), t
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:

@@ -116,3 +116,20 @@ def test_held_out_beats_the_word_count_and_needs_attention(spark, monkeypatch):
     full = lm.score_ids(lm.ready(p), t, ids).sum() / words
     without = lm.score_ids(lm.ready(p | {"more": p["more"] * 0}), t, ids).sum() / words
     assert without < full - 0.3
+
+
+def test_weights_are_learned_from_every_training_id(spark, monkeypatch):
+    doc = np.arange(205, dtype=np.uint16)
+    assert np.concatenate([b[1:] for b in lm.blocks_of(doc)]).tolist() == doc.tolist() and [b[0] for b in lm.blocks_of(doc)] == [lm.END, 79, 159]
+    monkeypatch.setattr(lm, "train", lambda blocks, t: lm.start(t, np.random.default_rng(23)))  # nothing comes from drawn places
+    monkeypatch.setattr(lm, "PART", 20_000)
+    monkeypatch.setattr(lm, "ALL_BATCH", 4)
+    monkeypatch.setattr(lm, "ALL_RATE", 0.02)
+    learn = spark.createDataFrame([(f"some words {i} of text {i % 7} " * 20,) for i in range(200)] + [(None,), ("",)], "text string")
+    counts = lm.count_tokens(learn, packing.TOKENIZER)
+    p, t = lm.fit(spark, learn, counts, packing.TOKENIZER)
+    first = lm.start(t, np.random.default_rng(23))
+    steps = lm.steps_of(lm.ids_of([(r[0] or "").encode() for r in learn.collect()]))
+    assert float(lm.loss(p, t, *steps)) < float(lm.loss(first, t, *steps)) - 0.05
+    again, _ = lm.fit(spark, learn.repartition(7), counts, packing.TOKENIZER)
+    assert all(np.allclose(p[k], again[k], atol=1e-4) for k in p)
