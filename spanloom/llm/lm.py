@@ -9,7 +9,7 @@ hidden state; ids beyond the CLASSES * MEMBERS most frequent ones share a class
 by their share of all ids.
 
 Frequencies are counted over all training documents. The weights are learned by gradient descent from every id of every training
-document: texts are dealt by their hash to parts of about PART bytes, each part goes once over all its ids from the same start, and the parts'
+document: texts are dealt by a hash to parts of about PART bytes, each part goes once over all its ids from the same start, and the parts'
 weights are averaged by their numbers of ids. The start comes from BLOCKS places drawn over all training texts, on the driver: every
 GRAIN-th byte of every text has the same chance, wherever it stands and however long its text is.
 
@@ -427,7 +427,7 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def learned_by_all(spark: SparkSession, learn: DataFrame, p: dict, t: dict, size: int, tokenizer: str) -> dict[str, np.ndarray]:
     """The weights after every training id was learned from once: parts learn side by side, their weights are averaged by their ids."""
     names, shapes = list(p), {k: p[k].shape for k in p}
-    flat = lambda q: np.concatenate([np.asarray(q[k], np.float64).ravel() for k in names])
+    flat = lambda q: np.concatenate([np.asarray(q[k], np.float32).ravel() for k in names])
     shared, batch, rate = spark.sparkContext.broadcast((p, t)), ALL_BATCH, ALL_RATE
 
     def rows(total, n):
@@ -441,20 +441,19 @@ def learned_by_all(spark: SparkSession, learn: DataFrame, p: dict, t: dict, size
 
         q, n = learn_all(*shared.value, docs(), 29, batch, rate)
         if n:
-            yield rows(flat(q) * n, n)
+            yield rows(flat(q), n)
 
     def added(batches):
         total, n = 0, 0
         for b in batches:
             for x, m in zip(b.column("total"), b.column("n").to_pylist()):
-                total, n = total + np.frombuffer(x.as_buffer(), np.float64), n + m
+                total, n = total + m * np.frombuffer(x.as_buffer(), np.float32).astype(np.float64), n + m
         if n:
             yield rows(total, n)
 
-    # by the text's hash, in its order: the same parts in the same order whatever the files are
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    dealt = learn.select("text", key.alias("key")).repartition(max(1, -(-size // PART)), "key").sortWithinPartitions("key")
-    weights = staged(spark, dealt.select("text").mapInArrow(part, "total binary, n long"))
+    # by the hash of id and text, in its order: the same parts in the same order whatever the files are, and copies in all parts
+    dealt = learn.select("text", F.xxhash64("doc_id", "text").alias("key")).repartition(max(1, -(-size // PART)), "key").sortWithinPartitions("key")
+    weights = dealt.select("text").mapInArrow(part, "total binary, n long")
     sums = weights.repartition(16).mapInArrow(added, "total binary, n long").collect()  # 16 rows of weights
     if not sums:
         return p

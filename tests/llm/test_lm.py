@@ -125,11 +125,11 @@ def test_weights_are_learned_from_every_training_id(spark, monkeypatch):
     monkeypatch.setattr(lm, "PART", 20_000)
     monkeypatch.setattr(lm, "ALL_BATCH", 4)
     monkeypatch.setattr(lm, "ALL_RATE", 0.02)
-    learn = spark.createDataFrame([(f"some words {i} of text {i % 7} " * 20,) for i in range(200)] + [(None,), ("",)], "text string")
+    learn = spark.createDataFrame([(i, f"some words {i} of text {i % 7} " * 20) for i in range(200)] + [(200, None), (201, "")], "doc_id long, text string")
     counts = lm.count_tokens(learn, packing.TOKENIZER)
     p, t = lm.fit(spark, learn, counts, packing.TOKENIZER)
     first = lm.start(t, np.random.default_rng(23))
-    steps = lm.steps_of(lm.ids_of([(r[0] or "").encode() for r in learn.collect()]))
+    steps = lm.steps_of(lm.ids_of([(r[1] or "").encode() for r in learn.collect()]))
     assert float(lm.loss(p, t, *steps)) < float(lm.loss(first, t, *steps)) - 0.05
     again, _ = lm.fit(spark, learn.repartition(7), counts, packing.TOKENIZER)
     assert all(np.allclose(p[k], again[k], atol=1e-4) for k in p)
