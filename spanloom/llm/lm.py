@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from spanloom.llm import nn
 from spanloom.llm.common import as_bytes, crc_mod, mix, prefix_hash, range_hash, staged, table, word_bounds
-from spanloom.llm.packing import TOKENIZER, encoder
+from spanloom.llm.packing import TOKENIZER, encoder, widths
 
 FOLDS, HELD = 7, 2
 VOCAB, END = 50_257, 50_256
@@ -49,56 +49,119 @@ PART, ALL_BATCH, ALL_RATE, MIXED = 16_000_000, 128, 0.003, 1280
 FREQUENT = 4_000_000
 _END_WORD = np.uint64(0)
 _WORDS, _IDS, _PLACES = 0, 1, 2
-#: Documents and windows that are taken at once.
-SOME, SLICE = 128, 1024
+#: Documents and windows that are taken at once, and rows that are added at once.
+SOME, SLICE, LANES = 128, 1024, 8
 
 
 # ------------------------------------------------------------------ text to ids and words
-class _Spaced(Exception):
-    pass
+def slices(big: bytes, most: int = 2_000_000):
+    """A text in slices of about that many bytes, cut at spaces, which go."""
+    i = 0
+    while len(big) - i > most:
+        j = big.find(b" ", i + most)
+        if j < 0:
+            break
+        yield big[i:j]
+        i = j + 1
+    yield big[i:]
 
 
-class Pieces(dict):
-    """bytes -> ids (two bytes each) of a piece and the space before it.
+_INK = frozenset(i for i in range(128) if not chr(i).isspace())
 
-    The tokenizer never joins a space to what stands before it, unless that is white space too: texts where it is are
-    encoded whole.
-    """
 
-    def __init__(self, encode, most: int = 400_000):
-        super().__init__()
-        self.encode, self.most = encode, most
+class Pieces:
+    """Ids of texts by a table of the pieces between spaces that were met before, by the pieces' hashes.
 
-    def whole(self, raw: bytes) -> bytes:
-        return np.array(self.encode(raw.decode("utf-8", "surrogatepass")), "<u2").tobytes()
+    The tokenizer never joins a space to what stands before it, unless that is white space too: texts where it is are
+    encoded whole. Pieces that were not met before are encoded together, each after a space, and cut by the bytes of their ids.
+    """
 
-    def __missing__(self, piece: bytes) -> bytes:
-        if not piece or piece.decode("utf-8", "surrogatepass")[-1].isspace():
-            raise _Spaced
-        if len(self) >= self.most:
+    def __init__(self, encode, width: np.ndarray, most: int = 1_000_000):
+        self.encode, self.width, self.most = encode, width, most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.at, self.size, self.pool = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u2")
+
+    def whole(self, raw: bytes) -> np.ndarray:
+        return np.array(self.encode(raw.decode("utf-8", "surrogatepass")), "<u2")
+
+    def meet(self, pieces: list[bytes], keys: np.ndarray) -> None:
+        """Takes up new pieces, in the order of their keys; those that are empty or end in white space have no ids."""
+        size, ids = np.zeros(len(pieces), np.int64), np.zeros(0, "<u2")
+        plain = [i for i, x in enumerate(pieces) if x and (x[-1] in _INK or x[-1] > 127 and not x.decode("utf-8", "surrogatepass")[-1].isspace())]
+        if plain:
+            joined = b" " + b" ".join([pieces[i] for i in plain])
+            ids = self.whole(joined)
+            stop, end = np.cumsum([len(pieces[i]) + 1 for i in plain]), np.cumsum(self.width[ids])
+            last = np.minimum(np.searchsorted(end, stop), len(end) - 1)
+            if (end[last] == stop).all():
+                size[plain] = np.diff(last, prepend=-1)
+            else:  # lone surrogates
+                got = [self.whole(b" " + pieces[i]) for i in plain]
+                size[plain], ids = [len(x) for x in got], np.concatenate(got)
+        where = np.searchsorted(self.keys, keys)
+        self.at = np.insert(self.at, where, len(self.pool) + np.cumsum(size) - size)
+        self.size, self.keys = np.insert(self.size, where, size), np.insert(self.keys, where, keys)
+        self.pool = np.concatenate([self.pool, ids])
+
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        cuts = [self.cut(raw) for raw in texts]
+        some = [i for i, c in enumerate(cuts) if c]
+        out = [None if c else self.whole(raw) for raw, c in zip(texts, cuts)]
+        if not some:
+            return out
+        middle = [texts[i][cuts[i][0] + 1 : cuts[i][1]] for i in some]
+        got = [self.between(x) for x in slices(b" ".join(middle))]
+        flat, size = (np.concatenate(x) for x in zip(*got))
+        stop = np.cumsum(size)
+        last = np.cumsum([m.count(b" ") + 1 for m in middle])
+        bad = np.zeros(len(some), bool)
+        bad[np.searchsorted(last, np.flatnonzero(size == 0), "right")] = True
+        stop = stop[last - 1].tolist()
+        for i, x, y, spaced in zip(some, [0, *stop], stop, bad.tolist()):
+            t, (a, b) = texts[i], cuts[i]
+            out[i] = self.whole(t) if spaced else np.concatenate([self.whole(t[:a]), flat[x:y], self.whole(t[b:])])
+        return out
+
+    def between(self, big: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces between spaces, one after the other, and each piece's number of ids."""
+        raw = np.frombuffer(big, np.uint8)
+        space = np.flatnonzero(raw == 32)
+        begin, end = np.append(0, space + 1), np.append(space, len(raw))
+        h = range_hash(prefix_hash(raw), begin, end)
+        order = np.argsort(h)
+        h = h[order]
+        new = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        keys, first = h[new], order[new]
+        if len(self.keys) > self.most:
             self.clear()
-        got = self[piece] = self.whole(b" " + piece)
-        return got
-
-    def ids(self, raw: bytes) -> bytes:
-        parts = raw.split(b" ")
-        if len(parts) < 4 or b"<|endoftext|>" in raw or parts[0].decode("utf-8", "surrogatepass")[-1:].isspace():
-            return self.whole(raw)
-        try:
-            return self.whole(parts[0]) + b"".join(map(self.__getitem__, parts[1:-1])) + self.whole(b" " + parts[-1])
-        except _Spaced:
-            return self.whole(raw)
+        unmet = np.flatnonzero(~find(self.keys, keys)[1])
+        if len(unmet):
+            i = first[unmet]
+            self.meet([big[x:y] for x, y in zip(begin[i].tolist(), end[i].tolist())], keys[unmet])
+        at = np.empty(len(h), np.int64)
+        at[order] = np.repeat(np.searchsorted(self.keys, keys), np.diff(new, append=len(h)))
+        size = self.size[at]
+        stop = np.cumsum(size)
+        return self.pool[np.repeat(self.at[at] - (stop - size), size) + np.arange(stop[-1])], size
+
+    def cut(self, raw: bytes) -> tuple[int, int] | None:
+        """The first and the last space, or nothing if the text has to be encoded whole."""
+        a = raw.find(b" ")
+        if raw.count(b" ") < 3 or b"<|endoftext|>" in raw or raw[:a].decode("utf-8", "surrogatepass")[-1:].isspace():
+            return None
+        return a, raw.rfind(b" ")
 
 
 _PIECES: dict[str, Pieces] = {}
-_CLOSE = np.array([END], "<u2").tobytes()
+_CLOSE = np.array([END], "<u2")
 
 
 def ids_of(texts: list[bytes], tokenizer: str = TOKENIZER) -> list[np.ndarray]:
     if tokenizer not in _PIECES:
-        _PIECES[tokenizer] = Pieces(encoder(tokenizer))
-    pieces = _PIECES[tokenizer]
-    return [np.frombuffer(pieces.ids(t) + _CLOSE, "<u2") for t in texts]
+        _PIECES[tokenizer] = Pieces(encoder(tokenizer), widths(tokenizer))
+    return [np.concatenate([x, _CLOSE]) for x in _PIECES[tokenizer].ids(texts)]
 
 
 def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -142,22 +205,23 @@ def drawn(learn: DataFrame, share: float, tokenizer: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
+            keys, heads, pieces, tails = [], [], [], []
             for raw in _lower(b.column("text")):
                 k = np.arange(len(raw) // GRAIN + 1, dtype=np.uint64)
                 key = mix((k + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(zlib.crc32(raw)))
                 hit = np.flatnonzero(key < np.uint64(min(share, 1.0) * (2.0**64 - 2048)))
-                out = []
                 for at in (hit * GRAIN).tolist():
                     cut = raw[at : at + 8 * most]
                     space = cut.find(b" ") if at else 0
                     if space < 0:
                         continue
-                    tail = b"" if at + 8 * most < len(raw) else _CLOSE
-                    piece = cut[space:].decode("utf-8", "ignore").encode()
-                    got = (b"" if at else _CLOSE) + ids_of([piece], tokenizer)[0].tobytes()[:-2] + tail
-                    out.append(got[: 2 * (most + 1)])
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(key[hit][: len(out)].astype(np.int64)), pa.array(out, pa.binary())], ["place", "ids"])
+                    keys.append(key[at // GRAIN])
+                    heads.append(b"" if at else _CLOSE.tobytes())
+                    pieces.append(cut[space:].decode("utf-8", "ignore").encode())
+                    tails.append(b"" if at + 8 * most < len(raw) else _CLOSE.tobytes())
+            if keys:
+                out = [(head + x[:-1].tobytes() + tail)[: 2 * (most + 1)] for head, x, tail in zip(heads, ids_of(pieces, tokenizer), tails)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(keys).astype(np.int64)), pa.array(out, pa.binary())], ["place", "ids"])
 
     return learn.select("text").mapInArrow(run, "place long, ids binary")
 
@@ -301,6 +365,108 @@ def loss(p: dict, t: dict, before, two, target, first):
     return nn.add(apart, nn.mul(inside, np.float64(len(own) / len(y))))
 
 
+def gradient(p: dict, t: dict, before, two, target, first) -> dict[str, np.ndarray]:
+    """The derivatives of ``loss`` by all weights, with the powers that documents are scored with.
+
+    Written out, as each pass over the places counts: places are in the order of their classes from the hidden state on, so that
+    those of one class stand together, and what belongs to one input row is summed once for its part as the id before and as the one before that.
+    """
+    n, row = len(before), t["row"].take(before.reshape(-1))
+    x = p["ids"].take(row, 0)
+    q, k, v = (x @ p[c] for c in "qkv")
+    v = np.concatenate([v, np.ones((len(v), 1), np.float32)], 1)  # the last sums the weights
+    k, v = (_windows(np.concatenate([np.zeros((STEP, y.shape[1]), np.float32), y])) for y in (k, v))
+    near = np.exp(np.where(_APART >= 0, p["far"][np.maximum(_APART, 0), 0], -1e4)).astype(np.float32)
+    q = q.reshape(n, STEP, WIDE)
+    weight = power(np.matmul(q, k.swapaxes(1, 2)))
+    weight *= near
+    weight[first, :, :STEP] = 0
+    seen = np.matmul(weight, v).reshape(-1, WIDE + 1)
+    all_ = np.ascontiguousarray(seen[:, WIDE:])
+    seen = seen[:, :WIDE] / all_
+    h = x @ p["one"]
+    h += seen @ p["more"]
+    h += p["mbias"]
+    h += p["two"].take(t["row"].take(two.reshape(-1)), 0)
+    np.clip(h, 0, TOP, out=h)
+
+    # the id's class and its member, place by place in the order of classes
+    y = target.reshape(-1)
+    live = np.flatnonzero(y >= 0)
+    which = t["class"].take(y.take(live))
+    order = np.argsort(which, kind="stable")
+    live, which = live.take(order), which.take(order)
+    cut = np.searchsorted(which, np.arange(CLASSES + 1)).tolist()
+    hs, places, m = h.take(live, 0), np.arange(len(live)), np.float32(max(1, len(live)))
+    z = hs @ p["out"]
+    z += p["obias"]
+    z = power(z)
+    z /= (z @ np.full(z.shape[1], m, np.float32))[:, None]
+    z[places, which] -= 1 / m
+    ones = np.ones(len(h), np.float32)
+    g = {"out": hs.T @ z, "obias": ones[: len(z)] @ z, "member": np.zeros_like(p["member"]), "mbias_in": np.zeros_like(p["mbias_in"])}
+    back = z @ p["out"].T
+    some = [(c, slice(cut[c], cut[c + 1])) for c in range(CLASSES) if cut[c] < cut[c + 1]]
+    z = np.empty((cut[-1], MEMBERS), np.float32)
+    for c, i in some:
+        np.matmul(hs[i], p["member"][c], out=z[i])
+        z[i] += p["mbias_in"][c]
+    z = power(z)
+    z /= (z @ np.full(MEMBERS, m, np.float32))[:, None]
+    z[places[: cut[-1]], t["member"].take(y.take(live[: cut[-1]]))] -= 1 / m
+    for c, i in some:
+        g["member"][c], g["mbias_in"][c] = hs[i].T @ z[i], ones[i] @ z[i]
+        back[i] += z[i] @ p["member"][c].T
+
+    # the hidden state, and the attention
+    dz = np.zeros_like(h)
+    dz[live] = back
+    dz *= (h > 0) & (h < TOP)
+    g["mbias"], g["one"], g["more"] = ones @ dz, x.T @ dz, seen.T @ dz
+    ds = dz @ p["more"].T
+    ds /= all_
+    inside = np.matmul(ds.reshape(n, STEP, WIDE), v[:, :, :WIDE].swapaxes(1, 2))
+    inside -= np.einsum("ij,ij->i", ds, seen).reshape(n, STEP, 1)
+    inside *= weight
+    g["far"] = np.bincount(np.maximum(_APART, 0).reshape(-1), np.where(_APART >= 0, inside.sum(0), 0).reshape(-1), WINDOW).astype(np.float32)[:, None]
+    dx = dz @ p["one"].T
+    own = (np.matmul(inside, k).reshape(-1, WIDE), _folded(np.matmul(inside.swapaxes(1, 2), q)), _folded(np.matmul(weight.swapaxes(1, 2), ds.reshape(n, STEP, WIDE))))
+    for c, d in zip("qkv", own):
+        g[c] = x.T @ d
+        dx += d @ p[c].T
+
+    # the id before that is the id before of the place before, but at a block's first place, where it is an end
+    both = np.empty((len(dx) + 1, WIDE + HIDDEN), np.float32)
+    both[:-1, :WIDE], both[:-2, WIDE:] = dx, dz[1:]
+    begin = np.flatnonzero(first) * STEP
+    both[begin[1:] - 1, WIDE:] = both[-2, WIDE:] = both[-1] = 0
+    rows = _by_row(both, row, len(p["ids"]))
+    rows[t["row"][END], WIDE:] += dz.take(begin, 0).sum(0)
+    return g | {"ids": rows[:, :WIDE], "two": rows[:, WIDE:]}
+
+
+def _by_row(y: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """Sums by row of a table of n rows; y has a row of zeros at its end. LANES rows are added at once, what is left of them by reduceat."""
+    order = np.argsort(row.astype(np.uint16), kind="stable")
+    row = row.take(order)
+    new = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+    count = np.diff(new, append=len(row))
+    lanes = -(-count // LANES)
+    at = np.cumsum(lanes) - lanes
+    places = np.full(lanes.sum() * LANES, len(row))
+    places[np.arange(len(row)) + np.repeat(at * LANES - new, count)] = order
+    out = np.zeros((n, y.shape[1]), np.float32)
+    out[row[new]] = np.add.reduceat(y.take(places.reshape(-1, LANES).T, 0).sum(0), at, 0)
+    return out
+
+
+def _folded(y: np.ndarray) -> np.ndarray:
+    """(n * STEP, width) from windows (n, WINDOW, width): what each place gets from its own window and from the next."""
+    out = y[:, STEP:].copy()
+    out[:-1] += y[1:, :STEP]
+    return out.reshape(-1, y.shape[2])
+
+
 def train(blocks: list[np.ndarray], t: dict, seed: int = 23) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     p, blocks = start(t, rng), [b for b in blocks if len(b) > 1]
@@ -310,7 +476,7 @@ def train(blocks: list[np.ndarray], t: dict, seed: int = 23) -> dict[str, np.nda
     for step in range(steps):
         adam.rate = RATE * min(1, (step + 1) / 50) * (1 - 0.95 * step / steps)
         some = steps_of([blocks[i] for i in rng.integers(0, len(blocks), BATCH)], False)
-        adam.step(lambda q: loss(q, t, *some))
+        adam.move(gradient(adam.p, t, *some))
     return adam.p
 
 
@@ -331,7 +497,7 @@ def learn_all(p: dict, t: dict, docs, seed: int, batch: int = ALL_BATCH, rate: f
         for i in range(0, len(blocks), batch):
             adam.rate = rate * min(1, (step + 1) / 20)
             some = steps_of([blocks[j] for j in order[i : i + batch]], False)
-            adam.step(lambda q: loss(q, t, *some))  # noqa: B023
+            adam.move(gradient(adam.p, t, *some))
             step += 1
 
     for doc in docs:
@@ -436,8 +602,8 @@ def learned_by_all(spark: SparkSession, learn: DataFrame, p: dict, t: dict, size
     def part(batches):
         def docs():
             for b in batches:
-                for i in range(0, b.num_rows, SOME):
-                    yield from ids_of(_lower(b.column("text").slice(i, SOME)), tokenizer)
+                for i in range(0, b.num_rows, 6 * SOME):
+                    yield from ids_of(_lower(b.column("text").slice(i, 6 * SOME)), tokenizer)
 
         q, n = learn_all(*shared.value, docs(), 29, batch, rate)
         if n:

@@ -219,16 +219,18 @@ class Adam:
         live = {k: Var(v) for k, v in self.p.items()}
         loss = loss_of(live)
         backward(loss)
+        self.move({k: x.grad for k, x in live.items() if x.grad is not None})
+        return float(loss.data)
+
+    def move(self, grads: dict[str, np.ndarray]) -> None:
+        """A step by the given gradients."""
         self.t += 1
-        for k, x in live.items():
-            if x.grad is None:
-                continue
-            g = x.grad + self.decay * self.p[k]
+        for k, g in grads.items():
+            g = g + self.decay * self.p[k] if self.decay else g
             self.m[k] = 0.9 * self.m[k] + 0.1 * g
             self.v[k] = 0.999 * self.v[k] + 0.001 * g * g
             step = self.rate * (self.m[k] / (1 - 0.9**self.t)) / (np.sqrt(self.v[k] / (1 - 0.999**self.t)) + 1e-8)
             self.p[k] = (self.p[k] - step).astype(np.float32)
-        return float(loss.data)
 
 
 def init(rng: np.random.Generator, **shapes: tuple) -> dict[str, np.ndarray]:

@@ -61,6 +61,17 @@ def encoder(name: str = TOKENIZER):
     return _LOADED[name]
 
 
+def widths(name: str = TOKENIZER) -> np.ndarray:
+    """Bytes of each id, without special ones."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
+        size = {int(b): len(base64.b64decode(a)) for a, b in map(bytes.split, f)}
+    out = np.zeros(max(size) + 1, np.int64)
+    out[list(size)] = list(size.values())
+    return out
+
+
 class Packer:
     """Packs pieces (row, start, ids, doc_tokens); done() takes rows of finished windows."""
 

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.llm import lm, packing
+from spanloom.llm import lm, nn, packing
 from tests.llm.test_operators import BASE, ROWS, SCHEMA
 
 
@@ -133,3 +133,45 @@ def test_weights_are_learned_from_every_training_id(spark, monkeypatch):
     assert float(lm.loss(p, t, *steps)) < float(lm.loss(first, t, *steps)) - 0.05
     again, _ = lm.fit(spark, learn.repartition(7), counts, packing.TOKENIZER)
     assert all(np.allclose(p[k], again[k], atol=1e-4) for k in p)
+
+
+def test_new_pieces_are_encoded_together():
+    texts = [" ".join(f"word{i}x{j}" for j in range(50)).encode() for i in range(100)]
+    encode, calls = packing.encoder(), []
+    pieces = lm.Pieces(lambda t: calls.append(t) or encode(t), packing.widths())
+    got = pieces.ids(texts)
+    assert [g.tolist() for g in got] == [encode(t.decode()) for t in texts] and len(calls) <= 2 * len(texts) + 1  # not one call for each of 4,800 words
+    pieces.most = 10
+    assert all(np.array_equal(x, y) for x, y in zip(got[::-1], pieces.ids(texts[::-1])))
+    big = b" ".join(texts)
+    assert b" ".join(lm.slices(big, 100)) == big and max(map(len, lm.slices(big, 100))) < 120 and [*lm.slices(b"", 5)] == [b""] and [*lm.slices(b"abcdefgh i", 3)] == [b"abcdefgh", b"i"]
+    odd = ["a b c d  e f", "x \ud800 y z w", "x 𐀀 y z w", "a  b c d", "a b c\n d e", "a b <|endofte xt c"]
+    whole = lambda t: encode(t)
+    assert [x.tolist() for x in pieces.ids([t.encode("utf-8", "surrogatepass") for t in odd])] == [whole(t) for t in odd]
+
+
+def test_gradient_equals_the_derivatives_of_the_loss(monkeypatch):
+    rng = np.random.default_rng(7)
+    docs = [(rng.integers(0, 70, n) ** 2).astype(np.uint16) for n in (1, 15, 16, 17, 33, 70, 400)]  # ids of many classes
+    t = lm.tables(np.bincount(np.concatenate(docs), minlength=lm.VOCAB).astype(float))
+    p = lm.start(t, rng)
+    p["far"], p["mbias"] = (p[k] + rng.normal(0, 0.1, p[k].shape).astype(np.float32) for k in ("far", "mbias"))
+    blocks = [b for d in docs for b in lm.blocks_of(d)]
+    for steps in (lm.steps_of(docs), lm.steps_of(blocks, False), lm.steps_of(blocks[:1], False)):
+        live = {k: nn.Var(v) for k, v in p.items()}
+        nn.backward(lm.loss(live, t, *steps))
+        with monkeypatch.context() as m:
+            m.setattr(lm, "power", np.exp)
+            exact = lm.gradient(p, t, *steps)
+        fast = lm.gradient(p, t, *steps)
+        for k in p:
+            want = live[k].grad if live[k].grad is not None else np.zeros_like(p[k])
+            most = max(float(np.abs(want).max()), 1e-3)
+            assert np.abs(exact[k] - want).max() < 1e-3 * most and np.abs(fast[k] - want).max() < 0.3 * most, k
+
+
+def test_every_id_is_learned_from_without_a_graph(monkeypatch):
+    p, t, docs = model(5)
+    monkeypatch.setattr(nn, "backward", lambda loss: 1 / 0)
+    q, n = lm.learn_all(p, t, docs, 1)
+    assert n == sum(map(len, docs)) and float(lm.loss(q, t, *lm.steps_of(docs))) < float(lm.loss(p, t, *lm.steps_of(docs)))
