@@ -54,7 +54,7 @@ SOME, SLICE, LANES = 128, 1024, 8
 
 
 # ------------------------------------------------------------------ text to ids and words
-def slices(big: bytes, most: int = 2_000_000):
+def slices(big: bytes, most: int = 500_000):
     """A text in slices of about that many bytes, cut at spaces, which go."""
     i = 0
     while len(big) - i > most:
