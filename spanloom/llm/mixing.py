@@ -8,7 +8,9 @@ through all shards, map through a pseudorandom permutation of its block numbers,
 pass over the source, and the slots are joined with the blocks by number. So in a mix that takes a source
 1.4 times each of its blocks is taken once or twice, and none more often than the cap.
 
-Only one row per source and one per shard and source are handled on the driver. Offsets of
+Only one row per source and one per shard and source are handled on the driver. What has a row for each
+document, bucket or block is joined by merging: Spark sizes it by the files it comes from, before
+documents are cut into blocks, and would broadcast it through the driver. Offsets of
 documents come from sums per (source, bucket), so no task sees a whole source.
 """
 
@@ -121,11 +123,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> DataF
     upto = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
     shelves = sums.groupBy("no", "shelf").agg(F.sum("words").alias("words"))
     shelves = shelves.select("no", "shelf", F.coalesce(F.sum("words").over(upto("no", "shelf")), F.lit(0)).alias("below"))
-    base = sums.withColumn("within", F.coalesce(F.sum("words").over(upto("no", "shelf", "bucket")), F.lit(0))).join(shelves, ["no", "shelf"])
+    base = sums.withColumn("within", F.coalesce(F.sum("words").over(upto("no", "shelf", "bucket")), F.lit(0))).join(shelves.hint("merge"), ["no", "shelf"])
     base = base.select(F.col("no").alias("__no"), F.col("bucket").alias("__bucket"), (F.col("below") + F.col("within")).alias("base"))
     inside = Window.partitionBy("no", "bucket").orderBy("doc_id", "key", "size")
     placed = keyed.withColumn("end", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))).withColumn("rn", F.row_number().over(inside)).drop("key")
-    placed = placed.join(base, (F.col("no") == F.col("__no")) & (F.col("bucket") == F.col("__bucket"))).drop("__no", "__bucket")
+    placed = placed.join(base.hint("merge"), (F.col("no") == F.col("__no")) & (F.col("bucket") == F.col("__bucket"))).drop("__no", "__bucket")
     placed = staged(spark, placed.withColumn("end", F.col("base") + F.col("end")).withColumn("begin", F.col("end") - F.col("size")).drop("base"))
 
     slots = spark.createDataFrame(draw(quota, seed) or [(0, 0, 0, 0)], "shard int, no int, first long, slots long")
@@ -151,8 +153,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> DataF
         F.explode(F.sequence(F.floor(F.col("begin") / BLOCK), F.floor((F.col("end") - 1) / BLOCK))).alias("block"),
     )
     words = F.least("end", (F.col("block") + 1) * BLOCK) - F.greatest("begin", F.col("block") * BLOCK)
-    taken = parts.join(times, ["no", "block"]).groupBy("no", "bucket", "rn").agg(F.sum(words * F.col("times")).cast("long").alias("taken"))
-    return placed.join(taken, ["no", "bucket", "rn"], "left").select(
+    taken = parts.join(times.hint("merge"), ["no", "block"]).groupBy("no", "bucket", "rn").agg(F.sum(words * F.col("times")).cast("long").alias("taken"))
+    return placed.join(taken.hint("merge"), ["no", "bucket", "rn"], "left").select(
         "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
 
@@ -173,7 +175,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> D
     same = reduce(lambda x, y: x & y, [F.col(own[c]).eqNullSafe(F.col(other[c])) for c in key])
     chance = F.pmod(F.xxhash64(F.col(own["doc_id"]), F.col("text"), F.lit(seed)), F.lit(1_000_003)) / F.lit(1_000_003.0)
     copies = F.floor(F.col(other["times"]) + chance).cast("int")
-    return told.join(mixed, same).withColumn(other["times"], F.explode(F.array_repeat(F.lit(1), copies))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return told.join(mixed.hint("merge"), same).withColumn(other["times"], F.explode(F.array_repeat(F.lit(1), copies))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

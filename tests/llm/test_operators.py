@@ -378,6 +378,20 @@ def test_mixing_offsets_do_not_depend_on_shelves(spark, monkeypatch):
         assert r["size"] == sizes[r["doc_id"]] and r["source_size"] == size[s] and math.isclose(r["target"], target[s])
 
 
+def test_mixing_broadcasts_only_the_sources(spark, monkeypatch):
+    seen, staged = [], mixing.staged
+    monkeypatch.setattr(mixing, "staged", lambda s, df: staged(s, seen.append(df) or df))
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    seen += [mixing.mix_sources(spark, d), mixing.mixed_documents(spark, d)]
+    merged = ""
+    for df in seen:
+        assert df.collect()
+        for x in df._jdf.queryExecution().executedPlan().toString().splitlines():
+            assert "BroadcastHashJoin" not in x or "__source#" in x
+            merged += x * ("SortMergeJoin" in x)
+    assert all(f"{c}#" in merged for c in ("shelf", "__bucket", "block", "rn"))
+
+
 def test_long_texts_and_contradicting_labels_are_learned_from(spark):
     from spanloom.llm.labelled import CAP, PARTS, sample
 
